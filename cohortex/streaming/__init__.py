@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The workload is a bounded batch: date windows are ranges of a sharded scan, not event-time
+windows, and there are no watermarks, triggers or state. This package stays empty on
+purpose (see README, "Not built").
+"""
