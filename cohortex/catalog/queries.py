@@ -551,3 +551,206 @@ def q_training_dataset_literal(spark, sf_dir):
 @register("scoring_dataset", O.SCORING_SQL)
 def q_scoring_dataset(spark, sf_dir):
     return scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE)
+
+
+# ---------------------------------------------------------------- learning
+
+from dataclasses import replace as _replace  # noqa: E402
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from cohortex.catalog.setup import FIXTURE_RUN  # noqa: E402
+from cohortex.operators import ml as M  # noqa: E402
+from cohortex.operators.sampling import stratified_split, undersample_majority  # noqa: E402
+
+_RUN_FEATURES = O.features_ctes(True)  # FIXTURE_RUN keeps all negatives: training rows = all features
+
+
+def _features(spark, sf_dir):
+    return labelled_features(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+
+
+def _layout(df):
+    return M.FeatureLayout.of(df, exclude=FIXTURE_RUN.exclude_columns)
+
+
+_TEXT = [c for c in CATEGORICAL if c not in FIXTURE_RUN.exclude_columns]
+_NUMS = [*NUMERIC, *[r.name for r in FIXTURE_RULES]]
+
+
+@register("undersample_majority", O.with_a(
+    "SELECT clientid, y_conversions FROM balanced", *_RUN_FEATURES, *O.balanced_ctes()))
+def q_undersample_majority(spark, sf_dir):
+    return undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed).select("clientid", "y_conversions")
+
+
+@register("stratified_split", O.with_a(
+    "SELECT clientid, y_conversions, is_test FROM split", *_RUN_FEATURES, *O.balanced_ctes(),
+    *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)))
+def q_stratified_split(spark, sf_dir):
+    balanced = undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed)
+    parts = stratified_split(balanced, FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)
+    return parts.select("clientid", "y_conversions", "is_test")
+
+
+@register("category_codes", O.with_a(
+    "SELECT j.clientid, " + ", ".join(f"CAST(codes_{c}.code AS DOUBLE) AS {c}_idx" for c in _TEXT) + " FROM joined j "
+    + " ".join(f"JOIN codes_{c} ON COALESCE(j.{c}, '__null__') = codes_{c}.v" for c in _TEXT),
+    *_RUN_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
+def q_category_codes(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    layout = _layout(f)
+    prepared = layout.prepare(f)
+    model = Pipeline(stages=M.category_indexers(layout.text)).fit(prepared)
+    return model.transform(prepared).select("clientid", *[f"{c}_idx" for c in layout.text])
+
+
+@register("one_hot", O.with_a(
+    "SELECT j.clientid, " + ", ".join(f"CAST(codes_{c}.code AS BIGINT) AS {c}_hot" for c in _TEXT) + " FROM joined j "
+    + " ".join(f"JOIN codes_{c} ON COALESCE(j.{c}, '__null__') = codes_{c}.v" for c in _TEXT),
+    *_RUN_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
+def q_one_hot(spark, sf_dir):
+    """Position of the 1.0 in each one-hot vector (-1 for the zero vector of unseen values)."""
+    f = _features(spark, sf_dir)
+    layout = _layout(f)
+    prepared = layout.prepare(f)
+    model = Pipeline(stages=[*M.category_indexers(layout.text), M.one_hot_encoder(layout.text)]).fit(prepared)
+    out = model.transform(prepared)
+    return out.select(
+        "clientid",
+        *[(F.array_position(vector_to_array(f"{c}_vec"), 1.0) - 1).cast("bigint").alias(f"{c}_hot") for c in layout.text])
+
+
+def _z(c: str) -> str:
+    return (f"ROUND(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / "
+            f"stddev_pop({c}) OVER () END, 6) AS {c}")
+
+
+@register("standardize", O.with_a(
+    "SELECT clientid, " + ", ".join(_z(c) for c in _NUMS) + " FROM joined", *_RUN_FEATURES))
+def q_standardize(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    z = M.standardize(f.select("clientid", *_NUMS), _NUMS)
+    return z.select("clientid", *[F.round(c, 6).alias(c) for c in _NUMS])
+
+
+@register("assemble_features", O.with_a(
+    "SELECT clientid, CAST((" + " + ".join(f"(SELECT COUNT(DISTINCT COALESCE({c}, '__null__')) FROM joined)" for c in _TEXT)
+    + f") + {len(_NUMS)} AS INTEGER) AS vec_size, "
+    f"CAST({len(_TEXT)} + " + " + ".join(f"(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END)" for c in _NUMS) + " AS INTEGER) AS nnz, "
+    f"ROUND({len(_TEXT)} + " + " + ".join(f"CAST({c} AS DOUBLE)" for c in _NUMS) + ", 6) AS vsum FROM joined",
+    *_RUN_FEATURES))
+def q_assemble_features(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    layout = _layout(f)
+    prepared = layout.prepare(f)
+    model = Pipeline(stages=M.feature_stages(layout, scale=False)).fit(prepared)
+    arr = vector_to_array("features")
+    return model.transform(prepared).select(
+        "clientid",
+        F.size(arr).alias("vec_size"),
+        F.size(F.filter(arr, lambda x: x != 0.0)).alias("nnz"),
+        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("vsum"))
+
+
+def _rule_prediction(df):
+    return df.withColumn("prediction", F.when(F.col("Event03") > 0, 1).otherwise(0))
+
+
+@register("accuracy_score", O.with_a(
+    "SELECT is_test, ROUND(AVG(CASE WHEN (CASE WHEN Event03 > 0 THEN 1 ELSE 0 END) = y_conversions THEN 1 ELSE 0 END), 6) "
+    "AS accuracy, COUNT(1) AS n FROM split GROUP BY is_test",
+    *_RUN_FEATURES, *O.balanced_ctes(), *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)))
+def q_accuracy_score(spark, sf_dir):
+    balanced = undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed)
+    parts = stratified_split(balanced, FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)
+    acc = M.accuracy(_rule_prediction(parts), by=["is_test"])
+    return acc.withColumn("accuracy", F.round("accuracy", 6))
+
+
+def _trained(spark, sf_dir, cfg=FIXTURE_RUN):
+    from cohortex.plans.run import train
+
+    return train(spark, cfg, sessions_from_events(spark, sf_dir))
+
+
+@register("train_classifier", None)
+def q_train_classifier(spark, sf_dir):
+    from cohortex.plans.run import persist_reliably, split_for_training
+
+    sessions = sessions_from_events(spark, sf_dir)
+    training = persist_reliably(training_dataset(sessions, FIXTURE_RUN))
+    layout = _layout(training)
+    parts = split_for_training(training, FIXTURE_RUN)
+    train_part = parts.where(~F.col("is_test"))
+    model = M.fit(train_part, layout, max_iter=FIXTURE_RUN.max_iter, max_depth=FIXTURE_RUN.max_depth,
+                  step_size=FIXTURE_RUN.step_size, seed=FIXTURE_RUN.seed)
+    return M.predict_proba(model, train_part, layout).select("clientid", "y_conversions", "prediction", "prob")
+
+
+@register("predict_proba", None)
+def q_predict_proba(spark, sf_dir):
+    t = _trained(spark, sf_dir)
+    scoring = scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+    return M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
+
+
+@register("audience_export", None)
+def q_audience_export(spark, sf_dir):
+    from cohortex.operators.export import audience
+
+    t = _trained(spark, sf_dir)
+    scoring = scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+    c = FIXTURE_RUN
+    return audience(t.model, scoring, t.layout, c.medium_class_value, c.high_class_value, c.index_dimension, c.value_dimension)
+
+
+def _registry_cfg(spark):
+    return _replace(FIXTURE_RUN, trained_model_table=scratch_path(spark, "registry"))
+
+
+@register("registry_append", None)
+def q_registry_append(spark, sf_dir):
+    cfg = _registry_cfg(spark)
+    _trained(spark, sf_dir, cfg)
+    return read_back(spark, cfg.trained_model_table)
+
+
+@register("registry_lookup", None)
+def q_registry_lookup(spark, sf_dir):
+    from cohortex.operators.registry import latest_matching, runtime_versions
+
+    cfg = _registry_cfg(spark)
+    _trained(spark, sf_dir, cfg)
+    _trained(spark, sf_dir, cfg)  # a second, newer row of the same name
+    return latest_matching(read_back(spark, cfg.trained_model_table), "timestamp", name=cfg.name, **runtime_versions())
+
+
+@register("registry_verify", None)
+def q_registry_verify(spark, sf_dir):
+    from cohortex.operators.registry import model_digest
+
+    cfg = _registry_cfg(spark)
+    row = _trained(spark, sf_dir, cfg).registry_row
+    recomputed = model_digest(spark, row["model_path"])
+    reg = read_back(spark, cfg.trained_model_table)
+    return reg.select("model_path", "md5").withColumn("verified", F.col("md5") == F.lit(recomputed))
+
+
+@register("load_or_train", None)
+def q_load_or_train(spark, sf_dir):
+    from cohortex.plans.run import run
+
+    cfg = _replace(_registry_cfg(spark), load_trained_model=True)
+    sessions = sessions_from_events(spark, sf_dir)
+    run(spark, cfg, sessions)  # empty registry: trains and registers
+    return run(spark, cfg, sessions)  # loads the verified model
+
+
+@register("run_audience", None)
+def q_run_audience(spark, sf_dir):
+    from cohortex.plans.run import run
+
+    cfg = _replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
+    return run(spark, cfg, sessions_from_events(spark, sf_dir))

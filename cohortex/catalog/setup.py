@@ -8,6 +8,7 @@ The ``events`` table spans 2024-01-01..2024-01-30 at every scale, so the run dat
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from cohortex.config import AudienceConfig
 from cohortex.functions.rules import FIXTURE_CONVERSION, FIXTURE_RULES
@@ -27,5 +28,7 @@ FIXTURE = AudienceConfig(
 _W = FIXTURE.windows()
 LB_START, LB_END = _W.lookback_start, _W.lookback_end  # 20231231, 20240115
 CV_START, CV_END = _W.conversion_start, _W.conversion_end  # 20240115, 20240130
+# Learning runs keep every negative: at sf0.001 there are only 15 clients (9 positive).
+FIXTURE_RUN = replace(FIXTURE, downsample_majority_class=1.0)
 B_START, B_END = "19970101", "19981231"
 SEGMENT_DIVISOR = 100  # event value / 100 plays a probability for the segment check

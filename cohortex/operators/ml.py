@@ -125,10 +125,10 @@ def predict_proba(model: PipelineModel, df: DataFrame, layout: FeatureLayout) ->
     return scored.withColumn("prob", vector_to_array("probability").getItem(1))
 
 
-def accuracy(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
-    """Fraction of rows whose prediction equals the label (M7), as a one-row frame."""
+def accuracy(df: DataFrame, label: str = LABEL, prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """Fraction of rows whose prediction equals the label (M7): one row (per ``by`` group)."""
     hit = (F.col(prediction).cast("double") == F.col(label).cast("double")).cast("int")
-    return df.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -70,10 +70,10 @@ def first_n_by_hash(df: DataFrame, n: int, total: int, seed: int, key: str = "cl
     if n >= total:
         return Cut(n, 1 << 32)
     h = df.select(F.col(key), hash_u32(F.col(key), seed).alias(_H))
-    high = [(r[0], r[1]) for r in h.groupBy((F.col(_H) >> 16).alias("b")).count().collect()]
+    high = [(r[0], r[1]) for r in h.groupBy(F.shiftright(F.col(_H), 16).alias("b")).count().collect()]
     b1, need1 = _boundary(high, n)
-    inside = h.where((F.col(_H) >> 16) == b1)
-    low = [(r[0], r[1]) for r in inside.groupBy((F.col(_H) & 0xFFFF).alias("b")).count().collect()]
+    inside = h.where(F.shiftright(F.col(_H), 16) == b1)
+    low = [(r[0], r[1]) for r in inside.groupBy(F.col(_H).bitwiseAND(0xFFFF).alias("b")).count().collect()]
     b2, need2 = _boundary(low, need1)
     at = (b1 << 16) | b2
     # rows sharing the exact boundary hash: expected count ~ rows / 2**32
