@@ -46,14 +46,16 @@ def model_digest(spark: SparkSession, path: str) -> str | None:
 
     One aggregation on the executors; only the final digest reaches the driver.
     """
+    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
+    rel = F.regexp_replace(F.col("path"), "^.*?" + re.escape(root) + "/", "")
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except Exception:  # missing directory
+        entries = files.select(F.concat(rel, F.lit(":"), F.md5("content")).alias("e"))
+        row = entries.agg(
+            F.md5(F.array_join(F.sort_array(F.collect_list("e")), "\n")).alias("d"), F.count("e").alias("n")
+        ).first()
+    except Exception:  # missing directory, unreadable or corrupt file
         return None
-    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-    rel = F.regexp_replace(F.col("path"), "^.*?" + re.escape(root) + "/", "")
-    entries = files.select(F.concat(rel, F.lit(":"), F.md5("content")).alias("e"))
-    row = entries.agg(F.md5(F.array_join(F.sort_array(F.collect_list("e")), "\n")).alias("d"), F.count("e").alias("n")).first()
     return row["d"] if row and row["n"] else None
 
 
