@@ -181,8 +181,8 @@ def q_like_upper(spark, sf_dir):
     match = Contains("PLAN")
     from cohortex.functions.rules import field_matches
 
-    return hits.where(field_matches(F.col("h.eventInfo.eventLabel"), match)).select(
-        "clientId", "visitId", F.col("h.eventInfo.eventLabel").alias("eventLabel"))
+    return hits.where(field_matches(F.col("eventInfo.eventLabel"), match)).select(
+        "clientId", "visitId", F.col("eventInfo.eventLabel").alias("eventLabel"))
 
 
 @register("event_rule_flags", O.with_a(
@@ -191,7 +191,7 @@ def q_like_upper(spark, sf_dir):
     + f" FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.LB}"))
 def q_event_rule_flags(spark, sf_dir):
     hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
-    info = F.col("h.eventInfo")
+    info = F.col("eventInfo")
     return hits.select("clientId", "visitId", *[A.rule_flag(r, info).alias(r.name) for r in FIXTURE_RULES])
 
 
@@ -252,8 +252,8 @@ def q_unnest_hits(spark, sf_dir):
     hits = unnest_hits(orders_window(spark, sf_dir), "clientId", "visitId")
     return hits.select(
         "clientId", "visitId",
-        F.col("h.eventInfo.eventCategory").alias("eventCategory"),
-        F.col("h.eventInfo.eventAction").alias("eventAction"))
+        F.col("eventInfo.eventCategory").alias("eventCategory"),
+        F.col("eventInfo.eventAction").alias("eventAction"))
 
 
 def _b_hits_sql() -> str:
@@ -453,7 +453,7 @@ def q_concat_source_medium(spark, sf_dir):
     f"FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.LB}"))
 def q_upper_case(spark, sf_dir):
     hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
-    return hits.select("clientId", "visitId", F.upper(F.col("h.eventInfo.eventLabel")).alias("label_upper"))
+    return hits.select("clientId", "visitId", F.upper(F.col("eventInfo.eventLabel")).alias("label_upper"))
 
 
 @register("epoch_to_ts", O.with_a(

@@ -59,13 +59,13 @@ def event_counts(sessions: DataFrame, rules: Sequence[EventRule]) -> DataFrame:
     """One count per rule of the client's matching hits (J1 + A5). Partial aggregation runs
     in the same stage as the explode, so only one row per client and task is shuffled."""
     hits = unnest_hits(sessions, "clientId")
-    info = F.col("h.eventInfo")
+    info = F.col("eventInfo")
     return hits.groupBy("clientId").agg(*[F.sum(rule_flag(r, info)).alias(r.name) for r in rules])
 
 
 def conversion_counts(sessions: DataFrame, rule: EventRule, min_count: int = 1) -> DataFrame:
     """``COUNT(1)`` of matching hits per client, kept when at least ``min_count``."""
-    hits = unnest_hits(sessions, "clientId").where(rule.predicate(F.col("h.eventInfo")))
+    hits = unnest_hits(sessions, "clientId").where(rule.predicate(F.col("eventInfo")))
     counts = hits.groupBy("clientId").agg(F.count(F.lit(1)).alias(rule.name))
     return counts.where(F.col(rule.name) >= min_count)
 

@@ -167,11 +167,11 @@ def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
     }
     # Session-level values ride on the first exploded row of each session (pos 0, or the
     # null row of a hitless session), hit-level values on every row.
-    info = F.col("h.eventInfo")
+    info = F.col("h")
     session_row = F.col("pos").isNull() | (F.col("pos") == 0)
     exploded = scan.select(
-        "*",
-        F.posexplode_outer("hits").alias("pos", "h"),
+        *[c for c in scan.columns if c != "hits"],
+        F.posexplode_outer(F.col("hits").getField("eventInfo")).alias("pos", "h"),
     ).withColumn("_first", session_row).withColumn("_in_lb", in_lb)
     if spec.labelled:
         exploded = exploded.withColumn("_in_cv", suffix_between(spec.conversion_start, spec.conversion_end))

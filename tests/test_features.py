@@ -163,3 +163,24 @@ def test_fixture_rules_compile(sessions_df):
     s = FeatureSpec("20240101", "20240115", FIXTURE_RULES, conversion_start="20240115",
                     conversion_end="20240130", conversion_rule=FIXTURE_CONVERSION)
     assert feature_table(df, s).count() == 2
+
+
+def test_scan_prunes_unused_hit_fields(spark, sessions_df, tmp_path):
+    """Only hits.eventInfo is read from a session table whose hits carry more fields."""
+    import contextlib
+    import io
+
+    df = edge_sessions(sessions_df).withColumn(
+        "hits", F.transform("hits", lambda h: F.struct(h.eventInfo.alias("eventInfo"), F.lit("/p").alias("pagePath"))))
+    path = str(tmp_path / "wide")
+    df.write.partitionBy("suffix").parquet(path)
+    table = spark.read.parquet(path)
+    for form in ("fused", "literal"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            feature_table(table, spec(True), form).explain("formatted")
+        plan = buf.getvalue()
+        assert "pagePath" not in plan.split("== Physical Plan ==")[1].split("\n\n(")[0] or "ReadSchema" in plan
+        schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema:")]
+        assert schemas and all("pagePath" not in s for s in schemas)
+        assert all("PartitionFilters" in plan for _ in schemas)
