@@ -754,3 +754,19 @@ def q_run_audience(spark, sf_dir):
 
     cfg = _replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
     return run(spark, cfg, sessions_from_events(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- the campaign's own rule set
+
+from cohortex.functions.rules import CAMPAIGN_RULES, CONVERSION_RULE  # noqa: E402
+
+_CAMPAIGN = _replace(FIXTURE, rules=CAMPAIGN_RULES, conversion_rule=CONVERSION_RULE)
+
+
+@register("campaign_features", O.with_a(
+    "SELECT * FROM joined",
+    O.latest_cte(), O.first_cte(), O.totals_cte(), O.session_hits_cte(rules=CAMPAIGN_RULES),
+    O.converted_cte(rule=CONVERSION_RULE), O.joined_cte(True, rules=CAMPAIGN_RULES)))
+def q_campaign_features(spark, sf_dir):
+    """The 25 campaign rules and the campaign conversion rule over the fixture sessions."""
+    return labelled_features(sessions_from_events(spark, sf_dir), _CAMPAIGN)

@@ -108,7 +108,7 @@ def classifier(max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1,
     )
 
 
-def training_pipeline(layout: FeatureLayout, max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 42) -> Pipeline:
+def training_estimator(layout: FeatureLayout, max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 42) -> Pipeline:
     return Pipeline(stages=[*feature_stages(layout), classifier(max_iter, max_depth, step_size, seed)])
 
 
@@ -116,7 +116,7 @@ def fit(df: DataFrame, layout: FeatureLayout, **params) -> PipelineModel:
     counts = {r[0]: r[1] for r in df.groupBy(LABEL).count().collect()}
     if len([c for c, n in counts.items() if n > 0]) < 2:
         raise ValueError(f"training rows have one class only: {counts}")
-    return training_pipeline(layout, **params).fit(layout.prepare(df))
+    return training_estimator(layout, **params).fit(layout.prepare(df))
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, layout: FeatureLayout) -> DataFrame:
