@@ -49,8 +49,10 @@ def fill_numeric(df: DataFrame, numbers: Sequence[str]) -> DataFrame:
 
 
 def category_indexers(text: Sequence[str]) -> list[StringIndexer]:
-    """Codes by descending frequency, ties alphabetical; unseen values get the extra slot."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in text]
+    """Codes by descending frequency, ties alphabetical; unseen values get the extra slot.
+
+    One multi-column indexer: all dictionaries come from a single pass."""
+    return [StringIndexer(inputCols=list(text), outputCols=[f"{c}_idx" for c in text], handleInvalid="keep")]
 
 
 def one_hot_encoder(text: Sequence[str]) -> OneHotEncoder:

@@ -15,6 +15,7 @@ evaluated on the executors; no task ever holds a whole class.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,26 +64,67 @@ def _boundary(counts: list[tuple[int, int]], n: int) -> tuple[int, int]:
     raise ValueError("fewer rows than requested")
 
 
-def first_n_by_hash(df: DataFrame, n: int, total: int, seed: int, key: str = "clientid") -> Cut:
+def _hashed(df: DataFrame, key: str, seed: int, label: str | None) -> DataFrame:
+    group = F.col(label) if label else F.lit(0)
+    return df.select(group.alias("_g"), F.col(key).alias("_k"), hash_u32(F.col(key), seed).alias(_H))
+
+
+def first_n_by_hash_per_group(
+    df: DataFrame, want: Callable[[dict], dict], seed: int, key: str = "clientid", label: str | None = None
+) -> tuple[dict, dict]:
+    """Per group (value of ``label``): the cut selecting the first ``n_g`` rows by (hash, key).
+
+    ``want`` maps the group sizes to the wanted ``n_g``. Three aggregations for all groups
+    together: rows per (group, high 16 bits) -> sizes and boundary buckets; rows per
+    (group, low 16 bits) inside the boundary buckets -> exact boundary hashes; keys equal
+    to a boundary hash. Returns (sizes, cuts).
+    """
+    h = _hashed(df, key, seed, label)
+    high: dict = {}
+    for g, b, c in h.groupBy("_g", F.shiftright(F.col(_H), 16).alias("b")).count().collect():
+        high.setdefault(g, []).append((b, c))
+    sizes = {g: sum(c for _, c in v) for g, v in high.items()}
+    wanted = want(sizes)
+    cuts: dict = {}
+    partial: dict = {}
+    for g, n in wanted.items():
+        total = sizes.get(g, 0)
+        if n <= 0:
+            cuts[g] = Cut(0, 0)
+        elif n >= total:
+            cuts[g] = Cut(n, 1 << 32)
+        else:
+            partial[g] = (n, *_boundary(high[g], n))
+    if not partial:
+        return sizes, cuts
+    in_bucket = None
+    for g, (_, b1, _) in partial.items():
+        c = (F.col("_g") == F.lit(g)) & (F.shiftright(F.col(_H), 16) == F.lit(b1))
+        in_bucket = c if in_bucket is None else in_bucket | c
+    low: dict = {}
+    for g, b, c in h.where(in_bucket).groupBy("_g", F.col(_H).bitwiseAND(0xFFFF).alias("b")).count().collect():
+        low.setdefault(g, []).append((b, c))
+    at: dict = {}
+    for g, (n, b1, need1) in partial.items():
+        b2, need2 = _boundary(low[g], need1)
+        at[g] = ((b1 << 16) | b2, need2, n)
+    on_boundary = None
+    for g, (a, _, _) in at.items():
+        c = (F.col("_g") == F.lit(g)) & (F.col(_H) == F.lit(a))
+        on_boundary = c if on_boundary is None else on_boundary | c
+    # rows sharing an exact boundary hash: expected count ~ rows / 2**32 per group
+    ties: dict = {}
+    for g, k in h.where(on_boundary).select("_g", "_k").orderBy("_g", "_k").collect():
+        ties.setdefault(g, []).append(k)
+    for g, (a, need2, n) in at.items():
+        cuts[g] = Cut(n, a, a, tuple(ties.get(g, [])[:need2]))
+    return sizes, cuts
+
+
+def first_n_by_hash(df: DataFrame, n: int, total: int | None = None, seed: int = 0, key: str = "clientid") -> Cut:
     """Cut selecting the ``n`` rows of ``df`` with the smallest ``(hash_u32(key, seed), key)``."""
-    if n <= 0:
-        return Cut(0, 0)
-    if n >= total:
-        return Cut(n, 1 << 32)
-    h = df.select(F.col(key), hash_u32(F.col(key), seed).alias(_H))
-    high = [(r[0], r[1]) for r in h.groupBy(F.shiftright(F.col(_H), 16).alias("b")).count().collect()]
-    b1, need1 = _boundary(high, n)
-    inside = h.where(F.shiftright(F.col(_H), 16) == b1)
-    low = [(r[0], r[1]) for r in inside.groupBy(F.col(_H).bitwiseAND(0xFFFF).alias("b")).count().collect()]
-    b2, need2 = _boundary(low, need1)
-    at = (b1 << 16) | b2
-    # rows sharing the exact boundary hash: expected count ~ rows / 2**32
-    ties = [r[0] for r in h.where(F.col(_H) == at).select(key).orderBy(key).limit(need2).collect()]
-    return Cut(n, at, at, tuple(ties))
-
-
-def class_counts(df: DataFrame, label: str) -> dict:
-    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    _, cuts = first_n_by_hash_per_group(df, lambda sizes: {0: n}, seed, key)
+    return cuts[0]
 
 
 def _require_two_classes(counts: dict, label: str) -> None:
@@ -91,17 +133,25 @@ def _require_two_classes(counts: dict, label: str) -> None:
         raise ValueError(f"{label!r} has {len(present)} class(es) {sorted(present)}; two are needed")
 
 
+def _selected(cuts: dict, seed: int, label: str, key: str) -> Column:
+    h = hash_u32(F.col(key), seed)
+    sel = F.lit(False)
+    for cls, cut in cuts.items():
+        sel = sel | ((F.col(label) == F.lit(cls)) & cut.column(h, F.col(key)))
+    return sel
+
+
 def undersample_majority(df: DataFrame, seed: int, label: str = "y_conversions", key: str = "clientid") -> DataFrame:
     """Shrink the largest class to the size of the smallest (exact 1:1 for two classes)."""
-    counts = class_counts(df, label)
-    _require_two_classes(counts, label)
-    n_min = min(counts.values())
-    majority = max(counts, key=lambda c: (counts[c], c))
-    if counts[majority] == n_min:
-        return df
-    cut = first_n_by_hash(df.where(F.col(label) == majority), n_min, counts[majority], seed, key)
-    keep = (F.col(label) != F.lit(majority)) | cut.column(hash_u32(F.col(key), seed), F.col(key))
-    return df.where(keep)
+
+    def want(sizes: dict) -> dict:
+        _require_two_classes(sizes, label)
+        n_min = min(sizes.values())
+        majority = max(sizes, key=lambda c: (sizes[c], c))
+        return {c: (n_min if c == majority else n) for c, n in sizes.items()}
+
+    _, cuts = first_n_by_hash_per_group(df, want, seed, key, label)
+    return df.where(_selected(cuts, seed, label, key))
 
 
 def stratified_split(
@@ -113,11 +163,10 @@ def stratified_split(
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must lie strictly between 0 and 1")
-    counts = class_counts(df, label)
-    _require_two_classes(counts, label)
-    h = hash_u32(F.col(key), seed)
-    is_test = F.lit(False)
-    for cls, n in counts.items():
-        cut = first_n_by_hash(df.where(F.col(label) == cls), math.ceil(n * test_size), n, seed, key)
-        is_test = is_test | ((F.col(label) == F.lit(cls)) & cut.column(h, F.col(key)))
-    return df.withColumn("is_test", is_test)
+
+    def want(sizes: dict) -> dict:
+        _require_two_classes(sizes, label)
+        return {c: math.ceil(n * test_size) for c, n in sizes.items()}
+
+    _, cuts = first_n_by_hash_per_group(df, want, seed, key, label)
+    return df.withColumn("is_test", _selected(cuts, seed, label, key))

@@ -2,7 +2,7 @@
 
 Stages and what reaches the driver:
 1. training dataset (fused feature job) -> reliable checkpoint in the shared folder;
-2. class counts (two rows), hash histograms for exact balancing and splitting (bounded);
+2. hash histograms per class for exact balancing and splitting (bounded, 6 small jobs);
 3. MLlib fit on the training part, accuracy on both parts (one row each);
 4. registry append (one row) when a registry is configured;
 5. scoring dataset -> ``transform`` -> segment -> overwrite of the audience table.
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from cohortex.config import AudienceConfig
 from cohortex.context import work_root
-from cohortex.operators.aggregates import class_distribution
 from cohortex.operators.export import audience
 from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
@@ -54,14 +53,13 @@ def split_for_training(training: DataFrame, cfg: AudienceConfig) -> DataFrame:
 
 def train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
     training = persist_reliably(training_dataset(sessions, cfg, form))
-    log.info("class distribution: %s", class_distribution(training).collect())
     layout = FeatureLayout.of(training, exclude=cfg.exclude_columns)
-    parts = persist_reliably(split_for_training(training, cfg))
-    train_part = parts.where(~F.col("is_test"))
-    test_part = parts.where(F.col("is_test"))
-    model = fit(train_part, layout, max_iter=cfg.max_iter, max_depth=cfg.max_depth, step_size=cfg.step_size, seed=cfg.seed)
-    score_train = accuracy(predict_proba(model, train_part, layout)).first()["accuracy"]
-    score_test = accuracy(predict_proba(model, test_part, layout)).first()["accuracy"]
+    parts = split_for_training(training, cfg)
+    model = fit(parts.where(~F.col("is_test")), layout, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
+                step_size=cfg.step_size, seed=cfg.seed)
+    # accuracy of both parts in one job
+    acc = {r["is_test"]: r["accuracy"] for r in accuracy(predict_proba(model, parts, layout), by=["is_test"]).collect()}
+    score_train, score_test = acc.get(False), acc.get(True)
     log.info("accuracy train=%s test=%s", score_train, score_test)
     row = None
     if cfg.trained_model_table:
@@ -82,7 +80,10 @@ def load_or_train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame,
 def layout_of(model: PipelineModel) -> FeatureLayout:
     from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 
-    text = tuple(s.getInputCol() for s in model.stages if isinstance(s, StringIndexerModel))
+    text: tuple[str, ...] = ()
+    for s in model.stages:
+        if isinstance(s, StringIndexerModel):
+            text += tuple(s.getInputCols()) if s.isSet("inputCols") else (s.getInputCol(),)
     numbers: tuple[str, ...] = ()
     for s in model.stages:
         if isinstance(s, VectorAssembler) and s.getOutputCol() == "_num":
