@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from cohortex.config import AudienceConfig
 from cohortex.operators.sampling import downsample_majority
-from cohortex.plans.features import FeatureSpec, feature_table
+from cohortex.plans.features import FeatureSpec, feature_table, features_fused_many, select_spec
 
 
 def training_spec(cfg: AudienceConfig) -> FeatureSpec:
@@ -38,3 +38,17 @@ def training_dataset(sessions: DataFrame, cfg: AudienceConfig, form: str = "fuse
 
 def scoring_dataset(sessions: DataFrame, cfg: AudienceConfig, form: str = "fused") -> DataFrame:
     return feature_table(sessions, scoring_spec(cfg), form)
+
+
+def shared_feature_table(sessions: DataFrame, cfg: AudienceConfig) -> DataFrame:
+    """Per-client aggregates of the training and the scoring spec from one scan (the
+    scoring window lies inside the training scan). Materialise it, then take both
+    datasets with :func:`datasets_from_shared`."""
+    return features_fused_many(sessions, {"t": training_spec(cfg), "s": scoring_spec(cfg)})
+
+
+def datasets_from_shared(shared: DataFrame, cfg: AudienceConfig) -> tuple[DataFrame, DataFrame]:
+    """(training dataset with sampled negatives, scoring dataset)."""
+    labelled = select_spec(shared, training_spec(cfg), "t")
+    training = downsample_majority(labelled, cfg.downsample_majority_class, cfg.seed)
+    return training, select_spec(shared, scoring_spec(cfg), "s")

@@ -100,19 +100,19 @@ def feature_columns(rules: Sequence[EventRule], labelled: bool) -> list[str]:
     return cols + [LABEL] if labelled else cols
 
 
-def _final_projection(df: DataFrame, spec: FeatureSpec, conversions: Column | None) -> DataFrame:
+def _final_projection(df: DataFrame, spec: FeatureSpec, conversions: Column | None, col=F.col) -> DataFrame:
     cols = [
         F.col("clientId").alias(KEY),
-        F.col("first_channel"),
-        F.col("last_channel"),
-        F.col("browser"),
-        F.col("deviceCategory"),
-        F.col("operatingSystem"),
-        F.col("region"),
-        F.col("city"),
-        F.col("visitNumber").alias("current_visit"),
-        *[ifnull_zero(src).cast("bigint").alias(dst) for src, dst in _TOTALS.items()],
-        *[F.col(r.name).cast("bigint").alias(r.name) for r in spec.rules],
+        col("first_channel").alias("first_channel"),
+        col("last_channel").alias("last_channel"),
+        col("browser").alias("browser"),
+        col("deviceCategory").alias("deviceCategory"),
+        col("operatingSystem").alias("operatingSystem"),
+        col("region").alias("region"),
+        col("city").alias("city"),
+        col("visitNumber").alias("current_visit"),
+        *[ifnull_zero(col(src)).cast("bigint").alias(dst) for src, dst in _TOTALS.items()],
+        *[col(r.name).cast("bigint").alias(r.name) for r in spec.rules],
     ]
     if spec.labelled:
         cols.append(label_binary(conversions).alias(LABEL))
@@ -138,15 +138,30 @@ def features_literal(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
     return _final_projection(joined, spec, conv)
 
 
-def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One scan and one shuffle: every feature is an aggregate over the client's sessions."""
-    starts = [spec.start] + ([spec.conversion_start] if spec.labelled else [])
-    ends = [spec.end] + ([spec.conversion_end] if spec.labelled else [])
-    scan = scan_window(sessions, min(starts), max(ends))
+def _explode_window(sessions: DataFrame, start: str, end: str) -> DataFrame:
+    """Scan ``[start, end]`` and explode the event structs in the same stage.
+
+    Session-level values ride on the first row of each session (``pos`` 0, or the null row
+    of a hitless session, kept by ``posexplode_outer``); hit-level values on rows with a
+    position.
+    """
+    scan = scan_window(sessions, start, end)
+    return scan.select(
+        *[c for c in scan.columns if c != "hits"],
+        F.posexplode_outer(F.col("hits").getField("eventInfo")).alias("pos", "h"),
+    ).withColumn("_first", F.col("pos").isNull() | (F.col("pos") == 0))
+
+
+def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
+    """Aggregates of one feature spec, guarded by its windows, named with prefix ``p``."""
     in_lb = suffix_between(spec.start, spec.end)
+    info = F.col("h")
 
-    def lb(c: Column) -> Column:
-        return F.when(in_lb, c)
+    def per_session(c: Column) -> Column:
+        return F.when(F.col("_first") & in_lb, c)
+
+    def per_hit(c: Column) -> Column:
+        return F.when(in_lb & F.col("pos").isNotNull(), c)
 
     hour = local_hour(F.col("visitStartTime"), spec.tz)
     order = F.struct(*[F.col(c) for c in SESSION_ORDER])
@@ -165,47 +180,65 @@ def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
         "num_days": F.col("date"),
         "num_devices": F.col("device.deviceCategory"),
     }
-    # Session-level values ride on the first exploded row of each session (pos 0, or the
-    # null row of a hitless session), hit-level values on every row.
-    info = F.col("h")
-    session_row = F.col("pos").isNull() | (F.col("pos") == 0)
-    exploded = scan.select(
-        *[c for c in scan.columns if c != "hits"],
-        F.posexplode_outer(F.col("hits").getField("eventInfo")).alias("pos", "h"),
-    ).withColumn("_first", session_row).withColumn("_in_lb", in_lb)
-    if spec.labelled:
-        exploded = exploded.withColumn("_in_cv", suffix_between(spec.conversion_start, spec.conversion_end))
 
-    def per_session(c: Column) -> Column:
-        return F.when(F.col("_first") & F.col("_in_lb"), c)
-
-    def per_hit(c: Column) -> Column:
-        return F.when(F.col("_in_lb") & F.col("pos").isNotNull(), c)
+    def n_distinct(e: Column) -> Column:
+        if spec.distinct_via_sets:
+            return F.size(F.collect_set(per_session(e))).cast("bigint")
+        return F.count_distinct(per_session(e))
 
     aggs = [
-        F.max_by(per_session(latest), per_session(order)).alias("latest"),
-        F.min_by(per_session(F.col("channelGrouping")), per_session(order)).alias("first_channel"),
-        *[
-            (F.size(F.collect_set(per_session(e))).cast("bigint") if spec.distinct_via_sets else F.count_distinct(per_session(e))).alias(n)
-            for n, e in distinct.items()
-        ],
-        *[F.sum(per_session(F.col(f"totals.{f}"))).alias(f) for f in ("visits", "pageviews", "hits", "timeonsite", "bounces")],
-        *[F.sum(per_session(in_hours(hour, hrs))).alias(f"{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
-        F.sum(per_session(F.col("totals.transactions"))).alias("transactions"),
-        F.count(per_hit(F.lit(1))).alias("_n_hits"),
-        *[F.count(per_hit(F.when(r.predicate(info), F.lit(1)))).alias(r.name) for r in spec.rules],
+        F.max_by(per_session(latest), per_session(order)).alias(f"{p}latest"),
+        F.min_by(per_session(F.col("channelGrouping")), per_session(order)).alias(f"{p}first_channel"),
+        *[n_distinct(e).alias(f"{p}{n}") for n, e in distinct.items()],
+        *[F.sum(per_session(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in ("visits", "pageviews", "hits", "timeonsite", "bounces")],
+        *[F.sum(per_session(in_hours(hour, hrs))).alias(f"{p}{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
+        F.sum(per_session(F.col("totals.transactions"))).alias(f"{p}transactions"),
+        F.count(per_hit(F.lit(1))).alias(f"{p}_n_hits"),
+        *[F.count(per_hit(F.when(r.predicate(info), F.lit(1)))).alias(f"{p}{r.name}") for r in spec.rules],
     ]
     if spec.labelled:
-        conv = F.when(F.col("_in_cv") & spec.conversion_rule.predicate(info), F.lit(1))
-        aggs.append(F.count(conv).alias("_conv"))
-    agg = exploded.groupBy("clientId").agg(*aggs).where(F.col("_n_hits") > 0)
-    flat = agg.select(
-        "*",
-        F.col("latest.visitNumber").alias("visitNumber"),
-        F.col("latest.channelGrouping").alias("last_channel"),
-        *[F.col(f"latest.{c}").alias(c) for c in ("browser", "deviceCategory", "operatingSystem", "region", "city")],
-    )
-    return _final_projection(flat, spec, F.col("_conv") if spec.labelled else None)
+        in_cv = suffix_between(spec.conversion_start, spec.conversion_end)
+        conv = F.when(in_cv & F.col("pos").isNotNull() & spec.conversion_rule.predicate(info), F.lit(1))
+        aggs.append(F.count(conv).alias(f"{p}_conv"))
+    return aggs
+
+
+def _bounds(spec: FeatureSpec) -> tuple[str, str]:
+    starts = [spec.start] + ([spec.conversion_start] if spec.labelled else [])
+    ends = [spec.end] + ([spec.conversion_end] if spec.labelled else [])
+    return min(starts), max(ends)
+
+
+def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> DataFrame:
+    """One scan over the union of all windows and one ``groupBy(clientId)`` computing the
+    aggregates of every spec (columns prefixed ``<name>__``). Use :func:`select_spec` to get
+    one feature table out of it. A training and a scoring table share one scan this way."""
+    bounds = [_bounds(s) for s in specs.values()]
+    exploded = _explode_window(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds))
+    aggs = [a for name, spec in specs.items() for a in _spec_aggregates(spec, f"{name}__")]
+    return exploded.groupBy("clientId").agg(*aggs)
+
+
+_LATEST_FIELDS = {"visitNumber", "last_channel", "browser", "deviceCategory", "operatingSystem", "region", "city"}
+
+
+def select_spec(wide: DataFrame, spec: FeatureSpec, name: str) -> DataFrame:
+    """The feature table of one spec from :func:`features_fused_many` output. Clients need at
+    least one hit in the spec's window (the unnest + inner join of the step-wise plan)."""
+    p = f"{name}__"
+
+    def col(c: str) -> Column:
+        if c in _LATEST_FIELDS:
+            return F.col(f"{p}latest").getField("channelGrouping" if c == "last_channel" else c)
+        return F.col(p + c)
+
+    present = wide.where(F.col(f"{p}_n_hits") > 0)
+    return _final_projection(present, spec, F.col(f"{p}_conv") if spec.labelled else None, col)
+
+
+def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """One scan and one shuffle: every feature is an aggregate over the client's sessions."""
+    return select_spec(features_fused_many(sessions, {"f": spec}), spec, "f")
 
 
 def feature_table(sessions: DataFrame, spec: FeatureSpec, form: str = "fused") -> DataFrame:

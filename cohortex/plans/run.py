@@ -1,7 +1,7 @@
 """The whole audience run (C4): train or load, score, write.
 
 Stages and what reaches the driver:
-1. training dataset (fused feature job) -> reliable checkpoint in the shared folder;
+1. training and scoring features from one fused scan -> reliable checkpoint in the shared folder;
 2. hash histograms per class for exact balancing and splitting (bounded, 6 small jobs);
 3. MLlib fit on the training part, accuracy on both parts (one row each);
 4. registry append (one row) when a registry is configured;
@@ -24,7 +24,7 @@ from cohortex.operators.export import audience
 from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
-from cohortex.plans.datasets import scoring_dataset, training_dataset
+from cohortex.plans.datasets import datasets_from_shared, scoring_dataset, shared_feature_table, training_dataset
 from cohortex.sources.sessions import load_table
 from cohortex.sources.sinks import read_back, write_overwrite
 
@@ -51,8 +51,8 @@ def split_for_training(training: DataFrame, cfg: AudienceConfig) -> DataFrame:
     return stratified_split(balanced, cfg.test_size, cfg.split_seed)
 
 
-def train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
-    training = persist_reliably(training_dataset(sessions, cfg, form))
+def train_on(spark: SparkSession, cfg: AudienceConfig, training: DataFrame) -> Trained:
+    """Balance, split, fit and evaluate on a materialised training dataset."""
     layout = FeatureLayout.of(training, exclude=cfg.exclude_columns)
     parts = split_for_training(training, cfg)
     model = fit(parts.where(~F.col("is_test")), layout, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
@@ -67,14 +67,23 @@ def train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: s
     return Trained(model, layout, score_train, score_test, row)
 
 
-def load_or_train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
-    """Reuse the newest verified model when asked to; train when none loads."""
+def train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
+    return train_on(spark, cfg, persist_reliably(training_dataset(sessions, cfg, form)))
+
+
+def load(spark: SparkSession, cfg: AudienceConfig) -> Trained | None:
+    """The newest verified model of the registry when asked to load one."""
     if cfg.load_trained_model and cfg.trained_model_table:
         model = load_verified(spark, cfg.trained_model_table, cfg.name)
         if model is not None:
             # the layout is the one the model was fitted with (read from its stages)
             return Trained(model, layout_of(model))
-    return train(spark, cfg, sessions, form)
+    return None
+
+
+def load_or_train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
+    """Reuse the newest verified model when asked to; train when none loads."""
+    return load(spark, cfg) or train(spark, cfg, sessions, form)
 
 
 def layout_of(model: PipelineModel) -> FeatureLayout:
@@ -92,15 +101,29 @@ def layout_of(model: PipelineModel) -> FeatureLayout:
 
 
 def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = None, form: str = "fused") -> DataFrame:
-    """Train (or load), score the recent window and return / write the audience."""
+    """Train (or load), score the recent window and return / write the audience.
+
+    When a model is trained with the fused plan, training and scoring features come from
+    one scan of the sessions: the per-client aggregates of both windows are computed
+    together and materialised once.
+    """
     if sessions is None:
         if not cfg.source_table:
             raise ValueError("no sessions given and no source_table configured")
         sessions = load_table(spark, cfg.source_table)
-    trained = load_or_train(spark, cfg, sessions, form)
+    trained = load(spark, cfg)
+    if trained is not None:
+        scoring = scoring_dataset(sessions, cfg, form)
+    elif form == "fused":
+        shared = persist_reliably(shared_feature_table(sessions, cfg))
+        training, scoring = datasets_from_shared(shared, cfg)
+        trained = train_on(spark, cfg, training)
+    else:
+        trained = train(spark, cfg, sessions, form)
+        scoring = scoring_dataset(sessions, cfg, form)
     scored = audience(
         trained.model,
-        scoring_dataset(sessions, cfg, form),
+        scoring,
         trained.layout,
         cfg.medium_class_value,
         cfg.high_class_value,

@@ -183,3 +183,20 @@ def test_scan_prunes_unused_hit_fields(spark, sessions_df, tmp_path):
         schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema:")]
         assert schemas and all("pagePath" not in s for s in schemas)
         assert all("PartitionFilters" in plan for _ in schemas)
+
+
+def test_shared_scan_gives_both_datasets(spark):
+    from cohortex.catalog.setup import FIXTURE
+    from cohortex.plans.datasets import (
+        datasets_from_shared,
+        scoring_dataset,
+        shared_feature_table,
+        training_dataset,
+    )
+    from cohortex.sources.fixtures import sessions_from_events
+
+    sessions = sessions_from_events(spark, "/root/testdata/sf0.001")
+    training, scoring = datasets_from_shared(shared_feature_table(sessions, FIXTURE), FIXTURE)
+    for got, want in ((training, training_dataset(sessions, FIXTURE)), (scoring, scoring_dataset(sessions, FIXTURE))):
+        assert got.columns == want.columns
+        assert rows(got, *got.columns) == rows(want, *want.columns)
