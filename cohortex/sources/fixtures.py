@@ -1,6 +1,7 @@
-"""Nested sessions derived from the benchmark tables (the reference ships no data).
+"""Nested sessions derived from the benchmark tables (the test tables hold no sessions).
 
-Fixture A (``sessions_from_events``): one session per (user, day) of ``events``; the user's
+Fixture A (``sessions_from_events``): one session per (user, day) of ``events`` (and block
+of 2**20 event ids); the user's
 customer row gives the city (nation) and region. Fixture B (``sessions_from_orders``): one
 session per order, its line items are the hits; orders without lines have no hits.
 
@@ -27,6 +28,11 @@ LABELS = ("Plan-Basic", "plan-plus", "other", None)
 N_SOURCES = 6
 # --- end of fixed values ----------------------------------------------------------------
 
+# A session holds the events of one user and day within one block of 2**20 consecutive
+# event ids, so no hits array grows with the table however active one user is. The test
+# tables have fewer than 2**20 events, so there a session is exactly a (user, day).
+EVENT_BLOCK = 1 << 20
+
 
 def _pick(values, k):
     """``values[k % len(values)]``; null k gives null."""
@@ -47,6 +53,7 @@ def sessions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = ev.select(
         "user_id",
         F.date_format("ts", "yyyyMMdd").alias("suffix"),
+        F.floor(F.col("event_id") / EVENT_BLOCK).alias("block"),
         "ts",
         "event_id",
         "event_type",
@@ -62,7 +69,7 @@ def sessions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("eventInfo")
     )
     is_purchase = F.col("event_type") == "purchase"
-    per_session = ev.groupBy("user_id", "suffix").agg(
+    per_session = ev.groupBy("user_id", "suffix", "block").agg(
         F.min("us").alias("visitId"),
         F.max("us").alias("last_us"),
         F.min_by("k", F.struct("ts", "event_id")).alias("k0"),
@@ -84,7 +91,7 @@ def sessions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = per_session.join(geo, "user_id", "left").select(
         F.col("user_id").cast("string").alias("clientId"),
         "visitId",
-        F.row_number().over(Window.partitionBy("user_id").orderBy("suffix")).cast("bigint").alias("visitNumber"),
+        F.row_number().over(Window.partitionBy("user_id").orderBy("suffix", "block")).cast("bigint").alias("visitNumber"),
         F.col("visitId").alias("visitStartTime"),
         F.col("suffix").alias("date"),
         _pick(CHANNELS, k0).alias("channelGrouping"),
