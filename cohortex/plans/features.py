@@ -4,16 +4,18 @@ Two plans give identical rows:
 
 * ``literal``: one sub-plan per step (latest session, first session, totals, event counts,
   conversions) joined on the client, the structure of a CTE-per-step SQL query. Spark
-  scans the window once per step and joins four per-client results.
+  scans the window once per step and joins four or five per-client results.
 * ``fused``: one scan of the union of the windows and one ``groupBy(clientId)``; window
-  membership is a ``when(suffix between ..)`` guard inside each aggregate. Hits are
-  exploded inside the same stage (explode keeps nested-column pruning of the hit
-  structs), so a single exchange carries one partial row per client and task. A client
-  with a third of all sessions costs one partial row per task, not a hot partition.
+  membership is a ``when(suffix between ..)`` guard inside each aggregate. Rule matches
+  are counted inside each session (one pass over ``hits.eventInfo``), so the aggregate
+  sees one row per session and the scan reads only the event structs of the hits. A
+  single exchange carries one partial row per client and task: a client with a third of
+  all sessions costs one partial row per task, not a hot partition.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -138,30 +140,45 @@ def features_literal(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
     return _final_projection(joined, spec, conv)
 
 
-def _explode_window(sessions: DataFrame, start: str, end: str) -> DataFrame:
-    """Scan ``[start, end]`` and explode the event structs in the same stage.
+def _rule_key(rule: EventRule) -> tuple:
+    return tuple(rule.constraints())
 
-    Session-level values ride on the first row of each session (``pos`` 0, or the null row
-    of a hitless session, kept by ``posexplode_outer``); hit-level values on rows with a
-    position.
+
+def _hit_count(rule: EventRule) -> Column:
+    """Matching hits of one session: one pass over ``hits.eventInfo`` (null for null hits)."""
+    return F.aggregate(
+        F.col("hits").getField("eventInfo"),
+        F.lit(0).cast("bigint"),
+        lambda acc, e: acc + F.when(rule.predicate(e), F.lit(1)).otherwise(F.lit(0)),
+    )
+
+
+def _session_rows(sessions: DataFrame, start: str, end: str, rules: Sequence[EventRule]) -> DataFrame:
+    """Sessions of ``[start, end]`` with their per-rule hit counts; the hits array is dropped.
+
+    Counting inside each session keeps one row per session (no exploded rows, no per-hit
+    hash-map probes) and goes through the field access ``hits.eventInfo``, so the scan
+    reads only the event structs of the hits.
     """
     scan = scan_window(sessions, start, end)
-    return scan.select(
-        *[c for c in scan.columns if c != "hits"],
-        F.posexplode_outer(F.col("hits").getField("eventInfo")).alias("pos", "h"),
-    ).withColumn("_first", F.col("pos").isNull() | (F.col("pos") == 0))
+    counts = {"_hits_n": F.size(F.col("hits").getField("eventInfo"))}
+    for rule in rules:
+        counts.setdefault(_hit_count_name(rule), _hit_count(rule))
+    return scan.withColumns(counts).drop("hits")
+
+
+def _hit_count_name(rule: EventRule) -> str:
+    """Column name of a rule's per-session count; equal rules share one column."""
+    return "_hc_" + hashlib.md5(repr(_rule_key(rule)).encode()).hexdigest()[:12]
 
 
 def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
-    """Aggregates of one feature spec, guarded by its windows, named with prefix ``p``."""
+    """Aggregates of one feature spec over session rows, guarded by its windows, named with
+    prefix ``p``."""
     in_lb = suffix_between(spec.start, spec.end)
-    info = F.col("h")
-
-    def per_session(c: Column) -> Column:
-        return F.when(F.col("_first") & in_lb, c)
 
-    def per_hit(c: Column) -> Column:
-        return F.when(in_lb & F.col("pos").isNotNull(), c)
+    def lb(c: Column) -> Column:
+        return F.when(in_lb, c)
 
     hour = local_hour(F.col("visitStartTime"), spec.tz)
     order = F.struct(*[F.col(c) for c in SESSION_ORDER])
@@ -183,23 +200,22 @@ def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
 
     def n_distinct(e: Column) -> Column:
         if spec.distinct_via_sets:
-            return F.size(F.collect_set(per_session(e))).cast("bigint")
-        return F.count_distinct(per_session(e))
+            return F.size(F.collect_set(lb(e))).cast("bigint")
+        return F.count_distinct(lb(e))
 
     aggs = [
-        F.max_by(per_session(latest), per_session(order)).alias(f"{p}latest"),
-        F.min_by(per_session(F.col("channelGrouping")), per_session(order)).alias(f"{p}first_channel"),
+        F.max_by(lb(latest), lb(order)).alias(f"{p}latest"),
+        F.min_by(lb(F.col("channelGrouping")), lb(order)).alias(f"{p}first_channel"),
         *[n_distinct(e).alias(f"{p}{n}") for n, e in distinct.items()],
-        *[F.sum(per_session(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in ("visits", "pageviews", "hits", "timeonsite", "bounces")],
-        *[F.sum(per_session(in_hours(hour, hrs))).alias(f"{p}{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
-        F.sum(per_session(F.col("totals.transactions"))).alias(f"{p}transactions"),
-        F.count(per_hit(F.lit(1))).alias(f"{p}_n_hits"),
-        *[F.count(per_hit(F.when(r.predicate(info), F.lit(1)))).alias(f"{p}{r.name}") for r in spec.rules],
+        *[F.sum(lb(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in ("visits", "pageviews", "hits", "timeonsite", "bounces")],
+        *[F.sum(lb(in_hours(hour, hrs))).alias(f"{p}{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
+        F.sum(lb(F.col("totals.transactions"))).alias(f"{p}transactions"),
+        F.sum(lb(F.col("_hits_n"))).alias(f"{p}_n_hits"),
+        *[F.sum(lb(F.col(_hit_count_name(r)))).alias(f"{p}{r.name}") for r in spec.rules],
     ]
     if spec.labelled:
         in_cv = suffix_between(spec.conversion_start, spec.conversion_end)
-        conv = F.when(in_cv & F.col("pos").isNotNull() & spec.conversion_rule.predicate(info), F.lit(1))
-        aggs.append(F.count(conv).alias(f"{p}_conv"))
+        aggs.append(F.sum(F.when(in_cv, F.col(_hit_count_name(spec.conversion_rule)))).alias(f"{p}_conv"))
     return aggs
 
 
@@ -214,9 +230,10 @@ def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> D
     aggregates of every spec (columns prefixed ``<name>__``). Use :func:`select_spec` to get
     one feature table out of it. A training and a scoring table share one scan this way."""
     bounds = [_bounds(s) for s in specs.values()]
-    exploded = _explode_window(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds))
+    rules = [r for spec in specs.values() for r in (*spec.rules, *([spec.conversion_rule] if spec.labelled else []))]
+    rows = _session_rows(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds), rules)
     aggs = [a for name, spec in specs.items() for a in _spec_aggregates(spec, f"{name}__")]
-    return exploded.groupBy("clientId").agg(*aggs)
+    return rows.groupBy("clientId").agg(*aggs)
 
 
 _LATEST_FIELDS = {"visitNumber", "last_channel", "browser", "deviceCategory", "operatingSystem", "region", "city"}
@@ -232,7 +249,7 @@ def select_spec(wide: DataFrame, spec: FeatureSpec, name: str) -> DataFrame:
             return F.col(f"{p}latest").getField("channelGrouping" if c == "last_channel" else c)
         return F.col(p + c)
 
-    present = wide.where(F.col(f"{p}_n_hits") > 0)
+    present = wide.where(F.coalesce(F.col(f"{p}_n_hits"), F.lit(0)) > 0)
     return _final_projection(present, spec, F.col(f"{p}_conv") if spec.labelled else None, col)
 
 
