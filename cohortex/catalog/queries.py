@@ -7,6 +7,7 @@ on a fitted model have no SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,7 +109,7 @@ def q_sink_append(spark, sf_dir):
     "SELECT clientId AS clientid, COUNT(1) AS sessions, CAST(SUM(totals.hits) AS BIGINT) AS hits "
     f"FROM sessions WHERE suffix BETWEEN '{LB_START}' AND '{LB_END}' AND clientId IS NOT NULL GROUP BY clientId"))
 def q_param_query(spark, sf_dir):
-    view = "sessions_fixture_a"
+    view = f"sessions_{uuid.uuid4().hex[:12]}"
     sessions_from_events(spark, sf_dir).createOrReplaceTempView(view)
     params = {"table": view, "start": LB_START, "end": LB_END, "prediction_type": FIXTURE.prediction_type}
     return param_query(spark, "client_sessions", params)
@@ -138,7 +139,7 @@ def q_project_nested(spark, sf_dir):
     "ROW_NUMBER() OVER (PARTITION BY clientId ORDER BY visitId DESC) AS rn "
     f"FROM sessions WHERE {O.LB}) WHERE rn = 1"))
 def q_star_except(spark, sf_dir):
-    view = "lookback_fixture_a"
+    view = f"lookback_{uuid.uuid4().hex[:12]}"
     lookback(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(
         "SELECT * EXCEPT (rn) FROM (SELECT clientId, visitId, channelGrouping, suffix, "

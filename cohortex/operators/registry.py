@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortex.context import work_root
+from cohortex.sources.params import param_query
 from cohortex.sources.sinks import exists, read_back, write_append
 
 REGISTRY_SCHEMA = T.StructType(
@@ -101,10 +102,22 @@ def latest_matching(df: DataFrame, order_by: str, **equal) -> DataFrame:
 
 
 def registry_lookup(spark: SparkSession, registry: str, name: str) -> Row | None:
-    """Newest row of ``name`` written by the same Spark and Python versions, or None."""
+    """Newest row of ``name`` written by the same Spark and Python versions, or None.
+
+    Runs the parameterised ``trained_model`` query (bound markers, ``IDENTIFIER`` for the
+    table); a registry given as a path is exposed as a uniquely named temporary view.
+    """
     if not exists(spark, registry):
         return None
-    rows = latest_matching(read_back(spark, registry), "timestamp", name=name, **runtime_versions()).collect()
+    table = registry
+    if "/" in registry or ":" in registry:
+        table = f"registry_{uuid.uuid4().hex[:12]}"
+        read_back(spark, registry).createOrReplaceTempView(table)
+    try:
+        rows = param_query(spark, "trained_model", {"table_name": table, "name": name, **runtime_versions()}).collect()
+    finally:
+        if table != registry:
+            spark.catalog.dropTempView(table)
     return rows[0] if rows else None
 
 

@@ -82,9 +82,10 @@ def sessions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = (
         spark.read.parquet(f"{sf_dir}/customer.parquet")
         .select("c_custkey", "c_nationkey")
-        # nation (25 rows) and region (5 rows) are fixed-size dimensions
-        .join(F.broadcast(spark.read.parquet(f"{sf_dir}/nation.parquet")), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(spark.read.parquet(f"{sf_dir}/region.parquet")), F.col("n_regionkey") == F.col("r_regionkey"))
+        # nation and region are tiny dimensions: the planner broadcasts them from their
+        # measured size (autoBroadcastJoinThreshold), no hint needed
+        .join(spark.read.parquet(f"{sf_dir}/nation.parquet"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(spark.read.parquet(f"{sf_dir}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("c_custkey").alias("user_id"), "n_name", "r_name")
     )
     k0 = F.col("k0")
