@@ -32,8 +32,11 @@ def work_root(spark: SparkSession) -> str:
     the context). Only when neither is set (local tests) a private folder is created
     and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if root:
         # the context appends a per-application uuid folder; use its parent
         root = os.path.dirname(root.rstrip("/"))
@@ -41,7 +44,7 @@ def work_root(spark: SparkSession) -> str:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="cohortex-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/") + "/cohortex"
 
