@@ -161,7 +161,9 @@ def _session_rows(sessions: DataFrame, start: str, end: str, rules: Sequence[Eve
     reads only the event structs of the hits.
     """
     scan = scan_window(sessions, start, end)
-    counts = {"_hits_n": F.size(F.col("hits").getField("eventInfo"))}
+    info = F.col("hits").getField("eventInfo")
+    # size(NULL) is -1 in non-ANSI sessions with the legacy default; keep it null
+    counts = {"_hits_n": F.when(info.isNotNull(), F.size(info))}
     for rule in rules:
         counts.setdefault(_hit_count_name(rule), _hit_count(rule))
     return scan.withColumns(counts).drop("hits")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cohortex.config import AudienceConfig
 from cohortex.context import work_root
 from cohortex.operators.export import audience
-from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
+from cohortex.operators.ml import FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
 from cohortex.plans.datasets import datasets_from_shared, scoring_dataset, shared_feature_table, training_dataset

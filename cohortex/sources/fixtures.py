@@ -153,7 +153,7 @@ def sessions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.lit(1).cast("bigint").alias("visits"),
             F.lit(None).cast("bigint").alias("pageviews"),
-            F.size("hits").cast("bigint").alias("hits"),
+            F.when(F.col("hits").isNotNull(), F.size("hits")).cast("bigint").alias("hits"),
             F.lit(None).cast("bigint").alias("timeonsite"),
             F.lit(None).cast("bigint").alias("bounces"),
             F.lit(None).cast("bigint").alias("transactions"),

@@ -200,3 +200,14 @@ def test_shared_scan_gives_both_datasets(spark):
     for got, want in ((training, training_dataset(sessions, FIXTURE)), (scoring, scoring_dataset(sessions, FIXTURE))):
         assert got.columns == want.columns
         assert rows(got, *got.columns) == rows(want, *want.columns)
+
+
+def test_fused_independent_of_ansi_mode(spark, sessions_df):
+    df = edge_sessions(sessions_df)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        off = rows(feature_table(df, spec(True), "fused"), "*")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert off == rows(feature_table(df, spec(True), "literal"), "*")
