@@ -82,6 +82,14 @@ def main() -> None:
         lambda: run(spark, replace(cfg, destination_table=scratch_path(spark, "bench_audience")), sessions).count(),
     )
 
+    def plan_facts(df) -> dict:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return {"exchanges": text.count("Exchange"), "parquet_scans": text.count("FileScan parquet")}
+
+    plans = {
+        "training_dataset_fused": plan_facts(training_dataset(sessions, FIXTURE, form="fused")),
+        "training_dataset_literal": plan_facts(training_dataset(sessions, FIXTURE, form="literal")),
+    }
     medians = {k: round(statistics.median(v), 3) for k, v in times.items()}
     print(
         json.dumps(
@@ -94,6 +102,7 @@ def main() -> None:
                 "cpus": cpus,
                 "repeat": repeat,
                 "max_iter": cfg.max_iter,
+                "plans": plans,
             }
         )
     )
