@@ -211,3 +211,24 @@ def test_fused_independent_of_ansi_mode(spark, sessions_df):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert off == rows(feature_table(df, spec(True), "literal"), "*")
+
+
+def test_hot_client_with_a_third_of_sessions(spark):
+    """One client owns a third of all sessions: results agree and the fused plan aggregates
+    partially before its single exchange (each task ships one row per client)."""
+    from cohortex.catalog.setup import FIXTURE
+    from cohortex.plans.datasets import training_spec
+    from cohortex.sources.fixtures import sessions_from_events
+
+    s = sessions_from_events(spark, "/root/testdata/sf0.01")
+    hot = s.withColumn("clientId", F.when(F.col("visitId") % 3 == 0, F.lit("hot")).otherwise(F.col("clientId")))
+    sp = training_spec(FIXTURE)
+    fused = feature_table(hot, sp, "fused")
+    literal = feature_table(hot, sp, "literal")
+    assert rows(fused, *fused.columns) == rows(literal, *literal.columns)
+    lb = scan_window(hot, sp.start, sp.end)
+    want = lb.where(F.col("clientId") == "hot").agg(F.sum("totals.hits")).first()[0]
+    assert fused.where(F.col("clientid") == "hot").first()["total_hits"] == want
+    plan = fused._jdf.queryExecution().executedPlan().toString()
+    tail = plan.split("Exchange hashpartitioning(clientId")[1]
+    assert "partial_max_by" in tail and "partial_collect_set" in tail
