@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from cohortex.functions.rules import CAMPAIGN_RULES, CONVERSION_RULE, EventRule
 
@@ -86,6 +86,34 @@ class AudienceConfig:
     step_size: float = 0.1
     model_root: str | None = None  # folder for saved models; default: shared work folder
 
+    @staticmethod
+    def from_options(options: dict[str, str | None]) -> "AudienceConfig":
+        """Build from text options (command line style): ``'true'`` / ``'0.5'`` / ``'60'`` /
+        ``'2024-01-30'`` are converted by field type; unknown names are rejected."""
+        known = {f.name: f for f in fields(AudienceConfig)}
+        typed: dict = {}
+        for name, text in options.items():
+            if text is None:
+                continue
+            if name not in known:
+                raise KeyError(f"unknown option {name!r}")
+            default = known[name].default
+            if name == "as_of":
+                typed[name] = dt.date.fromisoformat(text)
+            elif name == "exclude_columns":
+                typed[name] = tuple(c.strip() for c in text.split(",") if c.strip())
+            elif isinstance(default, bool):
+                typed[name] = text.strip().lower() == "true"
+            elif isinstance(default, int):
+                typed[name] = int(text)
+            elif isinstance(default, float):
+                typed[name] = float(text)
+            elif name in ("rules", "conversion_rule"):
+                raise ValueError(f"{name} is set from a rules file, not a text option")
+            else:
+                typed[name] = text
+        return AudienceConfig(**typed)
+
     def windows(self) -> Windows:
         return window_bounds(
             self.as_of or dt.date.today(),

@@ -8,6 +8,7 @@ per rule.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -71,6 +72,30 @@ class EventRule:
         return EventRule(name, **{canonical: value})
 
 
+def _constraint(value) -> Constraint:
+    if value is None or isinstance(value, str):
+        return value
+    if isinstance(value, dict) and set(value) == {"contains"}:
+        return Contains(value["contains"])
+    raise ValueError(f"a constraint is a string, null or {{'contains': token}}, not {value!r}")
+
+
+def rules_from_json(text: str) -> tuple[tuple[EventRule, ...], EventRule | None]:
+    """A campaign as data: ``{"rules": [{"name": .., "eventCategory": .., ...}],
+    "conversion": {...}}``; a constraint is a value, null, or ``{"contains": "TOKEN"}``."""
+    doc = json.loads(text)
+
+    def rule(d: dict, default_name: str | None = None) -> EventRule:
+        extra = set(d) - {"name", *FIELDS}
+        if extra:
+            raise ValueError(f"unknown rule keys {sorted(extra)}")
+        return EventRule(d.get("name", default_name), **{f: _constraint(d.get(f)) for f in FIELDS})
+
+    rules = tuple(rule(d) for d in doc.get("rules", []))
+    conversion = rule(doc["conversion"], "y_conversions") if doc.get("conversion") else None
+    return rules, conversion
+
+
 # --- fixed values: the campaign's event rules and conversion rule -------------------
 # (name, eventCategory, eventAction, eventLabel); CONTROLE marks UPPER(x) LIKE '%CONTROLE%'
 _K = Contains("CONTROLE")
