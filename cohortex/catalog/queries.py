@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,18 +23,32 @@ from cohortex.catalog.setup import (
     CV_END,
     CV_START,
     FIXTURE,
+    FIXTURE_RUN,
     LB_END,
     LB_START,
     SEGMENT_DIVISOR,
 )
 from cohortex.context import scratch_path
 from cohortex.functions import scalar as S
-from cohortex.functions.rules import FIXTURE_CONVERSION, FIXTURE_RULES, Contains, EventRule
+from cohortex.functions.rules import (
+    CAMPAIGN_RULES,
+    CONVERSION_RULE,
+    FIXTURE_CONVERSION,
+    FIXTURE_RULES,
+    Contains,
+    EventRule,
+    field_matches,
+)
 from cohortex.operators import aggregates as A
+from cohortex.operators import ml as M
+from cohortex.operators.export import audience, rename_output
 from cohortex.operators.joins import join_on_client, unnest_hits
+from cohortex.operators.registry import latest_matching, model_digest, runtime_versions
+from cohortex.operators.sampling import stratified_split, undersample_majority, union_all_split
 from cohortex.operators.sessions import first_session, latest_session
 from cohortex.plans.datasets import labelled_features, scoring_dataset, training_dataset
 from cohortex.plans.features import CATEGORICAL, NUMERIC, feature_columns
+from cohortex.plans.run import persist_reliably, run, split_for_training, train
 from cohortex.sources.fixtures import sessions_from_events, sessions_from_orders
 from cohortex.sources.params import param_query
 from cohortex.sources.sessions import client_not_null, load_table, scan_suffix_range, scan_window
@@ -180,7 +197,6 @@ def q_in_list(spark, sf_dir):
 def q_like_upper(spark, sf_dir):
     hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
     match = Contains("PLAN")
-    from cohortex.functions.rules import field_matches
 
     return hits.where(field_matches(F.col("eventInfo.eventLabel"), match)).select(
         "clientId", "visitId", F.col("eventInfo.eventLabel").alias("eventLabel"))
@@ -217,7 +233,6 @@ def q_drop_columns(spark, sf_dir):
     f"SELECT clientid AS {FIXTURE.index_dimension}, last_channel AS {FIXTURE.value_dimension} FROM joined",
     *O.features_ctes(True)))
 def q_rename_output(spark, sf_dir):
-    from cohortex.operators.export import rename_output
 
     f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE)
     return rename_output(f, FIXTURE.index_dimension, FIXTURE.value_dimension, value="last_channel")
@@ -227,17 +242,15 @@ def q_rename_output(spark, sf_dir):
     "SELECT clientid, " + ", ".join(NUMERIC) + ", " + ", ".join(r.name for r in FIXTURE_RULES) + " FROM joined",
     *O.features_ctes(True)))
 def q_select_by_dtype(spark, sf_dir):
-    from cohortex.operators.ml import KEY, LABEL, select_by_dtype
 
     f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE)
-    _, numbers = select_by_dtype(f, [KEY, LABEL])
-    return f.select(KEY, *numbers)
+    _, numbers = M.select_by_dtype(f, [M.KEY, M.LABEL])
+    return f.select(M.KEY, *numbers)
 
 
 @register("event_filter", O.with_a("SELECT * FROM converted", O.converted_cte(
     rule=EventRule.from_filter("y_conversions", "eventCategory", "purchase"))))
 def q_event_filter(spark, sf_dir):
-    from dataclasses import replace
 
     cfg = replace(FIXTURE, event_filter_type="eventCategory", event_filter_value="purchase")
     return A.conversion_counts(conversion_window(spark, sf_dir), cfg.effective_conversion_rule())
@@ -392,7 +405,6 @@ def q_topk_latest(spark, sf_dir):
     f"{O.uniform('clientid', FIXTURE.seed)} <= {FIXTURE.downsample_majority_class} "
     "UNION ALL SELECT clientid, y_conversions FROM joined WHERE y_conversions = 1", *O.features_ctes(True)))
 def q_union_all_split(spark, sf_dir):
-    from cohortex.operators.sampling import union_all_split
 
     f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE).select("clientid", "y_conversions")
     return union_all_split(f, FIXTURE.downsample_majority_class, FIXTURE.seed)
@@ -556,14 +568,6 @@ def q_scoring_dataset(spark, sf_dir):
 
 # ---------------------------------------------------------------- learning
 
-from dataclasses import replace as _replace  # noqa: E402
-
-from pyspark.ml import Pipeline  # noqa: E402
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from cohortex.catalog.setup import FIXTURE_RUN  # noqa: E402
-from cohortex.operators import ml as M  # noqa: E402
-from cohortex.operators.sampling import stratified_split, undersample_majority  # noqa: E402
 
 _RUN_FEATURES = O.features_ctes(True)  # FIXTURE_RUN keeps all negatives: training rows = all features
 
@@ -671,14 +675,12 @@ def q_accuracy_score(spark, sf_dir):
 
 
 def _trained(spark, sf_dir, cfg=FIXTURE_RUN):
-    from cohortex.plans.run import train
 
     return train(spark, cfg, sessions_from_events(spark, sf_dir))
 
 
 @register("train_classifier", None)
 def q_train_classifier(spark, sf_dir):
-    from cohortex.plans.run import persist_reliably, split_for_training
 
     sessions = sessions_from_events(spark, sf_dir)
     training = persist_reliably(training_dataset(sessions, FIXTURE_RUN))
@@ -699,7 +701,6 @@ def q_predict_proba(spark, sf_dir):
 
 @register("audience_export", None)
 def q_audience_export(spark, sf_dir):
-    from cohortex.operators.export import audience
 
     t = _trained(spark, sf_dir)
     scoring = scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
@@ -708,7 +709,7 @@ def q_audience_export(spark, sf_dir):
 
 
 def _registry_cfg(spark):
-    return _replace(FIXTURE_RUN, trained_model_table=scratch_path(spark, "registry"))
+    return replace(FIXTURE_RUN, trained_model_table=scratch_path(spark, "registry"))
 
 
 @register("registry_append", None)
@@ -720,7 +721,6 @@ def q_registry_append(spark, sf_dir):
 
 @register("registry_lookup", None)
 def q_registry_lookup(spark, sf_dir):
-    from cohortex.operators.registry import latest_matching, runtime_versions
 
     cfg = _registry_cfg(spark)
     _trained(spark, sf_dir, cfg)
@@ -730,7 +730,6 @@ def q_registry_lookup(spark, sf_dir):
 
 @register("registry_verify", None)
 def q_registry_verify(spark, sf_dir):
-    from cohortex.operators.registry import model_digest
 
     cfg = _registry_cfg(spark)
     row = _trained(spark, sf_dir, cfg).registry_row
@@ -741,9 +740,8 @@ def q_registry_verify(spark, sf_dir):
 
 @register("load_or_train", None)
 def q_load_or_train(spark, sf_dir):
-    from cohortex.plans.run import run
 
-    cfg = _replace(_registry_cfg(spark), load_trained_model=True)
+    cfg = replace(_registry_cfg(spark), load_trained_model=True)
     sessions = sessions_from_events(spark, sf_dir)
     run(spark, cfg, sessions)  # empty registry: trains and registers
     return run(spark, cfg, sessions)  # loads the verified model
@@ -751,17 +749,15 @@ def q_load_or_train(spark, sf_dir):
 
 @register("run_audience", None)
 def q_run_audience(spark, sf_dir):
-    from cohortex.plans.run import run
 
-    cfg = _replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
+    cfg = replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
     return run(spark, cfg, sessions_from_events(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- the campaign's own rule set
 
-from cohortex.functions.rules import CAMPAIGN_RULES, CONVERSION_RULE  # noqa: E402
 
-_CAMPAIGN = _replace(FIXTURE, rules=CAMPAIGN_RULES, conversion_rule=CONVERSION_RULE)
+_CAMPAIGN = replace(FIXTURE, rules=CAMPAIGN_RULES, conversion_rule=CONVERSION_RULE)
 
 
 @register("campaign_features", O.with_a(
