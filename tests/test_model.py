@@ -94,6 +94,14 @@ def test_missing_registry_gives_none(spark):
     assert load_verified(spark, scratch_path(spark, "nothing"), "x") is None
 
 
+def test_load_or_train_falls_back_when_nothing_loads(spark, trained):
+    cfg, sessions, _ = trained
+    registry = scratch_path(spark, "fresh_registry")
+    c = replace(cfg, trained_model_table=registry, load_trained_model=True)
+    run(spark, c, sessions)  # empty registry: trains and registers one model
+    assert read_back(spark, registry).count() == 1
+
+
 def test_unseen_category_scores(spark, trained):
     cfg, sessions, t = trained
     scoring = scoring_dataset(sessions, cfg).withColumn("city", F.lit("NEVER_SEEN")).withColumn("browser", F.lit(None))
@@ -105,7 +113,9 @@ def test_run_writes_audience_and_loads_model(spark, trained):
     cfg, sessions, _ = trained
     dest = scratch_path(spark, "audience")
     c = replace(cfg, destination_table=dest, load_trained_model=True)
+    before = read_back(spark, cfg.trained_model_table).count()
     out = run(spark, c, sessions)
+    assert read_back(spark, cfg.trained_model_table).count() == before  # loaded, not retrained
     assert out.columns == [c.index_dimension, c.value_dimension]
     assert {r[1] for r in out.collect()} <= {"low", "medium", "high"}
     assert out.count() == scoring_dataset(sessions, cfg).count()

@@ -45,3 +45,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["dimension14", "dimension28"]
     assert df.count() >= 0
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_stays_in_the_jvm(spark, key):
+    """No row-at-a-time or pandas Python stage in any SQL-checked query plan."""
+    df = entry.queries()[key](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in PYTHON_NODES), key
