@@ -25,7 +25,7 @@ from cohortex.operators.ml import FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
 from cohortex.plans.datasets import datasets_from_shared, scoring_dataset, shared_feature_table, training_dataset
-from cohortex.sources.sessions import load_table
+from cohortex.sources.sessions import load_sessions
 from cohortex.sources.sinks import read_back, write_overwrite
 
 log = logging.getLogger("cohortex")
@@ -110,7 +110,8 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
     if sessions is None:
         if not cfg.source_table:
             raise ValueError("no sessions given and no source_table configured")
-        sessions = load_table(spark, cfg.source_table)
+        w = cfg.windows()
+        sessions = load_sessions(spark, cfg.source_table, min(w.lookback_start, w.scoring_start), w.conversion_end)
     trained = load(spark, cfg)
     if trained is not None:
         scoring = scoring_dataset(sessions, cfg, form)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from cohortex.context import scratch_path
@@ -41,3 +43,35 @@ def test_overwrite_replaces_rows_and_schema_append_creates(spark):
     write_overwrite(spark.createDataFrame([("x",)], "name string"), target)
     got = read_back(spark, target)
     assert got.columns == ["name"] and got.count() == 1
+
+
+def test_sharded_tables_window(spark, sessions_df):
+    from cohortex.sources.sessions import read_sharded_tables, shard_suffixes
+
+    for i, suffix in enumerate(["20240101", "20240102", "20240103", "intraday_20240104"]):
+        sessions_df(session(visit_id=i, suffix=suffix)).drop("suffix").createOrReplaceTempView(f"shardtest_{suffix}")
+    assert shard_suffixes(["shardtest_20240101", "other_20240101"], "shardtest_", "20240101", "20240131") == {
+        "shardtest_20240101": "20240101"}
+    got = read_sharded_tables(spark, "shardtest_", "20240102", "20240131")
+    assert sorted(r.suffix for r in got.collect()) == ["20240102", "20240103"]
+    assert got.columns[-1] == "suffix"
+
+
+def test_command_line_run(spark, tmp_path):
+    from cohortex.__main__ import main
+    from cohortex.sources.fixtures import sessions_from_events
+
+    src = str(tmp_path / "sessions")
+    sessions_from_events(spark, "/root/testdata/sf0.001").write.partitionBy("suffix").parquet(src)
+    dest = str(tmp_path / "audience")
+    rules = tmp_path / "campaign.json"
+    rules.write_text(json.dumps({
+        "rules": [{"name": "Event01", "eventCategory": "click", "eventLabel": "other"},
+                  {"name": "Event02", "eventLabel": {"contains": "PLAN"}}],
+        "conversion": {"eventCategory": "purchase", "eventAction": "k3", "eventLabel": {"contains": "PLAN"}},
+    }))
+    main(["--source_table", src, "--destination_table", dest, "--as_of", "2024-01-30", "--rules_file", str(rules),
+          "--training_windows_start_in_days", "30", "--classification_window_start_in_days", "15",
+          "--downsample_majority_class", "1.0", "--max_iter", "5"])
+    out = read_back(spark, dest)
+    assert out.columns == ["dimension14", "dimension28"] and out.count() > 0
