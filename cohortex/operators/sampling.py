@@ -9,7 +9,8 @@ halves. One aggregation counts rows per high half (at most 65,536 counts reach t
 which fixes the boundary bucket; a second one counts per low half inside that bucket, which
 fixes the exact boundary hash. Rows below it are in; rows equal to it (hash collisions, a
 handful at most for unique keys) are ordered by key. The selection is then a plain filter,
-evaluated on the executors; no task ever holds a whole class.
+evaluated on the executors; no task ever holds a whole class. Keys must be unique (the
+feature tables have one row per client).
 """
 
 from __future__ import annotations
