@@ -71,6 +71,8 @@ class AudienceConfig:
     value_dimension: str = "dimension28"
     training_windows_start_in_days: int = 60
     classification_window_start_in_days: int = 30
+    # accepted for option compatibility; the queries are built in (rules come as data)
+    queries_location: str | None = None
     # additions: fixed date instead of today, seeds, zone, model size
     as_of: dt.date | None = None
     seed: int = 42

@@ -21,6 +21,18 @@ def test_defaults_are_the_original_option_defaults():
     assert c.rules == CAMPAIGN_RULES
 
 
+def test_all_original_options_accepted():
+    names = ["name", "source_table", "destination_table", "trained_model_table", "load_trained_model",
+             "prediction_type", "event_filter_type", "event_filter_value", "test_size", "downsample_majority_class",
+             "medium_class_value", "high_class_value", "index_dimension", "value_dimension",
+             "training_windows_start_in_days", "classification_window_start_in_days", "queries_location"]
+    values = {"load_trained_model": "false", "test_size": "0.5", "downsample_majority_class": "0.01",
+              "medium_class_value": "0.3", "high_class_value": "0.7", "training_windows_start_in_days": "60",
+              "classification_window_start_in_days": "30"}
+    cfg = AudienceConfig.from_options({n: values.get(n, "x") for n in names})
+    assert cfg.event_filter_type == "x" and cfg.queries_location == "x"
+
+
 def test_from_options_converts_text():
     c = AudienceConfig.from_options({
         "load_trained_model": "true", "test_size": "0.25", "training_windows_start_in_days": "45",
