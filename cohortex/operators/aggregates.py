@@ -19,11 +19,6 @@ def rule_flag(rule: EventRule, event_info: Column) -> Column:
     return F.when(rule.predicate(event_info), F.lit(1)).otherwise(F.lit(0))
 
 
-def hour_bucket_columns(sessions_start: Column, tz: str) -> list[Column]:
-    hour = local_hour(sessions_start, tz)
-    return [in_hours(hour, hours).alias(f"{name}_visits") for name, hours in HOUR_BUCKETS.items()]
-
-
 def distinct_count_columns(distinct_via_sets: bool = False) -> list[Column]:
     """``COUNT(DISTINCT ..)`` of channel, source/medium pair, day and device category.
 

@@ -58,6 +58,3 @@ def first_session(sessions: DataFrame) -> DataFrame:
     cols = sessions.select("clientId", "channelGrouping", *SESSION_ORDER)
     return top1_per_client(cols, newest=False).select("clientId", "channelGrouping")
 
-
-def order_key() -> Column:
-    return F.struct(*[F.col(c) for c in SESSION_ORDER])
