@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from cohortex.config import AudienceConfig
 from cohortex.context import work_root
 from cohortex.operators.export import audience
-from cohortex.operators.ml import FeatureLayout, accuracy, fit, predict_proba
+from cohortex.operators.aggregates import class_distribution
+from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
 from cohortex.plans.datasets import datasets_from_shared, scoring_dataset, shared_feature_table, training_dataset
@@ -53,6 +54,8 @@ def split_for_training(training: DataFrame, cfg: AudienceConfig) -> DataFrame:
 
 def train_on(spark: SparkSession, cfg: AudienceConfig, training: DataFrame) -> Trained:
     """Balance, split, fit and evaluate on a materialised training dataset."""
+    counts = {r[LABEL]: r["n"] for r in class_distribution(training, LABEL).collect()}  # one small job
+    log.info("training rows %d, columns %d, class distribution %s", sum(counts.values()), len(training.columns), counts)
     layout = FeatureLayout.of(training, exclude=cfg.exclude_columns)
     parts = split_for_training(training, cfg)
     model = fit(parts.where(~F.col("is_test")), layout, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
