@@ -7,8 +7,9 @@ depend on partitioning or retries, and the DuckDB oracle can reproduce them.
 Exact "first n rows by hash" without a global sort: the 32-bit hash is split in two 16-bit
 halves. One aggregation counts rows per high half (at most 65,536 counts reach the driver),
 which fixes the boundary bucket; a second one counts per low half inside that bucket, which
-fixes the exact boundary hash. Rows below it are in; rows equal to it (hash collisions, a
-handful at most for unique keys) are ordered by key. The selection is then a plain filter,
+fixes the exact boundary hash. Rows below it are in; rows equal to it are all in when all
+of them are needed (the usual case), otherwise (hash collisions, a handful at most for
+unique keys) a third query orders them by key. The selection is then a plain filter,
 evaluated on the executors; no task ever holds a whole class. Keys must be unique (the
 feature tables have one row per client).
 """
@@ -41,16 +42,21 @@ def union_all_split(df: DataFrame, p: float, seed: int, label: str = "y_conversi
 
 @dataclass(frozen=True)
 class Cut:
-    """Selects the first ``n`` rows by (hash, key): ``h < below`` or (``h == at`` and key in ``ties``)."""
+    """Selects the first ``n`` rows by (hash, key): ``h < below``, plus rows with ``h == at``
+    (all of them when ``ties`` is None, else those whose key is in ``ties``)."""
 
     n: int
     below: int
     at: int | None = None
-    ties: tuple[str, ...] = ()
+    ties: tuple[str, ...] | None = ()
 
     def column(self, h: Column, key: Column) -> Column:
         sel = h < F.lit(self.below)
-        if self.at is not None and self.ties:
+        if self.at is None:
+            return sel
+        if self.ties is None:
+            return sel | (h == F.lit(self.at))
+        if self.ties:
             sel = sel | ((h == F.lit(self.at)) & key.isin(list(self.ties)))
         return sel
 
@@ -108,7 +114,13 @@ def first_n_by_hash_per_group(
     at: dict = {}
     for g, (n, b1, need1) in partial.items():
         b2, need2 = _boundary(low[g], need1)
-        at[g] = ((b1 << 16) | b2, need2, n)
+        exact = (b1 << 16) | b2
+        if need2 == dict(low[g])[b2]:
+            cuts[g] = Cut(n, exact, exact, None)  # every row at the boundary hash is in
+        else:
+            at[g] = (exact, need2, n)
+    if not at:
+        return sizes, cuts
     on_boundary = None
     for g, (a, _, _) in at.items():
         c = (F.col("_g") == F.lit(g)) & (F.col(_H) == F.lit(a))

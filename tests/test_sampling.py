@@ -88,3 +88,16 @@ def test_single_class_raises(spark):
         undersample_majority(labelled(spark, 5, 0), 1)
     with pytest.raises(ValueError, match="class"):
         stratified_split(labelled(spark, 0, 5), 0.5, 1)
+
+
+def test_first_n_with_a_hash_collision(spark):
+    """'c62508' and 'c93756' share the 32-bit hash f694f0ef for seed 7: ties go by key."""
+    keys = ["c62508", "c93756"] + [f"x{i}" for i in range(30)]
+    df = spark.createDataFrame([(k,) for k in keys], "clientid string")
+    h = {r[0]: r[1] for r in df.select("clientid", hash_u32(F.col("clientid"), 7)).collect()}
+    assert h["c62508"] == h["c93756"] == 0xF694F0EF
+    below = sum(1 for v in h.values() if v < 0xF694F0EF)
+    for n in (below, below + 1, below + 2):
+        cut = first_n_by_hash(df, n, len(keys), 7)
+        got = {r[0] for r in df.where(cut.column(hash_u32(F.col("clientid"), 7), F.col("clientid"))).collect()}
+        assert got == brute_first_n(keys, n, 7)
