@@ -55,6 +55,8 @@ def test_save_load_same_predictions(spark, trained):
     a = M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob").collect()
     b = M.predict_proba(loaded, scoring, t.layout).select("clientid", "prob").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    plan = M.predict_proba(t.model, scoring, t.layout)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan  # scoring stays in the JVM
 
 
 def test_registry_verify_detects_change(spark, trained, tmp_path):
