@@ -96,3 +96,37 @@ def test_event_filter_option_replaces_conversion_rule():
     cfg = replace(AudienceConfig(), event_filter_type="eventaction", event_filter_value="buy")
     rule = cfg.effective_conversion_rule()
     assert rule.eventAction == "buy" and rule.eventCategory is None
+
+
+def test_segment_is_monotone_in_probability(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    order = {"low": 0, "medium": 1, "high": 2}
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(ps=st.lists(st.floats(0.0, 1.0), min_size=2, max_size=30), mid=st.floats(0.05, 0.45), hi=st.floats(0.5, 0.95))
+    def check(ps, mid, hi):
+        df = spark.createDataFrame([(p,) for p in ps], "p double")
+        got = sorted((r.p, order[r.s]) for r in df.select("p", S.segment_label("p", mid, hi).alias("s")).collect())
+        assert all(a[1] <= b[1] for a, b in zip(got, got[1:]))
+
+    check()
+
+
+def test_exclusive_lookback_end_moves_the_shared_day(spark, sessions_df):
+    from dataclasses import replace
+
+    from cohortex.config import AudienceConfig
+    from cohortex.plans.datasets import training_spec
+    from tests.conftest import session
+
+    cfg = AudienceConfig(as_of=dt.date(2024, 1, 30), training_windows_start_in_days=30,
+                         classification_window_start_in_days=15)
+    assert training_spec(cfg).end == "20240115"
+    assert training_spec(replace(cfg, exclusive_lookback_end=True)).end == "20240114"
+    df = sessions_df(session(suffix="20240115"))
+    from cohortex.plans.features import feature_table
+
+    assert feature_table(df, training_spec(cfg)).count() == 1
+    assert feature_table(df, training_spec(replace(cfg, exclusive_lookback_end=True))).count() == 0
