@@ -15,7 +15,7 @@ def write_overwrite(df: DataFrame, target: str) -> None:
     if _is_path(target):
         writer.parquet(target)
     else:
-        writer.option("overwriteSchema", "true").saveAsTable(target)
+        writer.saveAsTable(target)  # the table is dropped and recreated with df's schema
 
 
 def write_append(df: DataFrame, target: str) -> None:
