@@ -33,6 +33,9 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
         .config("spark.sql.shuffle.partitions", str(max(4, 2 * int(cpus))) if cpus.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # hash-based partial aggregation for up to 65,536 clients per task before the
+        # spill-safe sort fallback (buffers are small: a struct and four bounded sets)
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
