@@ -81,10 +81,11 @@ def first_n_by_hash_per_group(
 ) -> tuple[dict, dict]:
     """Per group (value of ``label``): the cut selecting the first ``n_g`` rows by (hash, key).
 
-    ``want`` maps the group sizes to the wanted ``n_g``. Three aggregations for all groups
+    ``want`` maps the group sizes to the wanted ``n_g``. Two aggregations for all groups
     together: rows per (group, high 16 bits) -> sizes and boundary buckets; rows per
-    (group, low 16 bits) inside the boundary buckets -> exact boundary hashes; keys equal
-    to a boundary hash. Returns (sizes, cuts).
+    (group, low 16 bits) inside the boundary buckets -> exact boundary hashes. Only when a
+    boundary hash holds more rows than still needed (a 32-bit collision) a third query
+    reads the keys at that hash. Returns (sizes, cuts).
     """
     h = _hashed(df, key, seed, label)
     high: dict = {}
@@ -135,7 +136,9 @@ def first_n_by_hash_per_group(
 
 
 def first_n_by_hash(df: DataFrame, n: int, total: int | None = None, seed: int = 0, key: str = "clientid") -> Cut:
-    """Cut selecting the ``n`` rows of ``df`` with the smallest ``(hash_u32(key, seed), key)``."""
+    """Cut selecting the ``n`` rows of ``df`` with the smallest ``(hash_u32(key, seed), key)``.
+
+    ``total`` is accepted for callers that know the size; it is recomputed anyway."""
     _, cuts = first_n_by_hash_per_group(df, lambda sizes: {0: n}, seed, key)
     return cuts[0]
 
