@@ -29,8 +29,8 @@ def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables, models and checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the checkpoint dir already set on
-    the context). Only when neither is set (local tests) a private folder is created
-    and registered as the checkpoint dir.
+    the context). Only when neither is set and the master is local (tests) a private
+    folder is created and registered as the checkpoint dir; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -43,6 +43,10 @@ def work_root(spark: SparkSession) -> str:
     else:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            # a machine-local folder is not visible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="cohortex-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
