@@ -71,7 +71,8 @@ class AudienceConfig:
     value_dimension: str = "dimension28"
     training_windows_start_in_days: int = 60
     classification_window_start_in_days: int = 30
-    # accepted for option compatibility; the queries are built in (rules come as data)
+    # folder of Spark SQL templates (training_query_template.sql,
+    # classification_query_template.sql) with bound parameters; unset: built-in plans
     queries_location: str | None = None
     # additions: fixed date instead of today, seeds, zone, model size
     as_of: dt.date | None = None
@@ -124,6 +125,23 @@ class AudienceConfig:
             self.exclusive_lookback_end,
         )
 
+    def query_parameters(self, table: str) -> dict[str, object]:
+        """Parameters bound into user query templates (names of the original job)."""
+        w = self.windows()
+        return {
+            "table": table,
+            "lookback_start_date": w.lookback_start,
+            "lookback_end_date": w.lookback_end,
+            "conversion_window_start_date": w.conversion_start,
+            "conversion_window_end_date": w.conversion_end,
+            "classification_start_date": w.scoring_start,
+            "classification_end_date": w.scoring_end,
+            "prediction_type": self.prediction_type,
+            "event_filter_type": self.event_filter_type,
+            "event_filter_value": self.event_filter_value,
+            "downsample_majority_class": self.downsample_majority_class,
+        }
+
     def effective_conversion_rule(self) -> EventRule:
         if self.event_filter_type and self.event_filter_value is not None:
             return EventRule.from_filter("y_conversions", self.event_filter_type, self.event_filter_value)

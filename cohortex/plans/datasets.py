@@ -52,3 +52,28 @@ def datasets_from_shared(shared: DataFrame, cfg: AudienceConfig) -> tuple[DataFr
     labelled = select_spec(shared, training_spec(cfg), "t")
     training = downsample_majority(labelled, cfg.downsample_majority_class, cfg.seed)
     return training, select_spec(shared, scoring_spec(cfg), "s")
+
+
+TEMPLATE_FILES = {"training": "training_query_template.sql", "classification": "classification_query_template.sql"}
+
+
+def read_template(spark, location: str, name: str) -> str:
+    """Text of ``<location>/<name>_query_template.sql`` (a small file, read whole)."""
+    path = f"{location.rstrip('/')}/{TEMPLATE_FILES[name]}"
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def templated_datasets(spark, sessions: DataFrame, cfg: AudienceConfig) -> tuple[DataFrame, DataFrame]:
+    """(training, scoring) datasets from the user's Spark SQL templates in
+    ``cfg.queries_location``. The sessions are bound as ``IDENTIFIER(:table)`` through a
+    uniquely named temporary view; the window dates and options as ``:markers``."""
+    import uuid
+
+    from cohortex.sources.params import param_query
+
+    view = f"sessions_{uuid.uuid4().hex[:12]}"
+    sessions.createOrReplaceTempView(view)
+    params = cfg.query_parameters(view)
+    training = param_query(spark, read_template(spark, cfg.queries_location, "training"), params)
+    scoring = param_query(spark, read_template(spark, cfg.queries_location, "classification"), params)
+    return training, scoring

@@ -25,7 +25,13 @@ from cohortex.operators.aggregates import class_distribution
 from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
-from cohortex.plans.datasets import datasets_from_shared, scoring_dataset, shared_feature_table, training_dataset
+from cohortex.plans.datasets import (
+    datasets_from_shared,
+    scoring_dataset,
+    shared_feature_table,
+    templated_datasets,
+    training_dataset,
+)
 from cohortex.sources.sessions import load_sessions
 from cohortex.sources.sinks import read_back, write_overwrite
 
@@ -116,7 +122,11 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
         w = cfg.windows()
         sessions = load_sessions(spark, cfg.source_table, min(w.lookback_start, w.scoring_start), w.conversion_end)
     trained = load(spark, cfg)
-    if trained is not None:
+    if cfg.queries_location:
+        training, scoring = templated_datasets(spark, sessions, cfg)
+        if trained is None:
+            trained = train_on(spark, cfg, persist_reliably(training))
+    elif trained is not None:
         scoring = scoring_dataset(sessions, cfg, form)
     elif form == "fused":
         shared = persist_reliably(shared_feature_table(sessions, cfg))

@@ -130,3 +130,37 @@ def test_training_dataset_requires_two_classes(spark):
     only_pos = training_dataset(sessions, cfg).where(F.col("y_conversions") == 1)
     with pytest.raises(ValueError):
         M.fit(only_pos, M.FeatureLayout.of(only_pos))
+
+
+TRAINING_TEMPLATE = """
+WITH t AS (
+  SELECT clientId AS clientid, COUNT(1) AS sessions, SUM(totals.hits) AS hits, MAX(channelGrouping) AS channel
+  FROM IDENTIFIER(:table)
+  WHERE suffix BETWEEN :lookback_start_date AND :lookback_end_date AND clientId IS NOT NULL
+  GROUP BY clientId),
+c AS (
+  SELECT clientId AS clientid, COUNT(1) AS n
+  FROM IDENTIFIER(:table) LATERAL VIEW explode(hits) ex AS h
+  WHERE suffix BETWEEN :conversion_window_start_date AND :conversion_window_end_date
+    AND h.eventInfo.eventCategory = 'purchase' AND h.eventInfo.eventAction = 'k3'
+    AND UPPER(h.eventInfo.eventLabel) LIKE '%PLAN%'
+  GROUP BY clientId)
+SELECT t.*, IF(COALESCE(c.n, 0) > 0, 1, 0) AS y_conversions FROM t LEFT JOIN c ON t.clientid = c.clientid
+"""
+CLASSIFICATION_TEMPLATE = """
+SELECT clientId AS clientid, COUNT(1) AS sessions, SUM(totals.hits) AS hits, MAX(channelGrouping) AS channel
+FROM IDENTIFIER(:table)
+WHERE suffix BETWEEN :classification_start_date AND :classification_end_date AND clientId IS NOT NULL
+GROUP BY clientId
+"""
+
+
+def test_run_with_user_query_templates(spark, trained, tmp_path):
+    cfg, sessions, _ = trained
+    (tmp_path / "training_query_template.sql").write_text(TRAINING_TEMPLATE)
+    (tmp_path / "classification_query_template.sql").write_text(CLASSIFICATION_TEMPLATE)
+    c = replace(cfg, queries_location=str(tmp_path), trained_model_table=None, destination_table=None)
+    out = run(spark, c, sessions)
+    w = c.windows()
+    want = sessions.where(F.col("suffix").between(w.scoring_start, w.scoring_end)).select("clientId").distinct().count()
+    assert out.columns == ["dimension14", "dimension28"] and out.count() == want
