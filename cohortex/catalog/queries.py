@@ -77,8 +77,9 @@ def conversion_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_window(sessions_from_events(spark, sf_dir), CV_START, CV_END)
 
 
-def orders_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_window(sessions_from_orders(spark, sf_dir), B_START, B_END)
+def order_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order sessions (fixture B) with a known client: the whole order history."""
+    return client_not_null(sessions_from_orders(spark, sf_dir))
 
 
 B_RULES = (
@@ -138,9 +139,9 @@ def q_param_query(spark, sf_dir):
 @register("project_nested", O.with_a(
     "SELECT clientId, visitId, device.browser AS browser, device.deviceCategory AS deviceCategory, "
     "geoNetwork.city AS city, trafficSource.medium AS medium, totals.hits AS hits "
-    f"FROM sessions WHERE {O.LB}"))
+    "FROM sessions"))
 def q_project_nested(spark, sf_dir):
-    return lookback(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir).select(
         "clientId",
         "visitId",
         F.col("device.browser").alias("browser"),
@@ -167,9 +168,9 @@ def q_star_except(spark, sf_dir):
 
 @register("filter_not_null", O.with_a(
     "SELECT clientId, visitId, trafficSource.medium AS medium FROM sessions "
-    f"WHERE {O.LB} AND trafficSource.medium IS NOT NULL"))
+    "WHERE trafficSource.medium IS NOT NULL"))
 def q_filter_not_null(spark, sf_dir):
-    s = lookback(spark, sf_dir).select("clientId", "visitId", F.col("trafficSource.medium").alias("medium"))
+    s = sessions_from_events(spark, sf_dir).select("clientId", "visitId", F.col("trafficSource.medium").alias("medium"))
     return client_not_null(s, "medium")
 
 
@@ -182,9 +183,9 @@ def q_between_filter(spark, sf_dir):
 
 @register("in_list", O.with_a(
     "SELECT clientId, visitId, device.browser AS browser, device.operatingSystem AS operatingSystem FROM sessions "
-    f"WHERE {O.LB} AND device.browser NOT IN {O.KEEP_BROWSER} AND device.operatingSystem IN {O.KEEP_OS}"))
+    f"WHERE device.browser NOT IN {O.KEEP_BROWSER} AND device.operatingSystem IN {O.KEEP_OS}"))
 def q_in_list(spark, sf_dir):
-    s = lookback(spark, sf_dir)
+    s = sessions_from_events(spark, sf_dir)
     cond = ~F.col("device.browser").isin(list(S.BROWSER_KEEP)) & F.col("device.operatingSystem").isin(list(S.OS_KEEP))
     return s.where(cond).select(
         "clientId", "visitId", F.col("device.browser").alias("browser"),
@@ -193,9 +194,9 @@ def q_in_list(spark, sf_dir):
 
 @register("like_upper", O.with_a(
     "SELECT clientId, visitId, h.eventInfo.eventLabel AS eventLabel FROM sessions g, UNNEST(g.hits) AS u(h) "
-    f"WHERE {O.LB} AND UPPER(h.eventInfo.eventLabel) LIKE '%PLAN%'"))
+    "WHERE UPPER(h.eventInfo.eventLabel) LIKE '%PLAN%'"))
 def q_like_upper(spark, sf_dir):
-    hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
     match = Contains("PLAN")
 
     return hits.where(field_matches(F.col("eventInfo.eventLabel"), match)).select(
@@ -205,9 +206,9 @@ def q_like_upper(spark, sf_dir):
 @register("event_rule_flags", O.with_a(
     "SELECT clientId, visitId, "
     + ", ".join(f"{O.rule_flag(r)} AS {r.name}" for r in FIXTURE_RULES)
-    + f" FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.LB}"))
+    + " FROM sessions g, UNNEST(g.hits) AS u(h)"))
 def q_event_rule_flags(spark, sf_dir):
-    hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
     info = F.col("eventInfo")
     return hits.select("clientId", "visitId", *[A.rule_flag(r, info).alias(r.name) for r in FIXTURE_RULES])
 
@@ -261,9 +262,9 @@ def q_event_filter(spark, sf_dir):
 
 @register("unnest_hits", O.with_b(
     "SELECT clientId, visitId, h.eventInfo.eventCategory AS eventCategory, h.eventInfo.eventAction AS eventAction "
-    f"FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.BW}"))
+    f"FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.B_ALL}"))
 def q_unnest_hits(spark, sf_dir):
-    hits = unnest_hits(orders_window(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(order_sessions(spark, sf_dir), "clientId", "visitId")
     return hits.select(
         "clientId", "visitId",
         F.col("eventInfo.eventCategory").alias("eventCategory"),
@@ -272,17 +273,17 @@ def q_unnest_hits(spark, sf_dir):
 
 def _b_hits_sql() -> str:
     sums = ", ".join(f"CAST(SUM({O.rule_flag(r)}) AS BIGINT) AS {r.name}" for r in B_RULES)
-    return f"sh AS (SELECT clientId, {sums} FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.BW} GROUP BY clientId)"
+    return f"sh AS (SELECT clientId, {sums} FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.B_ALL} GROUP BY clientId)"
 
 
 _B_LATEST = (
     "ls AS (SELECT clientId, channelGrouping AS last_channel FROM (SELECT clientId, channelGrouping, "
     "ROW_NUMBER() OVER (PARTITION BY clientId ORDER BY visitId DESC NULLS LAST, visitStartTime DESC NULLS LAST, "
-    f"suffix DESC NULLS LAST) AS rn FROM sessions WHERE {O.BW}) WHERE rn = 1)"
+    f"suffix DESC NULLS LAST) AS rn FROM sessions WHERE {O.B_ALL}) WHERE rn = 1)"
 )
 _B_TOTALS = (
     "t AS (SELECT clientId, COUNT(1) AS sessions, CAST(SUM(totals_hits) AS BIGINT) AS line_count FROM "
-    f"(SELECT clientId, len(hits) AS totals_hits FROM sessions WHERE {O.BW}) GROUP BY clientId)"
+    f"(SELECT clientId, len(hits) AS totals_hits FROM sessions WHERE {O.B_ALL}) GROUP BY clientId)"
 )
 
 
@@ -290,7 +291,7 @@ _B_TOTALS = (
     "SELECT sh.clientId, " + ", ".join(f"sh.{r.name}" for r in B_RULES) + ", ls.last_channel "
     "FROM sh JOIN ls ON sh.clientId = ls.clientId", _b_hits_sql(), _B_LATEST))
 def q_join_inner(spark, sf_dir):
-    s = orders_window(spark, sf_dir)
+    s = order_sessions(spark, sf_dir)
     hits = A.event_counts(s, B_RULES)
     latest = latest_session(s).select("clientId", F.col("channelGrouping").alias("last_channel"))
     return join_on_client(hits, latest, "inner")
@@ -300,7 +301,7 @@ def q_join_inner(spark, sf_dir):
     "SELECT t.clientId, t.sessions, t.line_count, " + ", ".join(f"sh.{r.name}" for r in B_RULES) + " "
     "FROM t LEFT OUTER JOIN sh ON t.clientId = sh.clientId", _b_hits_sql(), _B_TOTALS))
 def q_join_left(spark, sf_dir):
-    s = orders_window(spark, sf_dir)
+    s = order_sessions(spark, sf_dir)
     totals = s.groupBy("clientId").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum(F.col("totals.hits")).alias("line_count"))
     return join_on_client(totals, A.event_counts(s, B_RULES), "left")
@@ -418,9 +419,9 @@ def q_union_all_split(spark, sf_dir):
     f"IF(device.browser NOT IN {O.KEEP_BROWSER}, 'Others', device.browser) AS browser, "
     "device.operatingSystem AS raw_os, "
     f"IF(device.operatingSystem NOT IN {O.KEEP_OS}, 'Others', device.operatingSystem) AS operatingSystem "
-    f"FROM sessions WHERE {O.LB}"))
+    "FROM sessions"))
 def q_bucket_rare(spark, sf_dir):
-    return lookback(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir).select(
         "clientId", "visitId",
         F.col("device.browser").alias("raw_browser"),
         S.bucket_rare(F.col("device.browser"), S.BROWSER_KEEP).alias("browser"),
@@ -430,9 +431,9 @@ def q_bucket_rare(spark, sf_dir):
 
 @register("bool_flag", O.with_a(
     "SELECT clientId, visitId, CASE WHEN device.isMobile = TRUE THEN 1 ELSE 0 END AS isMobile "
-    f"FROM sessions WHERE {O.LB}"))
+    "FROM sessions"))
 def q_bool_flag(spark, sf_dir):
-    return lookback(spark, sf_dir).select("clientId", "visitId", S.bool_flag(F.col("device.isMobile")).alias("isMobile"))
+    return sessions_from_events(spark, sf_dir).select("clientId", "visitId", S.bool_flag(F.col("device.isMobile")).alias("isMobile"))
 
 
 @register("ifnull_zero", O.with_a(
@@ -455,25 +456,25 @@ def q_label_binary(spark, sf_dir):
 
 @register("concat_source_medium", O.with_a(
     "SELECT clientId, visitId, trafficSource.source || ' / ' || trafficSource.medium AS source_medium "
-    f"FROM sessions WHERE {O.LB}"))
+    "FROM sessions"))
 def q_concat_source_medium(spark, sf_dir):
-    return lookback(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir).select(
         "clientId", "visitId", S.concat_pair(F.col("trafficSource.source"), F.col("trafficSource.medium")).alias("source_medium"))
 
 
 @register("upper_case", O.with_a(
     "SELECT clientId, visitId, UPPER(h.eventInfo.eventLabel) AS label_upper "
-    f"FROM sessions g, UNNEST(g.hits) AS u(h) WHERE {O.LB}"))
+    "FROM sessions g, UNNEST(g.hits) AS u(h)"))
 def q_upper_case(spark, sf_dir):
-    hits = unnest_hits(lookback(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
     return hits.select("clientId", "visitId", F.upper(F.col("eventInfo.eventLabel")).alias("label_upper"))
 
 
 @register("epoch_to_ts", O.with_a(
     "SELECT clientId, visitId, strftime(make_timestamp(visitStartTime * 1000000), '%Y-%m-%d %H:%M:%S') AS start_utc, "
-    f"visitStartTime AS round_trip FROM sessions WHERE {O.LB}"))
+    "visitStartTime AS round_trip FROM sessions"))
 def q_epoch_to_ts(spark, sf_dir):
-    s = lookback(spark, sf_dir)
+    s = sessions_from_events(spark, sf_dir)
     return s.select(
         "clientId", "visitId",
         F.date_format(S.epoch_to_ntz(F.col("visitStartTime")), "yyyy-MM-dd HH:mm:ss").alias("start_utc"),
@@ -481,9 +482,9 @@ def q_epoch_to_ts(spark, sf_dir):
 
 
 @register("local_hour", O.with_a(
-    f"SELECT clientId, visitId, CAST({O.HOUR} AS INTEGER) AS local_hour FROM sessions WHERE {O.LB}"))
+    f"SELECT clientId, visitId, CAST({O.HOUR} AS INTEGER) AS local_hour FROM sessions"))
 def q_local_hour(spark, sf_dir):
-    return lookback(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir).select(
         "clientId", "visitId", S.local_hour(F.col("visitStartTime"), FIXTURE.time_zone).alias("local_hour"))
 
 
