@@ -31,7 +31,9 @@ Constraint = str | Contains | None
 
 def field_matches(field: Column, constraint: Constraint) -> Column:
     if isinstance(constraint, Contains):
-        return F.upper(field).contains(constraint.token.upper())
+        # LIKE semantics ('_' and '%' in a token are wildcards); Catalyst turns a plain
+        # '%token%' pattern into a substring test
+        return F.upper(field).like("%" + constraint.token.upper() + "%")
     return field == F.lit(constraint)
 
 

@@ -130,3 +130,18 @@ def test_exclusive_lookback_end_moves_the_shared_day(spark, sessions_df):
 
     assert feature_table(df, training_spec(cfg)).count() == 1
     assert feature_table(df, training_spec(replace(cfg, exclusive_lookback_end=True))).count() == 0
+
+
+def test_rule_like_semantics_and_quoting(spark):
+    import duckdb
+
+    rule = EventRule("r", eventCategory=Contains("a_b"), eventLabel="it's")
+    rows = [("xA_By", "it's"), ("xAzBy", "it's"), ("ab", "it's"), ("a_b", "its")]
+    df = spark.createDataFrame([((c, None, l),) for c, l in rows],
+                               "e struct<eventCategory:string,eventAction:string,eventLabel:string>")
+    spark_flags = [r[0] for r in df.select(F.when(rule.predicate(F.col("e")), 1).otherwise(0)).collect()]
+    con = duckdb.connect()
+    sql_flags = [con.sql(f"SELECT CASE WHEN {rule.sql('e')} THEN 1 ELSE 0 END FROM "
+                         f"(SELECT {{'eventCategory': ?, 'eventLabel': ?}} AS e)", params=[c, l]).fetchall()[0][0]
+                 for c, l in rows]
+    assert spark_flags == sql_flags == [1, 1, 0, 0]
