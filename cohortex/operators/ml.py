@@ -110,7 +110,9 @@ def classifier(max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1,
     )
 
 
-def training_estimator(layout: FeatureLayout, max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 42) -> Pipeline:
+def training_estimator(
+    layout: FeatureLayout, max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 42
+) -> Pipeline:
     return Pipeline(stages=[*feature_stages(layout), classifier(max_iter, max_depth, step_size, seed)])
 
 

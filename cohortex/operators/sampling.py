@@ -28,7 +28,9 @@ from cohortex.functions.scalar import hash_u32, hash_uniform
 _H = "_h32"
 
 
-def downsample_majority(df: DataFrame, p: float, seed: int, label: str = "y_conversions", key: str = "clientid") -> DataFrame:
+def downsample_majority(
+    df: DataFrame, p: float, seed: int, label: str = "y_conversions", key: str = "clientid"
+) -> DataFrame:
     """Keep all positives and a ``p`` share of the negatives: one filter, one scan."""
     keep_negative = (F.col(label) == 0) & (hash_uniform(F.col(key), seed) <= F.lit(p))
     return df.where((F.col(label) == 1) | keep_negative)

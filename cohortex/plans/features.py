@@ -58,6 +58,7 @@ NUMERIC = (
     "total_transactions",
 )
 LABEL = "y_conversions"
+TOTALS_SUMMED = ("visits", "pageviews", "hits", "timeonsite", "bounces")
 KEY = "clientid"
 
 # per-client total -> feature column (all wrapped in IFNULL(.., 0))
@@ -209,7 +210,7 @@ def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
         F.max_by(lb(latest), lb(order)).alias(f"{p}latest"),
         F.min_by(lb(F.col("channelGrouping")), lb(order)).alias(f"{p}first_channel"),
         *[n_distinct(e).alias(f"{p}{n}") for n, e in distinct.items()],
-        *[F.sum(lb(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in ("visits", "pageviews", "hits", "timeonsite", "bounces")],
+        *[F.sum(lb(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in TOTALS_SUMMED],
         *[F.sum(lb(in_hours(hour, hrs))).alias(f"{p}{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
         F.sum(lb(F.col("totals.transactions"))).alias(f"{p}transactions"),
         F.sum(lb(F.col("_hits_n"))).alias(f"{p}_n_hits"),

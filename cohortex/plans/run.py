@@ -72,7 +72,9 @@ def train_on(spark: SparkSession, cfg: AudienceConfig, training: DataFrame) -> T
     log.info("accuracy train=%s test=%s", score_train, score_test)
     row = None
     if cfg.trained_model_table:
-        row = registry_append(spark, cfg.trained_model_table, model, cfg.name, score_train, score_test or 0.0, cfg.model_root)
+        row = registry_append(
+            spark, cfg.trained_model_table, model, cfg.name, score_train, score_test or 0.0, cfg.model_root
+        )
     return Trained(model, layout, score_train, score_test, row)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortex.functions.scalar import seconds_since_epoch
-from cohortex.sources.schema import SESSION_COLUMNS
+from cohortex.sources.schema import DEVICE, SESSION_COLUMNS
 
 # --- fixed values: how a value k (0..99) of an event maps to session attributes -------
 CHANNELS = ("Direct", "Organic Search", "Paid Search", "Referral", "Social")
@@ -147,7 +147,7 @@ def sessions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("visitStartTime"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("date"),
         F.col("o_orderpriority").alias("channelGrouping"),
-        F.lit(None).cast("struct<browser:string,operatingSystem:string,deviceCategory:string,isMobile:boolean>").alias("device"),
+        F.lit(None).cast(DEVICE).alias("device"),
         F.lit(None).cast("struct<region:string,city:string>").alias("geoNetwork"),
         F.lit(None).cast("struct<source:string,medium:string>").alias("trafficSource"),
         F.struct(
