@@ -21,6 +21,7 @@ from dataclasses import replace
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 
 def main() -> None:
@@ -93,6 +94,7 @@ def main() -> None:
         "training_dataset_fused": plan_facts(training_dataset(sessions, FIXTURE, form="fused")),
         "training_dataset_literal": plan_facts(training_dataset(sessions, FIXTURE, form="literal")),
     }
+    sizes = sessions.agg(F.count(F.lit(1)).alias("sessions"), F.count_distinct("clientId").alias("clients")).first()
     medians = {k: round(statistics.median(v), 3) for k, v in times.items()}
     print(
         json.dumps(
@@ -106,6 +108,7 @@ def main() -> None:
                 "repeat": repeat,
                 "max_iter": cfg.max_iter,
                 "plans": plans,
+                "input": {"sessions": sizes["sessions"], "clients": sizes["clients"]},
             }
         )
     )
