@@ -1,4 +1,5 @@
-"""Command-line run: ``spark-submit --py-files cohortex.zip -m cohortex --source_table ...``.
+"""Command-line run: ``python -m cohortex --source_table ...`` or
+``spark-submit --py-files cohortex.zip cohortex/__main__.py --source_table ...``.
 
 Options have the names of :class:`cohortex.config.AudienceConfig` fields and take text
 values; ``--rules_file`` points to a JSON campaign (see ``rules_from_json``).
