@@ -232,3 +232,14 @@ def test_hot_client_with_a_third_of_sessions(spark):
     plan = fused._jdf.queryExecution().executedPlan().toString()
     tail = plan.split("Exchange hashpartitioning(clientId")[1]
     assert "partial_max_by" in tail and "partial_collect_set" in tail
+
+
+def test_shared_aggregate_is_one_scan_one_exchange(spark, sessions_df, tmp_path):
+    from cohortex.catalog.setup import FIXTURE
+    from cohortex.plans.datasets import shared_feature_table
+    from cohortex.sources.sessions import read_sessions
+
+    path = str(tmp_path / "s")
+    edge_sessions(sessions_df).write.partitionBy("suffix").parquet(path)
+    plan = shared_feature_table(read_sessions(spark, path), FIXTURE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan parquet") == 1
