@@ -8,6 +8,7 @@ Layout:
               learning, registry, export
   plans/      composite jobs: feature tables (literal and fused), full run
   streaming/  (intentionally empty: the workload is batch only)
+  catalog/    the registered queries on the benchmark tables and their DuckDB oracle SQL
 """
 
 from cohortex.config import AudienceConfig, Windows, window_bounds
