@@ -154,7 +154,13 @@ def _hit_count(rule: EventRule) -> Column:
     )
 
 
-def _session_rows(sessions: DataFrame, start: str, end: str, rules: Sequence[EventRule]) -> DataFrame:
+def _hour_name(tz: str) -> str:
+    return "_hour_" + hashlib.md5(tz.encode()).hexdigest()[:12]
+
+
+def _session_rows(
+    sessions: DataFrame, start: str, end: str, rules: Sequence[EventRule], zones: Sequence[str] = ()
+) -> DataFrame:
     """Sessions of ``[start, end]`` with their per-rule hit counts; the hits array is dropped.
 
     Counting inside each session keeps one row per session (no exploded rows, no per-hit
@@ -167,6 +173,8 @@ def _session_rows(sessions: DataFrame, start: str, end: str, rules: Sequence[Eve
     counts = {"_hits_n": F.when(info.isNotNull(), F.size(info))}
     for rule in rules:
         counts.setdefault(_hit_count_name(rule), _hit_count(rule))
+    for tz in zones:  # local hour once per session, not once per hour bucket
+        counts.setdefault(_hour_name(tz), local_hour(F.col("visitStartTime"), tz))
     return scan.withColumns(counts).drop("hits")
 
 
@@ -183,7 +191,7 @@ def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
     def lb(c: Column) -> Column:
         return F.when(in_lb, c)
 
-    hour = local_hour(F.col("visitStartTime"), spec.tz)
+    hour = F.col(_hour_name(spec.tz))
     order = F.struct(*[F.col(c) for c in SESSION_ORDER])
     latest = F.struct(
         F.col("visitNumber"),
@@ -234,7 +242,8 @@ def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> D
     one feature table out of it. A training and a scoring table share one scan this way."""
     bounds = [_bounds(s) for s in specs.values()]
     rules = [r for spec in specs.values() for r in (*spec.rules, *([spec.conversion_rule] if spec.labelled else []))]
-    rows = _session_rows(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds), rules)
+    zones = sorted({spec.tz for spec in specs.values()})
+    rows = _session_rows(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds), rules, zones)
     aggs = [a for name, spec in specs.items() for a in _spec_aggregates(spec, f"{name}__")]
     return rows.groupBy("clientId").agg(*aggs)
 
