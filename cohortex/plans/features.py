@@ -154,6 +154,10 @@ def _hit_count(rule: EventRule) -> Column:
     )
 
 
+def _window_name(start: str, end: str) -> str:
+    return "_in_" + hashlib.md5(f"{start}|{end}".encode()).hexdigest()[:12]
+
+
 def _hour_name(tz: str) -> str:
     return "_hour_" + hashlib.md5(tz.encode()).hexdigest()[:12]
 
@@ -186,7 +190,7 @@ def _hit_count_name(rule: EventRule) -> str:
 def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
     """Aggregates of one feature spec over session rows, guarded by its windows, named with
     prefix ``p``."""
-    in_lb = suffix_between(spec.start, spec.end)
+    in_lb = F.col(_window_name(spec.start, spec.end))
 
     def lb(c: Column) -> Column:
         return F.when(in_lb, c)
@@ -225,7 +229,7 @@ def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
         *[F.sum(lb(F.col(_hit_count_name(r)))).alias(f"{p}{r.name}") for r in spec.rules],
     ]
     if spec.labelled:
-        in_cv = suffix_between(spec.conversion_start, spec.conversion_end)
+        in_cv = F.col(_window_name(spec.conversion_start, spec.conversion_end))
         aggs.append(F.sum(F.when(in_cv, F.col(_hit_count_name(spec.conversion_rule)))).alias(f"{p}_conv"))
     return aggs
 
@@ -244,6 +248,10 @@ def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> D
     rules = [r for spec in specs.values() for r in (*spec.rules, *([spec.conversion_rule] if spec.labelled else []))]
     zones = sorted({spec.tz for spec in specs.values()})
     rows = _session_rows(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds), rules, zones)
+    windows = {(s.start, s.end) for s in specs.values()}
+    windows |= {(s.conversion_start, s.conversion_end) for s in specs.values() if s.labelled}
+    # each window test once per session row, not once per aggregate
+    rows = rows.withColumns({_window_name(a, b): suffix_between(a, b) for a, b in sorted(windows)})
     aggs = [a for name, spec in specs.items() for a in _spec_aggregates(spec, f"{name}__")]
     return rows.groupBy("clientId").agg(*aggs)
 
