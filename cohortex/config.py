@@ -35,6 +35,8 @@ def window_bounds(
     Both ends are inclusive, so day ``D-classification`` belongs to the lookback and to the
     conversion window; ``exclusive_lookback_end`` moves the lookback end one day back.
     """
+    if classification_days < 0:
+        raise ValueError("classification_window_start_in_days must not be negative")
     if training_days <= classification_days:
         raise ValueError("training window must start before the classification window")
     lb_start = as_of - dt.timedelta(days=training_days)

@@ -93,6 +93,15 @@ class FeatureSpec:
     conversion_rule: EventRule | None = None
     distinct_via_sets: bool = True
 
+    def __post_init__(self) -> None:
+        if self.start > self.end:
+            raise ValueError(f"window start {self.start} is after its end {self.end}")
+        if self.conversion_rule is not None:
+            if not (self.conversion_start and self.conversion_end):
+                raise ValueError("a labelled spec needs conversion_start and conversion_end")
+            if self.conversion_start > self.conversion_end:
+                raise ValueError("conversion window start is after its end")
+
     @property
     def labelled(self) -> bool:
         return self.conversion_rule is not None

@@ -59,3 +59,18 @@ def test_command_line_parser():
     cfg, rules_file = parse(["--source_table", "/d/s", "--destination_table", "aud", "--load_trained_model", "true",
                              "--rules_file", "/d/r.json"])
     assert cfg.source_table == "/d/s" and cfg.load_trained_model and rules_file == "/d/r.json"
+
+
+def test_invalid_windows_are_rejected():
+    from cohortex.config import window_bounds
+    from cohortex.functions.rules import EventRule
+    from cohortex.plans.features import FeatureSpec
+
+    with pytest.raises(ValueError):
+        window_bounds(dt.date(2024, 1, 30), 10, 30)
+    with pytest.raises(ValueError):
+        window_bounds(dt.date(2024, 1, 30), 10, -1)
+    with pytest.raises(ValueError):
+        FeatureSpec("20240110", "20240101", ())
+    with pytest.raises(ValueError):
+        FeatureSpec("20240101", "20240110", (), conversion_rule=EventRule("y", eventCategory="x"))
