@@ -6,7 +6,6 @@ Unused parameters are allowed, so callers may pass one parameter dict to all tem
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +27,10 @@ TEMPLATES: dict[str, str] = {
     ),
 }
 
-_MARKER = re.compile(r"(?<![:\w]):([A-Za-z_]\w*)")
-
-
-def markers(text: str) -> set[str]:
-    return set(_MARKER.findall(text))
-
-
 def param_query(spark: SparkSession, template: str, params: Mapping[str, object]) -> DataFrame:
-    """Run a named template (or SQL text) with only the parameters it references bound."""
-    text = TEMPLATES.get(template, template)
-    needed = markers(text)
-    missing = needed - set(params)
-    if missing:
-        raise KeyError(f"parameters missing for query: {sorted(missing)}")
-    return spark.sql(text, args={k: params[k] for k in needed})
+    """Run a named template (or SQL text) with the parameters bound as named arguments.
+
+    Spark ignores arguments the text does not use and rejects markers left unbound
+    (``UNBOUND_SQL_PARAMETER``), so one parameter dict serves every template.
+    """
+    return spark.sql(TEMPLATES.get(template, template), args=dict(params))
