@@ -32,7 +32,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cohortex-bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
-        .config("spark.sql.shuffle.partitions", str(max(4, 2 * int(cpus))) if cpus.isdigit() else "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4, 2 * int(cpus))) if cpus.isdigit() else "8"))
         .config("spark.sql.adaptive.enabled", "true")
         # hash-based partial aggregation for up to 65,536 clients per task before the
         # spill-safe sort fallback (buffers are small: a struct and four bounded sets)
