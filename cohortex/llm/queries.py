@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from cohortex.llm import exact_dedup, mixing
+from cohortex.llm import exact_dedup, language_id, mixing, packing, warc
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op4_mixing": mixing.op4_mixing,
+    "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLE = {
     "op4_mixing": mixing.SQL,
+    "op8_warc": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
