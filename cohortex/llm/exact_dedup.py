@@ -33,7 +33,8 @@ def frequent_digests(slim: DataFrame, capacity: int = CAPACITY, winners: int = W
     states = slim.groupBy(F.pmod(F.spark_partition_id(), F.lit(LEVEL_ONE_GROUPS)).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(digest, {capacity})").alias("state")
     )
-    top = states.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(state, {capacity}), {winners})").alias("top"))
+    # one group rather than a global aggregate: an empty part then has no state to merge
+    top = states.groupBy(F.lit(1).alias("one")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(state, {capacity}), {winners})").alias("top"))
     return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("digest")).where("digest is not null")
 
 

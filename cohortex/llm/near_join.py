@@ -24,7 +24,8 @@ Defined results: a text without words (or null) has an empty set and links with
 text of one to four words is one shingle, so it links only with the same words. Repeated
 rows and ids are ordinary documents (rows are told apart by set, not by id). The component
 id is the least non-null doc_id of the part, null if it has none. An empty table gives an
-empty result. Only id and text are read.
+empty result. ``membership`` reads id and text only; ``deduplicate`` keeps every column and
+drops a row if its id is not the least of its group (rows that share that id all stay).
 """
 
 from __future__ import annotations

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cohortex.llm import exact_dedup, language_id, mixing, packing, warc
+from cohortex.llm import exact_dedup, language_id, mixing, near_join, packing, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op4_mixing": mixing.op4_mixing,
+    "op7_near_join": near_join.op7_near_join,
     "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language_id": language_id.op10_language_id,
