@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cohortex.llm import exact_dedup, language_id, mixing, near_join, packing, warc
+from cohortex.llm import exact_dedup, language_id, mixing, near_join, packing, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
     "op7_near_join": near_join.op7_near_join,
     "op8_warc": warc.op8_warc,
