@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from cohortex.llm import exact_dedup, language_id, mixing, near_join, packing, toxicity, warc
+from cohortex.llm import ann, exact_dedup, html_extract, language_id, mixing, near_join, packing, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
+    "op5_html_extraction": html_extract.op5_html_extraction,
+    "op6_ann": ann.op6_ann,
     "op7_near_join": near_join.op7_near_join,
     "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
