@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cohortex.llm import ann, exact_dedup, html_extract, language_id, mixing, near_join, packing, toxicity, warc
+from cohortex.llm import ann, exact_dedup, html_extract, katz, language_id, mixing, near_join, packing, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_katz": katz.op2_katz,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
     "op5_html_extraction": html_extract.op5_html_extraction,
