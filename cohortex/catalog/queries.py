@@ -69,12 +69,22 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_window(sessions_from_events(spark, sf_dir), LB_START, LB_END)
+def all_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session of a known client, without visit numbers and places."""
+    return client_not_null(sessions_from_events(spark, sf_dir, profile=False))
+
+
+def lookback(spark: SparkSession, sf_dir: str, profile: bool = False) -> DataFrame:
+    return scan_window(sessions_from_events(spark, sf_dir, LB_START, LB_END, profile), LB_START, LB_END)
 
 
 def conversion_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_window(sessions_from_events(spark, sf_dir), CV_START, CV_END)
+    return scan_window(sessions_from_events(spark, sf_dir, CV_START, CV_END, profile=False), CV_START, CV_END)
+
+
+def feature_sessions(spark: SparkSession, sf_dir: str, campaign: bool = False) -> DataFrame:
+    """The sessions that the training and scoring windows need."""
+    return sessions_from_events(spark, sf_dir, min(LB_START, CV_START), max(LB_END, CV_END), campaign=campaign)
 
 
 def order_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,11 +114,11 @@ def q_load_table(spark, sf_dir):
     return load_table(spark, f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
 
 
-@register("sink_overwrite", O.with_a("SELECT * FROM totals", O.totals_cte()))
+@register("sink_overwrite", O.with_a("SELECT * FROM totals", O.totals_cte(None)))
 def q_sink_overwrite(spark, sf_dir):
     target = scratch_path(spark, "sink_overwrite")
-    write_overwrite(lookback(spark, sf_dir).select("clientId", "suffix"), target)  # replaced below
-    totals = A.visit_totals(lookback(spark, sf_dir)).withColumn("revenue", F.round("revenue", 6))
+    write_overwrite(all_sessions(spark, sf_dir).select("clientId", "suffix"), target)  # replaced below
+    totals = A.visit_totals(all_sessions(spark, sf_dir)).withColumn("revenue", F.round("revenue", 6))
     write_overwrite(totals, target)
     return read_back(spark, target)
 
@@ -128,9 +138,11 @@ def q_sink_append(spark, sf_dir):
     f"FROM sessions WHERE suffix BETWEEN '{LB_START}' AND '{LB_END}' AND clientId IS NOT NULL GROUP BY clientId"))
 def q_param_query(spark, sf_dir):
     view = f"sessions_{uuid.uuid4().hex[:12]}"
-    sessions_from_events(spark, sf_dir).createOrReplaceTempView(view)
+    sessions_from_events(spark, sf_dir, LB_START, LB_END, profile=False).createOrReplaceTempView(view)
     params = {"table": view, "start": LB_START, "end": LB_END, "prediction_type": FIXTURE.prediction_type}
-    return param_query(spark, "client_sessions", params)
+    counted = param_query(spark, "client_sessions", params)
+    spark.catalog.dropTempView(view)  # the plan is resolved
+    return counted
 
 
 # ---------------------------------------------------------------- projections, filters
@@ -153,24 +165,25 @@ def q_project_nested(spark, sf_dir):
 
 
 @register("star_except", O.with_a(
-    "SELECT * EXCLUDE (rn) FROM (SELECT clientId, visitId, channelGrouping, suffix, "
-    "ROW_NUMBER() OVER (PARTITION BY clientId ORDER BY visitId DESC) AS rn "
-    f"FROM sessions WHERE {O.LB}) WHERE rn = 1"))
+    f"SELECT clientId, visitId, channelGrouping, suffix FROM sessions WHERE {O.B_ALL} "
+    "QUALIFY visitId = max(visitId) OVER (PARTITION BY clientId)"))
 def q_star_except(spark, sf_dir):
-    view = f"lookback_{uuid.uuid4().hex[:12]}"
-    lookback(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(
-        "SELECT * EXCEPT (rn) FROM (SELECT clientId, visitId, channelGrouping, suffix, "
-        "ROW_NUMBER() OVER (PARTITION BY clientId ORDER BY visitId DESC) AS rn "
-        f"FROM {view}) WHERE rn = 1"
+    """``* EXCEPT``: the newest session of each client without its helper column."""
+    view = f"sessions_{uuid.uuid4().hex[:12]}"
+    all_sessions(spark, sf_dir).select("clientId", "visitId", "channelGrouping", "suffix").createOrReplaceTempView(view)
+    newest = spark.sql(
+        f"SELECT * EXCEPT (age) FROM (SELECT *, row_number() OVER (PARTITION BY clientId ORDER BY visitId DESC) AS age FROM {view}) "
+        "WHERE age = 1"
     )
+    spark.catalog.dropTempView(view)  # the plan is resolved
+    return newest
 
 
 @register("filter_not_null", O.with_a(
     "SELECT clientId, visitId, trafficSource.medium AS medium FROM sessions "
     "WHERE trafficSource.medium IS NOT NULL"))
 def q_filter_not_null(spark, sf_dir):
-    s = sessions_from_events(spark, sf_dir).select("clientId", "visitId", F.col("trafficSource.medium").alias("medium"))
+    s = sessions_from_events(spark, sf_dir, profile=False).select("clientId", "visitId", F.col("trafficSource.medium").alias("medium"))
     return client_not_null(s, "medium")
 
 
@@ -185,7 +198,7 @@ def q_between_filter(spark, sf_dir):
     "SELECT clientId, visitId, device.browser AS browser, device.operatingSystem AS operatingSystem FROM sessions "
     f"WHERE device.browser NOT IN {O.KEEP_BROWSER} AND device.operatingSystem IN {O.KEEP_OS}"))
 def q_in_list(spark, sf_dir):
-    s = sessions_from_events(spark, sf_dir)
+    s = sessions_from_events(spark, sf_dir, profile=False)
     cond = ~F.col("device.browser").isin(list(S.BROWSER_KEEP)) & F.col("device.operatingSystem").isin(list(S.OS_KEEP))
     return s.where(cond).select(
         "clientId", "visitId", F.col("device.browser").alias("browser"),
@@ -196,7 +209,7 @@ def q_in_list(spark, sf_dir):
     "SELECT clientId, visitId, h.eventInfo.eventLabel AS eventLabel FROM sessions g, UNNEST(g.hits) AS u(h) "
     "WHERE UPPER(h.eventInfo.eventLabel) LIKE '%PLAN%'"))
 def q_like_upper(spark, sf_dir):
-    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir, profile=False), "clientId", "visitId")
     match = Contains("PLAN")
 
     return hits.where(field_matches(F.col("eventInfo.eventLabel"), match)).select(
@@ -208,7 +221,7 @@ def q_like_upper(spark, sf_dir):
     + ", ".join(f"{O.rule_flag(r)} AS {r.name}" for r in FIXTURE_RULES)
     + " FROM sessions g, UNNEST(g.hits) AS u(h)"))
 def q_event_rule_flags(spark, sf_dir):
-    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir, profile=False), "clientId", "visitId")
     info = F.col("eventInfo")
     return hits.select("clientId", "visitId", *[A.rule_flag(r, info).alias(r.name) for r in FIXTURE_RULES])
 
@@ -221,13 +234,13 @@ def q_having_min_count(spark, sf_dir):
 @register("downsample_majority", O.with_a(
     f"SELECT clientid, y_conversions FROM joined WHERE {O.sampled_where()}", *O.features_ctes(True)))
 def q_downsample_majority(spark, sf_dir):
-    return training_dataset(sessions_from_events(spark, sf_dir), FIXTURE).select("clientid", "y_conversions")
+    return training_dataset(feature_sessions(spark, sf_dir), FIXTURE).select("clientid", "y_conversions")
 
 
 @register("drop_columns", O.with_a(
     "SELECT * EXCLUDE (region, operatingSystem) FROM joined", *O.features_ctes(True)))
 def q_drop_columns(spark, sf_dir):
-    return labelled_features(sessions_from_events(spark, sf_dir), FIXTURE).drop(*FIXTURE.exclude_columns)
+    return labelled_features(feature_sessions(spark, sf_dir), FIXTURE).drop(*FIXTURE.exclude_columns)
 
 
 @register("rename_output", O.with_a(
@@ -235,7 +248,7 @@ def q_drop_columns(spark, sf_dir):
     *O.features_ctes(True)))
 def q_rename_output(spark, sf_dir):
 
-    f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE)
+    f = labelled_features(feature_sessions(spark, sf_dir), FIXTURE)
     return rename_output(f, FIXTURE.index_dimension, FIXTURE.value_dimension, value="last_channel")
 
 
@@ -244,7 +257,7 @@ def q_rename_output(spark, sf_dir):
     *O.features_ctes(True)))
 def q_select_by_dtype(spark, sf_dir):
 
-    f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE)
+    f = labelled_features(feature_sessions(spark, sf_dir), FIXTURE)
     _, numbers = M.select_by_dtype(f, [M.KEY, M.LABEL])
     return f.select(M.KEY, *numbers)
 
@@ -312,36 +325,36 @@ def q_join_left(spark, sf_dir):
 
 @register("group_sum", O.with_a(
     "SELECT clientId, COUNT(1) AS sessions, CAST(SUM(totals.hits) AS BIGINT) AS hits, "
-    f"CAST(SUM(totals.pageviews) AS BIGINT) AS pageviews FROM sessions WHERE {O.LB} GROUP BY clientId"))
+    f"CAST(SUM(totals.pageviews) AS BIGINT) AS pageviews FROM sessions WHERE {O.B_ALL} GROUP BY clientId"))
 def q_group_sum(spark, sf_dir):
-    return lookback(spark, sf_dir).groupBy("clientId").agg(
+    return all_sessions(spark, sf_dir).groupBy("clientId").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.sum("totals.hits").alias("hits"),
         F.sum("totals.pageviews").alias("pageviews"))
 
 
 @register("count_distinct_multi", O.with_a(
-    "SELECT clientId, num_channels, num_sources, num_days, num_devices FROM totals", O.totals_cte()))
+    "SELECT clientId, num_channels, num_sources, num_days, num_devices FROM totals", O.totals_cte(None)))
 def q_count_distinct_multi(spark, sf_dir):
-    return lookback(spark, sf_dir).groupBy("clientId").agg(*A.distinct_count_columns(distinct_via_sets=False))
+    return all_sessions(spark, sf_dir).groupBy("clientId").agg(*A.distinct_count_columns(distinct_via_sets=False))
 
 
 @register("sum_totals", O.with_a(
-    "SELECT clientId, visits, pageviews, hits, timeonsite, bounces, transactions FROM totals", O.totals_cte()))
+    "SELECT clientId, visits, pageviews, hits, timeonsite, bounces, transactions FROM totals", O.totals_cte(None)))
 def q_sum_totals(spark, sf_dir):
-    return lookback(spark, sf_dir).groupBy("clientId").agg(
+    return all_sessions(spark, sf_dir).groupBy("clientId").agg(
         *[F.sum(f"totals.{f}").alias(f) for f in (*A.TOTAL_FIELDS, "transactions")])
 
 
 @register("hour_buckets", O.with_a(
-    "SELECT clientId, morning_visits, daytime_visits, evening_visits, midnight_visits FROM totals", O.totals_cte()))
+    "SELECT clientId, morning_visits, daytime_visits, evening_visits, midnight_visits FROM totals", O.totals_cte(None)))
 def q_hour_buckets(spark, sf_dir):
     hour = S.local_hour(F.col("visitStartTime"), FIXTURE.time_zone)
-    return lookback(spark, sf_dir).groupBy("clientId").agg(
+    return all_sessions(spark, sf_dir).groupBy("clientId").agg(
         *[F.sum(S.in_hours(hour, hrs)).alias(f"{n}_visits") for n, hrs in S.HOUR_BUCKETS.items()])
 
 
-@register("event_counts", O.with_a("SELECT * FROM session_hits", O.session_hits_cte()))
+@register("event_counts", O.with_a("SELECT * FROM hit_counts", O.session_hits_cte()))
 def q_event_counts(spark, sf_dir):
     return A.event_counts(lookback(spark, sf_dir), FIXTURE_RULES)
 
@@ -354,19 +367,19 @@ def q_conversion_counts(spark, sf_dir):
 @register("class_distribution", O.with_a(
     "SELECT y_conversions, COUNT(1) AS n FROM joined GROUP BY y_conversions", *O.features_ctes(True)))
 def q_class_distribution(spark, sf_dir):
-    return A.class_distribution(labelled_features(sessions_from_events(spark, sf_dir), FIXTURE))
+    return A.class_distribution(labelled_features(feature_sessions(spark, sf_dir), FIXTURE))
 
 
 @register("dataset_shape", O.with_a(
     f"SELECT COUNT(1) AS n_rows, {len(feature_columns(FIXTURE_RULES, True))} AS n_columns FROM joined "
     f"WHERE {O.sampled_where()}", *O.features_ctes(True)))
 def q_dataset_shape(spark, sf_dir):
-    return A.dataset_shape(training_dataset(sessions_from_events(spark, sf_dir), FIXTURE))
+    return A.dataset_shape(training_dataset(feature_sessions(spark, sf_dir), FIXTURE))
 
 
 @register("regroup_features", O.FEATURES_SQL)
 def q_regroup_features(spark, sf_dir):
-    f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE, form="literal")
+    f = labelled_features(feature_sessions(spark, sf_dir), FIXTURE, form="literal")
     keys = ["clientid", *CATEGORICAL, "current_visit"]
     summed = [c for c in f.columns if c not in keys and c != "y_conversions"]
     regrouped = f.groupBy(*keys).agg(
@@ -382,12 +395,12 @@ def q_visit_totals(spark, sf_dir):
 # ---------------------------------------------------------------- windows, top-k, set ops
 
 
-@register("latest_session", O.with_a("SELECT * FROM latest_session", O.latest_cte()))
+@register("latest_session", O.with_a("SELECT * FROM newest", O.latest_cte()))
 def q_latest_session(spark, sf_dir):
-    return latest_session(lookback(spark, sf_dir))
+    return latest_session(lookback(spark, sf_dir, profile=True))
 
 
-@register("first_session", O.with_a("SELECT * FROM first_session", O.first_cte()))
+@register("first_session", O.with_a("SELECT * FROM oldest", O.first_cte()))
 def q_first_session(spark, sf_dir):
     return first_session(lookback(spark, sf_dir))
 
@@ -396,7 +409,7 @@ def q_first_session(spark, sf_dir):
     "SELECT clientId, visitId, visitStartTime FROM sessions WHERE device.deviceCategory = 'mobile' "
     "ORDER BY visitStartTime DESC, visitId DESC, clientId DESC LIMIT 1"))
 def q_topk_latest(spark, sf_dir):
-    s = sessions_from_events(spark, sf_dir).where(F.col("device.deviceCategory") == "mobile")
+    s = sessions_from_events(spark, sf_dir, profile=False).where(F.col("device.deviceCategory") == "mobile")
     return s.orderBy(F.desc("visitStartTime"), F.desc("visitId"), F.desc("clientId")).limit(1).select(
         "clientId", "visitId", "visitStartTime")
 
@@ -407,7 +420,7 @@ def q_topk_latest(spark, sf_dir):
     "UNION ALL SELECT clientid, y_conversions FROM joined WHERE y_conversions = 1", *O.features_ctes(True)))
 def q_union_all_split(spark, sf_dir):
 
-    f = labelled_features(sessions_from_events(spark, sf_dir), FIXTURE).select("clientid", "y_conversions")
+    f = labelled_features(feature_sessions(spark, sf_dir), FIXTURE).select("clientid", "y_conversions")
     return union_all_split(f, FIXTURE.downsample_majority_class, FIXTURE.seed)
 
 
@@ -421,7 +434,7 @@ def q_union_all_split(spark, sf_dir):
     f"IF(device.operatingSystem NOT IN {O.KEEP_OS}, 'Others', device.operatingSystem) AS operatingSystem "
     "FROM sessions"))
 def q_bucket_rare(spark, sf_dir):
-    return sessions_from_events(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir, profile=False).select(
         "clientId", "visitId",
         F.col("device.browser").alias("raw_browser"),
         S.bucket_rare(F.col("device.browser"), S.BROWSER_KEEP).alias("browser"),
@@ -433,20 +446,20 @@ def q_bucket_rare(spark, sf_dir):
     "SELECT clientId, visitId, CASE WHEN device.isMobile = TRUE THEN 1 ELSE 0 END AS isMobile "
     "FROM sessions"))
 def q_bool_flag(spark, sf_dir):
-    return sessions_from_events(spark, sf_dir).select("clientId", "visitId", S.bool_flag(F.col("device.isMobile")).alias("isMobile"))
+    return sessions_from_events(spark, sf_dir, profile=False).select("clientId", "visitId", S.bool_flag(F.col("device.isMobile")).alias("isMobile"))
 
 
 @register("ifnull_zero", O.with_a(
     "SELECT clientId, CAST(SUM(totals.bounces) AS BIGINT) AS bounces_raw, "
-    f"CAST(IFNULL(SUM(totals.bounces), 0) AS BIGINT) AS bounces FROM sessions WHERE {O.LB} GROUP BY clientId"))
+    f"CAST(IFNULL(SUM(totals.bounces), 0) AS BIGINT) AS bounces FROM sessions WHERE {O.B_ALL} GROUP BY clientId"))
 def q_ifnull_zero(spark, sf_dir):
-    g = lookback(spark, sf_dir).groupBy("clientId").agg(F.sum("totals.bounces").alias("bounces_raw"))
+    g = all_sessions(spark, sf_dir).groupBy("clientId").agg(F.sum("totals.bounces").alias("bounces_raw"))
     return g.withColumn("bounces", S.ifnull_zero(F.col("bounces_raw")))
 
 
 @register("label_binary", O.with_a(
-    "SELECT sh.clientId, IF(IFNULL(SUM(c.y_conversions), 0) > 0, 1, 0) AS y_conversions "
-    "FROM session_hits sh LEFT OUTER JOIN converted c ON sh.clientId = c.clientId GROUP BY sh.clientId",
+    "SELECT clientId, CAST(converted.y_conversions IS NOT NULL AS INTEGER) AS y_conversions "
+    "FROM hit_counts LEFT JOIN converted USING (clientId)",
     O.session_hits_cte(), O.converted_cte()))
 def q_label_binary(spark, sf_dir):
     sh = A.event_counts(lookback(spark, sf_dir), FIXTURE_RULES).select("clientId")
@@ -458,7 +471,7 @@ def q_label_binary(spark, sf_dir):
     "SELECT clientId, visitId, trafficSource.source || ' / ' || trafficSource.medium AS source_medium "
     "FROM sessions"))
 def q_concat_source_medium(spark, sf_dir):
-    return sessions_from_events(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir, profile=False).select(
         "clientId", "visitId", S.concat_pair(F.col("trafficSource.source"), F.col("trafficSource.medium")).alias("source_medium"))
 
 
@@ -466,7 +479,7 @@ def q_concat_source_medium(spark, sf_dir):
     "SELECT clientId, visitId, UPPER(h.eventInfo.eventLabel) AS label_upper "
     "FROM sessions g, UNNEST(g.hits) AS u(h)"))
 def q_upper_case(spark, sf_dir):
-    hits = unnest_hits(sessions_from_events(spark, sf_dir), "clientId", "visitId")
+    hits = unnest_hits(sessions_from_events(spark, sf_dir, profile=False), "clientId", "visitId")
     return hits.select("clientId", "visitId", F.upper(F.col("eventInfo.eventLabel")).alias("label_upper"))
 
 
@@ -474,7 +487,7 @@ def q_upper_case(spark, sf_dir):
     "SELECT clientId, visitId, strftime(make_timestamp(visitStartTime * 1000000), '%Y-%m-%d %H:%M:%S') AS start_utc, "
     "visitStartTime AS round_trip FROM sessions"))
 def q_epoch_to_ts(spark, sf_dir):
-    s = sessions_from_events(spark, sf_dir)
+    s = sessions_from_events(spark, sf_dir, profile=False)
     return s.select(
         "clientId", "visitId",
         F.date_format(S.epoch_to_ntz(F.col("visitStartTime")), "yyyy-MM-dd HH:mm:ss").alias("start_utc"),
@@ -484,13 +497,13 @@ def q_epoch_to_ts(spark, sf_dir):
 @register("local_hour", O.with_a(
     f"SELECT clientId, visitId, CAST({O.HOUR} AS INTEGER) AS local_hour FROM sessions"))
 def q_local_hour(spark, sf_dir):
-    return sessions_from_events(spark, sf_dir).select(
+    return sessions_from_events(spark, sf_dir, profile=False).select(
         "clientId", "visitId", S.local_hour(F.col("visitStartTime"), FIXTURE.time_zone).alias("local_hour"))
 
 
-@register("revenue_scaled", O.with_a("SELECT clientId, revenue FROM totals", O.totals_cte()))
+@register("revenue_scaled", O.with_a("SELECT clientId, revenue FROM totals", O.totals_cte(None)))
 def q_revenue_scaled(spark, sf_dir):
-    g = lookback(spark, sf_dir).groupBy("clientId").agg(
+    g = all_sessions(spark, sf_dir).groupBy("clientId").agg(
         S.revenue_scaled(F.sum("totals.totalTransactionRevenue"), FIXTURE.revenue_divisor).alias("revenue"))
     return g.withColumn("revenue", F.round("revenue", 6))
 
@@ -499,7 +512,7 @@ def q_revenue_scaled(spark, sf_dir):
     f"SELECT DISTINCT clientId, {O.u32('clientId', FIXTURE.seed)} AS h32, "
     f"ROUND({O.uniform('clientId', FIXTURE.seed)}, 12) AS u FROM sessions"))
 def q_hash_uniform(spark, sf_dir):
-    c = sessions_from_events(spark, sf_dir).select("clientId").distinct()
+    c = sessions_from_events(spark, sf_dir, profile=False).select("clientId").distinct()
     return c.select(
         "clientId",
         S.hash_u32(F.col("clientId"), FIXTURE.seed).alias("h32"),
@@ -509,7 +522,7 @@ def q_hash_uniform(spark, sf_dir):
 @register("date_minus_days", O.with_a(
     "SELECT DISTINCT suffix, strftime(strptime(suffix, '%Y%m%d') - INTERVAL 30 DAY, '%Y%m%d') AS minus_30 FROM sessions"))
 def q_date_minus_days(spark, sf_dir):
-    s = sessions_from_events(spark, sf_dir).select("suffix").distinct()
+    s = sessions_from_events(spark, sf_dir, profile=False).select("suffix").distinct()
     return s.select("suffix", S.date_to_text(S.date_minus_days(S.text_to_date(F.col("suffix")), 30)).alias("minus_30"))
 
 
@@ -521,7 +534,7 @@ def q_date_to_text(spark, sf_dir):
 
 @register("md5_digest", O.with_a("SELECT DISTINCT clientId, md5(clientId) AS md5 FROM sessions"))
 def q_md5_digest(spark, sf_dir):
-    c = sessions_from_events(spark, sf_dir).select("clientId").distinct()
+    c = sessions_from_events(spark, sf_dir, profile=False).select("clientId").distinct()
     return c.select("clientId", S.md5_digest(F.col("clientId")).alias("md5"))
 
 
@@ -541,7 +554,7 @@ def q_segment_label(spark, sf_dir):
     "FROM (SELECT DISTINCT suffix FROM sessions)"))
 def q_window_bounds(spark, sf_dir):
     w = FIXTURE.windows()
-    s = sessions_from_events(spark, sf_dir).select("suffix").distinct()
+    s = sessions_from_events(spark, sf_dir, profile=False).select("suffix").distinct()
     return s.select(
         "suffix",
         F.col("suffix").between(w.lookback_start, w.lookback_end).alias("in_lookback"),
@@ -554,17 +567,17 @@ def q_window_bounds(spark, sf_dir):
 
 @register("training_dataset", O.training_sql())
 def q_training_dataset(spark, sf_dir):
-    return training_dataset(sessions_from_events(spark, sf_dir), FIXTURE, form="fused")
+    return training_dataset(feature_sessions(spark, sf_dir), FIXTURE, form="fused")
 
 
 @register("training_dataset_literal", O.training_sql())
 def q_training_dataset_literal(spark, sf_dir):
-    return training_dataset(sessions_from_events(spark, sf_dir), FIXTURE, form="literal")
+    return training_dataset(feature_sessions(spark, sf_dir), FIXTURE, form="literal")
 
 
 @register("scoring_dataset", O.SCORING_SQL)
 def q_scoring_dataset(spark, sf_dir):
-    return scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE)
+    return scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE)
 
 
 # ---------------------------------------------------------------- learning
@@ -574,7 +587,7 @@ _RUN_FEATURES = O.features_ctes(True)  # FIXTURE_RUN keeps all negatives: traini
 
 
 def _features(spark, sf_dir):
-    return labelled_features(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+    return labelled_features(feature_sessions(spark, sf_dir), FIXTURE_RUN)
 
 
 def _layout(df):
@@ -677,13 +690,13 @@ def q_accuracy_score(spark, sf_dir):
 
 def _trained(spark, sf_dir, cfg=FIXTURE_RUN):
 
-    return train(spark, cfg, sessions_from_events(spark, sf_dir))
+    return train(spark, cfg, feature_sessions(spark, sf_dir))
 
 
 @register("train_classifier", None)
 def q_train_classifier(spark, sf_dir):
 
-    sessions = sessions_from_events(spark, sf_dir)
+    sessions = feature_sessions(spark, sf_dir)
     training = persist_reliably(training_dataset(sessions, FIXTURE_RUN))
     layout = _layout(training)
     parts = split_for_training(training, FIXTURE_RUN)
@@ -696,7 +709,7 @@ def q_train_classifier(spark, sf_dir):
 @register("predict_proba", None)
 def q_predict_proba(spark, sf_dir):
     t = _trained(spark, sf_dir)
-    scoring = scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+    scoring = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
     return M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
 
 
@@ -704,7 +717,7 @@ def q_predict_proba(spark, sf_dir):
 def q_audience_export(spark, sf_dir):
 
     t = _trained(spark, sf_dir)
-    scoring = scoring_dataset(sessions_from_events(spark, sf_dir), FIXTURE_RUN)
+    scoring = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
     c = FIXTURE_RUN
     return audience(t.model, scoring, t.layout, c.medium_class_value, c.high_class_value, c.index_dimension, c.value_dimension)
 
@@ -743,7 +756,7 @@ def q_registry_verify(spark, sf_dir):
 def q_load_or_train(spark, sf_dir):
 
     cfg = replace(_registry_cfg(spark), load_trained_model=True)
-    sessions = sessions_from_events(spark, sf_dir)
+    sessions = feature_sessions(spark, sf_dir)
     run(spark, cfg, sessions)  # empty registry: trains and registers
     return run(spark, cfg, sessions)  # loads the verified model
 
@@ -752,7 +765,7 @@ def q_load_or_train(spark, sf_dir):
 def q_run_audience(spark, sf_dir):
 
     cfg = replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
-    return run(spark, cfg, sessions_from_events(spark, sf_dir))
+    return run(spark, cfg, feature_sessions(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- the campaign's own rule set
@@ -762,9 +775,7 @@ _CAMPAIGN = replace(FIXTURE, rules=CAMPAIGN_RULES, conversion_rule=CONVERSION_RU
 
 
 @register("campaign_features", O.with_a(
-    "SELECT * FROM joined",
-    O.latest_cte(), O.first_cte(), O.totals_cte(), O.session_hits_cte(rules=CAMPAIGN_RULES),
-    O.converted_cte(rule=CONVERSION_RULE), O.joined_cte(True, rules=CAMPAIGN_RULES)))
+    "SELECT * FROM joined", *O.features_ctes(True, rules=CAMPAIGN_RULES, conversion=CONVERSION_RULE), campaign=True))
 def q_campaign_features(spark, sf_dir):
-    """The 25 campaign rules and the campaign conversion rule over the fixture sessions."""
-    return labelled_features(sessions_from_events(spark, sf_dir), _CAMPAIGN)
+    """The 25 campaign rules and the campaign conversion rule over sessions with campaign hits."""
+    return labelled_features(feature_sessions(spark, sf_dir, campaign=True), _CAMPAIGN)
