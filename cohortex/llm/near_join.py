@@ -4,17 +4,23 @@ A document's set is its distinct five-word shingles (64-bit hashes, see ``words`
 documents link when 100 * |A and B| >= 75 * |A or B|; the classes are the connected parts.
 
 1. Documents with equal sets form one node (grouped by a 128-bit digest of the set).
-2. Nodes that share the least shingle under one of ``STAR_ORDERS`` hash orders are compared
-   with one centre of their group, a linear number of pairs. Verified links merge most
+2. Nodes that share the least shingle under one of ``STAR_ORDERS`` hash orders form a group;
+   its centre is the node whose least shingles are the most common ones. Nodes that agree
+   with a centre in ``STAR_AGREE`` orders are compared with it, a linear number of pairs, in
+   ``STAR_ROUNDS`` rounds with other centres for what is left. Verified links merge most
    near copies, so that later no step writes out all pairs of a group.
-3. Prefix filter under the first global order: frequent shingles last (counted over all
-   documents, the ``FREQUENT`` most frequent are broadcast: 8 bytes each), others by hash.
+3. Prefix filter under the first global order: frequent shingles last, others by hash.
+   Frequent are shingles that many parts of step 2 share (counted over one document of each
+   part, so that copies do not count; the ``FREQUENT`` most frequent are broadcast, 8 bytes
+   each).
    Linked sets share a shingle among their first |A| - ceil(0.75 |A|) + 1. Prefix shingles
    are shuffled and sorted by shingle; only pairs from different parts of step 2 with
-   compatible sizes are candidates. A posting list longer than ``BLOCK`` is dealt into
+   compatible sizes are counted, and a candidate must share as many prefix shingles as the
+   least possible intersection of a link leaves in both prefixes (see ``least_shared``).
+   Unlike one shared shingle, that is not met by a passage two documents share. A posting list longer than ``BLOCK`` is dealt into
    blocks, and each pair of blocks is a task of its own.
-4. Candidates must also share prefix shingles under the second and the third order; pairs
-   that pass all filters are verified exactly on the whole sets.
+4. Candidates must share as many prefix shingles under the second and the third order too;
+   pairs that pass all filters are verified exactly on the whole sets.
 5. Connected parts by least-label propagation with pointer jumping.
 
 No link is lost: every filter is a necessary condition, nothing is capped. Links inside a
@@ -42,14 +48,16 @@ from cohortex.llm.words import mix, shingle_sets
 
 WIDTH = 5
 THRESHOLD = 75  # per cent
-STAR_ORDERS = 4
+STAR_ORDERS = 8
+STAR_AGREE = 3
+STAR_ROUNDS = 4
 FREQUENT = 1 << 17
 LOCAL_COUNT = 3
-GLOBAL_COUNT = 32
+GLOBAL_COUNT = 8
 BLOCK = 50_000
 SMALL_ROWS = 1_000_000  # a slim table of at most this many rows (about 32 MB) may be broadcast
 
-_ORDERS = np.arange(1, 17, 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+_ORDERS = np.arange(1, 129, 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
 
 
 def order_key(tokens: np.ndarray, order: int) -> np.ndarray:
@@ -87,44 +95,40 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def signatures(docs: DataFrame, width: int, star_orders: int) -> DataFrame:
-    """kind 0: one row per document: doc_id, n, digest (d1, d2), least shingle under each star order.
-    kind 1: shingles (d1) that several documents of a batch share, with their number (n)."""
+    """One row per document: doc_id, n, digest (d1, d2), least shingle under each star order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, d1, d2, firsts, sets = [], [], [], [], []
+            n, d1, d2, firsts = [], [], [], []
             for _, tokens in shingle_sets(batch.column(1), width):
                 n.append(len(tokens))
-                scrambled = mix(tokens ^ np.uint64(0x5851F42D4C957F2D))
-                d1.append(mix(np.array([len(tokens)], np.uint64) + tokens.sum(dtype=np.uint64))[0])
-                d2.append(mix(np.array([len(tokens)], np.uint64) ^ scrambled.sum(dtype=np.uint64))[0])
+                one, two = digest(tokens)
+                d1.append(one)
+                d2.append(two)
                 firsts.append(np.array([order_key(tokens, k + 3).min() for k in range(star_orders)] if len(tokens) else [], np.uint64).view(np.int64))
-                sets.append(tokens)
-            if not n:
-                continue
-            tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= LOCAL_COUNT
-            tokens, counts = tokens[often], counts[often]
-            k = len(tokens)
-            ids = batch.column(0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[np.zeros(len(n), np.int32), np.ones(k, np.int32)]),
-                    pa.concat_arrays([ids, pa.nulls(k, ids.type)]),
-                    pa.array(np.r_[np.array(n, np.int64), counts.astype(np.int64)]),
-                    _longs(np.r_[np.array(d1, np.uint64), tokens]),
-                    _longs(np.r_[np.array(d2, np.uint64), np.zeros(k, np.uint64)]),
-                    _lists(firsts + [np.zeros(0, np.int64)] * k, pa.int64()),
-                ],
-                names=["kind", "doc_id", "n", "d1", "d2", "firsts"],
-            )
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(n, pa.int64()), _longs(np.array(d1, np.uint64)), _longs(np.array(d2, np.uint64)), _lists(firsts, pa.int64())],
+                    names=["doc_id", "n", "d1", "d2", "firsts"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, firsts array<long>")
+
 
-    return docs.mapInArrow(run, "kind int, doc_id long, n long, d1 long, d2 long, firsts array<long>")
+def frequent_shingles(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(token, n): the shingles that most of ``nodes`` hold, at most ``FREQUENT`` rows.
 
+    A batch reports what at least ``LOCAL_COUNT`` of its documents share; n counts those.
+    """
+
+    def make(rows) -> Iterator[pa.RecordBatch]:
+        sets = [tokens for _, tokens, d1, d2, _ in rows if _stands(tokens, d1, d2)]
+        if sets:
+            tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+            often = counts >= LOCAL_COUNT
+            yield pa.RecordBatch.from_arrays([_longs(tokens[often]), pa.array(counts[often].astype(np.int64))], names=["token", "n"])
 
-def frequent_shingles(signed: DataFrame) -> DataFrame:
-    """(token, n): the most frequent shingles with their counted documents, at most ``FREQUENT`` rows."""
-    counted = signed.where("kind = 1").groupBy(F.col("d1").alias("token")).agg(F.sum("n").alias("n")).where(F.col("n") >= GLOBAL_COUNT)
+    counted = _with_sets(docs, nodes, width, "token long, n long", make).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= GLOBAL_COUNT)
     return durable(counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT), "near_frequent")
 
 
@@ -152,21 +156,34 @@ def _with_sets(docs: DataFrame, nodes: DataFrame, width: int, schema: str, make:
     return joined.mapInArrow(run, schema)
 
 
-def _stands(tokens: np.ndarray, d1: np.uint64, d2: np.uint64) -> bool:
+def digest(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """Two independent 64-bit hashes of a set."""
     n = np.array([len(tokens)], np.uint64)
-    if mix(n + tokens.sum(dtype=np.uint64))[0] != d1:
-        return False
-    return mix(n ^ mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))[0] == d2
+    return mix(n + tokens.sum(dtype=np.uint64))[0], mix(n ^ mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))[0]
+
+
+def _stands(tokens: np.ndarray, d1: np.uint64, d2: np.uint64) -> bool:
+    return digest(tokens) == (d1, d2)
 
 
 def _compatible(a: Column, b: Column, threshold: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
 
 
-def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent: np.ndarray, width: int, threshold: int, name: str) -> DataFrame:
-    """The pairs (a, b) that share prefixes under orders 1 and 2 and whose sets are similar enough."""
-    pairs = durable(pairs.select("a", "b"), f"near_{name}_pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def least_shared(a: Column, b: Column, threshold: int) -> Column:
+    """Shingles that two linked sets of sizes a and b share among their prefixes, under any order.
+
+    Linked sets share o >= t / (1 + t) * (a + b) shingles. A prefix leaves out ceil(t * size) - 1
+    shingles of its set, so it holds all but as many of the shared ones, the first ones in the
+    order; the smaller of the two beginnings lies in both prefixes.
+    """
+    shared = (a + b) * threshold + F.lit(99 + threshold)
+    largest = F.greatest(a, b) * threshold + F.lit(99)
+    return F.floor(shared / F.lit(100 + threshold)).cast("long") - F.floor(largest / F.lit(100)).cast("long") + 1
+
+
+def node_sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame, frequent: np.ndarray, width: int, threshold: int, name: str) -> DataFrame:
+    """node, prefixes under orders 1 and 2, shingles of the nodes in ``ends``."""
     wanted = durable(nodes.join(ends, "node", "left_semi").select("doc", "d1", "d2", "node"), f"near_{name}_nodes")
 
     def make(rows) -> Iterator[pa.RecordBatch]:
@@ -174,7 +191,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent
 
         def flush() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), _lists([o[1] for o in out], pa.int32()), _lists([o[2] for o in out], pa.int32()), _lists([o[3] for o in out], pa.int64())],
+                [pa.array([o[0] for o in out], pa.int64()), _lists([o[1] for o in out], pa.int64()), _lists([o[2] for o in out], pa.int64()), _lists([o[3] for o in out], pa.int64())],
                 names=["node", "p1", "p2", "tokens"],
             )
             out.clear()
@@ -183,7 +200,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent
         held = 0
         for i, tokens, d1, d2, (node,) in rows:
             if _stands(tokens, d1, d2):
-                p1, p2 = (prefix(tokens, frequent, k, threshold).astype(np.uint32).view(np.int32) for k in (1, 2))
+                p1, p2 = (prefix(tokens, frequent, k, threshold).view(np.int64) for k in (1, 2))
                 out.append((int(node[i]), p1, p2, tokens.view(np.int64)))
                 held += len(tokens)
                 if held > 1_000_000:
@@ -192,20 +209,42 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, frequent
         if out:
             yield flush()
 
-    sets = durable(
-        _with_sets(docs, wanted, width, "node long, p1 array<int>, p2 array<int>, tokens array<long>", make).dropDuplicates(["node"]), f"near_{name}_sets"
-    )
+    return durable(_with_sets(docs, wanted, width, "node long, p1 array<long>, p2 array<long>, tokens array<long>", make), f"near_{name}_sets")
+
+
+def verified_links(sets: DataFrame, pairs: DataFrame, threshold: int, name: str) -> DataFrame:
+    """The pairs (a, b, need) that share ``need`` prefix shingles under orders 1 and 2 and whose sets are similar enough."""
 
     def side(end: str, *columns: str) -> DataFrame:
         return sets.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
 
     filtered = (
-        pairs.join(side("a", "p1", "p2"), "a").join(side("b", "p1", "p2"), "b").where(F.arrays_overlap("p1_a", "p1_b") & F.arrays_overlap("p2_a", "p2_b")).select("a", "b")
+        pairs.join(side("a", "p1", "p2"), "a").join(side("b", "p1", "p2"), "b")
+        .where((F.size(F.array_intersect("p1_a", "p1_b")) >= F.col("need")) & (F.size(F.array_intersect("p2_a", "p2_b")) >= F.col("need")))
+        .select("a", "b")
     )
     both = filtered.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
-    return durable(both.where(common * 100 >= union * threshold).select("a", "b"), f"near_{name}_links")
+    return durable(both.where(common * 100 >= union * threshold).select("a", "b").distinct(), f"near_{name}_links")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def merge(parts: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``parts`` (node, part, ...) after the links' parts have become one."""
+    of = parts.select("node", "part")
+    across = (
+        links.join(of.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
+        .join(of.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
+        .where("pa <> pb")
+        .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+        .distinct()
+    )
+    whole = connected_parts(across, name).select(F.col("node").alias("part"), F.col("part").alias("_whole"))
+    return durable(parts.join(whole, "part", "left").withColumn("part", F.coalesce("_whole", "part")).select(*parts.columns), f"near_{name}_parts")
 
 
 def connected_parts(links: DataFrame, name: str) -> DataFrame:
@@ -225,12 +264,47 @@ def connected_parts(links: DataFrame, name: str) -> DataFrame:
         labels = labels.select("node", "part")
 
 
-def star_pairs(nodes: DataFrame, threshold: int) -> DataFrame:
-    """Each node with the centre of every group that shares its least shingle under one order."""
+def star_keys(nodes: DataFrame) -> DataFrame:
+    """(k, first, node, n, weight) of nodes that share a least shingle with others.
+
+    weight: how common a node's least shingles are; the copy nearest to the others has the most common ones.
+    """
     keys = nodes.select("node", "n", F.posexplode("firsts").alias("k", "first"))
-    centres = keys.groupBy("k", "first").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    pairs = keys.join(centres, ["k", "first"]).where((F.col("node") != F.col("c.node")) & _compatible(F.col("n"), F.col("c.n"), threshold))
-    return pairs.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    sizes = keys.groupBy("k", "first").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = keys.join(sizes, ["k", "first"])
+    return durable(shared.drop("size").join(shared.groupBy("node").agg(F.sum("size").alias("weight")), "node"), "near_star_keys")
+
+
+def star_pairs(keys: DataFrame, threshold: int) -> DataFrame:
+    """Nodes with the heaviest node of each of their groups, where enough orders agree and the parts differ."""
+    centres = keys.groupBy("k", "first").agg(F.max(F.struct("weight", "node", "n", "part")).alias("c"))
+    pairs = keys.join(centres, ["k", "first"]).where((F.col("part") != F.col("c.part")) & _compatible(F.col("n"), F.col("c.n"), threshold))
+    agreeing = pairs.groupBy(F.col("c.node").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c.n").alias("na")).count()
+    return agreeing.where(F.col("count") >= STAR_AGREE).select("a", "b", least_shared(F.col("na"), F.col("nb"), threshold).alias("need"))
+
+
+def star_parts(docs: DataFrame, nodes: DataFrame, width: int, threshold: int) -> DataFrame:
+    """(node, part) of all nodes after ``STAR_ROUNDS`` rounds of comparisons with group centres.
+
+    The first round takes the most typical node of a group, the others a random one, so a
+    node that missed the centre meets another copy of its group. Rounds are linear in the
+    nodes and end when nothing is left to compare.
+    """
+    keys = star_keys(nodes)
+    parts = nodes.select("node", F.col("node").alias("part"))
+    sets = None
+    for r in range(STAR_ROUNDS):
+        weight = F.col("weight") if r == 0 else F.pmod(F.xxhash64("node", F.lit(r)), F.lit(1 << 30))
+        pairs = durable(star_pairs(keys.join(parts, "node").withColumn("weight", weight), threshold), f"near_star{r}_pairs")
+        if pairs.isEmpty():
+            break
+        if sets is None:
+            sets = node_sets(docs, nodes, ends_of(pairs), np.zeros(0, np.uint64), width, threshold, "star")
+            keys = durable(keys.join(sets.select("node").distinct(), "node", "left_semi"), "near_star_left")
+        links = verified_links(sets, pairs, threshold, f"star{r}")
+        if not links.isEmpty():
+            parts = merge(parts, links, f"star{r}")
+    return parts
 
 
 def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int, threshold: int) -> DataFrame:
@@ -260,8 +334,8 @@ def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int
     return _with_sets(docs, nodes, width, "token long, node long, n long, part long", make)
 
 
-def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs from different parts with compatible sizes; of two blocks only pairs across them."""
+def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.ndarray, threshold: int) -> Iterator[tuple]:
+    """Pairs (a < b, their sizes) from different parts with compatible sizes; of two blocks only pairs across them."""
     two = side.any() and not side.all()
     for i in range(len(node)):
         others = slice(None) if two else slice(i + 1, None)
@@ -271,12 +345,13 @@ def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.nda
                 continue
             ok &= side
         if ok.any():
-            far = node[others][ok]
-            yield np.minimum(far, node[i]), np.maximum(far, node[i])
+            far, size = node[others][ok], n[others][ok]
+            first = far < node[i]
+            yield np.minimum(far, node[i]), np.maximum(far, node[i]), np.where(first, size, n[i]), np.where(first, n[i], size)
 
 
 def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes of different parts that share a prefix shingle; ``often`` holds the frequent shingles."""
+    """Pairs of nodes of different parts that share enough prefix shingles; ``often`` holds the frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -286,7 +361,7 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             ends = np.r_[starts[1:], len(key)]
             mixed = np.flatnonzero((np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts))) if len(key) else []
-            found: list[tuple[np.ndarray, np.ndarray]] = []
+            found: list[tuple] = []
             size = 0
             for r in mixed:
                 s = slice(starts[r], ends[r])
@@ -300,8 +375,12 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
                 yield emit(found)
 
         def emit(found: list) -> pa.RecordBatch:
-            both = np.unique(np.stack([np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            a, b, na, nb = (np.concatenate([f[k] for f in found]) for k in range(4))
+            order = np.lexsort((b, a))
+            a, b, na, nb = a[order], b[order], na[order], nb[order]
+            starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            times = np.diff(np.r_[starts, len(a)])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (a[starts], b[starts], na[starts], nb[starts], times)], names=["a", "b", "na", "nb", "times"])
 
         for batch in batches:
             now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
@@ -332,16 +411,14 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
         plain = plain.join(F.broadcast(long_lists), F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = plain.repartition(parts, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    met = dealt.mapInArrow(run, "a long, b long, na long, nb long, times long").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
+    return met.withColumn("need", least_shared(F.col("na"), F.col("nb"), threshold)).where("times >= need")
 
 
 def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, star_orders: int = STAR_ORDERS) -> DataFrame:
     """One row per input row: id, n_shingles, component_id."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = durable(signatures(docs, width, star_orders), "near_signatures")
-    rows = signed.where("kind = 0").select("doc_id", "n", "d1", "d2", "firsts")
-    often = frequent_shingles(signed)
-    frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
+    rows = durable(signatures(docs, width, star_orders), "near_signatures")
     nodes = durable(
         rows.where("n > 0")
         .groupBy("d1", "d2")
@@ -349,21 +426,18 @@ def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         .withColumn("node", F.monotonically_increasing_id()),
         "near_nodes",
     )
-    stars = connected_parts(verified_links(docs, nodes, star_pairs(nodes, threshold), frequent, width, threshold, "star"), "star")
-    parts = durable(nodes.join(stars, "node", "left").withColumn("part", F.coalesce("part", "node")).drop("firsts"), "near_parts")
-    shared = candidate_pairs(postings(docs, parts.select("doc", "d1", "d2", "node", "part"), frequent, width, threshold), often, threshold)
-    links = verified_links(docs, nodes, shared, frequent, width, threshold, "rest")
-    part_of = parts.select("node", "part")
-    across = (
-        links.join(part_of.select(F.col("node").alias("a"), F.col("part").alias("pa")), "a")
-        .join(part_of.select(F.col("node").alias("b"), F.col("part").alias("pb")), "b")
-        .select(F.col("pa").alias("a"), F.col("pb").alias("b"))
-        .where("a <> b")
-    )
-    merged = connected_parts(across, "rest").select(F.col("node").alias("part"), F.col("part").alias("whole"))
-    whole = parts.join(merged, "part", "left").withColumn("whole", F.coalesce("whole", "part"))
-    least = whole.groupBy("whole").agg(F.min("doc").alias("component_id"))
-    classes = whole.join(least, "whole").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "component_id")
+    parts = durable(nodes.drop("firsts").join(star_parts(docs, nodes, width, threshold), "node"), "near_parts")
+    keyed = parts.select("doc", "d1", "d2", "node", "part")
+    often = frequent_shingles(docs, keyed.where("node = part").select("doc", "d1", "d2"), width)
+    frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
+    pairs = durable(candidate_pairs(postings(docs, keyed, frequent, width, threshold), often, threshold).select("a", "b", "need"), "near_rest_pairs")
+    if pairs.isEmpty():
+        whole = parts
+    else:
+        links = verified_links(node_sets(docs, nodes, ends_of(pairs), frequent, width, threshold, "rest"), pairs, threshold, "rest")
+        whole = merge(parts, links, "rest")
+    least = whole.groupBy("part").agg(F.min("doc").alias("component_id"))
+    classes = whole.join(least, "part").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "component_id")
     linked = rows.where("n > 0").join(classes, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))).select("doc_id", "n", "component_id")
     alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
