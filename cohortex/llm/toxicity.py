@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortex.llm.common import fold, table
+from cohortex.llm.common import durable, fold, table
 
 TOXIC_SAMPLE = 4000
 CLEAN_SAMPLE = 12000
@@ -202,15 +202,13 @@ class Scanner:
         return 1 / (1 + np.exp(-np.clip(x @ self.model.weights + self.model.bias, -30, 30)))
 
 
-def _sample(labelled: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """About TOXIC_SAMPLE toxic and CLEAN_SAMPLE clean rows: text, toxic."""
-    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("toxic"))
-    rows = rows.where("toxic is not null and text is not null")
+def draw_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
+    """About TOXIC_SAMPLE ids with label 1 and CLEAN_SAMPLE with label 0 (never over twice as many): id, toxic."""
+    rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) == 1).cast("int").alias("toxic"))
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(29)), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(29)), F.lit(1 << 20)) / float(1 << 20)
     share = F.when(F.col("toxic") == 1, min(1.0, TOXIC_SAMPLE / max(1, n.get(1, 0)))).otherwise(min(1.0, CLEAN_SAMPLE / max(1, n.get(0, 0))))
-    # copies of a text are one witness
-    return rows.where(draw < share).select("text", (F.col("toxic") == 1).cast("int").alias("toxic")).distinct()
+    return rows.where(draw < share).limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE))
 
 
 def prefix_counts(sample: DataFrame) -> DataFrame:
@@ -300,9 +298,16 @@ def learned_entries(rows: list[tuple[str, int, int]], toxic_rows: int, clean_row
     return entries
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Learn stems and weights from the labelled rows (see the module docstring)."""
-    sample = _sample(labelled, id_col, text_col, label_col)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Learn stems and weights from the labelled rows (see the module docstring).
+
+    The drawn labels are a bounded table, so they are broadcast and the texts are filtered
+    where they are read. The sampled texts are a written table.
+    """
+    drawn = draw_labels(labels, id_col, label_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    # copies of a text are one witness
+    sample = durable(texts.join(F.broadcast(drawn), "id").select("text", "toxic").distinct(), "toxicity_sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic_rows, clean_rows = sizes.get(1, 0), sizes.get(0, 0)
     counted = prefix_counts(sample)
@@ -370,8 +375,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
-    labels = table(spark, sf_dir, "labels").where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # labels are joined on the training side only, slim first: texts of unlabelled rows are not shuffled if the labels are few
-    model = fit(docs.where(~F.col("held_out")).join(labels.where(fold("doc_id", 5) != 0), "doc_id"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 5) != 0)
+    model = fit(docs.where(~F.col("held_out")), labels)
     scored = score(docs, model)
     return scored.select("doc_id", "held_out", F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
