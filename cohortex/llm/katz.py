@@ -45,7 +45,7 @@ from cohortex.llm.words import mix, word_hashes
 LEAST_COUNT = 2
 TURING = 5
 SPLIT = 1000
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_600_000
 END = np.uint64(0x1B873593CC9E2D51)
 START = np.uint64(0x2545F4914F6CDD1D)
 STATS = TURING - LEAST_COUNT + 3  # per context: kept types with each small count, mass of larger counts, P mass (scaled)
