@@ -28,15 +28,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    learning_repeat = min(repeat, int(os.environ.get("BENCH_LEARNING_REPEAT", "1")))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("cohortex-bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4, 2 * int(cpus))) if cpus.isdigit() else "8"))
         .config("spark.sql.adaptive.enabled", "true")
-        # hash-based partial aggregation for up to 65,536 clients per task before the
-        # spill-safe sort fallback (buffers are small: a struct and four bounded sets)
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -57,8 +55,8 @@ def main() -> None:
 
     times: dict[str, list[float]] = {}
 
-    def timed(name, fn):
-        for _ in range(repeat):
+    def timed(name, fn, times_to_run=None):
+        for _ in range(times_to_run or repeat):
             t0 = time.perf_counter()
             fn()
             times.setdefault(name, []).append(time.perf_counter() - t0)
@@ -79,11 +77,12 @@ def main() -> None:
     timed("training_dataset_fused", lambda: force(training_dataset(sessions, FIXTURE, form="fused")))
     timed("scoring_dataset", lambda: force(scoring_dataset(sessions, FIXTURE)))
     timed("visit_totals", lambda: force(visit_totals(scan_window(sessions, w.lookback_start, w.lookback_end))))
-    cfg = replace(FIXTURE_RUN, max_iter=20)
-    timed("train_classifier", lambda: train(spark, cfg, sessions))
+    cfg = FIXTURE_RUN
+    timed("train_classifier", lambda: train(spark, cfg, sessions), learning_repeat)
     timed(
         "run_audience",
         lambda: run(spark, replace(cfg, destination_table=scratch_path(spark, "bench_audience")), sessions).count(),
+        learning_repeat,
     )
 
     def plan_facts(df) -> dict:

@@ -1,8 +1,8 @@
 """Registered queries: key -> (Spark callable(spark, sf_dir) -> DataFrame, DuckDB SQL | None).
 
 Every query reads the benchmark tables (sessions are derived from them by Spark) and runs
-over the whole tables. Keys follow the operator inventory; learning queries that depend
-on a fitted model have no SQL oracle.
+over the whole tables. Keys follow the operator inventory; the learning queries return facts
+about every row of their results that SQL can state for any correct fit.
 """
 
 from __future__ import annotations
@@ -43,12 +43,12 @@ from cohortex.operators import aggregates as A
 from cohortex.operators import ml as M
 from cohortex.operators.export import audience, rename_output
 from cohortex.operators.joins import join_on_client, unnest_hits
-from cohortex.operators.registry import latest_matching, model_digest, runtime_versions
+from cohortex.operators.registry import registry_append, registry_lookup, registry_verify, runtime_versions
 from cohortex.operators.sampling import stratified_split, undersample_majority, union_all_split
 from cohortex.operators.sessions import first_session, latest_session
 from cohortex.plans.datasets import labelled_features, scoring_dataset, training_dataset
 from cohortex.plans.features import CATEGORICAL, NUMERIC, feature_columns
-from cohortex.plans.run import persist_reliably, run, split_for_training, train
+from cohortex.plans.run import materialise, run, split_for_training, train
 from cohortex.sources.fixtures import sessions_from_events, sessions_from_orders
 from cohortex.sources.params import param_query
 from cohortex.sources.sessions import client_not_null, load_table, scan_suffix_range, scan_window
@@ -380,11 +380,8 @@ def q_dataset_shape(spark, sf_dir):
 @register("regroup_features", O.FEATURES_SQL)
 def q_regroup_features(spark, sf_dir):
     f = labelled_features(feature_sessions(spark, sf_dir), FIXTURE, form="literal")
-    keys = ["clientid", *CATEGORICAL, "current_visit"]
-    summed = [c for c in f.columns if c not in keys and c != "y_conversions"]
-    regrouped = f.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in summed], F.max("y_conversions").alias("y_conversions"))
-    return regrouped.select(*f.columns)
+    keys = ["clientid", *CATEGORICAL, "current_visit", "y_conversions"]
+    return A.regroup(f, keys, [c for c in f.columns if c not in keys]).select(*f.columns)
 
 
 @register("visit_totals", O.with_a("SELECT * FROM totals", O.totals_cte()))
@@ -583,11 +580,15 @@ def q_scoring_dataset(spark, sf_dir):
 # ---------------------------------------------------------------- learning
 
 
-_RUN_FEATURES = O.features_ctes(True)  # FIXTURE_RUN keeps all negatives: training rows = all features
+_FEATURES = O.features_ctes(True)
+# the rows a learning run starts from: all positives and the sampled negatives
+_SAMPLED = [*_FEATURES, f"sampled AS (SELECT * FROM joined WHERE {O.sampled_where(FIXTURE_RUN.downsample_majority_class)})"]
+_PARTS = [*_SAMPLED, *O.balanced_ctes("sampled"), *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)]
 
 
 def _features(spark, sf_dir):
-    return labelled_features(feature_sessions(spark, sf_dir), FIXTURE_RUN)
+    """The labelled feature table, written once: the steps after it read it several times."""
+    return materialise(labelled_features(feature_sessions(spark, sf_dir), FIXTURE_RUN), "features")
 
 
 def _layout(df):
@@ -599,13 +600,13 @@ _NUMS = [*NUMERIC, *[r.name for r in FIXTURE_RULES]]
 
 
 @register("undersample_majority", O.with_a(
-    "SELECT clientid, y_conversions FROM balanced", *_RUN_FEATURES, *O.balanced_ctes()))
+    "SELECT clientid, y_conversions FROM balanced", *_FEATURES, *O.balanced_ctes()))
 def q_undersample_majority(spark, sf_dir):
     return undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed).select("clientid", "y_conversions")
 
 
 @register("stratified_split", O.with_a(
-    "SELECT clientid, y_conversions, is_test FROM split", *_RUN_FEATURES, *O.balanced_ctes(),
+    "SELECT clientid, y_conversions, is_test FROM split", *_FEATURES, *O.balanced_ctes(),
     *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)))
 def q_stratified_split(spark, sf_dir):
     balanced = undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed)
@@ -616,7 +617,7 @@ def q_stratified_split(spark, sf_dir):
 @register("category_codes", O.with_a(
     "SELECT j.clientid, " + ", ".join(f"CAST(codes_{c}.code AS DOUBLE) AS {c}_idx" for c in _TEXT) + " FROM joined j "
     + " ".join(f"JOIN codes_{c} ON COALESCE(j.{c}, '__null__') = codes_{c}.v" for c in _TEXT),
-    *_RUN_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
+    *_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
 def q_category_codes(spark, sf_dir):
     f = _features(spark, sf_dir)
     layout = _layout(f)
@@ -628,7 +629,7 @@ def q_category_codes(spark, sf_dir):
 @register("one_hot", O.with_a(
     "SELECT j.clientid, " + ", ".join(f"CAST(codes_{c}.code AS BIGINT) AS {c}_hot" for c in _TEXT) + " FROM joined j "
     + " ".join(f"JOIN codes_{c} ON COALESCE(j.{c}, '__null__') = codes_{c}.v" for c in _TEXT),
-    *_RUN_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
+    *_FEATURES, *[O.codes_cte(c) for c in _TEXT]))
 def q_one_hot(spark, sf_dir):
     """Position of the 1.0 in each one-hot vector (-1 for the zero vector of unseen values)."""
     f = _features(spark, sf_dir)
@@ -642,35 +643,43 @@ def q_one_hot(spark, sf_dir):
 
 
 def _z(c: str) -> str:
-    return (f"ROUND(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / "
-            f"stddev_pop({c}) OVER () END, 6) AS {c}")
+    return f"(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END)"
+
+
+def _fitted_vectors(spark, sf_dir):
+    """The stages the classifier is trained behind, fitted and applied to the feature table."""
+    f = _features(spark, sf_dir)
+    layout = _layout(f)
+    prepared = layout.prepare(f)
+    return layout, Pipeline(stages=M.feature_stages(layout, f.count())).fit(prepared).transform(prepared)
 
 
 @register("standardize", O.with_a(
-    "SELECT clientid, " + ", ".join(_z(c) for c in _NUMS) + " FROM joined", *_RUN_FEATURES))
+    "SELECT clientid, " + ", ".join(f"ROUND({_z(c)}, 6) AS {c}" for c in _NUMS) + " FROM joined", *_FEATURES))
 def q_standardize(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    z = M.standardize(f.select("clientid", *_NUMS), _NUMS)
-    return z.select("clientid", *[F.round(c, 6).alias(c) for c in _NUMS])
+    layout, out = _fitted_vectors(spark, sf_dir)
+    z = vector_to_array("_num_scaled")
+    return out.select("clientid", *[F.round(z.getItem(i), 6).alias(c) for i, c in enumerate(layout.numbers)])
 
 
 @register("assemble_features", O.with_a(
     "SELECT clientid, CAST((" + " + ".join(f"(SELECT COUNT(DISTINCT COALESCE({c}, '__null__')) FROM joined)" for c in _TEXT)
-    + f") + {len(_NUMS)} AS INTEGER) AS vec_size, "
-    f"CAST({len(_TEXT)} + " + " + ".join(f"(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END)" for c in _NUMS) + " AS INTEGER) AS nnz, "
-    f"ROUND({len(_TEXT)} + " + " + ".join(f"CAST({c} AS DOUBLE)" for c in _NUMS) + ", 6) AS vsum FROM joined",
-    *_RUN_FEATURES))
+    + f") + {len(_NUMS)} AS INTEGER) AS vec_size, CAST({len(_TEXT)} AS DOUBLE) AS hot, "
+    "ROUND(" + " + ".join(_z(c) for c in _NUMS) + ", 4) AS scaled_sum FROM joined", *_FEATURES))
 def q_assemble_features(spark, sf_dir):
-    f = _features(spark, sf_dir)
-    layout = _layout(f)
-    prepared = layout.prepare(f)
-    model = Pipeline(stages=M.feature_stages(layout, scale=False)).fit(prepared)
+    """The vector the trees are fitted on: its length, the sum of its one-hot and of its scaled slots."""
+    layout, out = _fitted_vectors(spark, sf_dir)
     arr = vector_to_array("features")
-    return model.transform(prepared).select(
+    slots = F.size(arr) - len(layout.numbers)
+
+    def total(c):
+        return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+
+    return out.select(
         "clientid",
         F.size(arr).alias("vec_size"),
-        F.size(F.filter(arr, lambda x: x != 0.0)).alias("nnz"),
-        F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("vsum"))
+        total(F.slice(arr, F.lit(1), slots)).alias("hot"),
+        F.round(total(F.slice(arr, slots + 1, F.lit(len(layout.numbers)))), 4).alias("scaled_sum"))
 
 
 def _rule_prediction(df):
@@ -680,7 +689,7 @@ def _rule_prediction(df):
 @register("accuracy_score", O.with_a(
     "SELECT is_test, ROUND(AVG(CASE WHEN (CASE WHEN Event03 > 0 THEN 1 ELSE 0 END) = y_conversions THEN 1 ELSE 0 END), 6) "
     "AS accuracy, COUNT(1) AS n FROM split GROUP BY is_test",
-    *_RUN_FEATURES, *O.balanced_ctes(), *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)))
+    *_FEATURES, *O.balanced_ctes(), *O.split_ctes(FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)))
 def q_accuracy_score(spark, sf_dir):
     balanced = undersample_majority(_features(spark, sf_dir), FIXTURE_RUN.seed)
     parts = stratified_split(balanced, FIXTURE_RUN.test_size, FIXTURE_RUN.split_seed)
@@ -688,86 +697,133 @@ def q_accuracy_score(spark, sf_dir):
     return acc.withColumn("accuracy", F.round("accuracy", 6))
 
 
-def _trained(spark, sf_dir, cfg=FIXTURE_RUN):
+def _trained(spark, sf_dir, cfg=None):
+    return train(spark, cfg or FIXTURE_RUN, feature_sessions(spark, sf_dir))
 
-    return train(spark, cfg, feature_sessions(spark, sf_dir))
 
+# Fitted models have no SQL; the queries below return facts about every row of their real
+# results that must hold for any correct fit, with the rows themselves checked by SQL.
+def _in_unit():
+    return F.col("prob").between(0.0, 1.0)
 
-@register("train_classifier", None)
-def q_train_classifier(spark, sf_dir):
 
-    sessions = feature_sessions(spark, sf_dir)
-    training = persist_reliably(training_dataset(sessions, FIXTURE_RUN))
+@register("train_classifier", O.with_a(
+    "SELECT clientid, y_conversions, TRUE AS prob_in_unit, TRUE AS prediction_agrees FROM split WHERE NOT is_test", *_PARTS))
+def q_train_classifier(spark, sf_dir):
+    training = materialise(training_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN), "training")
     layout = _layout(training)
-    parts = split_for_training(training, FIXTURE_RUN)
+    parts = materialise(split_for_training(training, FIXTURE_RUN), "training_parts")
     train_part = parts.where(~F.col("is_test"))
     model = M.fit(train_part, layout, max_iter=FIXTURE_RUN.max_iter, max_depth=FIXTURE_RUN.max_depth,
                   step_size=FIXTURE_RUN.step_size, seed=FIXTURE_RUN.seed)
-    return M.predict_proba(model, train_part, layout).select("clientid", "y_conversions", "prediction", "prob")
+    agrees = (F.col("prediction") == 1.0) == (F.col("prob") > 0.5)
+    return M.predict_proba(model, train_part, layout).select(
+        "clientid", "y_conversions", _in_unit().alias("prob_in_unit"), agrees.alias("prediction_agrees"))
 
 
-@register("predict_proba", None)
+_SCORED = O.features_ctes(False, lb=O._win(CV_START, CV_END))
+
+
+@register("predict_proba", O.with_a("SELECT clientid, TRUE AS prob_in_unit FROM joined", *_SCORED))
 def q_predict_proba(spark, sf_dir):
     t = _trained(spark, sf_dir)
     scoring = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
-    return M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
+    return M.predict_proba(t.model, scoring, t.layout).select("clientid", _in_unit().alias("prob_in_unit"))
 
 
-@register("audience_export", None)
+@register("audience_export", O.with_a("SELECT clientid, TRUE AS segment_agrees FROM joined", *_SCORED))
 def q_audience_export(spark, sf_dir):
-
+    """Every client's exported segment against the segment rule applied to the same model's probability."""
     t = _trained(spark, sf_dir)
-    scoring = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
+    scoring = materialise(scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN), "scoring")
     c = FIXTURE_RUN
-    return audience(t.model, scoring, t.layout, c.medium_class_value, c.high_class_value, c.index_dimension, c.value_dimension)
+    out = audience(t.model, scoring, t.layout, c.medium_class_value, c.high_class_value, c.index_dimension, c.value_dimension)
+    prob = M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
+    expected = F.when(F.col("prob") > c.high_class_value, "high").when(F.col("prob") > c.medium_class_value, "medium").otherwise("low")
+    return prob.join(out, F.col("clientid") == F.col(c.index_dimension), "full").select(
+        "clientid", F.col(c.value_dimension).eqNullSafe(expected).alias("segment_agrees"))
 
 
 def _registry_cfg(spark):
     return replace(FIXTURE_RUN, trained_model_table=scratch_path(spark, "registry"))
 
 
-@register("registry_append", None)
+@register("registry_append", (
+    f"SELECT '{FIXTURE_RUN.name}' AS name, CAST(1 AS BIGINT) AS n, TRUE AS has_versions, TRUE AS verified, TRUE AS scores_in_unit"))
 def q_registry_append(spark, sf_dir):
     cfg = _registry_cfg(spark)
     _trained(spark, sf_dir, cfg)
-    return read_back(spark, cfg.trained_model_table)
-
-
-@register("registry_lookup", None)
+    rows = read_back(spark, cfg.trained_model_table)
+    verified = registry_verify(spark, rows.first())
+    scores = [F.col(c).isNull() | F.col(c).between(0.0, 1.0) for c in ("score_train", "score_test")]
+    return rows.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.every(F.col("spark_version").isNotNull() & F.col("python_version").isNotNull()).alias("has_versions"),
+        F.lit(verified).alias("verified"),
+        F.every(scores[0] & scores[1]).alias("scores_in_unit"))
+
+
+@register("registry_lookup", (
+    f"SELECT '{FIXTURE_RUN.name}' AS name, TRUE AS newest, TRUE AS own_version, CAST(4 AS BIGINT) AS rows_in_registry"))
 def q_registry_lookup(spark, sf_dir):
-
+    """Two rows of one name, then a newer one of another name and a newer one of another version."""
     cfg = _registry_cfg(spark)
-    _trained(spark, sf_dir, cfg)
-    _trained(spark, sf_dir, cfg)  # a second, newer row of the same name
-    return latest_matching(read_back(spark, cfg.trained_model_table), "timestamp", name=cfg.name, **runtime_versions())
+    t = _trained(spark, sf_dir, cfg)
+    newer = registry_append(spark, cfg.trained_model_table, t.model, cfg.name, t.score_train, t.score_test)
+    registry_append(spark, cfg.trained_model_table, t.model, "another_audience", t.score_train, t.score_test)
+    reg = read_back(spark, cfg.trained_model_table)
+    other = reg.where(F.col("model_path") == newer["model_path"]).withColumn("spark_version", F.lit("0.0"))
+    write_append(materialise(other.withColumn("timestamp", F.expr("timestamp + INTERVAL 1 DAY")), "decoy"), cfg.trained_model_table)
+    found = registry_lookup(spark, cfg.trained_model_table, cfg.name)
+    reg = read_back(spark, cfg.trained_model_table)
+    return reg.agg(F.count(F.lit(1)).alias("rows_in_registry")).select(
+        F.lit(found["name"]).alias("name"),
+        F.lit(found["model_path"] == newer["model_path"]).alias("newest"),
+        F.lit(found["spark_version"] == runtime_versions()["spark_version"]).alias("own_version"),
+        "rows_in_registry")
 
 
-@register("registry_verify", None)
+@register("registry_verify", "SELECT * FROM (VALUES ('damaged', FALSE), ('intact', TRUE)) AS t(copy, verified)")
 def q_registry_verify(spark, sf_dir):
-
     cfg = _registry_cfg(spark)
-    row = _trained(spark, sf_dir, cfg).registry_row
-    recomputed = model_digest(spark, row["model_path"])
+    t = _trained(spark, sf_dir, cfg)
+    row = t.registry_row.asDict()
+    intact = registry_verify(spark, row)
+    # one more file in the model's folder is damage
+    read_back(spark, cfg.trained_model_table).select("name").write.text(f"{row['model_path']}/stray")
+    damaged = registry_verify(spark, row)
     reg = read_back(spark, cfg.trained_model_table)
-    return reg.select("model_path", "md5").withColumn("verified", F.col("md5") == F.lit(recomputed))
+    results = F.array(*[F.struct(F.lit(n).alias("copy"), F.lit(v).alias("verified")) for n, v in (("intact", intact), ("damaged", damaged))])
+    return reg.select(F.explode(results).alias("r")).select("r.copy", "r.verified")
 
 
-@register("load_or_train", None)
+@register("load_or_train", O.with_a(
+    "SELECT clientid, TRUE AS same_segment, CAST(1 AS BIGINT) AS models FROM joined", *_SCORED))
 def q_load_or_train(spark, sf_dir):
-
+    """The first run finds no model and trains one, the second loads it: one model, equal segments."""
     cfg = replace(_registry_cfg(spark), load_trained_model=True)
     sessions = feature_sessions(spark, sf_dir)
-    run(spark, cfg, sessions)  # empty registry: trains and registers
-    return run(spark, cfg, sessions)  # loads the verified model
+    first = materialise(run(spark, cfg, sessions), "first_audience")
+    second = run(spark, cfg, sessions)
+    key, value = cfg.index_dimension, cfg.value_dimension
+    models = read_back(spark, cfg.trained_model_table).count()
+    both = first.select(F.col(key).alias("clientid"), F.col(value).alias("a")).join(
+        second.select(F.col(key).alias("clientid"), F.col(value).alias("b")), "clientid", "full")
+    return both.select("clientid", F.col("a").eqNullSafe(F.col("b")).alias("same_segment"), F.lit(models).cast("bigint").alias("models"))
 
 
-@register("run_audience", None)
-def q_run_audience(spark, sf_dir):
-
+def audience_run(spark, sf_dir):
+    """The whole run: train, score, write; returns the written audience."""
     cfg = replace(FIXTURE_RUN, destination_table=scratch_path(spark, "audience"))
     return run(spark, cfg, feature_sessions(spark, sf_dir))
 
 
+@register("run_pipeline", O.with_a(f"SELECT clientid AS {FIXTURE_RUN.index_dimension}, TRUE AS known_segment FROM joined", *_SCORED))
+def q_run_pipeline(spark, sf_dir):
+    out = audience_run(spark, sf_dir)
+    return out.select(FIXTURE_RUN.index_dimension, F.col(FIXTURE_RUN.value_dimension).isin("low", "medium", "high").alias("known_segment"))
+
+
 # ---------------------------------------------------------------- the campaign's own rule set
 
 

@@ -22,13 +22,12 @@ FIXTURE = AudienceConfig(
     rules=FIXTURE_RULES,
     conversion_rule=FIXTURE_CONVERSION,
     downsample_majority_class=0.25,
-    max_iter=10,
     seed=42,
 )
 _W = FIXTURE.windows()
 LB_START, LB_END = _W.lookback_start, _W.lookback_end  # 20231231, 20240115
 CV_START, CV_END = _W.conversion_start, _W.conversion_end  # 20240115, 20240130
-# Learning runs keep every negative: at sf0.001 there are only 15 clients (9 positive).
-FIXTURE_RUN = replace(FIXTURE, downsample_majority_class=1.0)
+# Learning runs sample fewer negatives away, so that both classes survive at every scale.
+FIXTURE_RUN = replace(FIXTURE, downsample_majority_class=0.75)
 B_START, B_END = "19970101", "19981231"
 SEGMENT_DIVISOR = 100  # event value / 100 plays a probability for the segment check

@@ -145,6 +145,9 @@ class AudienceConfig:
         }
 
     def effective_conversion_rule(self) -> EventRule:
-        if self.event_filter_type and self.event_filter_value is not None:
-            return EventRule.from_filter("y_conversions", self.event_filter_type, self.event_filter_value)
+        """The event filter when a value is given (type ``eventCategory`` unless named), else the default rule."""
+        if self.event_filter_value is not None:
+            return EventRule.from_filter("y_conversions", self.event_filter_type or "eventCategory", self.event_filter_value)
+        if self.event_filter_type:
+            raise ValueError("event_filter_type needs event_filter_value")
         return self.conversion_rule

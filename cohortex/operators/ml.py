@@ -10,13 +10,15 @@ dictionaries, scaler moments, trees) reaches the driver. Scoring is a narrow
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,8 +78,12 @@ class FeatureLayout:
         return fill_numeric(fold_nulls(df, self.text), self.numbers)
 
 
-def feature_stages(layout: FeatureLayout, scale: bool = True) -> list:
-    """Indexers, one-hot encoder, numeric assembler (+ scaler), final assembler (M3-M5)."""
+def feature_stages(layout: FeatureLayout, rows: int) -> list:
+    """Indexers, one-hot encoder, numeric assembler, scaler, final assembler (M3-M5).
+
+    MLlib's scaler divides by the sample deviation; with the number of training ``rows``
+    known the product with sqrt(n / (n - 1)) makes it the population deviation.
+    """
     stages: list = []
     parts: list[str] = []
     if layout.text:
@@ -86,11 +92,12 @@ def feature_stages(layout: FeatureLayout, scale: bool = True) -> list:
         parts += [f"{c}_vec" for c in layout.text]
     if layout.numbers:
         stages.append(VectorAssembler(inputCols=list(layout.numbers), outputCol="_num"))
-        if scale:
-            stages.append(StandardScaler(inputCol="_num", outputCol="_num_scaled", withMean=True, withStd=True))
-            parts.append("_num_scaled")
-        else:
-            parts.append("_num")
+        stages.append(StandardScaler(inputCol="_num", outputCol="_num_sample", withMean=True, withStd=True))
+        factor = math.sqrt(rows / (rows - 1)) if rows > 1 else 1.0
+        stages.append(
+            ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(layout.numbers)), inputCol="_num_sample", outputCol="_num_scaled")
+        )
+        parts.append("_num_scaled")
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages
 
@@ -110,17 +117,14 @@ def classifier(max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1,
     )
 
 
-def training_estimator(
-    layout: FeatureLayout, max_iter: int = 100, max_depth: int = 3, step_size: float = 0.1, seed: int = 42
-) -> Pipeline:
-    return Pipeline(stages=[*feature_stages(layout), classifier(max_iter, max_depth, step_size, seed)])
-
-
-def fit(df: DataFrame, layout: FeatureLayout, **params) -> PipelineModel:
-    counts = {r[0]: r[1] for r in df.groupBy(LABEL).count().collect()}
+def fit(df: DataFrame, layout: FeatureLayout, counts: dict | None = None, **params) -> PipelineModel:
+    """Fit the pipeline; ``counts`` (rows by class) saves the counting job where they are known."""
+    if counts is None:
+        counts = {r[0]: r[1] for r in df.groupBy(LABEL).count().collect()}
     if len([c for c, n in counts.items() if n > 0]) < 2:
         raise ValueError(f"training rows have one class only: {counts}")
-    return training_estimator(layout, **params).fit(layout.prepare(df))
+    stages = [*feature_stages(layout, sum(counts.values())), classifier(**params)]
+    return Pipeline(stages=stages).fit(layout.prepare(df))
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, layout: FeatureLayout) -> DataFrame:
@@ -133,18 +137,3 @@ def accuracy(df: DataFrame, label: str = LABEL, prediction: str = "prediction",
     """Fraction of rows whose prediction equals the label (M7): one row (per ``by`` group)."""
     hit = (F.col(prediction).cast("double") == F.col(label).cast("double")).cast("int")
     return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
-
-
-def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(x - mean) / stddev_pop`` per column; zero spread gives 0. One aggregation job;
-    its single row of moments is the only thing collected."""
-    moments = df.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
-    ).first()
-    out = {}
-    for c in columns:
-        m, s = moments[f"m_{c}"], moments[f"s_{c}"]
-        z = (F.col(c).cast("double") - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
-        out[c] = z
-    return df.withColumns(out)

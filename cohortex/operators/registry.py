@@ -10,6 +10,7 @@ pickled code).
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import platform
 import re
 import uuid
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortex.context import work_root
-from cohortex.sources.params import param_query
 from cohortex.sources.sinks import exists, read_back, write_append
 
+log = logging.getLogger("cohortex")
+
 REGISTRY_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),
@@ -45,18 +47,18 @@ def runtime_versions() -> dict[str, str]:
 def model_digest(spark: SparkSession, path: str) -> str | None:
     """md5 over the sorted ``relative path:md5(content)`` list of the model's files.
 
-    One aggregation on the executors; only the final digest reaches the driver.
+    One aggregation on the executors; only the final digest reaches the driver. None if the
+    folder does not exist or is empty; any other error is the caller's.
     """
+    if not exists(spark, path):
+        return None
     root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
     rel = F.regexp_replace(F.col("path"), "^.*?" + re.escape(root) + "/", "")
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        entries = files.select(F.concat(rel, F.lit(":"), F.md5("content")).alias("e"))
-        row = entries.agg(
-            F.md5(F.array_join(F.sort_array(F.collect_list("e")), "\n")).alias("d"), F.count("e").alias("n")
-        ).first()
-    except Exception:  # missing directory, unreadable or corrupt file
-        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    entries = files.select(F.concat(rel, F.lit(":"), F.md5("content")).alias("e"))
+    row = entries.agg(
+        F.md5(F.array_join(F.sort_array(F.collect_list("e")), "\n")).alias("d"), F.count("e").alias("n")
+    ).first()
     return row["d"] if row and row["n"] else None
 
 
@@ -75,62 +77,71 @@ def registry_append(
     registry: str,
     model: PipelineModel,
     name: str,
-    score_train: float,
-    score_test: float,
+    score_train: float | None,
+    score_test: float | None,
     model_root: str | None = None,
 ) -> Row:
     """Save the model, append its registry row, return the row."""
     path, digest = save_model(spark, model, name, model_root)
     row = Row(
-        timestamp=dt.datetime.now(),
+        timestamp=dt.datetime.now(dt.timezone.utc),
         **runtime_versions(),
         name=name,
         model_path=path,
         md5=digest,
-        score_train=float(score_train),
-        score_test=float(score_test),
+        score_train=None if score_train is None else float(score_train),
+        score_test=None if score_test is None else float(score_test),
     )
     write_append(spark.createDataFrame([row], REGISTRY_SCHEMA), registry)
     return row
 
 
 def latest_matching(df: DataFrame, order_by: str, **equal) -> DataFrame:
-    """Rows equal on the given columns, newest first, one row (``ORDER BY .. DESC LIMIT 1``)."""
+    """Rows equal on the given columns, newest first (ties by the other columns), one row."""
     for col, value in equal.items():
         df = df.where(F.col(col) == F.lit(value))
-    return df.orderBy(F.col(order_by).desc()).limit(1)
+    return df.orderBy(F.col(order_by).desc(), *[F.col(c).desc() for c in df.columns if c != order_by]).limit(1)
 
 
 def registry_lookup(spark: SparkSession, registry: str, name: str) -> Row | None:
-    """Newest row of ``name`` written by the same Spark and Python versions, or None.
-
-    Runs the parameterised ``trained_model`` query (bound markers, ``IDENTIFIER`` for the
-    table); a registry given as a path is exposed as a uniquely named temporary view.
-    """
+    """Newest row of ``name`` written by the same Spark and Python versions, or None."""
     if not exists(spark, registry):
         return None
-    table = registry
-    if "/" in registry or ":" in registry:
-        table = f"registry_{uuid.uuid4().hex[:12]}"
-        read_back(spark, registry).createOrReplaceTempView(table)
-    try:
-        rows = param_query(spark, "trained_model", {"table_name": table, "name": name, **runtime_versions()}).collect()
-    finally:
-        if table != registry:
-            spark.catalog.dropTempView(table)
-    return rows[0] if rows else None
+    return latest_matching(read_back(spark, registry), "timestamp", name=name, **runtime_versions()).first()
 
 
 def registry_verify(spark: SparkSession, row: Row | None) -> bool:
-    return row is not None and model_digest(spark, row["model_path"]) == row["md5"]
+    """Whether the row's model files are those that were registered; files that cannot be read are not."""
+    if row is None:
+        return False
+    try:
+        return model_digest(spark, row["model_path"]) == row["md5"]
+    except Exception:
+        log.exception("model %s could not be read", row["model_path"])
+        return False
 
 
 def load_verified(spark: SparkSession, registry: str, name: str) -> PipelineModel | None:
-    """The newest stored model whose digest still matches; None on any failure."""
+    """The newest stored model whose digest still matches, else None (the caller trains anew).
+
+    A missing registry row and a digest that does not match are ordinary outcomes and are
+    logged with the model's path; any other error is logged with its stack before the
+    fall-back, so that a permission or network problem cannot pass as "no model".
+    """
     try:
         row = registry_lookup(spark, registry, name)
+        if row is None:
+            log.info("no stored model %r in %s", name, registry)
+            return None
         if not registry_verify(spark, row):
+            log.warning("stored model %s of %s does not match its digest %s", row["model_path"], row["timestamp"], row["md5"])
             return None
-        return PipelineModel.load(row["model_path"])
+        model = PipelineModel.load(row["model_path"])
     except Exception:
+        log.exception("stored model %r of %s could not be loaded", name, registry)
         return None
+    log.info(
+        "loaded model %s of %s, digest %s, accuracy train=%s test=%s",
+        row["model_path"], row["timestamp"], row["md5"], row["score_train"], row["score_test"],
+    )
+    return model

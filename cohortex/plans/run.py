@@ -1,7 +1,7 @@
 """The whole audience run (C4): train or load, score, write.
 
 Stages and what reaches the driver:
-1. training and scoring features from one fused scan -> reliable checkpoint in the shared folder;
+1. training and scoring features from one fused scan -> parquet in the shared folder;
 2. hash histograms per class for exact balancing and splitting (bounded, 6 small jobs);
 3. MLlib fit on the training part, accuracy on both parts (one row each);
 4. registry append (one row) when a registry is configured;
@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortex.config import AudienceConfig
-from cohortex.context import work_root
+from cohortex.context import scratch_path
 from cohortex.operators.export import audience
-from cohortex.operators.aggregates import class_distribution
 from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
@@ -47,10 +46,23 @@ class Trained:
     registry_row: object = None
 
 
-def persist_reliably(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
-    work_root(df.sparkSession)  # ensures a checkpoint dir exists (sets one only when unset)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet in the shared folder and read it back.
+
+    Cuts the lineage (the files survive a lost executor); later passes read only the columns
+    and row groups they need. :func:`discard` removes the folder after use.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *frames: DataFrame) -> None:
+    """Remove the folders of materialised frames that nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for frame in frames for f in frame.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def split_for_training(training: DataFrame, cfg: AudienceConfig) -> DataFrame:
@@ -59,27 +71,35 @@ def split_for_training(training: DataFrame, cfg: AudienceConfig) -> DataFrame:
 
 
 def train_on(spark: SparkSession, cfg: AudienceConfig, training: DataFrame) -> Trained:
-    """Balance, split, fit and evaluate on a materialised training dataset."""
-    counts = {r[LABEL]: r["n"] for r in class_distribution(training, LABEL).collect()}  # one small job
-    log.info("training rows %d, columns %d, class distribution %s", sum(counts.values()), len(training.columns), counts)
+    """Balance, split, fit and evaluate on a materialised training dataset.
+
+    The balanced and split rows (at most twice the smaller class) are written once; fitting,
+    scaling and both accuracies read that table.
+    """
+    log.info("training starts: columns %d", len(training.columns))
     layout = FeatureLayout.of(training, exclude=cfg.exclude_columns)
-    parts = split_for_training(training, cfg)
-    model = fit(parts.where(~F.col("is_test")), layout, max_iter=cfg.max_iter, max_depth=cfg.max_depth,
-                step_size=cfg.step_size, seed=cfg.seed)
+    parts = materialise(split_for_training(training, cfg), "training_parts")
+    counts = {(r["is_test"], r[LABEL]): r["n"] for r in parts.groupBy("is_test", LABEL).agg(F.count(F.lit(1)).alias("n")).collect()}
+    log.info("balanced rows by (test, class) %s", counts)
+    model = fit(parts.where(~F.col("is_test")), layout, counts={c: n for (test, c), n in counts.items() if not test},
+                max_iter=cfg.max_iter, max_depth=cfg.max_depth, step_size=cfg.step_size, seed=cfg.seed)
     # accuracy of both parts in one job
     acc = {r["is_test"]: r["accuracy"] for r in accuracy(predict_proba(model, parts, layout), by=["is_test"]).collect()}
     score_train, score_test = acc.get(False), acc.get(True)
-    log.info("accuracy train=%s test=%s", score_train, score_test)
+    log.info("training done: accuracy train=%s test=%s", score_train, score_test)
     row = None
     if cfg.trained_model_table:
-        row = registry_append(
-            spark, cfg.trained_model_table, model, cfg.name, score_train, score_test or 0.0, cfg.model_root
-        )
+        row = registry_append(spark, cfg.trained_model_table, model, cfg.name, score_train, score_test, cfg.model_root)
+        log.info("registered model %s, digest %s", row["model_path"], row["md5"])
+    discard(spark, parts)
     return Trained(model, layout, score_train, score_test, row)
 
 
 def train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
-    return train_on(spark, cfg, persist_reliably(training_dataset(sessions, cfg, form)))
+    training = materialise(training_dataset(sessions, cfg, form), "training")
+    trained = train_on(spark, cfg, training)
+    discard(spark, training)
+    return trained
 
 
 def load(spark: SparkSession, cfg: AudienceConfig) -> Trained | None:
@@ -92,11 +112,6 @@ def load(spark: SparkSession, cfg: AudienceConfig) -> Trained | None:
     return None
 
 
-def load_or_train(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame, form: str = "fused") -> Trained:
-    """Reuse the newest verified model when asked to; train when none loads."""
-    return load(spark, cfg) or train(spark, cfg, sessions, form)
-
-
 def layout_of(model: PipelineModel) -> FeatureLayout:
     from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 
@@ -123,15 +138,16 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
             raise ValueError("no sessions given and no source_table configured")
         w = cfg.windows()
         sessions = load_sessions(spark, cfg.source_table, min(w.lookback_start, w.scoring_start), w.conversion_end)
+    log.info("run %s: windows %s", cfg.name, cfg.windows())
     trained = load(spark, cfg)
     if cfg.queries_location:
         training, scoring = templated_datasets(spark, sessions, cfg)
         if trained is None:
-            trained = train_on(spark, cfg, persist_reliably(training))
+            trained = train_on(spark, cfg, materialise(training, "training"))
     elif trained is not None:
         scoring = scoring_dataset(sessions, cfg, form)
     elif form == "fused":
-        shared = persist_reliably(shared_feature_table(sessions, cfg))
+        shared = materialise(shared_feature_table(sessions, cfg), "features")
         training, scoring = datasets_from_shared(shared, cfg)
         trained = train_on(spark, cfg, training)
     else:
@@ -148,5 +164,6 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
     )
     if cfg.destination_table:
         write_overwrite(scored, cfg.destination_table)
+        log.info("audience written to %s", cfg.destination_table)
         return read_back(spark, cfg.destination_table)
     return scored

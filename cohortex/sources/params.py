@@ -18,15 +18,9 @@ TEMPLATES: dict[str, str] = {
         "WHERE suffix BETWEEN :start AND :end AND clientId IS NOT NULL "
         "GROUP BY clientId"
     ),
-    # newest registry row of a name and a runtime version
-    "trained_model": (
-        "SELECT timestamp, spark_version, python_version, model_path, md5, score_train, score_test "
-        "FROM IDENTIFIER(:table_name) "
-        "WHERE spark_version = :spark_version AND python_version = :python_version AND name = :name "
-        "ORDER BY timestamp DESC LIMIT 1"
-    ),
 }
 
+
 def param_query(spark: SparkSession, template: str, params: Mapping[str, object]) -> DataFrame:
     """Run a named template (or SQL text) with the parameters bound as named arguments.
 

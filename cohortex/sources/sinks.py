@@ -35,12 +35,16 @@ def exists(spark: SparkSession, target: str) -> bool:
     if not _is_path(target):
         return spark.catalog.tableExists(target)
     try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(target)
-        return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath))
-    except Exception:  # no JVM gateway (Spark Connect): probe the schema instead
+        context = spark.sparkContext
+    except Exception:  # no JVM gateway (Spark Connect): ask the reader, and only "not found" means no
+        from pyspark.errors import AnalysisException
+
         try:
-            spark.read.parquet(target).schema
+            spark.read.format("binaryFile").load(target).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    return bool(path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path))

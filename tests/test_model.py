@@ -41,11 +41,34 @@ def test_select_by_dtype(spark):
     assert M.select_by_dtype(df) == (["s"], ["i", "d"])
 
 
-def test_standardize_population_and_zero_spread(spark):
+def test_fitted_scaler_uses_the_population_deviation(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0), (5.0, 5.0)], "x double, c double")
-    out = M.standardize(df, ["x", "c"]).collect()
-    assert [round(r.x, 4) for r in out] == [-1.2649, -0.6325, 0.6325, 1.2649]
-    assert all(r.c == 0.0 for r in out)
+    out = Pipeline(stages=M.feature_stages(M.FeatureLayout((), ("x", "c")), 4)).fit(df).transform(df)
+    rows = [r[0] for r in out.select(vector_to_array("_num_scaled")).collect()]
+    assert [round(r[0], 4) for r in rows] == [-1.2649, -0.6325, 0.6325, 1.2649]
+    assert all(r[1] == 0.0 for r in rows)
+
+
+def test_model_beats_the_majority_rule(spark):
+    """Planted signal: the label follows one number, with one in ten flipped."""
+    rows = [(str(i), "ab"[i % 2], float(i % 10), int((i % 10 > 5) != (i % 10 == 0 and i % 20 == 0))) for i in range(400)]
+    df = spark.createDataFrame(rows, "clientid string, t string, x double, y_conversions int")
+    layout = M.FeatureLayout.of(df)
+    model = M.fit(df, layout, max_iter=10)
+    acc = M.accuracy(M.predict_proba(model, df, layout)).first()["accuracy"]
+    majority = max(sum(r[3] for r in rows), sum(1 - r[3] for r in rows)) / len(rows)
+    assert acc > majority + 0.2
+
+
+def test_event_filter_value_alone_filters_the_category():
+    cfg = replace(FIXTURE_RUN, event_filter_value="purchase")
+    rule = cfg.effective_conversion_rule()
+    assert (rule.eventCategory, rule.eventAction, rule.eventLabel) == ("purchase", None, None)
+    with pytest.raises(ValueError):
+        replace(FIXTURE_RUN, event_filter_type="eventAction").effective_conversion_rule()
 
 
 def test_save_load_same_predictions(spark, trained):
