@@ -50,7 +50,7 @@ WIDTH = 5
 THRESHOLD = 75  # per cent
 STAR_ORDERS = 8
 STAR_AGREE = 3
-STAR_ROUNDS = 4
+STAR_ROUNDS = 6
 FREQUENT = 1 << 17
 LOCAL_COUNT = 3
 GLOBAL_COUNT = 8
@@ -286,15 +286,17 @@ def star_pairs(keys: DataFrame, threshold: int) -> DataFrame:
 def star_parts(docs: DataFrame, nodes: DataFrame, width: int, threshold: int) -> DataFrame:
     """(node, part) of all nodes after ``STAR_ROUNDS`` rounds of comparisons with group centres.
 
-    The first round takes the most typical node of a group, the others a random one, so a
-    node that missed the centre meets another copy of its group. Rounds are linear in the
+    The first round takes the most typical node of a group, the others another typical one, so
+    a node that missed the centre meets another copy that has most in common with the group. Rounds are linear in the
     nodes and end when nothing is left to compare.
     """
     keys = star_keys(nodes)
     parts = nodes.select("node", F.col("node").alias("part"))
     sets = None
     for r in range(STAR_ROUNDS):
-        weight = F.col("weight") if r == 0 else F.pmod(F.xxhash64("node", F.lit(r)), F.lit(1 << 30))
+        # later rounds: another of the most typical nodes of the group, by chance
+        chance = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(1 << 20)) / float(1 << 20)
+        weight = F.col("weight") * (1.0 if r == 0 else 1 - 0.3 * chance)
         pairs = durable(star_pairs(keys.join(parts, "node").withColumn("weight", weight), threshold), f"near_star{r}_pairs")
         if pairs.isEmpty():
             break
