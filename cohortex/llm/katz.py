@@ -45,7 +45,7 @@ from cohortex.llm.words import mix, word_hashes
 LEAST_COUNT = 2
 TURING = 5
 SPLIT = 1000
-BLOCK_TOKENS = 1_600_000
+BLOCK_TOKENS = 2_500_000
 END = np.uint64(0x1B873593CC9E2D51)
 START = np.uint64(0x2545F4914F6CDD1D)
 STATS = TURING - LEAST_COUNT + 3  # per context: kept types with each small count, mass of larger counts, P mass (scaled)
@@ -140,7 +140,7 @@ class Block:
         r = {c: rows.column(c)[0] for c in ("doc_ids", "train", "sizes", "words", "vocabulary")}
         return cls(
             r["doc_ids"].values, unpack(r["train"].as_py(), np.uint8).astype(bool), unpack(r["sizes"].as_py(), np.uint32).astype(np.int64),
-            unpack(r["words"].as_py(), np.uint32).astype(np.int64), unpack_sorted(r["vocabulary"].as_py(), np.uint64),
+            unpack(r["words"].as_py(), np.uint32).view(np.int32), unpack_sorted(r["vocabulary"].as_py(), np.uint64),
         )
 
     def token_train(self) -> np.ndarray:
@@ -148,11 +148,14 @@ class Block:
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (context, word) pairs as context * (V + 1) + word, the pair of each token, training counts."""
-        previous = np.empty_like(self.words)
-        previous[1:] = self.words[:-1]
-        previous[np.cumsum(self.sizes) - self.sizes] = len(self.vocabulary)
-        pairs, which = np.unique(previous * (len(self.vocabulary) + 1) + self.words, return_inverse=True)
-        return pairs, which, np.bincount(which[self.token_train()], minlength=len(pairs))
+        keys = np.empty(len(self.words), np.int64)
+        keys[1:] = self.words[:-1]
+        keys[np.cumsum(self.sizes) - self.sizes] = len(self.vocabulary)
+        keys *= len(self.vocabulary) + 1
+        keys += self.words
+        pairs, which = np.unique(keys, return_inverse=True)
+        which = which.astype(np.int32)
+        return pairs, which, np.bincount(which[self.token_train()], minlength=len(pairs)).astype(np.uint32)
 
 
 # ---------------------------------------------------------------- unigrams
@@ -264,18 +267,20 @@ class Asked:
 def ask(block: Block, pairs: np.ndarray, counts: np.ndarray, tokens: int, parts: int) -> Asked:
     """Deal the pairs out: whole contexts by their hash (kind 0), split contexts by the pair's hash (kind 1)."""
     width = len(block.vocabulary) + 1
-    context, word = pairs // width, pairs % width
+    context, word = (pairs // width).astype(np.int32), (pairs % width).astype(np.int32)
     end = int(np.searchsorted(block.vocabulary, END))
-    times = np.append(counts, counts[end])[context]  # the start context occurs once a text
-    hashes = np.append(block.vocabulary, START)[context]
+    times = np.append(counts, counts[end])  # the start context occurs once a text
+    hashes = np.append(block.vocabulary, START)
     split = times * SPLIT > tokens
-    part = np.where(split, range_of(mix(hashes ^ mix(block.vocabulary[word])), parts), range_of(mix(hashes), parts))
-    kind = np.where(times < LEAST_COUNT, -1, split.astype(np.int64))
-    order = np.lexsort((block.vocabulary[word], hashes, part, kind))
-    group = kind[order] * parts + part[order]
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(order) else np.zeros(0, np.int64)
-    ends = np.r_[starts[1:], len(order)]
-    rows = [(int(kind[order[s]]), int(part[order[s]]), order[s:e]) for s, e in zip(starts, ends, strict=True) if kind[order[s]] >= 0]
+    own = range_of(mix(hashes), parts)
+    # groups: partitions of whole contexts, then those of split contexts, then contexts that are not asked about
+    group = np.where(times < LEAST_COUNT, 2 * parts, own).astype(np.int32)[context]
+    spread = np.flatnonzero(split[context] & (group < 2 * parts))
+    group[spread] = parts + range_of(mix(hashes[context[spread]] ^ mix(block.vocabulary[word[spread]])), parts)
+    order = np.argsort(group, kind="stable")
+    ends = np.searchsorted(group[order], np.arange(2 * parts), side="right")
+    starts = np.r_[0, ends[:-1]]
+    rows = [(g // parts, g % parts, order[s:e]) for g, (s, e) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)) if e > s]
     return Asked(rows, context, word)
 
 
