@@ -28,6 +28,7 @@ result.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -51,6 +52,14 @@ START = np.uint64(0x2545F4914F6CDD1D)
 STATS = TURING - LEAST_COUNT + 3  # per context: kept types with each small count, mass of larger counts, P mass (scaled)
 
 
+def release_memory() -> None:
+    """Give freed arrays back to the system: a Python worker stays alive between its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def pack(values: np.ndarray) -> bytes:
     """Byte planes: equal high bytes lie together and compress."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
@@ -111,6 +120,7 @@ def blocks_of(docs: DataFrame, buckets: int) -> DataFrame:
                 if held >= BLOCK_TOKENS:
                     yield emit()
                     ids, trains, words, sizes, held = [], [], [], [], 0
+                    release_memory()
         if ids:
             yield emit()
 
@@ -294,6 +304,13 @@ def assemble(block: Block, answers: pa.Table, parts: int) -> np.ndarray:
 
 def bigram_questions(unigrams: Unigrams, tokens: int, parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
+        try:
+            return work(left, right)
+        finally:
+            release_memory()
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block.read(left)
         counts = assemble(block, right, parts)
         pairs, _, seen = block.bigrams()
@@ -323,6 +340,12 @@ def count_bigrams(unigrams: Unigrams):
     types by count; split contexts' partial sums in rows of their own (kind 2, p the index)."""
 
     def run(rows: pa.Table) -> pa.Table:
+        try:
+            return work(rows)
+        finally:
+            release_memory()
+
+    def work(rows: pa.Table) -> pa.Table:
         kind, p = rows.column("kind")[0].as_py(), rows.column("p")[0].as_py()
         contexts, runs, words, word_counts, counts = [], [], [], [], []
         for i in range(rows.num_rows):
@@ -383,6 +406,13 @@ def backoff(stats: np.ndarray, context_count: np.ndarray, discounts: Discounts)
 
 def scores(unigrams: Unigrams, tokens: int, types: int, discounts: Discounts, split: dict[int, np.ndarray], parts: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
+        try:
+            return work(left, right)
+        finally:
+            release_memory()
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block.read(left)
         answers = {(k, p): i for i, (k, p) in enumerate(zip(right.column("kind").to_pylist(), right.column("p").to_pylist(), strict=True)) if right.column("stats")[i].is_valid}
         counts = assemble(block, right, parts)
