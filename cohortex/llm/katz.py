@@ -1,11 +1,12 @@
 """Katz backoff language model over words (bigram over unigram), counted and scored on Spark.
 
-P(w | h) = d(c) c(h, w) / c(h)      if c = c(h, w) >= ``LEAST_COUNT``
+P(w | h) = d(c) c(h, w) / c(h)      if c = c(h, w) > 0
          = alpha(h) P(w)            else,
 P(w)     = d(c) c(w) / N for words of the training texts, the rest of the mass for one
 unknown type. d are Katz's Good-Turing discounts (counts up to ``TURING`` are discounted),
 alpha(h) makes every context sum to exactly 1 over the vocabulary and the unknown type; a
-context without kept bigrams has alpha 1, one without any discounted count the divisor c(h) + 1. Every text starts from a start context and ends
+context that the training texts do not have has alpha 1, one without any discounted count the
+divisor c(h) + 1. All bigrams are kept, those seen once too. Every text starts from a start context and ends
 with an end token that is scored like a word.
 
 How the work is dealt: texts are read once into blocks (one row: word numbers of the block's
@@ -15,6 +16,7 @@ partition adds the training counts of all blocks, keeps the n-gram table of its
 and answers each block in the order of its question. Bigrams are partitioned by context, so a
 partition sees whole contexts; contexts with over 1 / ``SPLIT`` of all tokens are spread over
 all partitions and their sums (a few numbers each, at most ``SPLIT`` contexts) are combined.
+Contexts that no other block holds (most of those seen once) are counted within their block.
 Blocks and answers are joined on the bucketed key; the texts are never shuffled. What is
 gathered grows with the input; the driver receives counts of counts and the split contexts.
 
@@ -43,13 +45,12 @@ from cohortex.context import scratch_path
 from cohortex.llm.common import durable, fold, table
 from cohortex.llm.words import mix, word_hashes
 
-LEAST_COUNT = 2
 TURING = 5
 SPLIT = 1000
 BLOCK_TOKENS = 2_500_000
 END = np.uint64(0x1B873593CC9E2D51)
 START = np.uint64(0x2545F4914F6CDD1D)
-STATS = TURING - LEAST_COUNT + 3  # per context: kept types with each small count, mass of larger counts, P mass (scaled)
+STATS = TURING + 1  # per context: types with each count 2 .. TURING, mass of larger counts, P mass (types seen once follow from c(h))
 
 
 def release_memory() -> None:
@@ -194,12 +195,14 @@ def word_questions(blocks: DataFrame, parts: int) -> DataFrame:
 
 
 def count_words(rows: pa.Table) -> pa.Table:
-    """Answers (block, p, counts) of one partition, and a last row without block: tokens, types, types by count."""
+    """Answers (block, p, 2 * count + whether no other block holds the word) of one partition, and a
+    last row without block: tokens, types, types by count."""
     hashes = [unpack_sorted(h.as_py(), np.uint64) for h in rows.column("hashes")]
     counts = np.concatenate([unpack(c.as_py(), np.uint32) for c in rows.column("counts")])
     _, which = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(which, counts).astype(np.uint32)
-    answer = np.split(total[which], np.cumsum([len(h) for h in hashes])[:-1])
+    sole = np.bincount(which) == 1  # one block holds the word
+    answer = np.split(((total.astype(np.uint64) << np.uint64(1)) | sole.astype(np.uint64))[which], np.cumsum([len(h) for h in hashes])[:-1])
     by_count = np.bincount(np.minimum(total, TURING + 2), minlength=TURING + 3)
     summary = [int(total.sum(dtype=np.int64)), int((total > 0).sum()), *by_count[1 : TURING + 2].tolist()]
     n, p = rows.num_rows, rows.column("p")[0].as_py()
@@ -223,13 +226,13 @@ class Discounts:
     d: np.ndarray
 
     @classmethod
-    def turing(cls, types: list[int], least: int) -> "Discounts":
-        """``types``: number of types with counts 1 .. TURING + 1; counts below ``least`` are not kept."""
+    def turing(cls, types: list[int]) -> "Discounts":
+        """``types``: number of types with counts 1 .. TURING + 1."""
         n = np.array([0, *types], dtype=float)
         d = np.ones(TURING + 1)
-        d[:least] = 0.0
+        d[0] = 0.0
         common = (TURING + 1) * n[TURING + 1] / n[1] if n[1] else 1.0
-        for c in range(least, TURING + 1):
+        for c in range(1, TURING + 1):
             ratio = (c + 1) * n[c + 1] / (c * n[c]) if n[c] else 1.0
             value = (ratio - common) / (1 - common) if common < 1 else 0.0
             # where the counts of counts are too few for Good-Turing, an absolute discount
@@ -252,7 +255,7 @@ class Unigrams:
     def of(cls, tokens: int, types: int, by_count: list[int]) -> "Unigrams":
         if not tokens:
             return cls()
-        discounts = Discounts.turing(by_count, 1)
+        discounts = Discounts.turing(by_count)
         lost = sum(n * c * (1 - discounts.d[c]) for c, n in enumerate(by_count[:TURING], 1)) / tokens
         if lost <= 0:  # no small counts: one more type seen once
             return cls(tokens + 1, types, discounts, 1.0 / (tokens + 1))
@@ -270,11 +273,12 @@ class Asked:
     """What a block asks about bigrams: selections of its distinct pairs by (kind, partition)."""
 
     rows: list[tuple[int, int, np.ndarray]]
+    alone: np.ndarray  # pairs whose context no other block holds; their counts here are all there are
     context: np.ndarray  # local context of each pair
     word: np.ndarray
 
 
-def ask(block: Block, pairs: np.ndarray, counts: np.ndarray, tokens: int, parts: int) -> Asked:
+def ask(block: Block, pairs: np.ndarray, counts: np.ndarray, sole: np.ndarray, tokens: int, parts: int) -> Asked:
     """Deal the pairs out: whole contexts by their hash (kind 0), split contexts by the pair's hash (kind 1)."""
     width = len(block.vocabulary) + 1
     context, word = (pairs // width).astype(np.int32), (pairs % width).astype(np.int32)
@@ -283,23 +287,41 @@ def ask(block: Block, pairs: np.ndarray, counts: np.ndarray, tokens: int, parts:
     hashes = np.append(block.vocabulary, START)
     split = times * SPLIT > tokens
     own = range_of(mix(hashes), parts)
-    # groups: partitions of whole contexts, then those of split contexts, then contexts that are not asked about
-    group = np.where(times < LEAST_COUNT, 2 * parts, own).astype(np.int32)[context]
+    # groups: partitions of whole contexts, then those of split contexts, then those of this block alone, then untrained ones
+    home = np.where(np.append(sole, False), 2 * parts, own)
+    group = np.where(times > 0, home, 2 * parts + 1).astype(np.int32)[context]
     spread = np.flatnonzero(split[context] & (group < 2 * parts))
     group[spread] = parts + range_of(mix(hashes[context[spread]] ^ mix(block.vocabulary[word[spread]])), parts)
     order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(2 * parts), side="right")
+    ends = np.searchsorted(group[order], np.arange(2 * parts + 1), side="right")
     starts = np.r_[0, ends[:-1]]
-    rows = [(g // parts, g % parts, order[s:e]) for g, (s, e) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)) if e > s]
-    return Asked(rows, context, word)
+    *rows, (_, _, alone) = [(g // parts, g % parts, order[s:e]) for g, (s, e) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)) if e > s or g == 2 * parts]
+    return Asked(rows, alone, context, word)
 
 
-def assemble(block: Block, answers: pa.Table, parts: int) -> np.ndarray:
-    """Training counts of the block's words out of the partitions' answers."""
+def context_stats(own: np.ndarray, total: np.ndarray, lower: np.ndarray, n: int) -> np.ndarray:
+    """The ``STATS`` of ``n`` contexts from their distinct bigrams: context, training count, P of the word."""
+    stats = np.zeros((n, STATS))
+    for c in range(2, TURING + 1):
+        stats[:, c - 2] = np.bincount(own[total == c], minlength=n)
+    large = total > TURING
+    stats[:, -2] = np.bincount(own[large], total[large], minlength=n)
+    seen = total > 0
+    stats[:, -1] = np.bincount(own[seen], lower[seen], minlength=n)
+    return stats
+
+
+def types_by_count(total: np.ndarray) -> list[int]:
+    return np.bincount(np.minimum(total, TURING + 2), minlength=TURING + 3)[1 : TURING + 2].tolist()
+
+
+def assemble(block: Block, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of the block's words out of the partitions' answers, and which words no other block holds."""
     mine = answers.filter(pc.is_null(answers.column("stats")))
     order = np.argsort(mine.column("p").to_numpy())
     data = mine.column("counts")
-    return np.concatenate([unpack(data[int(i)].as_py(), np.uint32) for i in order]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
+    both = np.concatenate([unpack(data[int(i)].as_py(), np.int64) for i in order]) if len(order) else np.zeros(0, np.int64)
+    return both >> 1, (both & 1).astype(bool)
 
 
 def bigram_questions(unigrams: Unigrams, tokens: int, parts: int):
@@ -312,9 +334,9 @@ def bigram_questions(unigrams: Unigrams, tokens: int, parts: int):
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block.read(left)
-        counts = assemble(block, right, parts)
+        counts, sole = assemble(block, right, parts)
         pairs, _, seen = block.bigrams()
-        asked = ask(block, pairs, counts, tokens, parts)
+        asked = ask(block, pairs, counts, sole, tokens, parts)
         out = {k: [] for k in ("p", "kind", "contexts", "runs", "words", "word_counts", "counts")}
         hashes = np.append(block.vocabulary, START)
         for kind, p, rows in asked.rows:
@@ -328,16 +350,22 @@ def bigram_questions(unigrams: Unigrams, tokens: int, parts: int):
             out["words"].append(np.ascontiguousarray(short.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes())
             out["word_counts"].append(pack(counts[asked.word[rows]].astype(np.uint32)))
             out["counts"].append(pack(seen[rows].astype(np.uint32)))
+        key = left.column("block")[0].as_py()
+        if len(asked.alone):  # a row without question: types by count of the contexts of this block alone
+            rest = {"p": key % parts, "kind": 3, "counts": np.array(types_by_count(seen[asked.alone]), np.int64).tobytes()}
+            for k, v in out.items():
+                v.append(rest.get(k))
         kinds = {"p": pa.int32(), "kind": pa.int32()}
         n = len(out["p"])
-        return pa.table({"block": pa.array([left.column("block")[0].as_py()] * n, pa.int64()), **{k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()}})
+        return pa.table({"block": pa.array([key] * n, pa.int64()), **{k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()}})
 
     return run
 
 
 def count_bigrams(unigrams: Unigrams):
     """Answers of one partition: counts per asked pair, sums per asked context; a last row with
-    types by count; split contexts' partial sums in rows of their own (kind 2, p the index)."""
+    types by count; split contexts' partial sums in rows of their own (kind 2, p the index).
+    Rows of kind 3 bring types by count that only have to be added up."""
 
     def run(rows: pa.Table) -> pa.Table:
         try:
@@ -347,6 +375,11 @@ def count_bigrams(unigrams: Unigrams):
 
     def work(rows: pa.Table) -> pa.Table:
         kind, p = rows.column("kind")[0].as_py(), rows.column("p")[0].as_py()
+        names = ["block", "p", "kind", "counts", "stats", "summary"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        if kind == 3:
+            out = [(None, p, kind, None, None, sum(np.frombuffer(c.as_py(), np.int64) for c in rows.column("counts")).tolist())]
+            return pa.table({c: pa.array([o[k] for o in out], t) for k, (c, t) in enumerate(zip(names, kinds, strict=True))})
         contexts, runs, words, word_counts, counts = [], [], [], [], []
         for i in range(rows.num_rows):
             contexts.append(unpack_sorted(rows.column("contexts")[i].as_py(), np.uint64))
@@ -368,16 +401,8 @@ def count_bigrams(unigrams: Unigrams):
         pair_total = np.empty(len(order), np.int64)
         pair_total[order] = total[group]
         heads = order[np.flatnonzero(new)]
-        kept = total >= LEAST_COUNT
-        stats = np.zeros((len(unique), STATS))
-        own = per_pair[heads]
-        for c in range(LEAST_COUNT, TURING + 1):
-            stats[:, c - LEAST_COUNT] = np.bincount(own[total == c], minlength=len(unique))
-        large = total > TURING
-        stats[:, -2] = np.bincount(own[large], total[large], minlength=len(unique))
-        stats[:, -1] = np.bincount(own[kept], unigrams.probability(word_count[heads[kept]].astype(np.int64)), minlength=len(unique))
-        by_count = np.bincount(np.minimum(total, TURING + 2), minlength=TURING + 3)[1 : TURING + 2].tolist()
-        pair_total[pair_total < LEAST_COUNT] = 0
+        stats = context_stats(per_pair[heads], total, unigrams.probability(word_count[heads].astype(np.int64)), len(unique))
+        by_count = types_by_count(total)
         pair_answers = np.split(pair_total.astype(np.uint32), np.cumsum(sizes)[:-1])
         context_answers = np.split(context, np.cumsum(context_sizes)[:-1])
         blocks = rows.column("block").to_pylist()
@@ -385,20 +410,20 @@ def count_bigrams(unigrams: Unigrams):
         out.append((None, p, kind, None, None, by_count))
         if kind:
             out.append((None, p, 2, unique.tobytes(), stats.tobytes(), None))
-        names = ["block", "p", "kind", "counts", "stats", "summary"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         return pa.table({c: pa.array([o[k] for o in out], t) for k, (c, t) in enumerate(zip(names, kinds, strict=True))})
 
     return run
 
 
 def backoff(stats: np.ndarray, context_count: np.ndarray, discounts: Discounts) -> tuple[np.ndarray, np.ndarray]:
-    """alpha(h) and the divisor of the counts after h, from the sums of its kept bigrams.
+    """alpha(h) and the divisor of the counts after h, from the sums of its bigrams.
 
-    Without kept bigrams alpha is 1. Where no count is discounted (all large) nothing would be
+    Without bigrams alpha is 1. Where no count is discounted (all large) nothing would be
     left for other words; the divisor is then one more than c(h).
     """
-    mass = stats[:, : STATS - 2] @ (discounts.d[LEAST_COUNT:] * np.arange(LEAST_COUNT, TURING + 1)) + stats[:, -2]
+    small = stats[:, : STATS - 2] * np.arange(2, TURING + 1)
+    once = context_count - small.sum(axis=1) - stats[:, -2]
+    mass = once * discounts.d[1] + small @ discounts.d[2:] + stats[:, -2]
     divisor = np.maximum(np.where(mass > context_count - 1e-9, context_count + 1, context_count), 1)
     alpha = (1 - mass / divisor) / np.maximum(1 - stats[:, -1], 1e-300)
     return np.where(stats[:, -1] > 0, alpha, 1.0), divisor
@@ -415,9 +440,9 @@ def scores(unigrams: Unigrams, tokens: int, types: int, discounts: Discounts, sp
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block.read(left)
         answers = {(k, p): i for i, (k, p) in enumerate(zip(right.column("kind").to_pylist(), right.column("p").to_pylist(), strict=True)) if right.column("stats")[i].is_valid}
-        counts = assemble(block, right, parts)
-        pairs, which, _ = block.bigrams()
-        asked = ask(block, pairs, counts, tokens, parts)
+        counts, sole = assemble(block, right, parts)
+        pairs, which, seen = block.bigrams()
+        asked = ask(block, pairs, counts, sole, tokens, parts)
         end = int(np.searchsorted(block.vocabulary, END))
         context_counts = np.append(counts, counts[end]).astype(np.float64)
         hashes = np.append(block.vocabulary, START)
@@ -433,10 +458,16 @@ def scores(unigrams: Unigrams, tokens: int, types: int, discounts: Discounts, sp
             else:
                 stats = np.stack([split[int(h)] for h in hashes[own]])
             alpha[own], divisor[own] = backoff(stats, context_counts[own], discounts)
-        lower = np.log10(unigrams.probability(counts))
+        probability = unigrams.probability(counts)
+        lower = np.log10(probability)
         context = asked.context
-        seen = discounts.mass(pair_count) / divisor[context]
-        logs = np.where(pair_count > 0, np.log10(np.where(pair_count > 0, seen, 1.0)), np.log10(alpha)[context] + lower[asked.word])
+        if len(asked.alone):
+            pair_count[asked.alone] = seen[asked.alone]
+            own, which_own = np.unique(context[asked.alone], return_inverse=True)
+            stats = context_stats(which_own, pair_count[asked.alone], probability[asked.word[asked.alone]], len(own))
+            alpha[own], divisor[own] = backoff(stats, context_counts[own], discounts)
+        direct = discounts.mass(pair_count) / divisor[context]
+        logs = np.where(pair_count > 0, np.log10(np.where(pair_count > 0, direct, 1.0)), np.log10(alpha)[context] + lower[asked.word])
         starts = np.cumsum(block.sizes) - block.sizes
         base = np.log10((counts + 1) / (tokens + 1 * (types + 1)))
         n = len(block.sizes)
@@ -472,9 +503,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     )
     bigrams = durable(asked.groupBy("kind", "p").applyInArrow(count_bigrams(unigrams), ANSWER), "katz_bigrams")
     bigram_types = totals(bigrams) or [0] * (TURING + 1)
-    if by_count:  # contexts that occur once are not asked about: each has one bigram, seen once
-        bigram_types[0] += by_count[0]
-    discounts = Discounts.turing(bigram_types, LEAST_COUNT)
+    discounts = Discounts.turing(bigram_types)
     split: dict[int, np.ndarray] = {}
     for r in bigrams.where("kind = 2").select("counts", "stats").toLocalIterator():
         for h, s in zip(np.frombuffer(r["counts"], np.uint64).tolist(), np.frombuffer(r["stats"]).reshape(-1, STATS), strict=True):
