@@ -57,6 +57,9 @@ GLOBAL_COUNT = 8
 BLOCK = 50_000
 SMALL_ROWS = 1_000_000  # a slim table of at most this many rows (about 32 MB) may be broadcast
 
+#: how a node names the document that stands for it
+NODE = ["doc", "h", "d1", "d2", "twice"]
+
 _ORDERS = np.arange(1, 129, 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
 
 
@@ -95,7 +98,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def signatures(docs: DataFrame, width: int, star_orders: int) -> DataFrame:
-    """One row per document: doc_id, n, digest (d1, d2), least shingle under each star order."""
+    """One row per document: doc_id, h (hash of the text), n, digest (d1, d2), least shingle under each star order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,11 +111,11 @@ def signatures(docs: DataFrame, width: int, star_orders: int) -> DataFrame:
                 firsts.append(np.array([order_key(tokens, k + 3).min() for k in range(star_orders)] if len(tokens) else [], np.uint64).view(np.int64))
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), _longs(np.array(d1, np.uint64)), _longs(np.array(d2, np.uint64)), _lists(firsts, pa.int64())],
-                    names=["doc_id", "n", "d1", "d2", "firsts"],
+                    [batch.column(0), batch.column(2), pa.array(n, pa.int64()), _longs(np.array(d1, np.uint64)), _longs(np.array(d2, np.uint64)), _lists(firsts, pa.int64())],
+                    names=["doc_id", "h", "n", "d1", "d2", "firsts"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, firsts array<long>")
+    return docs.mapInArrow(run, "doc_id long, h long, n long, d1 long, d2 long, firsts array<long>")
 
 
 def frequent_shingles(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -140,11 +143,15 @@ def _small(df: DataFrame) -> DataFrame:
 def _with_sets(docs: DataFrame, nodes: DataFrame, width: int, schema: str, make: Callable) -> DataFrame:
     """Run ``make(node row, shingle set) -> list of rows`` for the documents that stand for ``nodes``.
 
-    ``nodes``: doc, d1, d2 and further columns. Ids may repeat with different texts, so a
-    document stands for a node only if its set has the node's digest.
+    ``nodes``: ``NODE`` and further columns. A document stands for a node by its id and the
+    hash of its text (ids may be null or repeat with different texts); of rows that repeat
+    both (``twice``) one is taken.
     """
-    joined = docs.join(_small(nodes), F.col("doc_id").eqNullSafe(F.col("doc")))
-    extra = [c for c in nodes.columns if c not in ("doc", "d1", "d2")]
+    other = nodes.withColumnRenamed("h", "_h")
+    joined = docs.join(_small(other), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("h") == F.col("_h")))
+    extra = [c for c in nodes.columns if c not in NODE]
+    if not nodes.where("twice").isEmpty():
+        joined = joined.where("not twice").unionByName(joined.where("twice").dropDuplicates(["d1", "d2"]))
     joined = joined.select("text", "d1", "d2", *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +191,7 @@ def least_shared(a: Column, b: Column, threshold: int) -> Column:
 
 def node_sets(docs: DataFrame, nodes: DataFrame, ends: DataFrame, frequent: np.ndarray, width: int, threshold: int, name: str) -> DataFrame:
     """node, prefixes under orders 1 and 2, shingles of the nodes in ``ends``."""
-    wanted = durable(nodes.join(ends, "node", "left_semi").select("doc", "d1", "d2", "node"), f"near_{name}_nodes")
+    wanted = durable(nodes.join(ends, "node", "left_semi").select(*NODE, "node"), f"near_{name}_nodes")
 
     def make(rows) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -417,20 +424,22 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
     return met.withColumn("need", least_shared(F.col("na"), F.col("nb"), threshold)).where("times >= need")
 
 
-def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, star_orders: int = STAR_ORDERS) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, threshold: int = THRESHOLD, star_orders: int = STAR_ORDERS) -> DataFrame:
+    """One row per input row: doc_id, h (hash of the text), n, part (null: no words), component_id."""
+    text = F.col(text_col).cast("string")
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     rows = durable(signatures(docs, width, star_orders), "near_signatures")
+    texts = rows.where("n > 0").groupBy("d1", "d2", "doc_id", "h").agg(F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("firsts").alias("firsts"))
     nodes = durable(
-        rows.where("n > 0")
-        .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("firsts").alias("firsts"))
+        texts.groupBy("d1", "d2")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "times")).alias("least"), F.first("n").alias("n"), F.first("firsts").alias("firsts"))
+        .select("d1", "d2", F.col("least.doc_id").alias("doc"), F.col("least.h").alias("h"), (F.col("least.times") > 1).alias("twice"), "n", "firsts")
         .withColumn("node", F.monotonically_increasing_id()),
         "near_nodes",
     )
     parts = durable(nodes.drop("firsts").join(star_parts(docs, nodes, width, threshold), "node"), "near_parts")
-    keyed = parts.select("doc", "d1", "d2", "node", "part")
-    often = frequent_shingles(docs, keyed.where("node = part").select("doc", "d1", "d2"), width)
+    keyed = parts.select(*NODE, "node", "part")
+    often = frequent_shingles(docs, keyed.where("node = part").select(*NODE), width)
     frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
     pairs = durable(candidate_pairs(postings(docs, keyed, frequent, width, threshold), often, threshold).select("a", "b", "need"), "near_rest_pairs")
     if pairs.isEmpty():
@@ -439,10 +448,16 @@ def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
         links = verified_links(node_sets(docs, nodes, ends_of(pairs), frequent, width, threshold, "rest"), pairs, threshold, "rest")
         whole = merge(parts, links, "rest")
     least = whole.groupBy("part").agg(F.min("doc").alias("component_id"))
-    classes = whole.join(least, "part").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "component_id")
-    linked = rows.where("n > 0").join(classes, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))).select("doc_id", "n", "component_id")
-    alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    classes = whole.join(least, "part").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "part", "component_id")
+    linked = rows.where("n > 0").join(classes, (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))).select("doc_id", "h", "n", "part", "component_id")
+    alone = rows.where("n = 0").select("doc_id", "h", "n", F.lit(None).cast("long").alias("part"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone)
+
+
+def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: int = THRESHOLD, star_orders: int = STAR_ORDERS) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id."""
+    rows = _members(df, id_col, text_col, width, threshold, star_orders)
+    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
