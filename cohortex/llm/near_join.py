@@ -31,7 +31,7 @@ text of one to four words is one shingle, so it links only with the same words.
 rows and ids are ordinary documents (rows are told apart by set, not by id). The component
 id is the least non-null doc_id of the part, null if it has none. An empty table gives an
 empty result. ``membership`` reads id and text only; ``deduplicate`` keeps every column and
-drops a row if its id is not the least of its group (rows that share that id all stay).
+exactly one row of each group, one with the least id.
 """
 
 from __future__ import annotations
@@ -461,15 +461,23 @@ def membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that stay: of each group the document with the least id, and every text without words."""
-    stay = (
-        membership(df, id_col, text_col, **options)
-        .where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_col).alias("_k_id"))
-        .distinct()
-    )
-    kept = df.join(stay, F.col(id_col).eqNullSafe(F.col("_k_id")), "left_semi")
-    return kept.select(*df.columns)
+    """The rows of ``df`` that stay: of each group one row, and every text without words.
+
+    The row has the least id of the group, not null if the group has one; rows that share it
+    are told apart by the hash of their text, and of rows that repeat both any one stays.
+    """
+    rows = durable(_members(df, id_col, text_col, **options), "near_members")
+    counted = rows.where("part is not null").groupBy("part", "doc_id", "h").agg(F.count(F.lit(1)).alias("times"))
+    least = counted.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "times")).alias("least"))
+    one = least.select(F.col("least.doc_id").alias("_k_id"), F.col("least.h").alias("_k_h"), (F.col("least.times") > 1).alias("_k_twice"))
+    empty = rows.where("part is null").select(F.col("doc_id").alias("_k_id"), F.col("h").alias("_k_h"), F.lit(False).alias("_k_twice")).distinct()
+    stay = durable(one.unionByName(empty), "near_stay")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_k_h"))
+    kept = df.join(stay.where("not _k_twice"), same, "left_semi").select(*df.columns)
+    repeated = stay.where("_k_twice")
+    if repeated.isEmpty():
+        return kept
+    return kept.unionByName(df.join(repeated, same).dropDuplicates(["_k_id", "_k_h"]).select(*df.columns))
 
 
 def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:

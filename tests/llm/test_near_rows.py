@@ -43,3 +43,20 @@ def test_null_and_shared_ids_are_exact(spark):
     rows = shared_id_rows()
     got = near_join.membership(spark.createDataFrame(rows, IDS).repartition(3)).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute_components(rows)))
+
+
+def test_one_row_of_each_group_stays(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (3, 20, 40)]
+    far = [" ".join(f"{c}{i}" for i in range(20)) for c in "xyz"]
+    rows = [
+        *[(7, t) for t in near],  # near copies under one id
+        (9, far[0]), (9, far[0]), (9, far[1]),  # a repeated row, and another text under its id
+        (None, far[2]), (None, far[2]), (None, far[2] + " tail"),  # a group without ids
+        (None, " ".join(base)),  # null, linked with the group of id 7
+        (None, ""), (None, None), (3, " "), (3, " "),  # texts without words all stay
+    ]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], IDS + ", place int").repartition(3)
+    kept = sorted(r.place for r in near_join.deduplicate(df).collect())
+    groups = [{0, 1, 2, 9}, {3, 4}, {5}, {6, 7, 8}, {10}, {11}, {12}, {13}]
+    assert [len(g.intersection(kept)) for g in groups] == [1] * len(groups) and 9 not in kept
