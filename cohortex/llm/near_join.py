@@ -17,8 +17,9 @@ documents link when 100 * |A and B| >= 75 * |A or B|; the classes are the connec
    are shuffled and sorted by shingle; only pairs from different parts of step 2 with
    compatible sizes are counted, and a candidate must share as many prefix shingles as the
    least possible intersection of a link leaves in both prefixes (see ``least_shared``).
-   Unlike one shared shingle, that is not met by a passage two documents share. A posting list longer than ``BLOCK`` is dealt into
-   blocks, and each pair of blocks is a task of its own.
+   Unlike one shared shingle, that is not met by a passage two documents share. A posting list longer than ``BLOCK`` (counted
+   over a sample of the nodes' postings) is dealt into blocks, and each pair of blocks is a
+   task of its own. In a list only nodes outside its largest part meet the others.
 4. Candidates must share as many prefix shingles under the second and the third order too;
    pairs that pass all filters are verified exactly on the whole sets.
 5. Connected parts by least-label propagation with pointer jumping.
@@ -55,6 +56,7 @@ FREQUENT = 1 << 17
 LOCAL_COUNT = 3
 GLOBAL_COUNT = 8
 BLOCK = 50_000
+LIST_SAMPLE = 1_000  # sampled members of a list of ``BLOCK`` nodes
 SMALL_ROWS = 1_000_000  # a slim table of at most this many rows (about 32 MB) may be broadcast
 
 #: how a node names the document that stands for it
@@ -344,23 +346,33 @@ def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int
 
 
 def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.ndarray, threshold: int) -> Iterator[tuple]:
-    """Pairs (a < b, their sizes) from different parts with compatible sizes; of two blocks only pairs across them."""
+    """Pairs (a < b, their sizes) from different parts with compatible sizes; of two blocks only pairs across them.
+
+    Only nodes outside the largest part are compared with the others.
+    """
+    names, which = np.unique(part, return_inverse=True)
+    outside = which != np.bincount(which, minlength=len(names)).argmax()
+    order = np.argsort(~outside, kind="stable")
+    node, n, part, side, outside = node[order], n[order], part[order], side[order], outside[order]
     two = side.any() and not side.all()
-    for i in range(len(node)):
-        others = slice(None) if two else slice(i + 1, None)
+    for i in range(int(outside.sum())):
+        others = slice(i + 1, None)  # earlier ones have met this node
         ok = (part[others] != part[i]) & (np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * threshold)
         if two:
-            if side[i]:
-                continue
-            ok &= side
+            ok &= side[others] != side[i]
         if ok.any():
             far, size = node[others][ok], n[others][ok]
             first = far < node[i]
             yield np.minimum(far, node[i]), np.maximum(far, node[i]), np.where(first, size, n[i]), np.where(first, n[i], size)
 
 
+def long_lists(rows: DataFrame, sample: int) -> DataFrame:
+    """(token, n): the length of each posting list, estimated from the postings of one in ``sample`` nodes."""
+    return rows.groupBy("token").agg((F.count(F.lit(1)) * sample).alias("n"))
+
+
 def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes of different parts that share enough prefix shingles; ``often`` holds the frequent shingles."""
+    """Pairs of nodes of different parts that share enough prefix shingles; ``often`` (token, n) holds the lists that may be long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -406,10 +418,10 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
 
     plain = rows.select(F.col("token").alias("key"), "node", "n", "part", F.lit(False).alias("side"))
     # long posting lists: deal the nodes into blocks; each pair of blocks meets under a key of its own
-    long_lists = often.where(F.col("n") > block).select(F.col("token").alias("long"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    if not long_lists.isEmpty():
+    spread_lists = often.where(F.col("n") > block).select(F.col("token").alias("long"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    if not spread_lists.isEmpty():
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        spread = rows.join(F.broadcast(long_lists), F.col("token") == F.col("long")).withColumn("own", own)
+        spread = rows.join(F.broadcast(spread_lists), F.col("token") == F.col("long")).withColumn("own", own)
         keyed = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"), F.lit("block")).alias("key"),
             "node",
@@ -417,7 +429,7 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
             "part",
             (F.col("own") > F.col("other")).alias("side"),
         )
-        plain = plain.join(F.broadcast(long_lists), F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
+        plain = plain.join(F.broadcast(spread_lists), F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = plain.repartition(parts, "key").sortWithinPartitions("key")
     met = dealt.mapInArrow(run, "a long, b long, na long, nb long, times long").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
@@ -441,7 +453,11 @@ def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, thre
     keyed = parts.select(*NODE, "node", "part")
     often = frequent_shingles(docs, keyed.where("node = part").select(*NODE), width)
     frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
-    pairs = durable(candidate_pairs(postings(docs, keyed, frequent, width, threshold), often, threshold).select("a", "b", "need"), "near_rest_pairs")
+    # a list can only be long among many nodes; its length is that of the sampled nodes' lists
+    sample = max(1, BLOCK // LIST_SAMPLE)
+    few = keyed.where(F.pmod(F.xxhash64("node", F.lit("list")), F.lit(sample)) == 0) if parts.count() > BLOCK else keyed.limit(0)
+    lists = durable(long_lists(postings(docs, few, frequent, width, threshold), sample).where(F.col("n") > BLOCK), "near_long_lists")
+    pairs = durable(candidate_pairs(postings(docs, keyed, frequent, width, threshold), lists, threshold).select("a", "b", "need"), "near_rest_pairs")
     if pairs.isEmpty():
         whole = parts
     else:
