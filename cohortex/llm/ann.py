@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by cosine: a robust-pruned directed graph per shard.
 
-Rows with equal vectors form one class with its ``k + 1`` least ids (no query needs more of
-them, and ties go to the smaller id), so a vector that a third of all rows share is one
-point. Classes are dealt at random into shards of about ``SHARD`` points. In each shard a
+Rows whose vectors have the same direction form one class with its ``k + 1`` least ids (no
+query needs more of them, and ties go to the smaller id), so a direction that a third of all
+rows share is one point. Directions are vectors over their largest component in double
+precision, a rounded quotient that is the same for exact multiples. Classes are dealt at random into shards of about ``SHARD`` points. In each shard a
 directed graph is built: points are inserted in batches; a greedy beam search from the
 medoid proposes neighbours, and relaxed distance pruning (a candidate is dropped if a chosen
 neighbour is ``ALPHA`` times closer to it than the point is) keeps at most ``DEGREE`` diverse
@@ -15,7 +16,7 @@ vectors.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 take no part, neither as queries nor as candidates. Vectors are compared with vectors of the
-same length only. Rows that repeat id and vector count once; a query never meets rows of its
+same length only. Rows that repeat id and direction are one candidate; a query never meets rows of its
 own id; a repeated id with another vector is a query of its own. Ties go to the smaller id. A
 query without candidates gives no row.
 """
@@ -54,6 +55,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def direction(column: Column) -> Column:
+    """The vector over its largest absolute component, in double precision."""
+    largest = F.array(F.array_max(F.transform(column, lambda v: F.abs(v.cast("double")))))
+    # the outer function binds the largest component once a row
+    return F.transform(largest, lambda top: F.transform(column, lambda v: v.cast("double") / top))[0]
+
+
 def beam_search(x: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the ``beam`` nearest points met, nearest first (ids, -1 for none; squared distances)."""
     q, n = len(queries), len(x)
@@ -153,7 +161,7 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alp
 
 def index(vectors: DataFrame, shard_rows: int = SHARD, k: int = K) -> DataFrame:
     """Graphs, one row per shard: dim, shard, ids (k + 1 per point, -1 padded), vectors, edges, start. A written table."""
-    rows = vectors.groupBy("embedding", "vec_id").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    rows = vectors.withColumn("embedding", direction(F.col("embedding"))).groupBy("embedding", "vec_id").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
     within = Window.partitionBy("embedding").orderBy("vec_id")
     least = rows.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") <= k + 1)
     classes = durable(least.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann_classes")
