@@ -44,3 +44,11 @@ def fold(doc_id: str, modulus: int) -> Column:
 
 def word_count(column: str) -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

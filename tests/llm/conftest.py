@@ -47,7 +47,7 @@ def small_docs(spark):
 
 def duck(sql: str, sf: str = SF):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     rel = con.sql(sql)
     return rel.columns, rel.fetchall()
