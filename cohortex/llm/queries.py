@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortex.llm import ann, exact_dedup, html_extract, katz, language_id, mixing, near_join, packing, substring_dedup, toxicity, warc
+from cohortex.llm import ann, conversation_repair, exact_dedup, hard_negatives, html_extract, katz, language_id, mixing, near_join, packing, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
@@ -22,5 +24,6 @@ ORACLE = {
     "op4_mixing": mixing.SQL,
     "op8_warc": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
     "op13_substring_dedup": substring_dedup.SQL,
 }
