@@ -16,8 +16,7 @@ a document with a smaller id. Windows are judged on the input.
    make one task do a share of all work that grows with the input. Their windows travel one by
    one as 128-bit digests: least ids are combined before the shuffle, and the answers are joined
    back by digest, where Spark splits skewed keys.
-4. The removed spans meet their documents by id and text hash; spans of a checked size are
-   broadcast, so texts are not shuffled, larger ones are joined by a shuffle.
+4. The removed spans meet their documents by id and text hash in an ordinary join.
 
 Defined results: a null text has no words. A null id is neither smaller nor larger than any
 other: such a document loses nothing and takes nothing away. Rows that repeat an id are no
@@ -43,10 +42,9 @@ from cohortex.llm.words import CHUNK_BYTES, mix, text_buffers
 
 WINDOW = 50
 MINIMISER = 4
-HOT_ROWS = 10_000
+HOT_ROWS = 2_000
 HOT_LIST = 1 << 16
 GROUP_BYTES = 8 << 20
-SMALL_SPANS = 500_000  # spans (16 bytes each) that may be broadcast
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -217,6 +215,12 @@ def exact_numbers(words: pa.Array, width: int) -> np.ndarray:
 
 def repeated_in_bucket(rows: pa.Table, window: int) -> pa.RecordBatch:
     """(id, h, first, stop): spans of the super-k-mers' windows that a smaller id has too."""
+    keys, ids = rows["key"].to_numpy(), rows["id"].to_numpy()
+    groups = np.flatnonzero(np.r_[True, np.diff(keys) != 0])
+    shared = np.minimum.reduceat(ids, groups) < np.maximum.reduceat(ids, groups)
+    rows = rows.filter(pa.array(np.repeat(shared, np.diff(np.r_[groups, len(keys)]))))  # others have nothing to meet
+    if not len(rows):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, names=["id", "h", "first", "stop"])
     ids, hashes, start = (rows[c].to_numpy() for c in ("id", "h", "start"))
     split = pc.split_pattern(rows["words"].combine_chunks(), " ")
     first = np.asarray(split.offsets)[: len(rows)] - split.offsets[0].as_py()
@@ -292,8 +296,6 @@ def with_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     spans = repeated_spans(df, id_col, text_col, **options)
     names = [fresh(df, n) for n in ("n_words", "n_removed", "kept", "kept_sha256", "s_id", "s_h", "spans")]
     right = spans.toDF(names[4], names[5], names[6])
-    if (spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= SMALL_SPANS:
-        right = F.broadcast(right)
     text = F.col(text_col).cast("string")
     joined = df.join(right, (F.col(id_col).cast("long") == F.col(names[4])) & (F.xxhash64(text) == F.col(names[5])), "left")
     own = joined.select(*df.columns, text.alias(names[2]), names[6])
