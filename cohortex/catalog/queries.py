@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +46,11 @@ from cohortex.operators.joins import join_on_client, unnest_hits
 from cohortex.operators.registry import registry_append, registry_lookup, registry_verify, runtime_versions
 from cohortex.operators.sampling import stratified_split, undersample_majority, union_all_split
 from cohortex.operators.sessions import first_session, latest_session
-from cohortex.plans.datasets import labelled_features, scoring_dataset, training_dataset
+from cohortex.operators.trees import NODES, walk, walked_probability
+from cohortex.plans.daily import DailyState, days_between
+from cohortex.plans.datasets import labelled_features, scoring_dataset, training_dataset, training_spec
 from cohortex.plans.features import CATEGORICAL, NUMERIC, feature_columns
-from cohortex.plans.run import materialise, run, split_for_training, train
+from cohortex.plans.run import layout_of, materialise, run, split_for_training, train
 from cohortex.sources.fixtures import sessions_from_events, sessions_from_orders
 from cohortex.sources.params import param_query
 from cohortex.sources.sessions import client_not_null, load_table, scan_suffix_range, scan_window
@@ -128,9 +130,9 @@ def q_sink_overwrite(spark, sf_dir):
 def q_sink_append(spark, sf_dir):
     target = scratch_path(spark, "sink_append")
     conv = A.conversion_counts(conversion_window(spark, sf_dir), FIXTURE_CONVERSION)
-    write_append(conv, target)  # creates the table
-    write_append(conv, target)
-    return read_back(spark, target)
+    for run_id in ("first", "first", "second"):  # the repeated run adds nothing
+        write_append(conv, target, run_id)
+    return read_back(spark, target).drop("run_id")
 
 
 @register("param_query", O.with_a(
@@ -336,7 +338,7 @@ def q_group_sum(spark, sf_dir):
 @register("count_distinct_multi", O.with_a(
     "SELECT clientId, num_channels, num_sources, num_days, num_devices FROM totals", O.totals_cte(None)))
 def q_count_distinct_multi(spark, sf_dir):
-    return all_sessions(spark, sf_dir).groupBy("clientId").agg(*A.distinct_count_columns(distinct_via_sets=False))
+    return A.distinct_counts(all_sessions(spark, sf_dir))
 
 
 @register("sum_totals", O.with_a(
@@ -724,24 +726,74 @@ def q_train_classifier(spark, sf_dir):
 _SCORED = O.features_ctes(False, lb=O._win(CV_START, CV_END))
 
 
-@register("predict_proba", O.with_a("SELECT clientid, TRUE AS prob_in_unit FROM joined", *_SCORED))
+def _equal(a: str, b: str):
+    """Equal to 1e-9; a missing value equals nothing."""
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) <= 1e-9, F.lit(False))
+
+
+@register("predict_proba", O.with_a("SELECT clientid, TRUE AS prob_in_unit, TRUE AS equals_walked_trees FROM joined", *_SCORED))
 def q_predict_proba(spark, sf_dir):
+    """Every client's probability against the exported trees, walked by joins."""
     t = _trained(spark, sf_dir)
-    scoring = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
-    return M.predict_proba(t.model, scoring, t.layout).select("clientid", _in_unit().alias("prob_in_unit"))
+    scoring = materialise(scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN), "scoring")
+    walked = walked_probability(spark, t.model, scoring, t.layout, "clientid").withColumnRenamed("prob", "walked")
+    prob = M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
+    return prob.join(walked, "clientid", "full").select(
+        "clientid", _in_unit().alias("prob_in_unit"), _equal("prob", "walked").alias("equals_walked_trees"))
+
+
+def _segment_of(prob: str):
+    c = FIXTURE_RUN
+    return F.when(F.col(prob) > c.high_class_value, "high").when(F.col(prob) > c.medium_class_value, "medium").otherwise("low")
 
 
 @register("audience_export", O.with_a("SELECT clientid, TRUE AS segment_agrees FROM joined", *_SCORED))
 def q_audience_export(spark, sf_dir):
-    """Every client's exported segment against the segment rule applied to the same model's probability."""
+    """Every client's exported segment against the segment rule applied to the walked trees."""
     t = _trained(spark, sf_dir)
     scoring = materialise(scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN), "scoring")
     c = FIXTURE_RUN
     out = audience(t.model, scoring, t.layout, c.medium_class_value, c.high_class_value, c.index_dimension, c.value_dimension)
-    prob = M.predict_proba(t.model, scoring, t.layout).select("clientid", "prob")
-    expected = F.when(F.col("prob") > c.high_class_value, "high").when(F.col("prob") > c.medium_class_value, "medium").otherwise("low")
-    return prob.join(out, F.col("clientid") == F.col(c.index_dimension), "full").select(
-        "clientid", F.col(c.value_dimension).eqNullSafe(expected).alias("segment_agrees"))
+    walked = walked_probability(spark, t.model, scoring, t.layout, "clientid")
+    return walked.join(out, F.col("clientid") == F.col(c.index_dimension), "full").select(
+        "clientid", F.col(c.value_dimension).eqNullSafe(_segment_of("prob")).alias("segment_agrees"))
+
+
+# a stored model over raw features, two trees of depth 2: (tree, node, feature or None, threshold, left, right, value, weight)
+STORED_TREES = (
+    (0, 0, "total_hits", 12.5, 1, 2, 0.0, 1.0),
+    (0, 1, "Event04", 0.5, 3, 4, 0.0, 1.0),
+    (0, 2, "total_pageviews", 6.5, 5, 6, 0.0, 1.0),
+    (0, 3, None, None, None, None, -0.75, 1.0),
+    (0, 4, None, None, None, None, 0.125, 1.0),
+    (0, 5, None, None, None, None, 0.375, 1.0),
+    (0, 6, None, None, None, None, 0.875, 1.0),
+    (1, 0, "num_sources", 5.5, 1, 2, 0.0, 0.5),
+    (1, 1, None, None, None, None, -0.625, 0.5),
+    (1, 2, "total_evening_visits", 2.5, 3, 4, 0.0, 0.5),
+    (1, 3, None, None, None, None, 0.25, 0.5),
+    (1, 4, None, None, None, None, 1.0, 0.5),
+)
+_STORED_MARGIN = (
+    "CASE WHEN total_hits <= 12.5 THEN CASE WHEN Event04 <= 0.5 THEN -0.75 ELSE 0.125 END "
+    "ELSE CASE WHEN total_pageviews <= 6.5 THEN 0.375 ELSE 0.875 END END::DOUBLE + 0.5::DOUBLE * "
+    "CASE WHEN num_sources <= 5.5 THEN -0.625 ELSE CASE WHEN total_evening_visits <= 2.5 THEN 0.25 ELSE 1.0 END END"
+)
+
+
+@register("walk_trees", O.with_a(
+    f"SELECT clientid, round(p, 9) AS prob, CASE WHEN p > {FIXTURE_RUN.high_class_value} THEN 'high' "
+    f"WHEN p > {FIXTURE_RUN.medium_class_value} THEN 'medium' ELSE 'low' END AS segment "
+    f"FROM (SELECT clientid, 1 / (1 + exp(-2 * ({_STORED_MARGIN}))) AS p FROM joined)", *_SCORED))
+def q_walk_trees(spark, sf_dir):
+    """A stored node table over the scoring features: real probabilities and segments."""
+    names = [*NUMERIC, *[r.name for r in FIXTURE_RULES]]
+    slots = [(t, n, None if f is None else names.index(f), at, None, *rest) for t, n, f, at, *rest in STORED_TREES]
+    nodes = spark.createDataFrame(slots, NODES)
+    rows = scoring_dataset(feature_sessions(spark, sf_dir), FIXTURE_RUN)
+    rows = rows.select("clientid", F.array(*[F.col(c).cast("double") for c in names]).alias("features"))
+    return walk(rows, nodes, "clientid", "features", depth=2).select(
+        "clientid", F.round("prob", 9).alias("prob"), _segment_of("prob").alias("segment"))
 
 
 def _registry_cfg(spark):
@@ -818,10 +870,30 @@ def audience_run(spark, sf_dir):
     return run(spark, cfg, feature_sessions(spark, sf_dir))
 
 
-@register("run_pipeline", O.with_a(f"SELECT clientid AS {FIXTURE_RUN.index_dimension}, TRUE AS known_segment FROM joined", *_SCORED))
+@register("run_pipeline", O.with_a(f"SELECT clientid AS {FIXTURE_RUN.index_dimension}, TRUE AS segment_agrees FROM joined", *_SCORED))
 def q_run_pipeline(spark, sf_dir):
-    out = audience_run(spark, sf_dir)
-    return out.select(FIXTURE_RUN.index_dimension, F.col(FIXTURE_RUN.value_dimension).isin("low", "medium", "high").alias("known_segment"))
+    """The written audience against the trees the run has registered, read from the stored model and walked by joins."""
+    cfg = replace(_registry_cfg(spark), destination_table=scratch_path(spark, "audience"))
+    sessions = feature_sessions(spark, sf_dir)
+    out = run(spark, cfg, sessions)
+    row = registry_lookup(spark, cfg.trained_model_table, cfg.name)
+    model = PipelineModel.load(row["model_path"])
+    scoring = materialise(scoring_dataset(sessions, cfg), "scoring")
+    walked = walked_probability(spark, model, scoring, layout_of(model), "clientid", row["model_path"])
+    both = out.join(walked, F.col("clientid") == F.col(cfg.index_dimension), "full")
+    return both.select(F.col("clientid").alias(cfg.index_dimension), F.col(cfg.value_dimension).eqNullSafe(_segment_of("prob")).alias("segment_agrees"))
+
+
+@register("daily_features", O.FEATURES_SQL)
+def q_daily_features(spark, sf_dir):
+    """The training features from daily states: all days but the last first, then the last one alone."""
+    spec = training_spec(FIXTURE)
+    state = DailyState(scratch_path(spark, "daily_state"), spec.rules, spec.conversion_rule, spec.tz)
+    sessions = feature_sessions(spark, sf_dir)
+    days = days_between(LB_START, CV_END)
+    state.bring_up_to_date(sessions, days[0], days[-2])
+    state.bring_up_to_date(sessions, days[0], days[-1])
+    return state.features(spark, spec)
 
 
 # ---------------------------------------------------------------- the campaign's own rule set

@@ -90,6 +90,8 @@ class AudienceConfig:
     max_depth: int = 3
     step_size: float = 0.1
     model_root: str | None = None  # folder for saved models; default: shared work folder
+    run_id: str | None = None  # names the run in the registry; a repeated run adds no second row
+    daily_state: str | None = None  # folder of per-day partial features; unset: every run scans its windows
 
     @staticmethod
     def from_options(options: dict[str, str | None]) -> "AudienceConfig":

@@ -9,6 +9,7 @@ per rule.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -74,6 +75,76 @@ class EventRule:
         return EventRule(name, **{canonical: value})
 
 
+WORD_BITS = 63
+
+
+class RuleIndex:
+    """All rules of a campaign tested at once: a hit's rules as bits of ``words`` longs.
+
+    A field's bits are those of the rules that do not constrain it, of its value in the
+    dictionary of equality constraints, and of the tokens it contains (each token is tested
+    once); a hit's bits are the AND of its fields' bits. Rules with equal constraints share a bit.
+    """
+
+    def __init__(self, rules: Iterable[EventRule]):
+        self.places: dict[tuple, int] = {}
+        for rule in rules:
+            self.places.setdefault(tuple(rule.constraints()), len(self.places))
+        self.words = max(1, -(-len(self.places) // WORD_BITS))
+
+    def place(self, rule: EventRule) -> tuple[int, int]:
+        """(word, bit) of a rule."""
+        return divmod(self.places[tuple(rule.constraints())], WORD_BITS)
+
+    def _field_bits(self, field: Column, name: str, word: int) -> Column:
+        free, values, tokens = 0, {}, {}
+        for constraints, place in self.places.items():
+            if place // WORD_BITS != word:
+                continue
+            bit, wanted = 1 << place % WORD_BITS, dict(constraints).get(name)
+            if wanted is None:
+                free |= bit
+            elif isinstance(wanted, Contains):
+                tokens[wanted] = tokens.get(wanted, 0) | bit
+            else:
+                values[wanted] = values.get(wanted, 0) | bit
+        bits = F.lit(free).cast("long")
+        if values:
+            known = F.create_map(*[F.lit(x) if isinstance(x, str) else F.lit(x).cast("long") for pair in values.items() for x in pair])
+            bits = bits.bitwiseOR(F.coalesce(F.element_at(known, field), F.lit(0).cast("long")))
+        for token, bit in tokens.items():
+            bits = bits.bitwiseOR(F.when(field_matches(field, token), F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        return bits
+
+    def masks(self, event_info: Column) -> list[Column]:
+        """The words of one hit."""
+        return [reduce(Column.bitwiseAND, [self._field_bits(event_info.getField(f), f, w) for f in FIELDS]) for w in range(self.words)]
+
+    def flag(self, rule: EventRule, masks: list[Column]) -> Column:
+        """1 where the hit with these words matches the rule, else 0."""
+        word, bit = self.place(rule)
+        return F.shiftrightunsigned(masks[word], bit).bitwiseAND(F.lit(1).cast("long"))
+
+    def matches(self, hits: Column) -> Column:
+        """The words of a session's hits, in one pass; hits that match no rule are left out. Null for null hits."""
+
+        def words(e: Column) -> Column:
+            return F.struct(*[m.alias(f"w{w}") for w, m in enumerate(self.masks(e))])
+
+        def any_rule(m: Column) -> Column:
+            return reduce(Column.__or__, [m.getField(f"w{w}") != 0 for w in range(self.words)])
+
+        return F.filter(F.transform(hits, words), any_rule)
+
+    def count(self, rule: EventRule, matches: Column) -> Column:
+        """How many of a session's hits match the rule, from :meth:`matches`."""
+
+        def add(n: Column, m: Column) -> Column:
+            return n + self.flag(rule, [m.getField(f"w{w}") for w in range(self.words)])
+
+        return F.aggregate(matches, F.lit(0).cast("long"), add)
+
+
 def _constraint(value) -> Constraint:
     if value is None or isinstance(value, str):
         return value

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortex.functions.rules import EventRule
+from cohortex.functions.rules import EventRule, RuleIndex
 from cohortex.functions.scalar import HOUR_BUCKETS, concat_pair, in_hours, local_hour, revenue_scaled
 from cohortex.operators.joins import unnest_hits
+from cohortex.operators.rollup import Guarded, Part, by_client, distinct_of_domain, distinct_pairs, total
 
 TOTAL_FIELDS = ("visits", "pageviews", "hits", "timeonsite", "bounces")
 
@@ -19,43 +20,47 @@ def rule_flag(rule: EventRule, event_info: Column) -> Column:
     return F.when(rule.predicate(event_info), F.lit(1)).otherwise(F.lit(0))
 
 
-def distinct_count_columns(distinct_via_sets: bool = False) -> list[Column]:
-    """``COUNT(DISTINCT ..)`` of channel, source/medium pair, day and device category.
+def source_pair() -> Column:
+    return concat_pair(F.col("trafficSource.source"), F.col("trafficSource.medium"))
 
-    ``count_distinct`` plans as Expand + two aggregations; ``size(collect_set)`` keeps a
-    single shuffle (sets are bounded by the value domains: channels, days, devices, sources).
-    """
-    exprs = {
-        "num_channels": F.col("channelGrouping"),
-        "num_sources": concat_pair(F.col("trafficSource.source"), F.col("trafficSource.medium")),
-        "num_days": F.col("date"),
-        "num_devices": F.col("device.deviceCategory"),
-    }
-    if distinct_via_sets:
-        return [F.size(F.collect_set(e)).cast("bigint").alias(n) for n, e in exprs.items()]
-    return [F.count_distinct(e).alias(n) for n, e in exprs.items()]
 
+def distinct_parts() -> list[Part]:
+    """``COUNT(DISTINCT ..)`` of channel, source/medium pair, day and device category."""
+    return [
+        distinct_of_domain("num_channels", F.col("channelGrouping")),
+        distinct_pairs("num_sources"),
+        distinct_of_domain("num_days", F.col("date")),
+        distinct_of_domain("num_devices", F.col("device.deviceCategory")),
+    ]
 
-def visit_totals(
-    sessions: DataFrame, tz: str = "America/Sao_Paulo", revenue_divisor: int = 100000, distinct_via_sets: bool = False
-) -> DataFrame:
+
+def distinct_counts(sessions: DataFrame) -> DataFrame:
+    """The four distinct counts per client (A2), in two levels."""
+    return by_client(sessions, source_pair(), [Guarded(distinct_parts())])
+
+
+def visit_totals(sessions: DataFrame, tz: str = "America/Sao_Paulo", revenue_divisor: int = 100000) -> DataFrame:
     """Visit totals per client over a scanned window (C3: A1-A4, F5, F7-F9)."""
-    hour = local_hour(F.col("visitStartTime"), tz)
-    return sessions.groupBy("clientId").agg(
-        *distinct_count_columns(distinct_via_sets),
-        *[F.sum(f"totals.{f}").alias(f) for f in TOTAL_FIELDS],
-        *[F.sum(in_hours(hour, hours)).alias(f"{name}_visits") for name, hours in HOUR_BUCKETS.items()],
-        F.sum("totals.transactions").alias("transactions"),
-        revenue_scaled(F.sum("totals.totalTransactionRevenue"), revenue_divisor).alias("revenue"),
-    )
+    rows = sessions.withColumn("_hour", local_hour(F.col("visitStartTime"), tz))
+    parts = [
+        *distinct_parts(),
+        *[total(f, F.col(f"totals.{f}")) for f in TOTAL_FIELDS],
+        *[total(f"{name}_visits", in_hours(F.col("_hour"), hours)) for name, hours in HOUR_BUCKETS.items()],
+        total("transactions", F.col("totals.transactions")),
+        total("revenue", F.col("totals.totalTransactionRevenue"), lambda c: revenue_scaled(c, revenue_divisor)),
+    ]
+    return by_client(rows, source_pair(), [Guarded(parts)])
 
 
 def event_counts(sessions: DataFrame, rules: Sequence[EventRule]) -> DataFrame:
-    """One count per rule of the client's matching hits (J1 + A5). Partial aggregation runs
-    in the same stage as the explode, so only one row per client and task is shuffled."""
-    hits = unnest_hits(sessions, "clientId")
-    info = F.col("eventInfo")
-    return hits.groupBy("clientId").agg(*[F.sum(rule_flag(r, info)).alias(r.name) for r in rules])
+    """One count per rule of the client's matching hits (J1 + A5). A hit is tested once for all
+    rules; partial aggregation runs in the same stage, so only one row per client and task is
+    shuffled."""
+    index = RuleIndex(rules)
+    words = [f"_w{w}" for w in range(index.words)]
+    masks = [m.alias(w) for w, m in zip(words, index.masks(F.col("eventInfo")), strict=True)]
+    hits = unnest_hits(sessions, "clientId").select("clientId", *masks)
+    return hits.groupBy("clientId").agg(*[F.sum(index.flag(r, [F.col(w) for w in words])).alias(r.name) for r in rules])
 
 
 def conversion_counts(sessions: DataFrame, rule: EventRule, min_count: int = 1) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortex.context import work_root
-from cohortex.sources.sinks import exists, read_back, write_append
+from cohortex.sources.sinks import RUN_ID, exists, read_back, write_append
 
 log = logging.getLogger("cohortex")
 
@@ -80,8 +80,17 @@ def registry_append(
     score_train: float | None,
     score_test: float | None,
     model_root: str | None = None,
+    run_id: str | None = None,
 ) -> Row:
-    """Save the model, append its registry row, return the row."""
+    """Save the model, append its registry row, return the row.
+
+    A run that is in the registry already (``run_id``; a fresh one if not given) saves nothing and
+    returns its row, so a repeated run leaves one row; concurrent runs leave one each.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    known = read_registry(spark, registry)
+    if known is not None and (row := latest_matching(known, "timestamp", run_id=run_id, name=name).first()):
+        return row
     path, digest = save_model(spark, model, name, model_root)
     row = Row(
         timestamp=dt.datetime.now(dt.timezone.utc),
@@ -92,10 +101,18 @@ def registry_append(
         score_train=None if score_train is None else float(score_train),
         score_test=None if score_test is None else float(score_test),
     )
-    write_append(spark.createDataFrame([row], REGISTRY_SCHEMA), registry)
+    write_append(spark.createDataFrame([row], REGISTRY_SCHEMA), registry, run_id, within=("name",))
     return row
 
 
+def read_registry(spark: SparkSession, registry: str) -> DataFrame | None:
+    """The registry's rows, None if there is none; rows written before run ids were kept have null there."""
+    if not exists(spark, registry):
+        return None
+    rows = read_back(spark, registry, merge_schema=True)
+    return rows if RUN_ID in rows.columns else rows.withColumn(RUN_ID, F.lit(None).cast("string"))
+
+
 def latest_matching(df: DataFrame, order_by: str, **equal) -> DataFrame:
     """Rows equal on the given columns, newest first (ties by the other columns), one row."""
     for col, value in equal.items():
@@ -105,9 +122,8 @@ def latest_matching(df: DataFrame, order_by: str, **equal) -> DataFrame:
 
 def registry_lookup(spark: SparkSession, registry: str, name: str) -> Row | None:
     """Newest row of ``name`` written by the same Spark and Python versions, or None."""
-    if not exists(spark, registry):
-        return None
-    return latest_matching(read_back(spark, registry), "timestamp", name=name, **runtime_versions()).first()
+    rows = read_registry(spark, registry)
+    return None if rows is None else latest_matching(rows, "timestamp", name=name, **runtime_versions()).first()
 
 
 def registry_verify(spark: SparkSession, row: Row | None) -> bool:

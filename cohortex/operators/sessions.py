@@ -10,7 +10,8 @@ from cohortex.functions.scalar import BROWSER_KEEP, OS_KEEP, bool_flag, bucket_r
 
 # Order of "newest session": visitId, then visitStartTime, then the shard suffix. The
 # ascending order (first session) uses the same keys; nulls sort first ascending and last
-# descending, as in the reference dialect.
+# descending, as in the reference dialect. Sessions that tie in all of them are ordered by
+# their attributes, in the order of the selected columns.
 SESSION_ORDER = ("visitId", "visitStartTime", "suffix")
 
 
@@ -26,14 +27,15 @@ def session_attributes(sessions: DataFrame) -> DataFrame:
         bucket_rare(F.col("device.browser"), BROWSER_KEEP).alias("browser"),
         F.col("device.deviceCategory").alias("deviceCategory"),
         bucket_rare(F.col("device.operatingSystem"), OS_KEEP).alias("operatingSystem"),
-        bool_flag(F.col("device.isMobile")).alias("isMobile"),
         F.col("geoNetwork.region").alias("region"),
         F.col("geoNetwork.city").alias("city"),
+        bool_flag(F.col("device.isMobile")).alias("isMobile"),
     )
 
 
 def _ranked(df: DataFrame, key: str, newest: bool) -> Column:
-    order = [F.desc(c) if newest else F.asc(c) for c in SESSION_ORDER]
+    rest = [c for c in df.columns if c not in (key, *SESSION_ORDER)]
+    order = [F.desc(c) if newest else F.asc(c) for c in (*SESSION_ORDER, *rest)]
     return F.row_number().over(Window.partitionBy(key).orderBy(*order))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from cohortex.config import AudienceConfig
 from cohortex.operators.sampling import downsample_majority
-from cohortex.plans.features import FeatureSpec, feature_table, features_fused_many, select_spec
+from cohortex.plans.daily import DailyState
+from cohortex.plans.features import FeatureSpec, feature_table, features_fused_many, select_spec, windows_of
 
 
 def training_spec(cfg: AudienceConfig) -> FeatureSpec:
@@ -47,6 +48,15 @@ def shared_feature_table(sessions: DataFrame, cfg: AudienceConfig) -> DataFrame:
     return features_fused_many(sessions, {"t": training_spec(cfg), "s": scoring_spec(cfg)})
 
 
+def shared_from_state(sessions: DataFrame, cfg: AudienceConfig) -> DataFrame:
+    """The same aggregates from the daily state, after adding the days of the windows it lacks."""
+    training, scoring = training_spec(cfg), scoring_spec(cfg)
+    state = DailyState(cfg.daily_state, training.rules, training.conversion_rule, cfg.time_zone)
+    windows = [*windows_of(training), *windows_of(scoring)]
+    state.bring_up_to_date(sessions, min(w[0] for w in windows), max(w[1] for w in windows))
+    return state.merged(sessions.sparkSession, {"t": training, "s": scoring})
+
+
 def datasets_from_shared(shared: DataFrame, cfg: AudienceConfig) -> tuple[DataFrame, DataFrame]:
     """(training dataset with sampled negatives, scoring dataset)."""
     labelled = select_spec(shared, training_spec(cfg), "t")
@@ -76,4 +86,5 @@ def templated_datasets(spark, sessions: DataFrame, cfg: AudienceConfig) -> tuple
     params = cfg.query_parameters(view)
     training = param_query(spark, read_template(spark, cfg.queries_location, "training"), params)
     scoring = param_query(spark, read_template(spark, cfg.queries_location, "classification"), params)
+    spark.catalog.dropTempView(view)  # both plans are resolved
     return training, scoring

@@ -5,12 +5,12 @@ Two plans give identical rows:
 * ``literal``: one sub-plan per step (latest session, first session, totals, event counts,
   conversions) joined on the client, the structure of a CTE-per-step SQL query. Spark
   scans the window once per step and joins four or five per-client results.
-* ``fused``: one scan of the union of the windows and one ``groupBy(clientId)``; window
-  membership is a ``when(suffix between ..)`` guard inside each aggregate. Rule matches
-  are counted inside each session (one pass over ``hits.eventInfo``), so the aggregate
-  sees one row per session and the scan reads only the event structs of the hits. A
-  single exchange carries one partial row per client and task: a client with a third of
-  all sessions costs one partial row per task, not a hot partition.
+* ``fused``: one scan of the windows and one two-level aggregation (client and
+  source/medium pair, then client; see :mod:`cohortex.operators.rollup`); window membership
+  is a guard inside each aggregate. A session's hits are tested once for all rules, in the
+  windows only, so the aggregate sees one row per session and the scan reads only the event
+  structs of the hits. Both exchanges carry pre-aggregated rows: a client with a third of
+  all sessions is spread over its pairs, then costs one partial row per task.
 """
 
 from __future__ import annotations
@@ -18,26 +18,28 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortex.functions.rules import EventRule
+from cohortex.functions.rules import EventRule, RuleIndex
 from cohortex.functions.scalar import (
     BROWSER_KEEP,
     HOUR_BUCKETS,
     OS_KEEP,
     bucket_rare,
-    concat_pair,
     ifnull_zero,
     in_hours,
     label_binary,
     local_hour,
 )
-from cohortex.operators.aggregates import conversion_counts, event_counts, visit_totals
+from cohortex.operators.aggregates import conversion_counts, distinct_parts, event_counts, source_pair, visit_totals
 from cohortex.operators.joins import join_on_client
+from cohortex.operators.rollup import Guarded, Part, by_client, largest, smallest, total
 from cohortex.operators.sessions import SESSION_ORDER, first_session, latest_session
-from cohortex.sources.sessions import scan_window, suffix_between
+from cohortex.sources.sessions import client_not_null, scan_window, suffix_between
 
 CATEGORICAL = ("first_channel", "last_channel", "browser", "deviceCategory", "operatingSystem", "region", "city")
 NUMERIC = (
@@ -91,7 +93,6 @@ class FeatureSpec:
     conversion_start: str | None = None
     conversion_end: str | None = None
     conversion_rule: EventRule | None = None
-    distinct_via_sets: bool = True
 
     def __post_init__(self) -> None:
         if self.start > self.end:
@@ -137,7 +138,7 @@ def features_literal(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
     hits = event_counts(lookback, spec.rules)
     latest = latest_session(lookback).withColumnRenamed("channelGrouping", "last_channel")
     first = first_session(lookback).withColumnRenamed("channelGrouping", "first_channel")
-    totals = visit_totals(lookback, spec.tz, distinct_via_sets=False).drop("revenue")
+    totals = visit_totals(lookback, spec.tz).drop("revenue")
     joined = join_on_client(hits, latest, "inner")
     joined = join_on_client(joined, first, "inner")
     joined = join_on_client(joined, totals, "left")
@@ -150,63 +151,45 @@ def features_literal(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
     return _final_projection(joined, spec, conv)
 
 
-def _rule_key(rule: EventRule) -> tuple:
-    return tuple(rule.constraints())
-
-
-def _hit_count(rule: EventRule) -> Column:
-    """Matching hits of one session: one pass over ``hits.eventInfo`` (null for null hits)."""
-    return F.aggregate(
-        F.col("hits").getField("eventInfo"),
-        F.lit(0).cast("bigint"),
-        lambda acc, e: acc + F.when(rule.predicate(e), F.lit(1)).otherwise(F.lit(0)),
-    )
+def count_name(rule: EventRule) -> str:
+    """Column name of a rule's per-session count; equal rules share one column."""
+    return "_hc_" + hashlib.md5(repr(tuple(rule.constraints())).encode()).hexdigest()[:12]
 
 
-def _hit_count_name(rule: EventRule) -> str:
-    """Column name of a rule's per-session count; equal rules share one column."""
-    return "_hc_" + hashlib.md5(repr(_rule_key(rule)).encode()).hexdigest()[:12]
+def hour_name(tz: str) -> str:
+    return "_hour_" + hashlib.md5(tz.encode()).hexdigest()[:12]
 
 
-def _window_name(start: str, end: str) -> str:
-    return "_in_" + hashlib.md5(f"{start}|{end}".encode()).hexdigest()[:12]
+def windows_of(spec: FeatureSpec) -> list[tuple[str, str]]:
+    return [(spec.start, spec.end)] + ([(spec.conversion_start, spec.conversion_end)] if spec.labelled else [])
 
 
-def _hour_name(tz: str) -> str:
-    return "_hour_" + hashlib.md5(tz.encode()).hexdigest()[:12]
+def rules_of(spec: FeatureSpec) -> list[EventRule]:
+    return [*spec.rules, *([spec.conversion_rule] if spec.labelled else [])]
 
 
-def _session_rows(
-    sessions: DataFrame, start: str, end: str, rules: Sequence[EventRule], zones: Sequence[str] = ()
-) -> DataFrame:
-    """Sessions of ``[start, end]`` with their per-rule hit counts; the hits array is dropped.
+def session_rows(sessions: DataFrame, windows: Sequence[tuple[str, str]], rules: Sequence[EventRule], zones: Sequence[str]) -> DataFrame:
+    """Sessions of the windows with their local hours and their hits counted by rule; the hits array is dropped.
 
-    Counting inside each session keeps one row per session (no exploded rows, no per-hit
-    hash-map probes) and goes through the field access ``hits.eventInfo``, so the scan
-    reads only the event structs of the hits.
+    Only days of a window are read. Counting inside each session keeps one row per session (no
+    exploded rows) and goes through the field access ``hits.eventInfo``, so the scan reads only
+    the event structs of the hits.
     """
-    scan = scan_window(sessions, start, end)
+    wanted = reduce(or_, [suffix_between(a, b) for a, b in sorted(set(windows))])
+    scan = client_not_null(sessions.where(wanted))
     info = F.col("hits").getField("eventInfo")
+    index = RuleIndex(rules)
     # size(NULL) is -1 in non-ANSI sessions with the legacy default; keep it null
-    counts = {"_hits_n": F.when(info.isNotNull(), F.size(info))}
-    for rule in rules:
-        counts.setdefault(_hit_count_name(rule), _hit_count(rule))
-    for tz in zones:  # local hour once per session, not once per hour bucket
-        counts.setdefault(_hour_name(tz), local_hour(F.col("visitStartTime"), tz))
-    return scan.withColumns(counts).drop("hits")
+    first = {"_hits_n": F.when(info.isNotNull(), F.size(info)), "_matches": index.matches(info)}
+    first |= {hour_name(tz): local_hour(F.col("visitStartTime"), tz) for tz in zones}
+    counts = {count_name(r): index.count(r, F.col("_matches")) for r in rules}
+    return scan.withColumns(first).withColumns(counts).drop("hits", "_matches")
 
 
-def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
-    """Aggregates of one feature spec over session rows, guarded by its windows, named with
-    prefix ``p``."""
-    in_lb = F.col(_window_name(spec.start, spec.end))
-
-    def lb(c: Column) -> Column:
-        return F.when(in_lb, c)
-
-    hour = F.col(_hour_name(spec.tz))
-    order = F.struct(*[F.col(c) for c in SESSION_ORDER])
-    latest = F.struct(
+def session_parts(rules: Sequence[EventRule], tz: str) -> list[Part]:
+    """Every feature of a window but the label, as mergeable parts over :func:`session_rows`."""
+    order = [F.col(c) for c in SESSION_ORDER]
+    latest = [
         F.col("visitNumber"),
         F.col("channelGrouping"),
         bucket_rare(F.col("device.browser"), BROWSER_KEEP).alias("browser"),
@@ -214,55 +197,43 @@ def _spec_aggregates(spec: FeatureSpec, p: str) -> list[Column]:
         bucket_rare(F.col("device.operatingSystem"), OS_KEEP).alias("operatingSystem"),
         F.col("geoNetwork.region").alias("region"),
         F.col("geoNetwork.city").alias("city"),
-    )
-    distinct = {
-        "num_channels": F.col("channelGrouping"),
-        "num_sources": concat_pair(F.col("trafficSource.source"), F.col("trafficSource.medium")),
-        "num_days": F.col("date"),
-        "num_devices": F.col("device.deviceCategory"),
-    }
-
-    def n_distinct(e: Column) -> Column:
-        if spec.distinct_via_sets:
-            return F.size(F.collect_set(lb(e))).cast("bigint")
-        return F.count_distinct(lb(e))
-
-    aggs = [
-        F.max_by(lb(latest), lb(order)).alias(f"{p}latest"),
-        F.min_by(lb(F.col("channelGrouping")), lb(order)).alias(f"{p}first_channel"),
-        *[n_distinct(e).alias(f"{p}{n}") for n, e in distinct.items()],
-        *[F.sum(lb(F.col(f"totals.{f}"))).alias(f"{p}{f}") for f in TOTALS_SUMMED],
-        *[F.sum(lb(in_hours(hour, hrs))).alias(f"{p}{name}_visits") for name, hrs in HOUR_BUCKETS.items()],
-        F.sum(lb(F.col("totals.transactions"))).alias(f"{p}transactions"),
-        F.sum(lb(F.col("_hits_n"))).alias(f"{p}_n_hits"),
-        *[F.sum(lb(F.col(_hit_count_name(r)))).alias(f"{p}{r.name}") for r in spec.rules],
     ]
-    if spec.labelled:
-        in_cv = F.col(_window_name(spec.conversion_start, spec.conversion_end))
-        aggs.append(F.sum(F.when(in_cv, F.col(_hit_count_name(spec.conversion_rule)))).alias(f"{p}_conv"))
-    return aggs
+    return [
+        # ties of the order go to the largest attributes (latest) and the least channel (first)
+        largest("latest", F.struct(F.struct(*order).alias("at"), F.struct(*latest).alias("row")), lambda c: c["row"]),
+        smallest("first_channel", F.struct(F.struct(*order).alias("at"), F.col("channelGrouping").alias("row")), lambda c: c["row"]),
+        *distinct_parts(),
+        *[total(f, F.col(f"totals.{f}")) for f in TOTALS_SUMMED],
+        *[total(f"{name}_visits", in_hours(F.col(hour_name(tz)), hours)) for name, hours in HOUR_BUCKETS.items()],
+        total("transactions", F.col("totals.transactions")),
+        total("_n_hits", F.col("_hits_n")),
+        *[total(r.name, F.col(count_name(r))) for r in rules],
+    ]
+
+
+def label_part(rule: EventRule) -> Part:
+    return total("_conv", F.col(count_name(rule)))
 
 
-def _bounds(spec: FeatureSpec) -> tuple[str, str]:
-    starts = [spec.start] + ([spec.conversion_start] if spec.labelled else [])
-    ends = [spec.end] + ([spec.conversion_end] if spec.labelled else [])
-    return min(starts), max(ends)
+def guarded_parts(specs: dict[str, FeatureSpec], suffix: str = "suffix") -> list[Guarded]:
+    """The parts of every spec, guarded by its windows, in columns prefixed ``<name>__``."""
+    groups = []
+    for name, spec in specs.items():
+        groups.append(Guarded(session_parts(spec.rules, spec.tz), suffix_between(spec.start, spec.end, suffix), f"{name}__"))
+        if spec.labelled:
+            inside = suffix_between(spec.conversion_start, spec.conversion_end, suffix)
+            groups.append(Guarded([label_part(spec.conversion_rule)], inside, f"{name}__"))
+    return groups
 
 
 def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> DataFrame:
-    """One scan over the union of all windows and one ``groupBy(clientId)`` computing the
-    aggregates of every spec (columns prefixed ``<name>__``). Use :func:`select_spec` to get
-    one feature table out of it. A training and a scoring table share one scan this way."""
-    bounds = [_bounds(s) for s in specs.values()]
-    rules = [r for spec in specs.values() for r in (*spec.rules, *([spec.conversion_rule] if spec.labelled else []))]
-    zones = sorted({spec.tz for spec in specs.values()})
-    rows = _session_rows(sessions, min(b[0] for b in bounds), max(b[1] for b in bounds), rules, zones)
-    windows = {(s.start, s.end) for s in specs.values()}
-    windows |= {(s.conversion_start, s.conversion_end) for s in specs.values() if s.labelled}
-    # each window test once per session row, not once per aggregate
-    rows = rows.withColumns({_window_name(a, b): suffix_between(a, b) for a, b in sorted(windows)})
-    aggs = [a for name, spec in specs.items() for a in _spec_aggregates(spec, f"{name}__")]
-    return rows.groupBy("clientId").agg(*aggs)
+    """One scan of all windows and one two-level aggregation with the parts of every spec
+    (columns prefixed ``<name>__``). Use :func:`select_spec` to get one feature table out of
+    it. A training and a scoring table share one scan this way."""
+    rules = [r for spec in specs.values() for r in rules_of(spec)]
+    windows = [w for spec in specs.values() for w in windows_of(spec)]
+    rows = session_rows(sessions, windows, rules, sorted({spec.tz for spec in specs.values()}))
+    return by_client(rows, source_pair(), guarded_parts(specs))
 
 
 _LATEST_FIELDS = {"visitNumber", "last_channel", "browser", "deviceCategory", "operatingSystem", "region", "city"}
@@ -283,7 +254,7 @@ def select_spec(wide: DataFrame, spec: FeatureSpec, name: str) -> DataFrame:
 
 
 def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One scan and one shuffle: every feature is an aggregate over the client's sessions."""
+    """One scan: every feature is an aggregate over the client's sessions."""
     return select_spec(features_fused_many(sessions, {"f": spec}), spec, "f")
 
 

@@ -28,6 +28,7 @@ from cohortex.plans.datasets import (
     datasets_from_shared,
     scoring_dataset,
     shared_feature_table,
+    shared_from_state,
     templated_datasets,
     training_dataset,
 )
@@ -89,7 +90,7 @@ def train_on(spark: SparkSession, cfg: AudienceConfig, training: DataFrame) -> T
     log.info("training done: accuracy train=%s test=%s", score_train, score_test)
     row = None
     if cfg.trained_model_table:
-        row = registry_append(spark, cfg.trained_model_table, model, cfg.name, score_train, score_test, cfg.model_root)
+        row = registry_append(spark, cfg.trained_model_table, model, cfg.name, score_train, score_test, cfg.model_root, cfg.run_id)
         log.info("registered model %s, digest %s", row["model_path"], row["md5"])
     discard(spark, parts)
     return Trained(model, layout, score_train, score_test, row)
@@ -131,7 +132,7 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
 
     When a model is trained with the fused plan, training and scoring features come from
     one scan of the sessions: the per-client aggregates of both windows are computed
-    together and materialised once.
+    together and materialised once. With a daily state only days that it lacks are scanned.
     """
     if sessions is None:
         if not cfg.source_table:
@@ -139,11 +140,15 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
         w = cfg.windows()
         sessions = load_sessions(spark, cfg.source_table, min(w.lookback_start, w.scoring_start), w.conversion_end)
     log.info("run %s: windows %s", cfg.name, cfg.windows())
-    trained = load(spark, cfg)
+    trained, shared = load(spark, cfg), None
     if cfg.queries_location:
         training, scoring = templated_datasets(spark, sessions, cfg)
         if trained is None:
             trained = train_on(spark, cfg, materialise(training, "training"))
+    elif cfg.daily_state:
+        shared = materialise(shared_from_state(sessions, cfg), "features")
+        training, scoring = datasets_from_shared(shared, cfg)
+        trained = trained or train_on(spark, cfg, training)
     elif trained is not None:
         scoring = scoring_dataset(sessions, cfg, form)
     elif form == "fused":
@@ -165,5 +170,7 @@ def run(spark: SparkSession, cfg: AudienceConfig, sessions: DataFrame | None = N
     if cfg.destination_table:
         write_overwrite(scored, cfg.destination_table)
         log.info("audience written to %s", cfg.destination_table)
+        if shared is not None:  # the written audience no longer reads the features
+            discard(spark, shared)
         return read_back(spark, cfg.destination_table)
     return scored

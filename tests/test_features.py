@@ -57,9 +57,8 @@ def test_distinct_counts_skip_null_pairs(sessions_df):
         session(visit_id=2, medium="cpc", suffix="20240102"),
         session(visit_id=3, medium="cpc", suffix="20240102", device="desktop"),
     )
-    for via_sets in (False, True):
-        r = df.groupBy("clientId").agg(*A.distinct_count_columns(via_sets)).collect()[0]
-        assert (r.num_channels, r.num_sources, r.num_days, r.num_devices) == (1, 1, 2, 2)
+    r = A.distinct_counts(df).collect()[0]
+    assert (r.num_channels, r.num_sources, r.num_days, r.num_devices) == (1, 1, 2, 2)
 
 
 def test_visit_totals_all_null_bounces_and_hour_edges(sessions_df):
@@ -133,19 +132,41 @@ def test_fused_equals_literal_on_edge_cases(sessions_df):
     assert got["c"].total_bounces == 0 and got["c"].browser is None and got["c"].y_conversions == 0
 
 
-def test_fused_count_distinct_variant_agrees(sessions_df):
-    from dataclasses import replace
+def test_distinct_counts_are_count_distinct(sessions_df):
+    df = edge_sessions(sessions_df).where("clientId IS NOT NULL")
+    plain = df.groupBy("clientId").agg(
+        F.count_distinct("channelGrouping").alias("num_channels"),
+        F.count_distinct(A.source_pair()).alias("num_sources"),
+        F.count_distinct("date").alias("num_days"),
+        F.count_distinct("device.deviceCategory").alias("num_devices"))
+    assert rows(A.distinct_counts(df), *plain.columns) == rows(plain, *plain.columns)
 
-    df = edge_sessions(sessions_df)
-    a = feature_table(df, spec(True), "fused")
-    b = feature_table(df, replace(spec(True), distinct_via_sets=False), "fused")
-    assert rows(a, *a.columns) == rows(b, *b.columns)
+
+def free_text_sets(plan):
+    """Whether the plan gathers sets of the source/medium pair, or expands rows."""
+    return "Expand" in plan or any("collect_set" in line and "trafficSource" in line.split("collect_set", 1)[1][:40] for line in plan.splitlines())
 
 
-def test_fused_plan_has_one_exchange(sessions_df):
+def test_fused_plan_groups_by_pair_then_by_client(sessions_df):
     df = edge_sessions(sessions_df)
-    plan = feature_table(df, spec(True), "fused")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    for frame in (feature_table(df, spec(True), "fused"), A.visit_totals(df), A.distinct_counts(df)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 2 and not free_text_sets(plan)
+        assert "Exchange hashpartitioning(clientId" in plan and "_pair" in plan
+
+
+def test_client_with_very_many_sources(spark):
+    """A million distinct sources of one client: no aggregation buffer holds them."""
+    from cohortex.sources.fixtures import sessions_from_events
+
+    one = sessions_from_events(spark, "/root/testdata/sf0.001", profile=False).limit(1).drop("trafficSource", "clientId", "date")
+    n = 1_000_000
+    many = spark.range(n).select(
+        F.lit("busy").alias("clientId"),
+        (F.col("id") % 30).cast("string").alias("date"),
+        F.struct(F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"), F.lit("m").alias("medium")).alias("trafficSource"))
+    r = A.visit_totals(many.join(F.broadcast(one))).collect()
+    assert [(x.num_sources, x.num_days, x.num_channels, x.visits) for x in r] == [(n, 30, 1, n)]
 
 
 def test_regroup_equals_projection(sessions_df):
@@ -215,7 +236,7 @@ def test_fused_independent_of_ansi_mode(spark, sessions_df):
 
 def test_hot_client_with_a_third_of_sessions(spark):
     """One client owns a third of all sessions: results agree and the fused plan aggregates
-    partially before its single exchange (each task ships one row per client)."""
+    partially before both exchanges (each task ships one row per client and pair, then per client)."""
     from cohortex.catalog.setup import FIXTURE
     from cohortex.plans.datasets import training_spec
     from cohortex.sources.fixtures import sessions_from_events
@@ -230,11 +251,11 @@ def test_hot_client_with_a_third_of_sessions(spark):
     want = lb.where(F.col("clientId") == "hot").agg(F.sum("totals.hits")).first()[0]
     assert fused.where(F.col("clientid") == "hot").first()["total_hits"] == want
     plan = fused._jdf.queryExecution().executedPlan().toString()
-    tail = plan.split("Exchange hashpartitioning(clientId")[1]
-    assert "partial_max_by" in tail and "partial_collect_set" in tail
+    for step in plan.split("Exchange hashpartitioning(clientId")[1:]:  # both levels are pre-aggregated
+        assert "partial_max(" in step and "partial_sum(" in step
 
 
-def test_shared_aggregate_is_one_scan_one_exchange(spark, sessions_df, tmp_path):
+def test_shared_aggregate_is_one_scan_two_exchanges(spark, sessions_df, tmp_path):
     from cohortex.catalog.setup import FIXTURE
     from cohortex.plans.datasets import shared_feature_table
     from cohortex.sources.sessions import read_sessions
@@ -242,4 +263,27 @@ def test_shared_aggregate_is_one_scan_one_exchange(spark, sessions_df, tmp_path)
     path = str(tmp_path / "s")
     edge_sessions(sessions_df).write.partitionBy("suffix").parquet(path)
     plan = shared_feature_table(read_sessions(spark, path), FIXTURE)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange") == 2 and plan.count("FileScan parquet") == 1
+
+
+def test_full_ties_have_one_winner(sessions_df):
+    """Sessions that agree in visit, start and shard: fused and literal pick the same ones."""
+    tied = [session(client="t", visit_id=1, start=5, suffix="20240105", channel=c, visit_number=v, browser=b)
+            for c, v, b in (("B", 1, "Chrome"), ("A", 2, None), ("C", 2, "Safari"), (None, 2, "Opera"))]
+    df = sessions_df(*tied)
+    fused, literal = (feature_table(df.repartition(n), spec(False), form) for n, form in ((3, "fused"), (1, "literal")))
+    assert rows(fused, *fused.columns) == rows(literal, *literal.columns)
+    r = fused.collect()[0]
+    assert (r.current_visit, r.last_channel, r.first_channel) == (2, "C", None)
+
+
+def test_days_between_the_windows_are_not_read(spark, sessions_df, tmp_path):
+    from cohortex.sources.sessions import read_sessions
+
+    path = str(tmp_path / "gap")
+    edge_sessions(sessions_df).write.partitionBy("suffix").parquet(path)
+    s = FeatureSpec("20240101", "20240105", RULES, conversion_start="20240120", conversion_end="20240130", conversion_rule=CONV)
+    table = read_sessions(spark, path)
+    fused, literal = feature_table(table, s, "fused"), feature_table(table, s, "literal")
+    assert rows(fused, *fused.columns) == rows(literal, *literal.columns)
+    assert "20240105) OR" in " ".join(fused._jdf.queryExecution().executedPlan().toString().split()).replace("))", ")")

@@ -17,6 +17,7 @@ from cohortex.operators.registry import (
     REGISTRY_SCHEMA,
     latest_matching,
     load_verified,
+    registry_append,
     registry_lookup,
     registry_verify,
     runtime_versions,
@@ -187,3 +188,15 @@ def test_run_with_user_query_templates(spark, trained, tmp_path):
     w = c.windows()
     want = sessions.where(F.col("suffix").between(w.scoring_start, w.scoring_end)).select("clientId").distinct().count()
     assert out.columns == ["dimension14", "dimension28"] and out.count() == want
+
+
+def test_a_repeated_run_leaves_one_registry_row(spark, trained):
+    _, _, t = trained
+    registry = scratch_path(spark, "run_registry")
+    first = registry_append(spark, registry, t.model, "a", 0.5, 0.5, run_id="2024-01-30")
+    again = registry_append(spark, registry, t.model, "a", 0.5, 0.5, run_id="2024-01-30")
+    assert again["model_path"] == first["model_path"] and read_back(spark, registry).count() == 1
+    registry_append(spark, registry, t.model, "a", 0.5, 0.5)  # another run
+    registry_append(spark, registry, t.model, "b", 0.5, 0.5, run_id="2024-01-30")  # another audience of that run
+    assert sorted(r[0] for r in read_back(spark, registry).select("name").collect()) == ["a", "a", "b"]
+    assert registry_verify(spark, registry_lookup(spark, registry, "b"))

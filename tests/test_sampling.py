@@ -40,8 +40,7 @@ def brute_first_n(keys, n, seed):
 def test_first_n_by_hash_matches_brute_force(spark, n, total, seed):
     keys = [f"k{i}" for i in range(total)]
     df = spark.createDataFrame([(k,) for k in keys], "clientid string")
-    cut = first_n_by_hash(df, n, total, seed)
-    got = {r[0] for r in df.where(cut.column(hash_u32(F.col("clientid"), seed), F.col("clientid"))).collect()}
+    got = {r[0] for r in first_n_by_hash(df, n, seed).collect()}
     assert got == brute_first_n(keys, min(n, total), seed)
 
 
@@ -98,6 +97,50 @@ def test_first_n_with_a_hash_collision(spark):
     assert h["c62508"] == h["c93756"] == 0xF694F0EF
     below = sum(1 for v in h.values() if v < 0xF694F0EF)
     for n in (below, below + 1, below + 2):
-        cut = first_n_by_hash(df, n, len(keys), 7)
-        got = {r[0] for r in df.where(cut.column(hash_u32(F.col("clientid"), 7), F.col("clientid"))).collect()}
+        got = {r[0] for r in first_n_by_hash(df, n, 7).collect()}
         assert got == brute_first_n(keys, n, 7)
+
+
+def repeated(spark, parts=3):
+    rows = [("same", 0, None)] * 4 + [("same", 0, "x")] * 3 + [("same", 0, "y")] * 3 + [(f"p{i}", 1, None) for i in range(3)]
+    return spark.createDataFrame(rows, "clientid string, y_conversions int, note string").repartition(parts)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeated_keys_balance_exactly(spark, parts):
+    out = undersample_majority(repeated(spark, parts), 3)
+    assert {r[0]: r[1] for r in out.groupBy("y_conversions").count().collect()} == {0: 3, 1: 3}
+    assert out.columns == ["clientid", "y_conversions", "note"]
+
+
+def test_repeated_keys_split_exactly_and_alike(spark):
+    def split(parts):
+        return sorted(map(repr, map(tuple, stratified_split(repeated(spark, parts), 0.4, 4).collect())))
+
+    out = stratified_split(repeated(spark), 0.4, 4).collect()
+    assert len(out) == 13
+    assert [sum(r.is_test for r in out if r.y_conversions == c) for c in (0, 1)] == [4, 2]
+    assert split(1) == split(7)
+
+
+def test_first_n_of_equal_and_null_rows(spark):
+    rows = [(None, 1)] * 6 + [("", 1)] * 5 + [("a", 2), ("a", 3), ("a", 3)]
+    df = spark.createDataFrame(rows, "clientid string, v int").repartition(4)
+    for n in range(len(rows) + 2):
+        got = first_n_by_hash(df, n, 5).collect()
+        assert len(got) == min(n, len(rows))
+        assert not {tuple(r) for r in got} - set(rows)
+        assert all(sum(tuple(r) == x for r in got) <= rows.count(x) for x in set(rows))
+
+
+def test_ties_reach_the_driver_as_counts_only(spark, monkeypatch):
+    """50,000 rows of one key: no collected result has more rows than there are digits or classes."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.range(50_000).selectExpr("'k' AS clientid", "0 AS y_conversions", "id % 100 AS v")
+    df = df.unionByName(spark.range(7).selectExpr("concat('p', id) AS clientid", "1 AS y_conversions", "id AS v"))
+    collected, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(len(out := collect(self))) or out)
+    out = undersample_majority(df, 1)
+    monkeypatch.undo()
+    assert max(collected) <= 100 + 7 and out.count() == 14
