@@ -33,16 +33,16 @@ def brute_katz(rows):
     n, v = sum(c1.values()), len(c1)
     types1, types2 = Counter(c1.values()), Counter(c2.values())
 
-    def discounts(types, least):
+    def discounts(types):
         common = 6 * types[6] / types[1] if types[1] else 1.0
         d = [0.0] * 6
-        for c in range(least, 6):
+        for c in range(1, 6):
             ratio = (c + 1) * types[c + 1] / (c * types[c]) if types[c] else 1.0
             value = (ratio - common) / (1 - common) if common < 1 else 0.0
             d[c] = value if 0 < value < 1 else (c - 0.5) / c
         return d
 
-    d1, d2 = discounts(types1, 1), discounts(types2, 2)
+    d1, d2 = discounts(types1), discounts(types2)
     unknown = sum(types1[c] * c * (1 - d1[c]) for c in range(1, 6)) / n if n else 1.0
 
     def p1(w):
@@ -52,14 +52,13 @@ def brute_katz(rows):
     context, mass, seen = Counter(), Counter(), Counter()
     for (h, w), c in c2.items():
         context[h] += c
-        if c >= 2:
-            mass[h] += (d2[c] if c <= 5 else 1) * c
-            seen[h] += p1(w)
-    divisor = {h: context[h] + (h in mass and mass[h] > context[h] - 1e-9) for h in context}
+        mass[h] += (d2[c] if c <= 5 else 1) * c
+        seen[h] += p1(w)
+    divisor = {h: context[h] + (mass[h] > context[h] - 1e-9) for h in context}
 
     def p2(h, w):
         c = c2.get((h, w), 0)
-        if c >= 2:
+        if c:
             return (d2[c] if c <= 5 else 1) * c / divisor[h]
         return ((1 - mass[h] / divisor[h]) / (1 - seen[h]) if h in seen else 1.0) * p1(w)
 
