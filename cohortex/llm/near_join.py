@@ -19,9 +19,13 @@ documents link when 100 * |A and B| >= 75 * |A or B|; the classes are the connec
    least possible intersection of a link leaves in both prefixes (see ``least_shared``).
    Unlike one shared shingle, that is not met by a passage two documents share. A posting list longer than ``BLOCK`` (counted
    over a sample of the nodes' postings) is dealt into blocks, and each pair of blocks is a
-   task of its own. In a list only nodes outside its largest part meet the others.
+   task of its own. In a list only nodes outside its largest part meet the others. A node that
+   meets a part of at least ``LARGE_PART`` nodes is written down once with the part, not with
+   each of its members: any link to one of them settles the matter.
 4. Candidates must share as many prefix shingles under the second and the third order too;
-   pairs that pass all filters are verified exactly on the whole sets.
+   pairs that pass all filters are verified exactly on the whole sets. For a node and a large
+   part that happens in tasks that hold some of the part's members (``MEMBER_SHINGLES``) and
+   stream the nodes past them; only the link found is written.
 5. Connected parts by least-label propagation with pointer jumping.
 
 No link is lost: every filter is a necessary condition, nothing is capped. Links inside a
@@ -38,6 +42,7 @@ exactly one row of each group, one with the least id.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +62,8 @@ LOCAL_COUNT = 3
 GLOBAL_COUNT = 8
 BLOCK = 50_000
 LIST_SAMPLE = 1_000  # sampled members of a list of ``BLOCK`` nodes
+LARGE_PART = 64  # parts of step 2 with at least this many nodes are met as a whole
+MEMBER_SHINGLES = 250_000  # shingles of a large part's members that one task holds
 SMALL_ROWS = 1_000_000  # a slim table of at most this many rows (about 32 MB) may be broadcast
 
 #: how a node names the document that stands for it
@@ -238,6 +245,80 @@ def verified_links(sets: DataFrame, pairs: DataFrame, threshold: int, name: str)
     return durable(both.where(common * 100 >= union * threshold).select("a", "b").distinct(), f"near_{name}_links")
 
 
+def part_links(sets: DataFrame, keyed: DataFrame, large: DataFrame, met: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): for every node and large part in ``met`` (a, part), a linked member of each block of the part, if there is one.
+
+    A part's members are dealt into blocks; a task holds a block and streams the nodes past it.
+    Shared prefix shingles under orders 1 and 2 are counted first, what is left is verified.
+    """
+    blocks = large.select("part", F.ceil(F.col("shingles") / MEMBER_SHINGLES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node", F.lit("member")), F.col("blocks")).cast("int")
+    members = keyed.select("node", "part").join(met.select("part").distinct(), "part", "left_semi").join(blocks, "part")
+    held = members.join(sets, "node").select("part", own.alias("block"), F.lit(0).alias("kind"), "node", "p1", "p2", "tokens")
+    asked = met.join(blocks, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = asked.join(sets, F.col("a") == F.col("node")).select("part", "block", F.lit(1).alias("kind"), "node", "p1", "p2", "tokens")
+    dealt = held.unionByName(asked).repartition("part", "block").sortWithinPartitions("part", "block", "kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, inside, block = None, [], None
+        for batch in batches:
+            a, b = [], []
+            where = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
+            lists = [[np.asarray(x.values) if x.is_valid else np.zeros(0, np.int64) for x in batch.column(k)] for k in (4, 5, 6)]
+            for i, (part, number, kind, node) in enumerate(where):
+                if (part, number) != now:
+                    now, inside, block = (part, number), [], None
+                if kind == 0:
+                    inside.append((node, *(column[i].copy() for column in lists)))
+                    continue
+                block = block or _Members(inside)
+                hit = block.linked(*(column[i] for column in lists), threshold)
+                if hit is not None:
+                    a.append(node)
+                    b.append(hit)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return durable(dealt.mapInArrow(run, "a long, b long"), "near_part_links")
+
+
+class _Members:
+    """Some members of a part: their prefixes by shingle, their sets."""
+
+    def __init__(self, rows: list[tuple]):
+        self.nodes, self.sets = [r[0] for r in rows], [np.sort(r[3]) for r in rows]
+        self.n = np.array([len(s) for s in self.sets], np.int64)
+        self.prefixes = []
+        for k in (1, 2):
+            flat = np.concatenate([r[k] for r in rows]) if rows else np.zeros(0, np.int64)
+            order = np.argsort(flat, kind="stable")
+            self.prefixes.append((flat[order], np.repeat(np.arange(len(rows)), [len(r[k]) for r in rows])[order]))
+
+    def shared(self, k: int, prefix: np.ndarray) -> np.ndarray:
+        """How many shingles of ``prefix`` each member has in its own prefix."""
+        flat, owner = self.prefixes[k]
+        low, high = np.searchsorted(flat, prefix, "left"), np.searchsorted(flat, prefix, "right")
+        size = high - low
+        at = np.repeat(low, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.bincount(owner[at], minlength=len(self.nodes))
+
+    def linked(self, p1: np.ndarray, p2: np.ndarray, tokens: np.ndarray, threshold: int) -> int | None:
+        """A member whose set is similar enough."""
+        if not self.nodes:
+            return None
+        n = len(tokens)
+        least, most = np.minimum(self.n, n), np.maximum(self.n, n)
+        need = ((self.n + n) * threshold + 99 + threshold) // (100 + threshold) - (most * threshold + 99) // 100 + 1
+        left = (least * 100 >= most * threshold) & (self.shared(0, p1) >= need)
+        if left.any():
+            left &= self.shared(1, p2) >= need
+        own = np.sort(tokens)
+        for i in np.flatnonzero(left):
+            common = len(np.intersect1d(own, self.sets[i], assume_unique=True))
+            if common * 100 >= (n + int(self.n[i]) - common) * threshold:
+                return self.nodes[i]
+        return None
+
+
 def ends_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
@@ -319,7 +400,7 @@ def star_parts(docs: DataFrame, nodes: DataFrame, width: int, threshold: int) ->
 
 
 def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int, threshold: int) -> DataFrame:
-    """(token, node, n, part) for every prefix shingle under order 0."""
+    """(token, node, n, part, big) for every prefix shingle under order 0."""
 
     def make(rows) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -327,14 +408,14 @@ def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int
 
         def flush() -> pa.RecordBatch:
             sizes = [len(o[0]) for o in out]
-            arrays = [_longs(np.concatenate([o[0] for o in out]))] + [pa.array(np.repeat(np.array([o[k] for o in out], np.int64), sizes)) for k in (1, 2, 3)]
+            arrays = [_longs(np.concatenate([o[0] for o in out]))] + [pa.array(np.repeat(np.array([o[k] for o in out], np.int64), sizes)) for k in (1, 2, 3, 4)]
             out.clear()
-            return pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "part"])
+            return pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "part", "big"])
 
-        for i, tokens, d1, d2, (node, part) in rows:
+        for i, tokens, d1, d2, (node, part, big) in rows:
             if _stands(tokens, d1, d2):
                 p = prefix(tokens, frequent, 0, threshold)
-                out.append((p, int(node[i]), len(tokens), int(part[i])))
+                out.append((p, int(node[i]), len(tokens), int(part[i]), int(big[i])))
                 held += len(p)
                 if held > 200_000:
                     yield flush()
@@ -342,7 +423,7 @@ def postings(docs: DataFrame, nodes: DataFrame, frequent: np.ndarray, width: int
         if out:
             yield flush()
 
-    return _with_sets(docs, nodes, width, "token long, node long, n long, part long", make)
+    return _with_sets(docs, nodes, width, "token long, node long, n long, part long, big long", make)
 
 
 def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.ndarray, threshold: int) -> Iterator[tuple]:
@@ -366,19 +447,40 @@ def _cross_pairs(node: np.ndarray, n: np.ndarray, part: np.ndarray, side: np.nda
             yield np.minimum(far, node[i]), np.maximum(far, node[i]), np.where(first, size, n[i]), np.where(first, n[i], size)
 
 
+def _with_parts(node: np.ndarray, n: np.ndarray, part: np.ndarray, big: np.ndarray, threshold: int) -> Iterator[tuple]:
+    """(node, large part, size, -1) of the nodes of a list that meet a member of another, large part.
+
+    Of two large parts the one with fewer nodes in the list gives the nodes.
+    """
+    names, counts = np.unique(part[big], return_counts=True)
+    own = np.zeros(len(node), np.int64)  # nodes of one's own large part in the list
+    own[big] = counts[np.searchsorted(names, part[big])]
+    for name, count in zip(names, counts, strict=True):
+        members = n[big & (part == name)]
+        near = (members.min() * threshold <= n * 100) & (n * threshold <= members.max() * 100)
+        gives = (part != name) & near & ((own < count) | ((own == count) & (part < name)))
+        if gives.any():
+            yield node[gives], np.full(int(gives.sum()), name), n[gives], np.full(int(gives.sum()), -1)
+
+
 def long_lists(rows: DataFrame, sample: int) -> DataFrame:
     """(token, n): the length of each posting list, estimated from the postings of one in ``sample`` nodes."""
     return rows.groupBy("token").agg((F.count(F.lit(1)) * sample).alias("n"))
 
 
 def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes of different parts that share enough prefix shingles; ``often`` (token, n) holds the lists that may be long."""
+    """(a, b, na, nb, times, need): nodes of different parts that share enough prefix shingles.
+
+    ``often`` (token, n) holds the lists that may be long. Where nb is -1, b is a large part of
+    which some member shares a prefix shingle with a.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
         def pairs(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, node, n, part, side = columns
+            key, node, n, part, big, side = columns
+            big = big.astype(bool)
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             ends = np.r_[starts[1:], len(key)]
             mixed = np.flatnonzero((np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts))) if len(key) else []
@@ -386,7 +488,11 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
             size = 0
             for r in mixed:
                 s = slice(starts[r], ends[r])
-                for pair in _cross_pairs(node[s], n[s], part[s], side[s], threshold):
+                few = np.flatnonzero(~big[s]) + starts[r]
+                each = [_cross_pairs(node[few], n[few], part[few], side[few], threshold)] if len(few) else []
+                if len(few) < ends[r] - starts[r]:
+                    each.append(_with_parts(node[s], n[s], part[s], big[s], threshold))
+                for pair in chain(*each):
                     found.append(pair)
                     size += len(pair[0])
                     if size > 200_000:
@@ -404,7 +510,7 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
             return pa.RecordBatch.from_arrays([pa.array(x) for x in (a[starts], b[starts], na[starts], nb[starts], times)], names=["a", "b", "na", "nb", "times"])
 
         for batch in batches:
-            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
             if held is not None:
                 now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
             key = now[0]
@@ -416,24 +522,25 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
         if held is not None:
             yield from pairs(held)
 
-    plain = rows.select(F.col("token").alias("key"), "node", "n", "part", F.lit(False).alias("side"))
+    plain = rows.select(F.col("token").alias("key"), "node", "n", "part", "big", F.lit(False).alias("side"))
     # long posting lists: deal the nodes into blocks; each pair of blocks meets under a key of its own
     spread_lists = often.where(F.col("n") > block).select(F.col("token").alias("long"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     if not spread_lists.isEmpty():
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        spread = rows.join(F.broadcast(spread_lists), F.col("token") == F.col("long")).withColumn("own", own)
+        spread = rows.join(spread_lists, F.col("token") == F.col("long")).withColumn("own", own)
         keyed = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other"), F.lit("block")).alias("key"),
             "node",
             "n",
             "part",
+            "big",
             (F.col("own") > F.col("other")).alias("side"),
         )
-        plain = plain.join(F.broadcast(spread_lists), F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
+        plain = plain.join(spread_lists, F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = plain.repartition(parts, "key").sortWithinPartitions("key")
     met = dealt.mapInArrow(run, "a long, b long, na long, nb long, times long").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
-    return met.withColumn("need", least_shared(F.col("na"), F.col("nb"), threshold)).where("times >= need")
+    return met.withColumn("need", least_shared(F.col("na"), F.col("nb"), threshold)).where("nb < 0 or times >= need")
 
 
 def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, threshold: int = THRESHOLD, star_orders: int = STAR_ORDERS) -> DataFrame:
@@ -450,18 +557,28 @@ def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, thre
         "near_nodes",
     )
     parts = durable(nodes.drop("firsts").join(star_parts(docs, nodes, width, threshold), "node"), "near_parts")
-    keyed = parts.select(*NODE, "node", "part")
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    large = durable(sizes.where(F.col("members") >= LARGE_PART), "near_large_parts")
+    flagged = parts.select(*NODE, "node", "part").join(large.select("part", F.lit(1).cast("long").alias("big")), "part", "left")
+    keyed = durable(flagged.select(*NODE, "node", "part", F.coalesce("big", F.lit(0).cast("long")).alias("big")), "near_keyed")
     often = frequent_shingles(docs, keyed.where("node = part").select(*NODE), width)
     frequent = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
     # a list can only be long among many nodes; its length is that of the sampled nodes' lists
     sample = max(1, BLOCK // LIST_SAMPLE)
     few = keyed.where(F.pmod(F.xxhash64("node", F.lit("list")), F.lit(sample)) == 0) if parts.count() > BLOCK else keyed.limit(0)
     lists = durable(long_lists(postings(docs, few, frequent, width, threshold), sample).where(F.col("n") > BLOCK), "near_long_lists")
-    pairs = durable(candidate_pairs(postings(docs, keyed, frequent, width, threshold), lists, threshold).select("a", "b", "need"), "near_rest_pairs")
-    if pairs.isEmpty():
+    found = candidate_pairs(postings(docs, keyed, frequent, width, threshold), lists, threshold)
+    found = durable(found.select("a", "b", "need", (F.col("nb") < 0).alias("whole")), "near_rest_pairs")
+    if found.isEmpty():
         whole = parts
     else:
-        links = verified_links(node_sets(docs, nodes, ends_of(pairs), frequent, width, threshold, "rest"), pairs, threshold, "rest")
+        pairs, met = found.where("not whole").drop("whole"), found.where("whole").select("a", F.col("b").alias("part"))
+        members = keyed.join(met.select("part").distinct(), "part", "left_semi").select("node")
+        ends = ends_of(pairs).union(met.select("a")).union(members).distinct()
+        sets = node_sets(docs, nodes, ends, frequent, width, threshold, "rest")
+        links = verified_links(sets, pairs, threshold, "rest")
+        if not met.isEmpty():
+            links = links.unionByName(part_links(sets, keyed, large, met, threshold))
         whole = merge(parts, links, "rest")
     least = whole.groupBy("part").agg(F.min("doc").alias("component_id"))
     classes = whole.join(least, "part").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "part", "component_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 
@@ -37,3 +39,41 @@ def test_long_lists_are_dealt_by_the_length_of_the_postings(spark, monkeypatch):
     got = sorted(map(tuple, near_join.membership(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == sorted(brute_components(rows))
     assert given[0].where("n > 20").count() > 0  # the near copies' lists, held by one part
+
+
+@pytest.mark.parametrize("large", [2, 5, 30])
+@pytest.mark.parametrize("held", [300, 250_000])
+def test_large_parts_are_met_as_a_whole(spark, monkeypatch, large, held):
+    monkeypatch.setattr(near_join, "LARGE_PART", large)
+    monkeypatch.setattr(near_join, "MEMBER_SHINGLES", held)
+    monkeypatch.setattr(near_join, "STAR_ROUNDS", 1)
+    met = []
+    links = near_join.part_links
+    monkeypatch.setattr(near_join, "part_links", lambda *a: met.append(links(*a)) or met[-1])
+    rows = mutated_rows(large)
+    got = sorted(map(tuple, near_join.membership(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
+    assert got == sorted(brute_components(rows))
+    assert large == 30 or (met and not met[0].isEmpty())
+
+
+def mutated_rows(seed):
+    """Two groups of near copies whose members lie at all distances from their group, many of them around the threshold."""
+    r = random.Random(seed)
+    rows = []
+    for group in range(2):
+        base = [f"{group}w{i}" for i in range(100)]
+        for k in range(90):
+            copy = list(base)
+            for _ in range(k // 12):
+                copy[r.randrange(100)] = f"x{r.random()}"
+            rows.append(" ".join(copy[: r.choice([100, 100, 95, 85])]))
+    r.shuffle(rows)
+    return list(enumerate(rows, 5))
+
+
+def test_nodes_meet_other_large_parts_once():
+    node, n = np.arange(12), np.array([60] * 10 + [200, 70])
+    part = np.array([1] * 5 + [2] * 3 + [8, 9, 10, 11])
+    big = part < 3
+    got = {(int(a), int(b)) for step in near_join._with_parts(node, n, part, big, 75) for a, b in zip(*step[:2], strict=True)}
+    assert got == {(a, 1) for a in (5, 6, 7, 8, 9, 11)} | {(a, 2) for a in (8, 9, 11)}  # 200 is too long for either
