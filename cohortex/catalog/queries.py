@@ -126,10 +126,10 @@ def q_sink_overwrite(spark, sf_dir):
 
 
 @register("sink_append", O.with_a(
-    "SELECT * FROM converted UNION ALL SELECT * FROM converted", O.converted_cte()))
+    "SELECT * FROM converted UNION ALL SELECT * FROM converted", O.converted_cte(O.B_ALL)))
 def q_sink_append(spark, sf_dir):
     target = scratch_path(spark, "sink_append")
-    conv = A.conversion_counts(conversion_window(spark, sf_dir), FIXTURE_CONVERSION)
+    conv = A.conversion_counts(all_sessions(spark, sf_dir), FIXTURE_CONVERSION)
     for run_id in ("first", "first", "second"):  # the repeated run adds nothing
         write_append(conv, target, run_id)
     return read_back(spark, target).drop("run_id")
@@ -228,9 +228,9 @@ def q_event_rule_flags(spark, sf_dir):
     return hits.select("clientId", "visitId", *[A.rule_flag(r, info).alias(r.name) for r in FIXTURE_RULES])
 
 
-@register("having_min_count", O.with_a("SELECT * FROM converted", O.converted_cte(min_count=2)))
+@register("having_min_count", O.with_a("SELECT * FROM converted", O.converted_cte(O.B_ALL, min_count=2)))
 def q_having_min_count(spark, sf_dir):
-    return A.conversion_counts(conversion_window(spark, sf_dir), FIXTURE_CONVERSION, min_count=2)
+    return A.conversion_counts(all_sessions(spark, sf_dir), FIXTURE_CONVERSION, min_count=2)
 
 
 @register("downsample_majority", O.with_a(
@@ -265,11 +265,11 @@ def q_select_by_dtype(spark, sf_dir):
 
 
 @register("event_filter", O.with_a("SELECT * FROM converted", O.converted_cte(
-    rule=EventRule.from_filter("y_conversions", "eventCategory", "purchase"))))
+    O.B_ALL, EventRule.from_filter("y_conversions", "eventCategory", "purchase"))))
 def q_event_filter(spark, sf_dir):
 
     cfg = replace(FIXTURE, event_filter_type="eventCategory", event_filter_value="purchase")
-    return A.conversion_counts(conversion_window(spark, sf_dir), cfg.effective_conversion_rule())
+    return A.conversion_counts(all_sessions(spark, sf_dir), cfg.effective_conversion_rule())
 
 
 # ---------------------------------------------------------------- joins
@@ -356,9 +356,9 @@ def q_hour_buckets(spark, sf_dir):
         *[F.sum(S.in_hours(hour, hrs)).alias(f"{n}_visits") for n, hrs in S.HOUR_BUCKETS.items()])
 
 
-@register("event_counts", O.with_a("SELECT * FROM hit_counts", O.session_hits_cte()))
+@register("event_counts", O.with_a("SELECT * FROM hit_counts", O.session_hits_cte(O.B_ALL)))
 def q_event_counts(spark, sf_dir):
-    return A.event_counts(lookback(spark, sf_dir), FIXTURE_RULES)
+    return A.event_counts(all_sessions(spark, sf_dir), FIXTURE_RULES)
 
 
 @register("conversion_counts", O.with_a("SELECT * FROM converted", O.converted_cte()))
@@ -394,14 +394,14 @@ def q_visit_totals(spark, sf_dir):
 # ---------------------------------------------------------------- windows, top-k, set ops
 
 
-@register("latest_session", O.with_a("SELECT * FROM newest", O.latest_cte()))
+@register("latest_session", O.with_a("SELECT * FROM newest", O.latest_cte(O.B_ALL)))
 def q_latest_session(spark, sf_dir):
-    return latest_session(lookback(spark, sf_dir, profile=True))
+    return latest_session(client_not_null(sessions_from_events(spark, sf_dir)))
 
 
-@register("first_session", O.with_a("SELECT * FROM oldest", O.first_cte()))
+@register("first_session", O.with_a("SELECT * FROM oldest", O.first_cte(O.B_ALL)))
 def q_first_session(spark, sf_dir):
-    return first_session(lookback(spark, sf_dir))
+    return first_session(all_sessions(spark, sf_dir))
 
 
 @register("topk_latest", O.with_a(
@@ -718,8 +718,9 @@ def q_train_classifier(spark, sf_dir):
     train_part = parts.where(~F.col("is_test"))
     model = M.fit(train_part, layout, max_iter=FIXTURE_RUN.max_iter, max_depth=FIXTURE_RUN.max_depth,
                   step_size=FIXTURE_RUN.step_size, seed=FIXTURE_RUN.seed)
-    agrees = (F.col("prediction") == 1.0) == (F.col("prob") > 0.5)
-    return M.predict_proba(model, train_part, layout).select(
+    walked = walked_probability(spark, model, train_part, layout, "clientid").withColumnRenamed("prob", "walked")
+    agrees = (F.col("prediction") == 1.0) == (F.col("walked") > 0.5)
+    return M.predict_proba(model, train_part, layout).join(walked, "clientid").select(
         "clientid", "y_conversions", _in_unit().alias("prob_in_unit"), agrees.alias("prediction_agrees"))
 
 

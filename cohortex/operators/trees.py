@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortex.context import scratch_path
-from cohortex.operators.ml import NULL_CATEGORY, FeatureLayout
+from cohortex.operators.ml import FOLDED, NULL_CATEGORY, OTHER_CATEGORY, FeatureLayout
 
 #: a row goes left if its slot is at most the threshold or, where categories are given, one of them
 NODES = "tree int, node int, slot int, threshold double, categories array<double>, left int, right int, value double, weight double"
@@ -109,6 +109,11 @@ def slot_expressions(model: PipelineModel, layout: FeatureLayout) -> list[str]:
     for stage in model.stages:
         if isinstance(stage, StringIndexerModel):
             for column, labels in zip(stage.getInputCols(), stage.labelsArray, strict=True):
+                if column.endswith(FOLDED):  # one slot that holds the category's code
+                    own, rest = column.removesuffix(FOLDED), float(labels.index(OTHER_CATEGORY) if OTHER_CATEGORY in labels else len(labels))
+                    codes = " ".join(f"WHEN {text(v)} THEN {float(i)}" for i, v in enumerate(labels) if v != OTHER_CATEGORY)
+                    slots.append(f"CASE COALESCE({own}, {text(NULL_CATEGORY)}) {codes} ELSE {rest} END")
+                    continue
                 slots += [f"CASE WHEN COALESCE({column}, {text(NULL_CATEGORY)}) = {text(v)} THEN 1.0 ELSE 0.0 END" for v in labels]
     mean = std = factor = None
     for stage in model.stages:

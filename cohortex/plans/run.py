@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cohortex.config import AudienceConfig
 from cohortex.context import scratch_path
 from cohortex.operators.export import audience
-from cohortex.operators.ml import LABEL, FeatureLayout, accuracy, fit, predict_proba
+from cohortex.operators.ml import FOLDED, LABEL, FeatureLayout, accuracy, fit, predict_proba
 from cohortex.operators.registry import load_verified, registry_append
 from cohortex.operators.sampling import stratified_split, undersample_majority
 from cohortex.plans.datasets import (
@@ -119,7 +119,8 @@ def layout_of(model: PipelineModel) -> FeatureLayout:
     text: tuple[str, ...] = ()
     for s in model.stages:
         if isinstance(s, StringIndexerModel):
-            text += tuple(s.getInputCols()) if s.isSet("inputCols") else (s.getInputCol(),)
+            columns = tuple(s.getInputCols()) if s.isSet("inputCols") else (s.getInputCol(),)
+            text += tuple(c.removesuffix(FOLDED) for c in columns)
     numbers: tuple[str, ...] = ()
     for s in model.stages:
         if isinstance(s, VectorAssembler) and s.getOutputCol() == "_num":
