@@ -7,6 +7,10 @@ Spark, in numpy over UTF-8 bytes and in DuckDB.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,26 @@ AZ_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 AZ_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def release_memory() -> None:
+    """Give freed arrays back to the system: a Python worker stays alive between its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, with :func:`release_memory` when the task ends."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,6 +70,12 @@ def word_count(column: str) -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, ... (no helper column is named so), and the new name of each."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it (in any letter case)."""
     taken = {c.lower() for c in df.columns}

@@ -7,9 +7,12 @@ gradient descent) with a logistic curve over the margin; a class's probability i
 normalised product of its pairwise ones. score = P(family) * P(language | family).
 
 Training reads the labelled rows given to ``fit``. The classifier is fitted on a bounded
-sample: about ``SAMPLE_ROWS`` rows over all languages, the same number of each, chosen by a
-hash of the id; their vectors (``SAMPLE_ROWS`` * ``BUCKETS`` float32, 64 MB) are all that
-reaches the driver. Prediction runs over every row and whole texts.
+sample: about ``SAMPLE_ROWS`` rows over all languages, the same number of each, and never more
+than twice ``SAMPLE_ROWS``: the first ones in the order of a hash of id, language and text, so
+the order and layout of the input do not matter; rows equal in all three count once. One task on
+an executor fits it from their vectors (``SAMPLE_ROWS`` * ``BUCKETS`` float32, 64 MB); only the
+fitted weights reach the driver. At most ``LANGUAGES`` languages, the most frequent ones, are
+learned. Prediction runs over every row and whole texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0. Without any
 labelled row every text is ``und``; with one label every text with a letter gets it. A label
@@ -19,6 +22,7 @@ predicted like any others. All other columns pass through ``predict`` untouched.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -29,10 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from cohortex.llm.common import fold, table
+from cohortex.llm.common import fold, release_memory, table
 
 BUCKETS = 4096
 SAMPLE_ROWS = 4000
+LANGUAGES = 256
 ORDERS = (1, 2, 3, 4)
 CHUNK = 128
 UNDETERMINED = "und"
@@ -92,9 +97,9 @@ class Pair:
 
 
 def fit_pair(first: str, second: str, x: np.ndarray, y: np.ndarray, c: float = 30.0, steps: int = 150) -> Pair:
-    """Squared-hinge linear SVM on ``y`` in {-1, 1}, both classes with the same total weight."""
+    """Squared-hinge linear SVM on ``y`` in {-1, 1}, both classes with the same total weight; ``x`` is used up."""
     mean = x.mean(axis=0)
-    x = x - mean
+    x -= mean
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * c
     v = np.random.default_rng(0).standard_normal(x.shape[1]).astype(np.float32)
     for _ in range(20):  # largest curvature, by power iteration
@@ -110,7 +115,7 @@ def fit_pair(first: str, second: str, x: np.ndarray, y: np.ndarray, c: float = 3
         new, t_new = ahead - grad / bound, (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     weights, bias = w[:-1].astype(np.float32), float(w[-1] - mean @ w[:-1])
-    margin = (x + mean) @ weights + bias
+    margin = x @ weights + (float(mean @ weights) + bias)
     target = np.where(y > 0, 1 - 1e-3, 1e-3)
     a, b = 1.0, 0.0
     for _ in range(50):  # logistic curve over the margin, damped Newton steps
@@ -176,44 +181,67 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     usable = labelled.select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    often = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in often.collect()}
     if not counts:
         return Model()
     each = max(1, sample_rows // len(counts))
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, each / n))])
-    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    sample = usable.where(draw < share[F.col("lang")]).select("lang", "text")
+    place = F.xxhash64(F.coalesce("id", F.lit("")), "lang", "text", F.lit(17))
+    draw = F.pmod(place, F.lit(1 << 20)) / float(1 << 20)
+    sample = usable.where(draw < share[F.col("lang")]).select("lang", "text", place.alias("place"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            langs, texts, places = (part.column(k).to_pylist() for k in range(3))
+            rows = [i for i, t in enumerate(texts) if has_letter(t)]
+            x = features([texts[i] for i in rows])
+            columns = [pa.array([langs[i] for i in rows], pa.string()), pa.array([places[i] for i in rows], pa.int64()), pa.array([v.tobytes() for v in x], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "place", "x"])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs, x, n = [], np.zeros((2 * sample_rows, BUCKETS), np.float32), 0
+        for part in slices(batches):
+            langs += part.column(0).to_pylist()
+            for v in part.column(2):
+                x[n] = np.frombuffer(v.as_buffer(), dtype=np.float32)
+                n += 1
+        if langs:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_model(x[:n], np.array(langs)))])], names=["model"])
+
+    coded = sample.mapInArrow(vectors, "lang string, place long, x binary").dropDuplicates(["lang", "place"])
+    # a hash draw can exceed its mean a little; twice the mean is a hard bound
+    first = coded.orderBy("place", "lang", "x").limit(2 * sample_rows)
+    found = first.mapInArrow(fitted, "model binary").collect()
+    return pickle.loads(bytes(found[0]["model"])) if found else Model()
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``CHUNK`` rows; freed memory goes back to the system at the end of the task."""
+    try:
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep = [i for i, t in enumerate(texts) if has_letter(t)]
-            for at in range(0, len(keep), CHUNK):
-                rows = keep[at : at + CHUNK]
-                x = features([texts[i] for i in rows])
-                yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in rows]), pa.array([v.tobytes() for v in x], pa.binary())], names=["lang", "x"])
+            for at in range(0, len(batch), CHUNK):
+                yield batch.slice(at, CHUNK)
+    finally:
+        release_memory()
 
-    # a hash draw can exceed its mean a little; twice the mean is a hard bound
-    rows = sample.mapInArrow(vectors, "lang string, x binary").limit(2 * sample_rows).collect()
-    if not rows:
-        return Model()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float32) for r in rows])
-    langs = np.array([r["lang"] for r in rows])
+
+def fit_model(x: np.ndarray, langs: np.ndarray) -> Model:
+    """Both levels of machines on the rows of ``x``."""
     families = np.array([family_of(lang) for lang in langs])
     names, pairs = fit_classes(x, families)
     return Model(names, pairs, {f: fit_classes(x[families == f], langs[families == f]) for f in names})
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", pred_col: str = "_lang_pred", score_col: str = "_lang_score") -> DataFrame:
-    """``df`` with all its columns, plus the predicted language and its score."""
+    """``df`` with all its columns, plus the predicted language and its score (``pred_col`` and ``score_col`` must be new names)."""
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = model.predict(batch.column(at).to_pylist())
+        for part in slices(batches):
+            langs, scores = model.predict(part.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, pred_col, score_col]
+                [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*part.schema.names, pred_col, score_col]
             )
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(pred_col, StringType()), StructField(score_col, DoubleType())]))
