@@ -35,8 +35,8 @@ Defined results: a text without words (or null) has an empty set and links with
 text of one to four words is one shingle, so it links only with the same words. Repeated
 rows and ids are ordinary documents (rows are told apart by set, not by id). The component
 id is the least non-null doc_id of the part, null if it has none. An empty table gives an
-empty result. ``membership`` reads id and text only; ``deduplicate`` keeps every column and
-exactly one row of each group, one with the least id.
+empty result. ``membership`` reads id and text only; ``deduplicate`` keeps every column, whatever
+its name, and exactly one row of each group, one with the least id.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import durable, table
+from cohortex.llm.common import durable, positional, releasing, table
 from cohortex.llm.words import mix, shingle_sets
 
 WIDTH = 5
@@ -70,6 +70,8 @@ SMALL_ROWS = 1_000_000  # a slim table of at most this many rows (about 32 MB) m
 NODE = ["doc", "h", "d1", "d2", "twice"]
 
 _ORDERS = np.arange(1, 129, 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+#: odd factors: each puts the hashes, which are random already, into another order
+_STARS = _ORDERS[3:] | np.uint64(1)
 
 
 def order_key(tokens: np.ndarray, order: int) -> np.ndarray:
@@ -117,14 +119,14 @@ def signatures(docs: DataFrame, width: int, star_orders: int) -> DataFrame:
                 one, two = digest(tokens)
                 d1.append(one)
                 d2.append(two)
-                firsts.append(np.array([order_key(tokens, k + 3).min() for k in range(star_orders)] if len(tokens) else [], np.uint64).view(np.int64))
+                firsts.append((tokens * _STARS[:star_orders, None]).min(axis=1).view(np.int64) if len(tokens) else tokens.view(np.int64))
             if n:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(2), pa.array(n, pa.int64()), _longs(np.array(d1, np.uint64)), _longs(np.array(d2, np.uint64)), _lists(firsts, pa.int64())],
                     names=["doc_id", "h", "n", "d1", "d2", "firsts"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, h long, n long, d1 long, d2 long, firsts array<long>")
+    return docs.mapInArrow(releasing(run), "doc_id long, h long, n long, d1 long, d2 long, firsts array<long>")
 
 
 def frequent_shingles(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -169,13 +171,12 @@ def _with_sets(docs: DataFrame, nodes: DataFrame, width: int, schema: str, make:
             columns = [batch.column(3 + k).to_numpy() for k in range(len(extra))]
             yield from make(((i, t, d1[i], d2[i], columns) for i, t in shingle_sets(batch.column(0), width)))
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(releasing(run), schema)
 
 
 def digest(tokens: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    """Two independent 64-bit hashes of a set."""
-    n = np.array([len(tokens)], np.uint64)
-    return mix(n + tokens.sum(dtype=np.uint64))[0], mix(n ^ mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))[0]
+    """Two 64-bit sums over a set of random hashes: of the hashes (and their number) and of their squares."""
+    return tokens.sum(dtype=np.uint64) + np.uint64(len(tokens) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF), (tokens * tokens).sum(dtype=np.uint64)
 
 
 def _stands(tokens: np.ndarray, d1: np.uint64, d2: np.uint64) -> bool:
@@ -278,7 +279,7 @@ def part_links(sets: DataFrame, keyed: DataFrame, large: DataFrame, met: DataFra
                     b.append(hit)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return durable(dealt.mapInArrow(run, "a long, b long"), "near_part_links")
+    return durable(dealt.mapInArrow(releasing(run), "a long, b long"), "near_part_links")
 
 
 class _Members:
@@ -539,7 +540,7 @@ def candidate_pairs(rows: DataFrame, often: DataFrame, threshold: int, block: in
         plain = plain.join(spread_lists, F.col("key") == F.col("long"), "left_anti").unionByName(keyed)
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = plain.repartition(parts, "key").sortWithinPartitions("key")
-    met = dealt.mapInArrow(run, "a long, b long, na long, nb long, times long").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
+    met = dealt.mapInArrow(releasing(run), "a long, b long, na long, nb long, times long").groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("times"))
     return met.withColumn("need", least_shared(F.col("na"), F.col("nb"), threshold)).where("nb < 0 or times >= need")
 
 
@@ -599,19 +600,45 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     The row has the least id of the group, not null if the group has one; rows that share it
     are told apart by the hash of their text, and of rows that repeat both any one stays.
     """
+    own, name = positional(df)
     rows = durable(_members(df, id_col, text_col, **options), "near_members")
     counted = rows.where("part is not null").groupBy("part", "doc_id", "h").agg(F.count(F.lit(1)).alias("times"))
     least = counted.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "times")).alias("least"))
     one = least.select(F.col("least.doc_id").alias("_k_id"), F.col("least.h").alias("_k_h"), (F.col("least.times") > 1).alias("_k_twice"))
     empty = rows.where("part is null").select(F.col("doc_id").alias("_k_id"), F.col("h").alias("_k_h"), F.lit(False).alias("_k_twice")).distinct()
     stay = durable(one.unionByName(empty), "near_stay")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_k_h"))
-    kept = df.join(stay.where("not _k_twice"), same, "left_semi").select(*df.columns)
+    same = F.col(name[id_col]).cast("long").eqNullSafe(F.col("_k_id")) & (F.xxhash64(F.col(name[text_col]).cast("string")) == F.col("_k_h"))
+    kept = own.join(stay.where("not _k_twice"), same, "left_semi")
     repeated = stay.where("_k_twice")
-    if repeated.isEmpty():
-        return kept
-    return kept.unionByName(df.join(repeated, same).dropDuplicates(["_k_id", "_k_h"]).select(*df.columns))
+    if not repeated.isEmpty():
+        kept = kept.unionByName(own.join(repeated, same).dropDuplicates(["_k_id", "_k_h"]).select(*own.columns))
+    return kept.toDF(*df.columns)
 
 
 def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership(table(spark, sf_dir, "documents"))
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+),
+shingles AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g
+  FROM d WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION
+  SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes n ON n.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import durable, table
+from cohortex.llm.common import durable, release_memory, releasing, table
 
 SEQUENCE = 4096
 MAX_SEGMENTS = 256
@@ -73,6 +73,8 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.letters = _byte_characters()
+        del spec
+        release_memory()
 
     def _ids(self, text: str) -> bytes:
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -142,7 +144,7 @@ def tokenize(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
             )
 
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long")
+    return slim.mapInArrow(releasing(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long")
 
 
 def place(vectors: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
