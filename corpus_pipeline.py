@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortex.llm import exact_dedup, language_id, mixing, near_join, packing
-from cohortex.llm.common import durable, fold, table
+from cohortex.llm.common import durable, fold, fresh, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents whose language cannot be told (no letter) go."""
     model = language_id.fit(docs.where(fold("doc_id", 4) != 2))
-    return language_id.predict(docs, model).where(F.col("_lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    pred, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
+    return language_id.predict(docs, model, pred_col=pred, score_col=score).where(F.col(pred) != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
