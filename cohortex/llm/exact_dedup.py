@@ -13,7 +13,8 @@
 Defined results: a null text counts as the empty text. Of equal texts the row with the
 largest id stays; a null id is smaller than any other. Repeated rows (same id, same text)
 are one group and exactly one of them stays. An empty table gives an empty result. Columns
-besides id and text are not read by ``membership`` and are kept untouched by ``deduplicate``.
+besides id and text are not read by ``membership`` and are kept untouched by ``deduplicate``,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import durable, table, text_of
+from cohortex.llm.common import durable, positional, table, text_of
 
 CAPACITY = 4096
 WINNERS = 1024
@@ -69,12 +70,22 @@ def membership(
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with their own columns."""
-    stay = membership(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_k_id"), F.col("text_sha256").alias("_k_digest"))
-    rows = df.withColumn("_digest", F.sha2(text_of(text_col).cast("binary"), 256))
-    joined = rows.join(stay, (F.col("_digest") == F.col("_k_digest")) & F.col(id_col).eqNullSafe(F.col("_k_id")))
-    # repeated rows (same id and text) match the same winner; one of them stays
-    return joined.dropDuplicates(["_digest", id_col]).select(*df.columns)
+    """The rows of ``df`` that stay, with their own columns.
+
+    Texts meet only the slim list of (id, digest) that go or repeat, in one join.
+    """
+    rows, name = positional(df)
+    own_id, digest = F.col(name[id_col]), F.sha2(text_of(name[text_col]).cast("binary"), 256)
+    members = membership(rows, name[id_col], name[text_col]).where("group_size > 1").withColumnRenamed(name[id_col], "id")
+    named = members.groupBy("id", "keep_id", "text_sha256").agg(F.count(F.lit(1)).alias("times"))
+    stays = F.col("id").eqNullSafe(F.col("keep_id"))
+    listed = durable(named.where(~stays | (F.col("times") > 1)).select("id", "text_sha256", stays.alias("stays")), "dedup_listed")
+    same = own_id.eqNullSafe(F.col("id")) & (digest == F.col("text_sha256"))
+    kept = rows.join(listed, same, "left_anti")
+    twice = listed.where("stays")  # rows that repeat both id and text: one of them stays
+    if not twice.isEmpty():
+        kept = kept.unionByName(rows.join(twice, same).dropDuplicates(["id", "text_sha256"]).select(*rows.columns))
+    return kept.toDF(*df.columns)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
