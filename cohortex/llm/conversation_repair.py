@@ -455,3 +455,78 @@ def damage(df: DataFrame) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return repair(damage(rows), rows)
+
+
+SQL = r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce('=' || conv_id::VARCHAR, '') AS c, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations
+),
+bytes AS (
+  SELECT *, list_transform(range(1, length(name) + 1), lambda i: ascii(substr(name, i::INTEGER, 1))::BIGINT) AS b FROM named
+),
+crc AS (
+  SELECT c, turn, role, body, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda r, x:
+           list_reduce(list_prepend(xor(r, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, k:
+             CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 20 AS fault
+  FROM bytes
+),
+damaged AS (
+  SELECT c, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body
+  FROM crc, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS copies
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(body)) AS i FROM damaged
+),
+judged AS (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(body, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY c, role, body ORDER BY i) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(body, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault
+  FROM placed
+),
+insertions(s, t, n, lines) AS (
+  VALUES (0, 0, 0, NULL), (0, 2, 1, 'user:'), (0, 3, 2, 'user:' || chr(10) || 'assistant:'),
+         (1, 1, 0, NULL), (1, 2, 1, 'user:'), (1, 3, 2, 'user:' || chr(10) || 'assistant:'),
+         (2, 2, 0, NULL), (2, 3, 1, 'assistant:'), (3, 3, 0, NULL), (3, 2, 1, 'user:')
+),
+edits(s, t, letter, initial, price, role) AS (
+  VALUES (0, 1, 'K', 's', 0, NULL), (0, 2, 'K', 'u', 0, NULL), (1, 2, 'K', 'u', 0, NULL), (3, 2, 'K', 'u', 0, NULL), (2, 3, 'K', 'a', 0, NULL),
+         (0, 2, 'R', NULL, 3, 'user'), (1, 2, 'R', NULL, 3, 'user'), (3, 2, 'R', NULL, 3, 'user'), (2, 3, 'R', NULL, 3, 'assistant'),
+         (0, 0, 'D', NULL, 4, NULL), (1, 1, 'D', NULL, 4, NULL), (2, 2, 'D', NULL, 4, NULL), (3, 3, 'D', NULL, 4, NULL)
+),
+paths AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, NULL::VARCHAR AS repaired FROM judged
+  UNION ALL
+  SELECT c, i, state, cost, audit, repaired FROM (
+    SELECT p.c, r.i, e.t AS state,
+           p.cost + 3 * n.n + e.price + CASE WHEN r.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+           p.audit || repeat('I', n.n) || e.letter AS audit,
+           nullif(concat_ws(chr(10), p.repaired, n.lines, CASE WHEN e.letter <> 'D' THEN coalesce(e.role, r.role) || ':' || r.body END), '') AS repaired
+    FROM paths p
+    JOIN judged r ON r.c = p.c AND r.i = p.i + 1
+    JOIN insertions n ON n.s = p.state
+    JOIN edits e ON e.s = n.t AND (e.initial IS NULL OR e.initial = r.initial)
+                AND (e.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  ) QUALIFY row_number() OVER (PARTITION BY c, state ORDER BY cost, audit) = 1
+),
+facts AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY c
+),
+best AS (
+  SELECT f.*, p.cost + 3 * n.n AS cost, p.audit || repeat('I', n.n) AS audit, concat_ws(chr(10), p.repaired, n.lines) AS repaired
+  FROM facts f JOIN paths p ON p.c = f.c AND p.i = f.n JOIN insertions n ON n.s = p.state AND n.t IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY f.c ORDER BY p.cost + 3 * n.n, p.audit || repeat('I', n.n)) = 1
+)
+SELECT DISTINCT d.conv_id, coalesce(b.gaps, 0)::BIGINT AS gaps, coalesce(b.blank, 0)::BIGINT AS blank,
+       coalesce(b.duplicate, 0)::BIGINT AS duplicate, coalesce(b.truncated, 0)::BIGINT AS truncated,
+       coalesce(b.illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.audit, '') AS audit,
+       sha256(coalesce(b.repaired, '')) AS repaired_sha256
+FROM named d LEFT JOIN best b ON b.c = d.c
+"""

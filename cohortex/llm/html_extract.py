@@ -16,20 +16,23 @@ with menus, headers, notices, adverts, sidebars, forms, comments and footers in
 spellings (no page of the input has labels). Fitting is bounded and done once on the
 driver; extraction covers every page and whole texts, one page at a time.
 
-Text: character references decoded, white space inside a block turned into one space,
-blocks in page order joined by two line feeds. A block is the text between the start or end
+Text: character references decoded, white space inside a block (every character that Unicode
+counts as such, no-break spaces included) turned into one space, blocks in page order joined by
+two line feeds. A block is the text between the start or end
 tags of block elements.
 
 Defined results: a null or empty html and a page without main text give the empty text.
 Null ids and urls stay null; repeated rows are extracted like any others. Markup that ends
-early is closed at the end of the page. An empty table gives an empty result.
+early is closed at the end of the page. An empty table gives an empty result. ``extract`` keeps
+all other columns; where one has the name of the result, the result's gets underscores.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cohortex.llm.common import table
+from cohortex.llm.common import fresh, table
 
 TRAINING_PAGES = 500
 TREES, DEPTH, RATE, BINS = 60, 4, 0.2, 32
@@ -75,6 +78,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^>\"'])*+|[^>]*+)(?:>|\Z)", re.S
 )
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")  # a slash at the end of an unquoted value belongs to it
 _TOKEN = re.compile(r"[a-z]+")
 _MARK = re.compile(r"[.!?,;:]")
 
@@ -97,6 +101,12 @@ class Page:
     def _parse(self, source: str) -> None:
         stack, pos = [0], 0
         tags = self.tags
+        opened: Counter[str] = Counter()  # of the stack, so that a tag without a partner is settled at once
+
+        def close(k: int) -> None:
+            opened.subtract(tags[i] for i in stack[k:])
+            del stack[k:]
+
         while True:
             m = _TAG.search(source, pos)
             if m is None:
@@ -111,36 +121,39 @@ class Page:
             if tag in BLOCKS:
                 self.block += 1
             if m[1]:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                     if tags[stack[k]] == tag:
-                        del stack[k:]
+                        close(k)
                         break
                     if tags[stack[k]] in ("td", "th", "table") and tag in ("p", "div", "li", "span", "a", "b", "i"):
                         break
                 continue
-            self._imply_ends(stack, tag)
+            self._imply_ends(stack, opened, close, tag)
             at = len(tags)
             tags.append(tag)
             self.attributes.append(m[3])
             self.parents.append(stack[-1])
             if tag == "br":
                 self.texts.append((stack[-1], " ", self.block))
-            if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
+            if tag in VOID or tag not in BLOCKS and _SELF_CLOSED.search(m[3]):
                 continue
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(source, pos)
                 pos = end.end() if end else len(source)
                 continue
             stack.append(at)
+            opened[tag] += 1
 
-    def _imply_ends(self, stack: list[int], tag: str) -> None:
+    def _imply_ends(self, stack: list[int], opened: Counter[str], close: Callable[[int], None], tag: str) -> None:
         """Close the paragraph, item or cell that the new element ends."""
         ends = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}.get(tag, ())
         walls = {"li": ("ul", "ol"), "dd": ("dl",), "dt": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",)}.get(tag, ())
+        if not any(opened[name] for name in ends) and not (tag in BLOCKS and opened["p"]):
+            return
         for k in range(len(stack) - 1, 0, -1):
             name = self.tags[stack[k]]
             if name in ends or (name == "p" and tag in BLOCKS):
-                del stack[k:]
+                close(k)
                 return
             if name in walls or name in ("table", "td", "th", "body") and tag not in ("td", "th", "tr"):
                 return
@@ -464,7 +477,7 @@ def extract(df: DataFrame, trees: Trees | None = None, html_col: str = "html", o
     """``df`` without its html, with the main text of each page."""
     model = trees or default_trees()
     others = [c for c in df.columns if c != html_col]
-    rows = df.select(*others, F.col(html_col).cast("string").alias("_html"))
+    rows, out_col = df.select(*others, F.col(html_col).cast("string").alias(fresh(df, "source"))), fresh(df.drop(html_col), out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

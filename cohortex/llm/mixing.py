@@ -1,9 +1,9 @@
 """Mix sources to target weights: random keys, ranges within a source, prefix sums, exact cut.
 
-Every row gets a hash-random key (MD5 of seed and id). A source's rows are ordered by that
+Every row gets a hash-random key (MD5 of seed, id and the text's MD5). A source's rows are ordered by that
 key and dealt into ``ranges`` equal key ranges; because the keys are uniform the ranges of
 the largest source are even, so a source with a third of all rows is spread over all of
-them. Range sums give the words before each range (one small row per source and range), a
+them, also where ids are null or repeat. Range sums give the words before each range (one small row per source and range), a
 running sum inside each range does the rest. The source's budget is cut exactly: whole
 epochs first, then the rows in key order up to the budget; the row on the cut gives its
 leading words only, so a source takes exactly floor(target) words.
@@ -14,8 +14,8 @@ read off one ordering of the sources by size / weight, without iteration.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in
 order; rows that tie on key, id, size and text are interchangeable. A source without words
-has target 0. An empty table gives an empty result. Internal columns start with ``_mix``;
-all other columns of the input pass through, whatever their names.
+has target 0. An empty table gives an empty result. ``mix`` keeps every column of the input,
+whatever its name; ``plan`` adds columns that start with ``_mix`` and needs these names free.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import WORD, table, text_of, word_count
+from cohortex.llm.common import WORD, positional, table, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -72,7 +72,7 @@ def plan(
     ``_mix_epochs`` whole copies and, of one more copy, the first ``_mix_part`` words.
     """
     id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    key = F.md5(F.concat(F.lit(seed + ":"), id_text))
+    key = F.md5(F.concat(F.lit(seed + ":"), id_text, F.lit(":"), F.md5(text_of(text_col).cast("binary"))))
     ranges = max(LEAST_RANGES, -(-df.count() // ROWS_PER_RANGE))
     rows = df.withColumns(
         {
@@ -89,14 +89,14 @@ def plan(
     offsets = sums.withColumn("_mix_offset", F.coalesce(F.sum("_mix_sum").over(earlier), F.lit(0)))
     g = goals.withColumnRenamed("_mix_source", "_goal_source")
     offsets = offsets.join(g, F.col("_mix_source").eqNullSafe(F.col("_goal_source"))).select(
-        F.col("_mix_source").alias("_o_source"),
-        F.col("_mix_range").alias("_o_range"),
+        F.col("_mix_source").alias("_mix_o_source"),
+        F.col("_mix_range").alias("_mix_o_range"),
         "_mix_offset",
         "_mix_source_size",
         "_mix_target",
     )
     placed = rows.join(
-        offsets, F.col("_mix_source").eqNullSafe(F.col("_o_source")) & (F.col("_mix_range") == F.col("_o_range"))
+        offsets, F.col("_mix_source").eqNullSafe(F.col("_mix_o_source")) & (F.col("_mix_range") == F.col("_mix_o_range"))
     )
     inside = (
         Window.partitionBy("_mix_source", "_mix_range")
@@ -111,7 +111,7 @@ def plan(
     return (
         placed.withColumn("_mix_start", start)
         .withColumns({"_mix_epochs": epochs, "_mix_part": part.cast("long")})
-        .drop("_mix_key", "_mix_range", "_mix_tie", "_mix_source", "_o_source", "_o_range", "_mix_offset", "_mix_start")
+        .drop("_mix_key", "_mix_range", "_mix_tie", "_mix_source", "_mix_o_source", "_mix_o_range", "_mix_offset", "_mix_start")
     )
 
 
@@ -126,7 +126,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     A text without words adds nothing to any budget; it is kept once.
     """
-    planned = plan(df, id_col, text_col, source_col, **options)
+    rows, name = positional(df)
+    planned = plan(rows, name[id_col], name[text_col], name[source_col], **options)
     whole = planned.withColumn("_mix_words", F.array_repeat(F.col("_mix_size"), F.col("_mix_epochs").cast("int")))
     copies = whole.withColumn(
         "_mix_words",
@@ -134,8 +135,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         .when(F.col("_mix_part") > 0, F.concat("_mix_words", F.array("_mix_part")))
         .otherwise(F.col("_mix_words")),
     ).withColumn("_mix_words", F.explode("_mix_words"))
-    cut = F.when(F.col("_mix_words") < F.col("_mix_size"), _leading_words(text_col, F.col("_mix_words"))).otherwise(F.col(text_col))
-    return copies.withColumn(text_col, cut).select(*df.columns)
+    text = name[text_col]
+    cut = F.when(F.col("_mix_words") < F.col("_mix_size"), _leading_words(text, F.col("_mix_words"))).otherwise(F.col(text))
+    return copies.withColumn(text, cut).select(*rows.columns).toDF(*df.columns)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +154,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS k
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1 AS i

@@ -22,8 +22,10 @@ QUERIES = {
 
 ORACLE = {
     "op4_mixing": mixing.SQL,
+    "op7_near_join": near_join.SQL,
     "op8_warc": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
     "op13_substring_dedup": substring_dedup.SQL,
 }

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortex.llm.common import durable, fold, table
+from cohortex.llm.common import durable, fold, fresh, table
 
 TOXIC_SAMPLE = 4000
 CLEAN_SAMPLE = 12000
@@ -208,7 +208,8 @@ def draw_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "tox
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(29)), F.lit(1 << 20)) / float(1 << 20)
     share = F.when(F.col("toxic") == 1, min(1.0, TOXIC_SAMPLE / max(1, n.get(1, 0)))).otherwise(min(1.0, CLEAN_SAMPLE / max(1, n.get(0, 0))))
-    return rows.where(draw < share).limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE))
+    place = F.xxhash64(F.col("id").cast("string"), F.lit(31))
+    return rows.where(draw < share).orderBy(place, "id").limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE))
 
 
 def prefix_counts(sample: DataFrame) -> DataFrame:
@@ -361,8 +362,8 @@ def fit_weights(model: Model, x: np.ndarray, y: np.ndarray, n: np.ndarray, pull:
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "_toxicity") -> DataFrame:
-    """``df`` with all its columns, plus the toxicity score."""
-    at = df.columns.index(text_col)
+    """``df`` with all its columns, plus the toxicity score under ``score_col`` or, if the input has such a column, that name after underscores."""
+    at, score_col = df.columns.index(text_col), fresh(df, score_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = model.prepare()

@@ -12,17 +12,24 @@ Reader: files are dealt into byte ranges of ``SPLIT_BYTES``; a task scans its ra
 gzip magic, takes a position as a member only if its header flags are valid and the data
 inflates to a WARC record (checked up to the member's checksum, and to what follows it), and
 owns the records that start inside its range, reading past its end to finish the last one.
-A task holds one record at a time.
+A task holds one record at a time. Archives of other writers are read too: header names in
+any letter case, digests in base 32 or hexadecimal or missing, payloads with or without HTTP
+headers; records of other types (warcinfo, request, metadata, ...) come back as their type.
 
 Defined results: a null html is an empty payload (0 bytes, always ``response``). A null
 page_id counts as smaller than any other and is read back as null. Rows that repeat the
 largest page_id of a group are all responses. Null urls are read back as null; line breaks
-in an url are percent-encoded. An empty table writes no file and gives an empty result.
+in an url are percent-encoded. An empty table writes no file and gives an empty result. In records of other
+writers page_id and refers_to are null unless they hold this writer's ids; a revisit without a
+stated payload length has null there. Input columns besides page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -167,29 +174,67 @@ def read_member(window: Window, pos: int) -> tuple[bytes, int] | None:
     return b"".join(parts), at - len(inflater.unused_data)
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-cased name; a line that begins with white space goes on with the last one."""
+    out: dict[str, str] = {}
+    name = None
+    for line in lines:
+        if line[:1] in (" ", "\t") and name is not None:
+            out[name] += " " + line.strip()
+        elif ":" in line:
+            name, value = (part.strip() for part in line.split(":", 1))
+            name = name.lower()
+            out[name] = value
+    return out
+
+
+def _hex_digest(stated: str) -> str | None:
+    """The lower-case hexadecimal form of a stated SHA-1, None for another kind of digest."""
+    kind, _, value = stated.partition(":")
+    if kind.lower() != "sha1":
+        return None
+    if len(value) == 32:
+        try:
+            return base64.b32decode(value.upper()).hex()
+        except binascii.Error:
+            return None
+    return value.lower()
+
+
+def _own_id(stated: str) -> int | None:
+    digits = stated.removeprefix("<urn:page:").removesuffix(">")
+    return int(digits) if re.fullmatch(r"-?[0-9]+", digits) else None
+
+
 def parse(data: bytes) -> dict | None:
     """The fields of one record, None if its lengths do not agree."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
-    fields = dict(line.split(": ", 1) for line in lines[1:])
-    length = int(fields["Content-Length"])
-    if len(rest) != length + 4:
+    fields = _fields(head.decode("utf-8", "replace").split("\r\n")[1:])
+    stated = fields.get("content-length", "")
+    if not stated.isdigit() or len(rest) != int(stated) + 4:
         return None
-    http, _, payload = rest[:length].partition(b"\r\n\r\n")
-    http_fields = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    response = fields["WARC-Type"] == "response"
-    if response and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != int(http_fields["Content-Length"])):
-        raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
-    refers = fields.get("WARC-Refers-To", "").removeprefix("<urn:page:").removesuffix(">")
+    kind, block = fields.get("warc-type", "").lower(), rest[: int(stated)]
+    payload, size = block, len(block)
+    if kind in ("response", "revisit") and block[:5] == b"HTTP/":
+        http, _, payload = block.partition(b"\r\n\r\n")
+        own = _fields(http.decode("utf-8", "replace").split("\r\n")[1:]).get("content-length", "")
+        size = len(payload) if kind == "response" else int(own) if own.isdigit() else None
+    elif kind == "revisit":
+        size = None
+    digest = _hex_digest(fields.get("warc-payload-digest", ""))
+    if kind != "revisit":
+        found = hashlib.sha1(payload).hexdigest()
+        if kind == "response" and digest not in (None, found):
+            raise ValueError(f"payload of {fields.get('warc-record-id')} is damaged")
+        digest = found
     return {
-        "page_id": int(fields["X-Page-ID"]) if "X-Page-ID" in fields else None,
-        "url": fields.get("WARC-Target-URI"),
-        "payload_bytes": int(http_fields["Content-Length"]),
+        "page_id": _own_id(fields.get("x-page-id", "")),
+        "url": fields.get("warc-target-uri"),
+        "payload_bytes": size,
         "payload_digest": digest,
-        "record_type": fields["WARC-Type"],
-        "refers_to": int(refers) if refers else None,
-        "payload": payload if response else None,
+        "record_type": kind,
+        "refers_to": _own_id(fields.get("warc-refers-to", "")),
+        "payload": payload if kind != "revisit" else None,
     }
 
 
@@ -216,7 +261,7 @@ def records_in(path: str, size: int, start: int, end: int) -> Iterator[dict]:
 
 
 def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = False) -> DataFrame:
-    """The records of the manifest's files; with ``payload`` also the bytes of responses."""
+    """The records of the manifest's files; with ``payload`` also the bytes of all but revisits."""
     ranges = manifest.select(
         "path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("start")
     ).select("path", "size", "start", F.least("size", F.col("start") + split_bytes).alias("stop"))

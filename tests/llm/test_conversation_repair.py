@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortex.llm import conversation_repair as cr
 
+from .conftest import SF, same_rows
+
 LEGAL = re.compile(r"(s?(ua)+)?")
 SOLID = re.compile(r"[^\x20\x09-\x0D]")
 ROWS = "conv_id long, turn long, role string, text string"
@@ -172,6 +174,10 @@ def test_query_is_brute_force(spark):
     assert got(QUERIES["op11_conversation_repair"](spark, "/root/testdata/sf0.001")) == brute(damaged(rows), {r[0] for r in rows})
 
 
+def test_is_the_sql(spark):
+    same_rows(cr.op11_conversation_repair(spark, SF), cr.SQL)
+
+
 def test_conversations_without_rows_and_odd_damage(spark):
     rows = [(c, t, r, x) for c in (1, 2, 3, None, 55) for t, r, x in ((None, None, None), (0, "user", "Hi there."), (1, "assistant", "Yes! ok"), (1, "assistant", "Yes! ok"))]
     rows += [(c, 0, "user", "One.") for c in range(100, 160)]

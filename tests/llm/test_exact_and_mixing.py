@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 
 from pyspark.sql import functions as F
@@ -81,3 +83,35 @@ def test_warc_round_trip_at_any_split(spark):
     assert texts[7] == LONG and texts[8] == rows[-1][2] and texts[3] == ""
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read(warc.write(none, scratch_path(spark, "warc_none"))).count() == 0
+
+
+def foreign(fields, block):
+    head = "".join(f"{k}: {v}\r\n" for k, v in fields) + f"content-length: {len(block)}\r\n"
+    return gzip.compress(b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n")
+
+
+def test_warc_of_another_writer(spark, tmp_path):
+    """warcinfo, request and metadata records, lower-case and folded headers, base-32 and missing digests, no HTTP headers."""
+    page = b"<p>hi</p>"
+    sha = hashlib.sha1(page)
+    http = b"HTTP/1.1 200 OK\r\nserver: x\r\nX-Folded: a\r\n b\r\n\r\n"
+    records = [
+        foreign([("WARC-Type", "warcinfo"), ("WARC-Record-ID", "<urn:uuid:1>"), ("Content-Type", "application/warc-fields")], b"software: other\r\n"),
+        foreign([("warc-type", "request"), ("WARC-Target-URI", "http://a/")], b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"),
+        foreign([("WARC-TYPE", "response"), ("warc-target-uri", "http://a/"), ("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha.digest()).decode())], http + page),
+        foreign([("WARC-Type", "response"), ("WARC-Target-URI", "http://b/"), ("WARC-Payload-Digest", "md5:00")], http + page * 2),
+        foreign([("WARC-Type", "metadata")], b""),
+        foreign([("WARC-Type", "revisit"), ("WARC-Refers-To", "<urn:uuid:3>"), ("WARC-Payload-Digest", "sha1:" + sha.hexdigest().upper())], b""),
+        foreign([("WARC-Type", "resource"), ("X-Page-ID", "12")], page),
+    ]
+    (tmp_path / "other.warc.gz").write_bytes(b"".join(records))
+    size = sum(map(len, records))
+    manifest = spark.createDataFrame([(f"file:{tmp_path}/other.warc.gz", size, len(records))], warc.MANIFEST)
+    for split in (1 << 20, 100):
+        got = sorted((r.record_type, r.url, r.payload_bytes, r.payload_digest, r.page_id, r.refers_to) for r in warc.read(manifest, split).collect())
+        assert [r[0] for r in got] == ["metadata", "request", "resource", "response", "response", "revisit", "warcinfo"]
+        by_type = {(r[0], r[1]): r[2:] for r in got}
+        assert by_type["response", "http://a/"] == (len(page), sha.hexdigest(), None, None)
+        assert by_type["response", "http://b/"] == (2 * len(page), hashlib.sha1(page * 2).hexdigest(), None, None)
+        assert by_type["revisit", None] == (None, sha.hexdigest(), None, None)
+        assert by_type["resource", None] == (len(page), sha.hexdigest(), 12, None)

@@ -9,6 +9,7 @@ import pytest
 
 from cohortex.llm import near_join
 
+from .conftest import SF, same_rows
 from .test_near_and_packing import brute_components, near_rows
 
 
@@ -46,6 +47,7 @@ def test_long_lists_are_dealt_by_the_length_of_the_postings(spark, monkeypatch):
 def test_large_parts_are_met_as_a_whole(spark, monkeypatch, large, held):
     monkeypatch.setattr(near_join, "LARGE_PART", large)
     monkeypatch.setattr(near_join, "MEMBER_SHINGLES", held)
+    monkeypatch.setattr(near_join, "STAR_AGREE", 6)
     monkeypatch.setattr(near_join, "STAR_ROUNDS", 1)
     met = []
     links = near_join.part_links
@@ -53,7 +55,7 @@ def test_large_parts_are_met_as_a_whole(spark, monkeypatch, large, held):
     rows = mutated_rows(large)
     got = sorted(map(tuple, near_join.membership(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()))
     assert got == sorted(brute_components(rows))
-    assert large == 30 or (met and not met[0].isEmpty())
+    assert large > 2 or (met and not met[0].isEmpty())
 
 
 def mutated_rows(seed):
@@ -77,3 +79,30 @@ def test_nodes_meet_other_large_parts_once():
     big = part < 3
     got = {(int(a), int(b)) for step in near_join._with_parts(node, n, part, big, 75) for a, b in zip(*step[:2], strict=True)}
     assert got == {(a, 1) for a in (5, 6, 7, 8, 9, 11)} | {(a, 2) for a in (8, 9, 11)}  # 200 is too long for either
+
+
+def test_members_find_a_linked_one_exactly_if_there_is_one():
+    r = np.random.default_rng(7)
+    base = np.unique(r.integers(0, 2**63, 80, dtype=np.uint64))
+    none = np.zeros(0, np.uint64)
+
+    def near():
+        kept = base[r.random(len(base)) < r.choice([1.0, 0.95, 0.85, 0.7])]
+        return np.unique(np.concatenate([kept, r.integers(0, 2**63, int(r.integers(0, 25)), dtype=np.uint64)]))
+
+    def row(s):
+        return [near_join.prefix(s, none, k).view(np.int64) for k in (1, 2)] + [s.view(np.int64)]
+
+    found = 0
+    for _ in range(60):
+        sets = [near() for _ in range(6)]
+        block, asked = near_join._Members([(i, *row(s)) for i, s in enumerate(sets)]), near()
+        linked = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, asked)) >= 75 * len(np.union1d(s, asked))}
+        hit = block.linked(*row(asked), 75)
+        assert hit in linked if linked else hit is None
+        found += bool(linked)
+    assert 10 < found < 60
+
+
+def test_near_join_is_the_sql(spark):
+    same_rows(near_join.op7_near_join(spark, SF), near_join.SQL)
