@@ -42,7 +42,7 @@ def con():
 def test_every_query_registered():
     q = entry.queries()
     assert set(entry.oracle_sql()) <= set(q)
-    assert len(OWN.QUERIES) == len(OWN.ORACLE) == 69
+    assert len(OWN.QUERIES) == len(OWN.ORACLE) == 71
     assert set(OWN.QUERIES) <= set(q)
 
 
