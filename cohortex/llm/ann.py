@@ -9,10 +9,10 @@ medoid proposes neighbours, and relaxed distance pruning (a candidate is dropped
 neighbour is ``ALPHA`` times closer to it than the point is) keeps at most ``DEGREE`` diverse
 edges; reverse edges are added and pruned alike. The graphs are a written table.
 
-Queries are dealt into blocks; every block meets every shard once (a stated query set against
-all rows, in blocks), is answered by beam search in the shard's graph, and the shards'
-answers are merged per query. Scores are recomputed in double precision on the original
-vectors.
+Queries, the small side, are dealt into blocks. A task reads a shard's graph once, holds it and
+streams the blocks past it (a stated query set against all rows, in blocks); graphs are shuffled
+once, whatever the number of queries. All points a beam search ends with are ranked in double
+precision, and the shards' answers are merged per query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components
 take no part, neither as queries nor as candidates. Vectors are compared with vectors of the
@@ -24,6 +24,7 @@ query without candidates gives no row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ SEARCH_BEAM = 256
 ALPHA = 1.2
 BATCH = 256
 QUERY_BLOCK = 512
+MOST_TASKS = 10_000
 QUERY_EVERY = 50
 
 
@@ -195,46 +197,70 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K, beam: int = SEARCH
     stored = durable(queries.select("vec_id", "embedding").distinct().withColumn("row", F.monotonically_increasing_id()), "ann_queries")
     blocks = max(1, -(-stored.count() // block_rows))
     block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    packed = stored.groupBy(F.size("embedding").alias("q_dim"), block.alias("block")).agg(F.collect_list(F.struct("row", "vec_id", "embedding")).alias("queries"))
-    # every block meets every shard of its dimension under the key (dim, shard, block)
-    numbered = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    shards = graphs.groupBy("dim").agg(F.max("shard").alias("last"))
-    spread = packed.join(shards, F.col("q_dim") == F.col("dim")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("dim", "last")
-    met = numbered.join(spread.withColumnsRenamed({"shard": "q_shard", "block": "q_block"}), (F.col("dim") == F.col("q_dim")) & (F.col("shard") == F.col("q_shard")) & (F.col("block") == F.col("q_block")))
-    tasks = met.select("ids", "held", "vectors", "edges", "start", "dim", "queries")
+    packed = stored.groupBy(F.size("embedding").alias("dim"), block.alias("block")).agg(F.collect_list(F.struct("row", "vec_id", "embedding")).alias("queries"))
+    # a shard's row and the blocks of its dimension meet in one task, the row first
+    last = graphs.groupBy("dim").agg(F.max("shard").alias("last"))
+    asked = packed.join(last, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    missing = {"ids": "binary", "held": "binary", "vectors": "binary", "edges": "binary", "start": "int"}
+    asked = asked.select("dim", "shard", F.lit(1).alias("kind"), *[F.lit(None).cast(t).alias(c) for c, t in missing.items()], "queries")
+    held = graphs.select("dim", "shard", F.lit(0).alias("kind"), *missing, F.lit(None).cast(asked.schema["queries"].dataType).alias("queries"))
+    tasks = max(1, min(graphs.count(), MOST_TASKS))
+    dealt = held.unionByName(asked).repartition(tasks, "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard: Shard | None = None
         for batch in batches:
             for r in range(batch.num_rows):
-                yield answer(*(batch.column(c)[r] for c in range(7)))
-
-    def answer(ids, held, vectors, edges, start, dim, asked) -> pa.RecordBatch:
-        dim = dim.as_py()
-        original = np.frombuffer(vectors.as_py(), np.float64).reshape(-1, dim)
-        members = np.frombuffer(ids.as_py(), np.int64).reshape(len(original), -1)
-        sizes = np.frombuffer(held.as_py(), np.int64)
-        graph = np.frombuffer(edges.as_py(), np.int32).reshape(len(original), -1).astype(np.int64)
+                fields = [batch.column(c)[r] for c in range(9)]
+                if fields[2].as_py() == 0:
+                    shard = Shard.read(*fields)
+                elif shard is not None and shard.name == (fields[0].as_py(), fields[1].as_py()):
+                    yield shard.answer(fields[8].values, k, beam)
+
+    answers = dealt.mapInArrow(run, "row long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
+    return answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+@dataclass
+class Shard:
+    """One shard's graph and vectors, held while the query blocks stream past."""
+
+    name: tuple[int, int]
+    members: np.ndarray
+    sizes: np.ndarray
+    exact: np.ndarray
+    single: np.ndarray
+    graph: np.ndarray
+    start: int
+
+    @classmethod
+    def read(cls, dim, shard, kind, ids, held, vectors, edges, start, queries) -> Shard:
+        original = np.frombuffer(vectors.as_py(), np.float64).reshape(-1, dim.as_py())
         exact = unit(original)
-        fields = asked.values
-        row = fields.field("row").to_numpy()
-        own = fields.field("vec_id").to_numpy(zero_copy_only=False)
-        q = unit(fields.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim))
-        found, _ = beam_search(exact.astype(np.float32), graph, start.as_py(), q.astype(np.float32), min(beam, len(exact)))
-        found = found[:, : 4 * k + 4]  # single precision ranks them, double precision decides
+        graph = np.frombuffer(edges.as_py(), np.int32).reshape(len(exact), -1).astype(np.int64)
+        members = np.frombuffer(ids.as_py(), np.int64).reshape(len(exact), -1)
+        return cls((dim.as_py(), shard.as_py()), members, np.frombuffer(held.as_py(), np.int64), exact, exact.astype(np.float32), graph, start.as_py())
+
+    def answer(self, asked: pa.StructArray, k: int, beam: int) -> pa.RecordBatch:
+        """The k best of this shard for each query: single precision walks the graph, double precision ranks all that is met."""
+        row = asked.field("row").to_numpy()
+        own = asked.field("vec_id").to_numpy(zero_copy_only=False)
+        q = unit(asked.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(row), -1))
+        found, _ = beam_search(self.single, self.graph, self.start, q.astype(np.float32), min(beam, len(self.exact)))
         out = [[], [], [], []]
         for i in range(len(q)):
             points = found[i][found[i] >= 0]
-            scores = exact[points] @ q[i]
-            hits = sorted((-s, int(v)) for p, s in zip(points, scores.tolist(), strict=True) for v in members[p][: sizes[p]] if v != own[i])[:k]
+            scores = self.exact[points] @ q[i]
+            if len(points) > k + 1:  # the query's own class may be one of them; ties stay
+                near = scores >= np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                points, scores = points[near], scores[near]
+            hits = sorted((-s, int(v)) for p, s in zip(points, scores.tolist(), strict=True) for v in self.members[p][: self.sizes[p]] if v != own[i])[:k]
             for s, v in hits:
                 for column, value in zip(out, (int(row[i]), int(own[i]), v, -s), strict=True):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.float64())], names=["row", "query_id", "vec_id", "score"])
 
-    answers = tasks.repartition(max(1, blocks * int(graphs.count()))).mapInArrow(run, "row long, query_id long, vec_id long, score double")
-    best = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & valid_vector(F.col("embedding")))
