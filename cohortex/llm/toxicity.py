@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortex.llm.common import durable, fold, fresh, table
+from cohortex.llm.common import durable, fold, fresh, releasing, table
 
 TOXIC_SAMPLE = 4000
 CLEAN_SAMPLE = 12000
@@ -67,6 +67,7 @@ REPORTS = """said says say told tells wrote writes claims claimed called calls s
 behauptete rief laut disait dit écrit crié selon dijo dice escribió gritó según""".split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+CHUNK = 512  # rows scored at once
 CLAUSE_END = re.compile(r"[.!?;\n]")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
@@ -218,14 +219,16 @@ def prefix_counts(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen = set()
-                for w in set(WORD.findall(text.lower())):
-                    seen.update(w[:n] for n in range(LEAST_PREFIX, min(len(w), LONGEST_PREFIX) + 1))
-                counts[toxic].update(seen)
-            if sum(map(len, counts)) > 400_000:
-                yield emit(counts)
-                counts = (Counter(), Counter())
+            for first in range(0, len(batch), CHUNK):
+                part = batch.slice(first, CHUNK)
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    seen = set()
+                    for w in set(WORD.findall(text.lower())):
+                        seen.update(w[:n] for n in range(LEAST_PREFIX, min(len(w), LONGEST_PREFIX) + 1))
+                    counts[toxic].update(seen)
+                if sum(map(len, counts)) > 200_000:
+                    yield emit(counts)
+                    counts = (Counter(), Counter())
         yield emit(counts)
 
     def emit(counts) -> pa.RecordBatch:
@@ -236,7 +239,7 @@ def prefix_counts(sample: DataFrame) -> DataFrame:
             names=["prefix", "toxic", "clean"],
         )
 
-    partial = sample.mapInArrow(run, "prefix string, toxic long, clean long")
+    partial = sample.mapInArrow(releasing(run), "prefix string, toxic long, clean long")
     return partial.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -331,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 out.append(sorted({w[:n] for w in words for n in range(LEAST_PREFIX, min(len(w), LONGEST_PREFIX) + 1)} & learned.keys()))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], names=["entries"])
 
-    held = sample.where("toxic = 1").select("text").mapInArrow(holding, "entries array<string>")
+    held = sample.where("toxic = 1").select("text").mapInArrow(releasing(holding), "entries array<string>")
     entries |= explaining(learned, {r["prefix"]: r["clean"] for r in stem_rows}, [list(r["entries"]) for r in held.collect()], toxic_rows, clean_rows)
     model = Model(entries)
 
@@ -341,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x = [scanner.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([v.tolist() for v in x], pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    rows = sample.mapInArrow(vectors, "toxic int, x array<double>").groupBy("toxic", "x").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = sample.mapInArrow(releasing(vectors), "toxic int, x array<double>").groupBy("toxic", "x").agg(F.count(F.lit(1)).alias("n")).collect()
     if toxic_rows and clean_rows:
         fit_weights(model, np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows]), np.array([r["n"] for r in rows], dtype=float))
     return model
@@ -368,10 +371,12 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = model.prepare()
         for batch in batches:
-            scores = scanner.scores(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score_col])
+            for first in range(0, len(batch), CHUNK):
+                part = batch.slice(first, CHUNK)
+                scores = scanner.scores(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, score_col])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(score_col, DoubleType())]))
+    return df.mapInArrow(releasing(run), StructType([*df.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
