@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import WORD, positional, table, text_of, word_count
+from cohortex.llm.common import WORD, durable, positional, table, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -71,18 +71,23 @@ def plan(
 
     ``_mix_epochs`` whole copies and, of one more copy, the first ``_mix_part`` words.
     """
+    return _placed(keyed(df, id_col, text_col, source_col, seed), id_col, weights, share, max_epochs)
+
+
+def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
+    """``df`` plus each row's size, key, tie and source: all that the plan needs of a text."""
     id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     key = F.md5(F.concat(F.lit(seed + ":"), id_text, F.lit(":"), F.md5(text_of(text_col).cast("binary"))))
-    ranges = max(LEAST_RANGES, -(-df.count() // ROWS_PER_RANGE))
-    rows = df.withColumns(
-        {
-            "_mix_size": word_count(text_col),
-            "_mix_key": key,
-            "_mix_range": F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)).cast("long"),
-            "_mix_tie": F.xxhash64(text_of(text_col)),
-            "_mix_source": F.col(source_col).cast("string"),
-        }
+    return df.withColumns(
+        {"_mix_size": word_count(text_col), "_mix_key": key, "_mix_tie": F.xxhash64(text_of(text_col)), "_mix_source": F.col(source_col).cast("string")}
     )
+
+
+def _placed(df: DataFrame, id_col: str, weights: tuple = WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The plan of rows that are ``keyed``."""
+    ranges = max(LEAST_RANGES, -(-df.count() // ROWS_PER_RANGE))
+    place = F.conv(F.substring("_mix_key", 1, 8), 16, 10).cast("long")
+    rows = df.withColumn("_mix_range", F.floor(place * ranges / F.lit(2**32)).cast("long"))
     sums = rows.groupBy("_mix_source", "_mix_range").agg(F.sum("_mix_size").alias("_mix_sum"))
     goals = targets(sums.groupBy("_mix_source").agg(F.sum("_mix_sum").alias("_mix_source_size")), weights, share, max_epochs)
     earlier = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,7 +147,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return plan(docs).select(
+    # texts are read once; the plan passes over their slim rows
+    return _placed(durable(keyed(docs).drop("text"), "mix_rows"), "doc_id").select(
         "doc_id",
         F.col("_mix_size").alias("size"),
         F.col("_mix_source_size").alias("source_size"),
