@@ -35,7 +35,7 @@ def distinct_parts() -> list[Part]:
 
 
 def distinct_counts(sessions: DataFrame) -> DataFrame:
-    """The four distinct counts per client (A2), in two levels."""
+    """The four distinct counts per client (A2)."""
     return by_client(sessions, source_pair(), [Guarded(distinct_parts())])
 
 

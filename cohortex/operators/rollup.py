@@ -1,14 +1,15 @@
-"""Mergeable per-client aggregates in two levels.
+"""Mergeable per-client aggregates.
 
 A client's distinct source/medium pairs come from free text, so a set of them is not bounded.
-Instead rows are grouped by client *and pair* first, then by client: pairs are counted as rows
-of the first level, and no aggregation buffer holds more than one pair. All other features ride
-along as aggregates that can be merged (sums, largest and smallest structs, sets over small
-domains: channels, days, devices). A client with a third of all sessions is spread over its
-pairs and pre-aggregated before both shuffles.
-
-Because every part can be merged, the same parts also roll up stored daily states
-(:mod:`cohortex.plans.daily`).
+They are counted in two levels: rows are grouped by client *and pair*, then by client, so pairs
+are rows of the first level and no aggregation buffer holds more than one. That branch reads
+two slim columns; all other features are aggregates of one ``groupBy(client)`` whose buffers are
+bounded: sums, largest and smallest structs, sets over small domains (channels, days, devices).
+Both branches end partitioned by client, so joining them needs no further shuffle. A client with a
+third of all sessions is spread over its pairs, and every shuffle is pre-aggregated.
+
+Every part can be merged, so the same parts also roll up stored daily states
+(:mod:`cohortex.plans.daily`), there by client and pair first.
 """
 
 from __future__ import annotations
@@ -80,14 +81,24 @@ def distinct_pairs(name: str) -> Part:
 
 def _across(first: DataFrame, key: str, groups: Sequence[Guarded]) -> DataFrame:
     every = [(g.prefix + p.name, p) for g in groups for p in g.parts]
-    merged = first.groupBy(key).agg(*[(p.across or p.merge)(F.col(n)).alias(n) for n, p in every])
+    return _finished(first.groupBy(key).agg(*[(p.across or p.merge)(F.col(n)).alias(n) for n, p in every]), key, groups)
+
+
+def _finished(merged: DataFrame, key: str, groups: Sequence[Guarded]) -> DataFrame:
+    every = [(g.prefix + p.name, p) for g in groups for p in g.parts]
     return merged.select(key, *[(p.final(F.col(n)) if p.final else F.col(n)).alias(n) for n, p in every])
 
 
 def by_client(rows: DataFrame, pair: Column, groups: Sequence[Guarded], key: str = "clientId") -> DataFrame:
-    """One row per client: every part of every group, over session rows."""
-    inner = [p.inner(g.guard(p.value)).alias(g.prefix + p.name) for g in groups for p in g.parts]
-    return _across(rows.groupBy(key, pair.alias(PAIR)).agg(*inner), key, groups)
+    """One row per client: every part of every group, over session rows of known clients."""
+    plain = [(g, p) for g in groups for p in g.parts if p.across is None]
+    paired = [(g, p) for g in groups for p in g.parts if p.across is not None]
+    out = rows.groupBy(key).agg(*[p.inner(g.guard(p.value)).alias(g.prefix + p.name) for g, p in plain]) if plain else None
+    if paired:
+        first = rows.groupBy(key, pair.alias(PAIR)).agg(*[p.inner(g.guard(p.value)).alias(g.prefix + p.name) for g, p in paired])
+        counted = first.groupBy(key).agg(*[p.across(F.col(g.prefix + p.name)).alias(g.prefix + p.name) for g, p in paired])
+        out = counted if out is None else out.join(counted, key)
+    return _finished(out, key, groups)
 
 
 def state_by(rows: DataFrame, pair: Column, parts: Sequence[Part], keys: Sequence[str]) -> DataFrame:

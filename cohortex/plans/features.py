@@ -5,12 +5,12 @@ Two plans give identical rows:
 * ``literal``: one sub-plan per step (latest session, first session, totals, event counts,
   conversions) joined on the client, the structure of a CTE-per-step SQL query. Spark
   scans the window once per step and joins four or five per-client results.
-* ``fused``: one scan of the windows and one two-level aggregation (client and
-  source/medium pair, then client; see :mod:`cohortex.operators.rollup`); window membership
-  is a guard inside each aggregate. A session's hits are tested once for all rules, in the
+* ``fused``: one scan of the windows and one ``groupBy(clientId)``; window membership is a
+  guard inside each aggregate. A session's hits are tested once for all rules, in the
   windows only, so the aggregate sees one row per session and the scan reads only the event
-  structs of the hits. Both exchanges carry pre-aggregated rows: a client with a third of
-  all sessions is spread over its pairs, then costs one partial row per task.
+  structs of the hits. Distinct source/medium pairs are counted beside it from two slim
+  columns (:mod:`cohortex.operators.rollup`). Every exchange carries pre-aggregated rows: a
+  client with a third of all sessions costs one partial row per task.
 """
 
 from __future__ import annotations
@@ -227,7 +227,7 @@ def guarded_parts(specs: dict[str, FeatureSpec], suffix: str = "suffix") -> list
 
 
 def features_fused_many(sessions: DataFrame, specs: dict[str, FeatureSpec]) -> DataFrame:
-    """One scan of all windows and one two-level aggregation with the parts of every spec
+    """One aggregation over the windows with the parts of every spec
     (columns prefixed ``<name>__``). Use :func:`select_spec` to get one feature table out of
     it. A training and a scoring table share one scan this way."""
     rules = [r for spec in specs.values() for r in rules_of(spec)]
@@ -254,7 +254,7 @@ def select_spec(wide: DataFrame, spec: FeatureSpec, name: str) -> DataFrame:
 
 
 def features_fused(sessions: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One scan: every feature is an aggregate over the client's sessions."""
+    """Every feature is an aggregate over the client's sessions."""
     return select_spec(features_fused_many(sessions, {"f": spec}), spec, "f")
 
 

@@ -147,12 +147,14 @@ def free_text_sets(plan):
     return "Expand" in plan or any("collect_set" in line and "trafficSource" in line.split("collect_set", 1)[1][:40] for line in plan.splitlines())
 
 
-def test_fused_plan_groups_by_pair_then_by_client(sessions_df):
+def test_fused_plan_counts_pairs_in_two_levels(sessions_df):
+    """One exchange for all features, two slim ones for the pairs, none for the join of both."""
     df = edge_sessions(sessions_df)
     for frame in (feature_table(df, spec(True), "fused"), A.visit_totals(df), A.distinct_counts(df)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange") == 2 and not free_text_sets(plan)
-        assert "Exchange hashpartitioning(clientId" in plan and "_pair" in plan
+        shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(shuffles) == 3 and sum(", _groupingexpression" in line for line in shuffles) == 1
+        assert not free_text_sets(plan)
 
 
 def test_client_with_very_many_sources(spark):
@@ -236,7 +238,7 @@ def test_fused_independent_of_ansi_mode(spark, sessions_df):
 
 def test_hot_client_with_a_third_of_sessions(spark):
     """One client owns a third of all sessions: results agree and the fused plan aggregates
-    partially before both exchanges (each task ships one row per client and pair, then per client)."""
+    partially before every exchange (each task ships one row per client)."""
     from cohortex.catalog.setup import FIXTURE
     from cohortex.plans.datasets import training_spec
     from cohortex.sources.fixtures import sessions_from_events
@@ -251,11 +253,11 @@ def test_hot_client_with_a_third_of_sessions(spark):
     want = lb.where(F.col("clientId") == "hot").agg(F.sum("totals.hits")).first()[0]
     assert fused.where(F.col("clientid") == "hot").first()["total_hits"] == want
     plan = fused._jdf.queryExecution().executedPlan().toString()
-    for step in plan.split("Exchange hashpartitioning(clientId")[1:]:  # both levels are pre-aggregated
-        assert "partial_max(" in step and "partial_sum(" in step
+    steps = plan.split("Exchange hashpartitioning(clientId")[1:]
+    assert len(steps) == 3 and all("partial_" in step.split("Exchange")[0] for step in steps)  # each is pre-aggregated
 
 
-def test_shared_aggregate_is_one_scan_two_exchanges(spark, sessions_df, tmp_path):
+def test_shared_aggregate_reads_the_hits_once(spark, sessions_df, tmp_path):
     from cohortex.catalog.setup import FIXTURE
     from cohortex.plans.datasets import shared_feature_table
     from cohortex.sources.sessions import read_sessions
@@ -263,7 +265,9 @@ def test_shared_aggregate_is_one_scan_two_exchanges(spark, sessions_df, tmp_path
     path = str(tmp_path / "s")
     edge_sessions(sessions_df).write.partitionBy("suffix").parquet(path)
     plan = shared_feature_table(read_sessions(spark, path), FIXTURE)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2 and plan.count("FileScan parquet") == 1
+    scans = plan.split("FileScan parquet")[1:]
+    assert len(scans) == 2 and sum("hits#" in s.split("]")[0] for s in scans) == 1
+    assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 3
 
 
 def test_full_ties_have_one_winner(sessions_df):
