@@ -8,6 +8,8 @@ Spark, in numpy over UTF-8 bytes and in DuckDB.
 from __future__ import annotations
 
 import ctypes
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,6 +58,25 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and broadcasts of finished jobs that nothing refers to any more.
+
+    Spark does so when the driver's JVM collects its garbage; a driver with little to do may not
+    for hours, while files of several times the input lie on the executors' disks. To be called
+    between the large steps of a query, after :func:`durable` has cut what came before. One
+    collection is not enough: a job that has just ended is still referred to for a moment. The
+    collections also give free heap back to the system.
+    """
+    gc.collect()  # frames that Python has dropped still hold their plans in the JVM
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return
+    jvm.System.gc()
+    time.sleep(0.3)
+    jvm.System.gc()
+
+
 def text_of(column: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

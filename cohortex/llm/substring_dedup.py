@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import durable, fresh, table
+from cohortex.llm.common import durable, fresh, give_back, table
 from cohortex.llm.words import CHUNK_BYTES, mix, text_buffers
 
 WINDOW = 50
@@ -288,7 +288,9 @@ def repeated_spans(
     spans = bucket_spans(packed_rows(docs, window, minimiser, hot), window)
     if len(hot):
         spans = spans.unionByName(digest_spans(digest_rows(docs, window, minimiser, hot), window))
-    return durable(spans.distinct().groupBy("id", "h").agg(F.collect_list(F.struct("first", "stop")).alias("spans")), "substring_spans")
+    found = durable(spans.distinct().groupBy("id", "h").agg(F.collect_list(F.struct("first", "stop")).alias("spans")), "substring_spans")
+    give_back(df.sparkSession)  # the shuffled super-k-mers, before the texts are shuffled to their spans
+    return found
 
 
 def with_kept(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> tuple[DataFrame, list[str]]:
