@@ -47,14 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+def durable(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back; ``compression``: another than the session's.
 
     Cuts lineage in a way that survives a lost executor: the rows are files that every
     executor can read, not blocks held by one of them.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

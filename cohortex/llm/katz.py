@@ -30,7 +30,6 @@ result.
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,25 +41,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortex.context import scratch_path
-from cohortex.llm.common import durable, fold, table
+from cohortex.llm.common import durable, fold, give_back, release_memory, releasing, table
 from cohortex.llm.words import mix, word_hashes
 
 TURING = 5
 SPLIT = 1000
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_000_000  # a task holds one block; its distinct bigrams take most of a worker's memory
 END = np.uint64(0x1B873593CC9E2D51)
 START = np.uint64(0x2545F4914F6CDD1D)
 STATS = TURING + 1  # per context: types with each count 2 .. TURING, mass of larger counts, P mass (types seen once follow from c(h))
 
 
-def release_memory() -> None:
-    """Give freed arrays back to the system: a Python worker stays alive between its tasks."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-    if trim is not None:
-        trim(0)
-
-
 def pack(values: np.ndarray) -> bytes:
     """Byte planes: equal high bytes lie together and compress."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
@@ -129,7 +120,7 @@ def blocks_of(docs: DataFrame, buckets: int) -> DataFrame:
     name = f"katz_blocks_{uuid.uuid4().hex[:12]}"
     # the table lies in the shared folder; the catalog's entry is needed only until the plan is resolved
     spark = docs.sparkSession
-    docs.mapInArrow(run, schema).write.option("path", scratch_path(spark, "katz_blocks")).bucketBy(buckets, "block").saveAsTable(name)
+    docs.mapInArrow(releasing(run), schema).write.option("path", scratch_path(spark, "katz_blocks")).option("compression", "zstd").bucketBy(buckets, "block").saveAsTable(name)
     blocks = spark.table(name)
     blocks.schema  # noqa: B018  resolves the plan
     spark.sql(f"DROP TABLE {name}")
@@ -191,7 +182,7 @@ def word_questions(blocks: DataFrame, parts: int) -> DataFrame:
                     names=["p", "block", "hashes", "counts"],
                 )
 
-    return blocks.mapInArrow(run, "p int, block long, hashes binary, counts binary")
+    return blocks.mapInArrow(releasing(run), "p int, block long, hashes binary, counts binary")
 
 
 def count_words(rows: pa.Table) -> pa.Table:
@@ -392,8 +383,9 @@ def count_bigrams(unigrams: Unigrams):
             counts.append(unpack(rows.column("counts")[i].as_py(), np.uint32))
         sizes, context_sizes = [len(w) for w in words], [len(c) for c in contexts]
         unique, context = np.unique(np.concatenate(contexts), return_inverse=True)
-        per_pair = np.repeat(context, np.concatenate(runs))
+        per_pair = np.repeat(context.astype(np.int32), np.concatenate(runs))
         word, word_count = np.concatenate(words), np.concatenate(word_counts)
+        del words, word_counts, runs
         order = np.lexsort((word, per_pair))
         new = np.r_[True, (per_pair[order][1:] != per_pair[order][:-1]) | (word[order][1:] != word[order][:-1])]
         group = np.cumsum(new) - 1
@@ -489,7 +481,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(train_col), F.lit(False)).alias("train"))
     blocks = blocks_of(slim, parts)
-    words = durable(word_questions(blocks, parts).groupBy("p").applyInArrow(count_words, ANSWER), "katz_words")
+    words = durable(word_questions(blocks, parts).groupBy("p").applyInArrow(count_words, ANSWER), "katz_words", "zstd")
+    give_back(spark)
 
     def totals(answers: DataFrame) -> list[int]:
         sums = answers.where("summary is not null").select(F.posexplode("summary").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).orderBy("i")
@@ -501,7 +494,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     asked = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         bigram_questions(unigrams, tokens, parts), "block long, p int, kind int, contexts binary, runs binary, words binary, word_counts binary, counts binary"
     )
-    bigrams = durable(asked.groupBy("kind", "p").applyInArrow(count_bigrams(unigrams), ANSWER), "katz_bigrams")
+    bigrams = durable(asked.groupBy("kind", "p").applyInArrow(count_bigrams(unigrams), ANSWER), "katz_bigrams", "zstd")
+    give_back(spark)  # the questions, before the answers are shuffled
     bigram_types = totals(bigrams) or [0] * (TURING + 1)
     discounts = Discounts.turing(bigram_types)
     split: dict[int, np.ndarray] = {}
