@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortex.llm.common import durable, positional, releasing, table
+from cohortex.llm.common import durable, give_back, positional, releasing, table
 from cohortex.llm.words import mix, shingle_sets
 
 WIDTH = 5
@@ -397,6 +397,7 @@ def star_parts(docs: DataFrame, nodes: DataFrame, width: int, threshold: int) ->
         links = verified_links(sets, pairs, threshold, f"star{r}")
         if not links.isEmpty():
             parts = merge(parts, links, f"star{r}")
+        give_back(docs.sparkSession)  # a round's plans, broadcasts and shuffles
     return parts
 
 
@@ -557,6 +558,7 @@ def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, thre
         .withColumn("node", F.monotonically_increasing_id()),
         "near_nodes",
     )
+    give_back(df.sparkSession)
     parts = durable(nodes.drop("firsts").join(star_parts(docs, nodes, width, threshold), "node"), "near_parts")
     sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
     large = durable(sizes.where(F.col("members") >= LARGE_PART), "near_large_parts")
@@ -570,6 +572,7 @@ def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, thre
     lists = durable(long_lists(postings(docs, few, frequent, width, threshold), sample).where(F.col("n") > BLOCK), "near_long_lists")
     found = candidate_pairs(postings(docs, keyed, frequent, width, threshold), lists, threshold)
     found = durable(found.select("a", "b", "need", (F.col("nb") < 0).alias("whole")), "near_rest_pairs")
+    give_back(df.sparkSession)  # the postings
     if found.isEmpty():
         whole = parts
     else:
@@ -580,6 +583,7 @@ def _members(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, thre
         links = verified_links(sets, pairs, threshold, "rest")
         if not met.isEmpty():
             links = links.unionByName(part_links(sets, keyed, large, met, threshold))
+        give_back(df.sparkSession)
         whole = merge(parts, links, "rest")
     least = whole.groupBy("part").agg(F.min("doc").alias("component_id"))
     classes = whole.join(least, "part").select(F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "part", "component_id")
@@ -602,6 +606,7 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """
     own, name = positional(df)
     rows = durable(_members(df, id_col, text_col, **options), "near_members")
+    give_back(df.sparkSession)
     counted = rows.where("part is not null").groupBy("part", "doc_id", "h").agg(F.count(F.lit(1)).alias("times"))
     least = counted.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "times")).alias("least"))
     one = least.select(F.col("least.doc_id").alias("_k_id"), F.col("least.h").alias("_k_h"), (F.col("least.times") > 1).alias("_k_twice"))
