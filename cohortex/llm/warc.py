@@ -39,12 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortex.context import scratch_path
-from cohortex.llm.common import durable, table, text_of
+from cohortex.llm.common import durable, releasing, table, text_of
 
 MIN_REVISIT = 1000
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 4 << 20
 READ_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
 MANIFEST = "path string, size long, records long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -131,7 +132,7 @@ def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", lev
                 names=["path", "size", "records"],
             )
 
-    return durable(with_record_types(pages).mapInArrow(run, MANIFEST), "warc_manifest")
+    return durable(with_record_types(pages).mapInArrow(releasing(run), MANIFEST), "warc_manifest")
 
 
 class Window:
@@ -161,14 +162,14 @@ def opens_record(window: Window, pos: int) -> bool:
 
 def read_member(window: Window, pos: int) -> tuple[bytes, int] | None:
     """The inflated member at ``pos`` and the position after it, None if it is not intact."""
-    inflater, parts, at = zlib.decompressobj(31), [], pos
+    inflater, parts, at, n = zlib.decompressobj(31), [], pos, 1 << 12
     try:
         while not inflater.eof:
-            chunk = window.get(at, 1 << 16)
+            chunk = window.get(at, n)
             if not chunk:
                 return None
             parts.append(inflater.decompress(chunk))
-            at += len(chunk)
+            at, n = at + len(chunk), min(2 * n, CHUNK_BYTES)
     except zlib.error:
         return None
     return b"".join(parts), at - len(inflater.unused_data)
@@ -244,20 +245,18 @@ def records_in(path: str, size: int, start: int, end: int) -> Iterator[dict]:
     with fs.open_input_file(inner) as handle:
         window, pos = Window(handle, size), start
         while pos < end:
-            found = window.get(pos, min(READ_BYTES, end - pos + len(MAGIC) - 1)).find(MAGIC)
-            if found < 0:
-                pos += max(1, min(READ_BYTES, end - pos + len(MAGIC) - 1) - len(MAGIC) + 1)
-                continue
-            pos += found
             member = read_member(window, pos) if opens_record(window, pos) else None
             row = None
             if member is not None and (member[1] >= size or opens_record(window, member[1])):
                 row = parse(member[0])
-            if row is None:
-                pos += 1
+            if row is not None:
+                yield row
+                pos = member[1]
                 continue
-            yield row
-            pos = member[1]
+            # on to the next magic that starts before the end
+            n = min(CHUNK_BYTES, end - pos - 1 + len(MAGIC) - 1)
+            found = window.get(pos + 1, n).find(MAGIC)
+            pos += 1 + (found if found >= 0 else n - len(MAGIC) + 1)
 
 
 def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = False) -> DataFrame:
@@ -283,7 +282,7 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = Fa
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return ranges.repartition(max(1, min(int(n), 10_000))).mapInArrow(run, RECORDS + (", payload binary" if payload else ""))
+    return ranges.repartition(max(1, min(int(n), 10_000))).mapInArrow(releasing(run), RECORDS + (", payload binary" if payload else ""))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -85,6 +86,19 @@ def test_warc_round_trip_at_any_split(spark):
     assert warc.read(warc.write(none, scratch_path(spark, "warc_none"))).count() == 0
 
 
+def test_warc_bytes_are_read_once(tmp_path, monkeypatch):
+    """A range of many small records is read through once, not a window for each record."""
+    rng = random.Random(8)
+    date, path = "1970-01-01T00:00:00Z", tmp_path / "many.warc.gz"
+    rows = [{"page_id": i, "url": None, "payload": rng.randbytes(3000), "payload_bytes": 3000, "record_type": "response", "refers_to": None} for i in range(500)]
+    path.write_bytes(b"".join(gzip.compress(warc.record(r | {"payload_digest": hashlib.sha1(r["payload"]).hexdigest()}, date)) for r in rows))
+    size, asked, get = path.stat().st_size, [], warc.Window.get
+    monkeypatch.setattr(warc.Window, "get", lambda self, pos, n: (asked.append(min(n, self.size - pos)), get(self, pos, n))[1])
+    got = [r["payload"] for start in range(0, size, 1 << 20) for r in warc.records_in(f"file:{path}", size, start, min(size, start + (1 << 20)))]
+    assert got == [r["payload"] for r in rows]
+    assert sum(asked) < 10 * size  # each record asks for little more than itself
+
+
 def foreign(fields, block):
     head = "".join(f"{k}: {v}\r\n" for k, v in fields) + f"content-length: {len(block)}\r\n"
     return gzip.compress(b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n")
