@@ -10,6 +10,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from cohortex.catalog import queries
 from cohortex.catalog.setup import FIXTURE_RUN
 from cohortex.context import scratch_path
 from cohortex.operators import ml as M
@@ -200,3 +201,24 @@ def test_a_repeated_run_leaves_one_registry_row(spark, trained):
     registry_append(spark, registry, t.model, "b", 0.5, 0.5, run_id="2024-01-30")  # another audience of that run
     assert sorted(r[0] for r in read_back(spark, registry).select("name").collect()) == ["a", "a", "b"]
     assert registry_verify(spark, registry_lookup(spark, registry, "b"))
+
+
+@pytest.mark.parametrize("name", ["run_pipeline", "load_or_train", "predict_proba", "audience_export"])
+def test_sessions_are_built_once(spark, monkeypatch, name):
+    """The learning queries pass sessions that are stored, not a plan that is computed at every use."""
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(spark, cfg, sessions):
+        seen.append(sessions)
+        raise Stop
+
+    monkeypatch.setattr(queries, "run", stop)
+    monkeypatch.setattr(queries, "train", stop)
+    with pytest.raises(Stop):
+        queries.QUERIES[name](spark, SF)
+    built = queries.feature_sessions(spark, SF)
+    assert seen[0].columns == built.columns and not any("events.parquet" in f for f in seen[0].inputFiles())
+    assert sorted(map(repr, seen[0].collect())) == sorted(map(repr, built.collect()))
